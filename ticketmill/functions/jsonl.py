@@ -53,6 +53,16 @@ def _judge(line: str, allow_nan: bool, fields: tuple[str, ...]) -> dict:
     return row
 
 
+def strict_json(text: str):
+    """The decoded value; None when a strict reader rejects the text."""
+    try:
+        value = json.loads(text.strip())
+        json.dumps(value, ensure_ascii=False).encode("utf-8")
+    except (ValueError, RecursionError):
+        return None
+    return value
+
+
 def json_verdict(
     line: Column, allow_nan: bool = True, fields: tuple[str, ...] = ()
 ) -> Column:

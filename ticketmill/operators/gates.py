@@ -7,14 +7,16 @@ whole decision as one expression.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fields import GOOD_FIELDS, TICKET_FIELDS, payload
-from ..functions.jsonl import json_verdict
+from ..functions.jsonl import json_verdict, strict_json
 from ..functions.text import word_count
 
 # Texts of the reasons a ticket is bad.
@@ -61,47 +63,58 @@ def raw_tickets(lines: DataFrame, column: str = "value") -> DataFrame:
     ).withColumn("request_payload", F.when(F.col("shape_ok"), payload()))
 
 
+_ANSWER = (
+    "struct<valid:boolean,status:string,reason:string,object:boolean,"
+    f"ticket:struct<{','.join(f'{n}:string' for n in GOOD_FIELDS)}>>"
+)
+_ARROW_ANSWER = pa.struct(
+    [
+        ("valid", pa.bool_()),
+        ("status", pa.string()),
+        ("reason", pa.string()),
+        ("object", pa.bool_()),
+        ("ticket", pa.struct([(n, pa.string()) for n in GOOD_FIELDS])),
+    ]
+)
+
+
+def _read_answer(text: str) -> dict:
+    answer = strict_json(text)
+    answer = answer if isinstance(answer, dict) else {}
+    status, data = answer.get("status"), answer.get("data")
+    is_object = isinstance(data, dict)
+    pair_ok = (
+        is_object
+        and data.keys() == set(GOOD_FIELDS)
+        and all(isinstance(v, str) for v in data.values())
+    )
+    return {
+        "valid": answer.keys() == {"status", "data"}
+        and status in ("good", "bad")
+        and isinstance(data, (dict, str)),
+        "status": status if isinstance(status, str) else None,
+        "reason": json.dumps(data, ensure_ascii=False) if is_object else data if isinstance(data, str) else None,
+        "object": is_object,
+        "ticket": data if pair_ok else None,
+    }
+
+
 def parse_response(response: Column) -> Column:
     """Read a model answer strictly.
 
-    ``struct<valid, status, reason, object, ticket>``: ``valid`` is false unless
-    the answer is an object with exactly ``status`` (good or bad) and ``data``
-    (object or string). ``reason`` is the string data or the JSON text of an
-    object, ``object`` tells which, and ``ticket`` holds the five strings when
-    ``data`` has exactly these.
+    ``valid`` is false unless the answer is an object with exactly ``status``
+    (good or bad) and ``data`` (object or string). ``reason`` is the string data
+    or the JSON text of an object, ``object`` tells which, and ``ticket`` holds
+    the five strings when ``data`` has exactly these. One Arrow function, as
+    strictness needs the standard decoder anyway.
     """
-    line = json_verdict(response)["line"]
-    root = F.try_parse_json(line)
-    status = F.try_variant_get(root, "$.status", "string")
-    data = F.try_variant_get(root, "$.data", "variant")
-    kind = F.schema_of_variant(data)
-    keys = F.json_object_keys(line)
-    is_object = F.startswith(kind, F.lit("OBJECT"))
-    is_string = kind == "STRING"
-    valid = (
-        (F.size(keys) == 2)
-        & F.array_contains(keys, "status")
-        & F.array_contains(keys, "data")
-        & (F.schema_of_variant(F.try_variant_get(root, "$.status", "variant")) == "STRING")
-        & status.isin("good", "bad")
-        & (is_object | is_string)
-    )
-    data_json = F.to_json(data)
-    data_keys = F.json_object_keys(data_json)
-    pair_ok = is_object & (F.size(data_keys) == len(GOOD_FIELDS))
-    for name in GOOD_FIELDS:
-        part = F.try_variant_get(data, f"$.{name}", "variant")
-        pair_ok = pair_ok & (F.schema_of_variant(part) == "STRING")
-    ticket = F.struct(
-        *[F.try_variant_get(data, f"$.{name}", "string").alias(name) for name in GOOD_FIELDS]
-    )
-    return F.struct(
-        F.coalesce(valid, F.lit(False)).alias("valid"),
-        status.alias("status"),
-        F.when(is_object, data_json).otherwise(F.try_variant_get(data, "$", "string")).alias("reason"),
-        F.coalesce(is_object, F.lit(False)).alias("object"),
-        F.when(F.coalesce(pair_ok, F.lit(False)), ticket).alias("ticket"),
-    )
+
+    @F.arrow_udf(_ANSWER)
+    def read(answers: pa.Array) -> pa.Array:
+        rows = [None if t is None else _read_answer(t) for t in answers.to_pylist()]
+        return pa.array(rows, type=_ARROW_ANSWER)
+
+    return read(response)
 
 
 def too_short(instruction: Column, response: Column, min_words: int = MIN_WORDS) -> Column:
@@ -157,7 +170,7 @@ def classify(
         "refusal": F.when(returned & refused, F.lit(REFUSED)),
         "api_error": F.when(logged == "api_error", F.concat(F.lit("API Error (final): "), call_text)),
         "unexpected": F.when(
-            (logged == "unexpected") | (returned & ~answer["valid"]),
+            (logged == "unexpected") | (returned & ~F.coalesce(answer["valid"], F.lit(False))),
             F.concat(
                 F.lit("Worker unexpected final fail: "),
                 F.when(returned, F.lit("answer does not match the response schema")).otherwise(call_text),

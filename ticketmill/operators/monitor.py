@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.detectors import Detector
-from ..operators.gates import TECHNICAL
+from ..functions.time import epoch_micros
+from .gates import TECHNICAL
 
 # Size of the recent-bad buffer, rows of it in a digest, and the
 # limits above which recognising or redacting one text is slow (seconds).
@@ -136,7 +137,8 @@ def bad_reasons(routed: DataFrame) -> DataFrame:
 
 def throughput(events: DataFrame, ts: str, by: Iterable[str] = ()) -> DataFrame:
     """Records per second of elapsed time, 0 when no time passed."""
-    spent = (F.unix_micros(F.max(ts)) - F.unix_micros(F.min(ts))) / F.lit(1e6)
+    at = epoch_micros(events, F.col(ts))
+    spent = (F.max(at) - F.min(at)) / F.lit(1e6)
     counted = events.groupBy(*by).agg(F.count(F.lit(1)).alias("records"), spent.alias("seconds"))
     return counted.withColumn(
         "records_per_second", F.coalesce(F.try_divide(F.col("records"), F.col("seconds")), F.lit(0.0))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import folds
+from ..functions.time import epoch_micros
 from .blocks import fold_rows
 
 # Smoothing, alert levels, retry limits and waits in seconds.
@@ -72,7 +73,7 @@ def breaker_log(
 ) -> DataFrame:
     """Breaker state around each request: ``state_before``, ``admitted``, ``state_after``."""
     inputs = {
-        "at": F.unix_micros(ts),
+        "at": epoch_micros(requests, ts),
         "failed": F.coalesce(failed, F.lit(False)),
         "reset": F.coalesce(reset, F.lit(False)) if reset is not None else F.lit(False),
     }
@@ -93,7 +94,7 @@ def token_admission(
 ) -> DataFrame:
     """Rate-limit verdict of each event: ``admitted`` and ``tokens_after``."""
     wanted = cost if cost is not None else F.lit(1)
-    inputs = {"at": F.unix_micros(ts), "cost": wanted.cast("bigint")}
+    inputs = {"at": epoch_micros(events, ts), "cost": wanted.cast("bigint")}
     fold = folds.bucket(capacity, refill, per_seconds)
     return fold_rows(events, key, order, inputs, fold, blocks)
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import redaction
+from . import curation, monitoring, records, redaction, sequences
 
-_MODULES = (redaction,)
+_MODULES = (redaction, records, curation, monitoring, sequences)
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -213,13 +213,13 @@ ORACLES = {
     "redact_context_scores": rf"""WITH {TICKETS_SQL}, found AS (SELECT ticket_id, Description,
             regexp_extract_all(Description, '[\p{{L}}\p{{N}}_]+') AS words,
             regexp_extract(Description, '(?:badge|employee ID|id number) ([0-9]{{6}}) ', 1) AS badge FROM tickets),
-        placed AS (SELECT *, list_position(words, badge) AS at FROM found),
+        placed AS (SELECT *, list_position(words, badge) AS pos FROM found),
         near AS (SELECT ticket_id, Description, badge,
-            ' ' || lower(array_to_string(list_slice(words, greatest(at - 5, 1), at - 1), ' ')) || ' ' AS before,
-            ' ' || lower(array_to_string(list_slice(words, at + 1, at + 5), ' ')) || ' ' AS after FROM placed)
+            ' ' || lower(array_to_string(list_slice(words, greatest(pos - 5, 1), pos - 1), ' ')) || ' ' AS before,
+            ' ' || lower(array_to_string(list_slice(words, pos + 1, pos + 5), ' ')) || ' ' AS after FROM placed)
         SELECT ticket_id, strpos(Description, ' ' || badge || ' ') AS start,
             CASE WHEN regexp_matches(before, ' (badge number|employee id|id number) ')
-                OR regexp_matches(after, ' (badge number|employee id|id number) ') THEN 1.0 ELSE 0.8 END AS score
+                OR regexp_matches(after, ' (badge number|employee id|id number) ') THEN 1.0::DOUBLE ELSE 0.8::DOUBLE END AS score
         FROM near""",
     "mask_known_names": _NAMES_SQL,
     "mask_known_names_joined": _NAMES_SQL,
