@@ -17,8 +17,22 @@ State = tuple
 CLOSED, OPEN, HALF_OPEN = "CLOSED", "OPEN", "HALF_OPEN"
 
 
+class Fold:
+    inputs: tuple[str, ...]
+    outputs: tuple[tuple[str, str], ...]
+    exact_prediction = False
+
+    def resume(self, end: State) -> State:
+        """The state the next rows start from."""
+        return end
+
+    def predict(self, start: State, used: State, end: State, rows: int) -> State:
+        """End of a segment of ``rows`` for ``start``, when it ended in ``end`` from ``used``."""
+        return end
+
+
 @dataclass(frozen=True)
-class Ema:
+class Ema(Fold):
     """e <- alpha * x + (1 - alpha) * e, starting at 0."""
 
     alpha: float
@@ -54,7 +68,7 @@ class Ema:
 
 
 @dataclass(frozen=True)
-class ResettingEma:
+class ResettingEma(Fold):
     """The average with thresholds; reaching ``stop`` raises an alert and resets it to 0."""
 
     alpha: float
@@ -62,7 +76,6 @@ class ResettingEma:
     stop: float
     inputs = ("x",)
     outputs = (("ema", "double"), ("alert", "string"))
-    exact_prediction = False
 
     def first(self) -> State:
         return (0.0,)
@@ -85,7 +98,7 @@ class ResettingEma:
 
 
 @dataclass(frozen=True)
-class Breaker:
+class Breaker(Fold):
     """Circuit breaker over a request log.
 
     An admitted failure adds to the count; at ``threshold`` the breaker opens.
@@ -100,7 +113,6 @@ class Breaker:
     reset_on_success: bool = False
     inputs = ("at", "failed", "reset")
     outputs = (("state_before", "string"), ("admitted", "boolean"), ("state_after", "string"))
-    exact_prediction = False
 
     def first(self) -> State:
         return (CLOSED, 0, None)
@@ -129,12 +141,9 @@ class Breaker:
             after.append(name)
         return [before, admitted, after], (name, failures, last)
 
-    def predict(self, start: State, used: State, end: State, rows: int) -> State:
-        return end
-
 
 @dataclass(frozen=True)
-class Bucket:
+class Bucket(Fold):
     """Token bucket over an event log, in whole units so that sums are exact.
 
     One token is ``token`` units and each microsecond refills ``refill`` units.
@@ -147,18 +156,20 @@ class Bucket:
     refill: int
     inputs = ("at", "cost")
     outputs = (("admitted", "boolean"), ("tokens_after", "double"))
-    exact_prediction = False
 
     def first(self) -> State:
-        return (self.capacity * self.token, None)
+        # Units, time of the last event, and whether the bucket ran full since.
+        return (self.capacity * self.token, None, False)
 
     def segment(self, columns: list[list], state: State) -> tuple[list[list], State]:
         full = self.capacity * self.token
-        units, last = state
+        units, last, filled = state
         admitted, left = [], []
         for at, cost in zip(*columns):
-            if last is not None and units < full:
-                units = min(full, units + (at - last) * self.refill)
+            if last is not None:
+                units += (at - last) * self.refill
+                if units >= full:
+                    units, filled = full, True
             last = at
             need = cost * self.token
             let = units >= need
@@ -166,13 +177,19 @@ class Bucket:
                 units -= need
             admitted.append(let)
             left.append(units / self.token)
-        return [admitted, left], (units, last)
+        return [admitted, left], (units, last, filled)
+
+    def resume(self, end: State) -> State:
+        return (*end[:2], False)
 
     def predict(self, start: State, used: State, end: State, rows: int) -> State:
-        """Between two fillings, the part below one token only moves with the clock."""
+        """A bucket that ran full has forgotten its start. Between two fillings,
+        the part below one token only moves with the clock."""
+        if end[2]:
+            return end
         shift = start[0] - used[0]
         whole, part = divmod(end[0], self.token)
-        return (whole * self.token + (part + shift) % self.token, end[1])
+        return (whole * self.token + (part + shift) % self.token, end[1], False)
 
 
 def bucket(capacity: int, refill: int, per_seconds: int = 1) -> Bucket:

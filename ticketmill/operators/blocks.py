@@ -174,7 +174,7 @@ def link_blocks(frozen: DataFrame, key: str, fold) -> tuple[dict[int, tuple], in
                     end = fold.predict(before[1], walked_from, end, s["rows"])
                     if not fold.exact_prediction:
                         todo.append(block)
-            before = (s["last_key"], end)
+            before = (s["last_key"], fold.resume(end))
         if todo:
             used.update({b: starts[b] for b in todo})
     return starts, rounds
