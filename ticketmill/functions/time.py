@@ -21,3 +21,10 @@ def epoch_micros(df: DataFrame, ts: Column) -> Column:
             F.lit("UTC"),
         )
     return F.unix_micros(ts)
+
+
+def with_event_time(df: DataFrame, name: str) -> DataFrame:
+    """``name`` as the timestamp type that watermarks need."""
+    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
+        return df.withColumn(name, F.timestamp_micros(epoch_micros(df, F.col(name))))
+    return df

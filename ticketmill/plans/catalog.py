@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import curation, monitoring, records, redaction, sequences
+from . import curation, monitoring, records, redaction, sequences, streams
 
-_MODULES = (redaction, records, curation, monitoring, sequences)
+_MODULES = (redaction, records, curation, monitoring, sequences, streams)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
