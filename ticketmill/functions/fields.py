@@ -82,6 +82,13 @@ _DISCLAIMER = (
 )
 
 
+# Any of these words stands in every line the two patterns match.
+_SUSPECT = (
+    r"(?i)--|regards|thank|sincerely|cheers|sent from my|this e-?mail|this message"
+    r"|confidentiality|recipient|disclaimer"
+)
+
+
 def remove_boilerplate(text: Column) -> Column:
     """Drop disclaimer lines, and everything from a signature line on."""
     lines = F.split(text, r"\r\n|\r|\n", -1)
@@ -89,12 +96,11 @@ def remove_boilerplate(text: Column) -> Column:
     body = F.when(first > 0, F.slice(lines, 1, (first - 1).cast("int"))).otherwise(lines)
     kept = F.filter(body, lambda x: ~x.rlike(_DISCLAIMER))
     # Most texts have neither, and skip the line work.
-    suspect = text.rlike("(?m)" + _SIGNATURE) | text.rlike("(?m)" + _DISCLAIMER)
-    return F.when(suspect, F.array_join(kept, "\n")).otherwise(text)
+    return F.when(text.rlike(_SUSPECT), F.array_join(kept, "\n")).otherwise(text)
 
 
 def remove_phones(text: Column) -> Column:
-    return F.regexp_replace(text, PHONE.pattern, "")
+    return F.when(text.rlike(PHONE.hint), F.regexp_replace(text, PHONE.pattern, "")).otherwise(text)
 
 
 def collapse_space(text: Column) -> Column:

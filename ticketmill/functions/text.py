@@ -12,11 +12,11 @@ WORD_RUN = WORD_CHAR + "+"
 WORD_START = rf"(?<!{WORD_CHAR})"
 WORD_END = rf"(?!{WORD_CHAR})"
 
-# Characters removed by Python's ``str.strip``: Unicode white space plus the
-# four ASCII separators that Java does not count.
-_SPACE = r"[\s\x1c-\x1f]"
-_EDGES = rf"(?U)\A{_SPACE}+|{_SPACE}+\z"
-_BLANK = rf"(?U)\A{_SPACE}*\z"
+# The characters Python's ``str.strip`` removes.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def python_pattern(java_pattern: str) -> str:
@@ -25,11 +25,11 @@ def python_pattern(java_pattern: str) -> str:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, _EDGES, "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def is_blank(text: Column) -> Column:
-    return text.rlike(_BLANK)
+    return strip(text) == ""
 
 
 def word_count(text: Column) -> Column:

@@ -15,7 +15,7 @@ from ..functions.detectors import (
 )
 from ..functions.spans import resolve_spans
 from ..operators import monitor, names, redaction
-from .tables import REDUMPED, TICKETS_SQL, answered_lines, table, tickets
+from .tables import REDUMPED, TICKETS_SQL, answered_lines, documents, table, tickets
 
 # --- comparison SQL ---------------------------------------------------------
 # The other engine has no look-around. Word runs are wrapped in control
@@ -80,27 +80,27 @@ _ALL = _DEFAULT + ["BADGE_NUMBER", "TICKET_NUMBER", "MACHINE_NAME"]
 
 # --- queries ----------------------------------------------------------------
 def redact_documents(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    docs = documents(spark, folder)
     return redaction.redact_columns(docs, ["text"], DEFAULT_DETECTORS)
 
 
 def redact_english(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    docs = documents(spark, folder)
     return redaction.redact_columns(docs, ["text"], DEFAULT_DETECTORS, language=F.col("lang"))
 
 
 def redact_distinct(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    docs = documents(spark, folder)
     return redaction.redact_distinct(docs, "text", DEFAULT_DETECTORS)
 
 
 def redact_memo(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    docs = documents(spark, folder)
     return redaction.redact_columns(docs, ["text"], DEFAULT_DETECTORS, memo=1024)
 
 
 def redact_cards(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = documents(spark, folder).select("doc_id", "text")
     found = docs.withColumn("spans", redaction.analyze(F.col("text"), [CARD]))
     return found.select(
         "doc_id", F.size("spans").cast("bigint").alias("cards")
@@ -108,7 +108,7 @@ def redact_cards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def redact_machine_names(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = documents(spark, folder).select("doc_id", "text")
     return redaction.redact_columns(docs, ["text"], [MACHINE])
 
 
@@ -145,7 +145,7 @@ def mask_known_names_joined(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def entity_usage(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("text")
+    docs = documents(spark, folder).select("text")
     found = docs.select(
         resolve_spans(redaction.analyze(F.col("text"), DEFAULT_DETECTORS)).alias("spans")
     )

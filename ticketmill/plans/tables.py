@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fields import TICKET_FIELDS
+from ..session import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,6 +38,11 @@ TICKET_COLUMNS = {
 }
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents for per-row work on the text."""
+    return spread(table(spark, folder, "documents").select("doc_id", "lang", "text"))
+
+
 def _json_text(column: str) -> str:
     return f"""CASE WHEN {column} IS NULL THEN 'null' ELSE concat('"', {column}, '"') END"""
 
@@ -99,7 +105,7 @@ def _listed(columns: dict[str, str]) -> str:
 
 
 def tickets(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders")
+    orders = spread(table(spark, folder, "orders"))
     customers = table(spark, folder, "customer")
     joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     return joined.selectExpr(*[f"{e} AS {n}" for n, e in TICKET_COLUMNS.items()])
@@ -113,7 +119,8 @@ def answered_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def spoilt_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").selectExpr("event_id", "user_id", f"{SPOILT} AS value")
+    events = spread(table(spark, folder, "events").select("event_id", "user_id", "props"))
+    return events.selectExpr("event_id", "user_id", f"{SPOILT} AS value")
 
 
 def pairs(spark: SparkSession, folder: str) -> DataFrame:

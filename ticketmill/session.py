@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -29,6 +29,17 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a scan that has fewer tasks than the cluster has cores.
+
+    A small table, one unsplittable file or one row group would leave heavy
+    per-row work to a few tasks. A scan with enough tasks is left alone, so
+    nothing is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def local_session(cores: int | str = "*", memory: str = "8g", **settings: str) -> SparkSession:
     """A local session for tests and the benchmark."""
     builder = (
