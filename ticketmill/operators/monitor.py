@@ -95,18 +95,29 @@ def detector_metrics(df: DataFrame, text: Column, spans: Column, detectors: Iter
 
 
 def progress(
-    outcomes: DataFrame, ts: str, is_bad: Column, interval: str = PROGRESS_INTERVAL
+    outcomes: DataFrame,
+    ts: str,
+    is_bad: Column,
+    interval: str = PROGRESS_INTERVAL,
+    average: tuple[str, str] | None = None,
 ) -> DataFrame:
-    """Processed, good and bad per interval. Works on batch and streaming frames."""
-    bad = F.count_if(is_bad)
+    """Processed, good and bad per interval. Works on batch and streaming frames.
+
+    ``average`` names a moving-average column and the column that breaks ties of
+    ``ts``: the interval then also shows the average after its last row.
+    """
+    extra = []
+    if average is not None:
+        extra = [F.max_by(average[0], F.struct(ts, average[1])).alias(average[0])]
     return (
         outcomes.groupBy(F.window(ts, interval).alias("w"))
-        .agg(F.count(F.lit(1)).alias("processed"), bad.alias("bad"))
+        .agg(F.count(F.lit(1)).alias("processed"), F.count_if(is_bad).alias("bad"), *extra)
         .select(
             F.col("w.start").alias("window_start"),
             "processed",
             (F.col("processed") - F.col("bad")).alias("good"),
             "bad",
+            *([average[0]] if average is not None else []),
         )
     )
 
@@ -114,12 +125,19 @@ def progress(
 def with_totals(windows: DataFrame) -> DataFrame:
     """Running totals over progress rows.
 
-    The rows are windows, not events: their number grows with elapsed time only
-    (2,880 a day), so the ordered pass is small whatever the event volume.
+    Running sums inside each day, on top of the totals of the days before: no
+    task sees more than one day of windows, or one row per day.
     """
-    so_far = Window.partitionBy(F.lit(0)).orderBy("window_start").rowsBetween(Window.unboundedPreceding, 0)
-    return windows.withColumns(
-        {f"{c}_so_far": F.sum(c).over(so_far) for c in ("processed", "good", "bad")}
+    counts = ("processed", "good", "bad")
+    dated = windows.withColumn("day", F.to_date("window_start"))
+    in_day = Window.partitionBy("day").orderBy("window_start").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(F.lit(0)).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = dated.groupBy("day").agg(*[F.sum(c).alias(c) for c in counts])
+    before = days.select("day", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_before") for c in counts])
+    joined = dated.join(before, "day")
+    return joined.select(
+        *windows.columns,
+        *[(F.sum(c).over(in_day) + F.col(f"{c}_before")).alias(f"{c}_so_far") for c in counts],
     )
 
 

@@ -103,14 +103,13 @@ def redact_json_lines(
     return df.withColumn(column, span_udfs.redact_json(F.col(column), detectors, operators, deep))
 
 
-def hot_values(df: DataFrame, value: Column, share: int) -> DataFrame:
-    """Hashes of values that fill more than 1/share of the rows: fewer than ``share``.
+def hot_values(df: DataFrame, value: Column, total: int, share: int) -> DataFrame:
+    """Hashes of values that fill more than 1/share of ``total`` rows: fewer than ``share``.
 
     Only used to choose salts, so a hash collision costs balance, not results.
     """
-    total = max(df.count(), 1)
-    counted = df.groupBy(F.xxhash64(value).alias("hot_hash")).agg(F.count("*").alias("copies"))
-    return counted.filter(F.col("copies") > total / share)
+    counted = df.groupBy(F.xxhash64(value).alias("hot_hash")).agg(F.count(F.lit(1)).alias("copies"))
+    return counted.filter(F.col("copies") > total / share).select("hot_hash")
 
 
 def redact_distinct(
@@ -135,10 +134,13 @@ def redact_distinct(
     candidate = F.coalesce(spans.hint_test(text, detectors), F.lit(False))
     rows, rest = df.filter(candidate), df.filter(~candidate)
 
-    hot = F.broadcast(hot_values(rows.select(column), text, share).select("hot_hash"))
+    # Counting all rows reads no column of a file scan.
+    hot = F.broadcast(hot_values(rows.select(column), text, df.count(), share))
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    # The salt comes from the row's own content, so a retried task repeats it.
-    own_salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)).cast("int")
+    # From the row's content and its partition: a retried task repeats the
+    # salt, and even rows that are equal throughout are spread.
+    mixed = F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id())
+    own_salt = F.pmod(mixed, F.lit(salts)).cast("int")
 
     def marked(frame: DataFrame) -> DataFrame:
         keyed = frame.withColumn("hot_hash", F.xxhash64(text))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import sequence
+from ..operators import monitor, sequence
 from .monitoring import CLASS, IS_BAD, is_bad
 from .tables import table
 
@@ -27,6 +27,14 @@ def bad_ratio_ema(spark: SparkSession, folder: str) -> DataFrame:
     return averaged.select("user_id", "event_id", F.round("ema", 10).alias("ema"))
 
 
+def progress_ema(spark: SparkSession, folder: str) -> DataFrame:
+    """One average over the whole log: a single key that holds every row."""
+    log = outcomes(spark, folder).withColumn("run", F.lit(0))
+    averaged = sequence.ema(log, "run", ORDER, is_bad())
+    rows = monitor.progress(averaged, "ts", is_bad(), "30 seconds", ("ema", "event_id"))
+    return rows.withColumn("ema", F.round("ema", 10))
+
+
 def ema_alerts(spark: SparkSession, folder: str) -> DataFrame:
     averaged = sequence.ema(outcomes(spark, folder), "user_id", ORDER, is_bad())
     level = sequence.alert_level(F.round("ema", 10), WARN, STOP)
@@ -61,7 +69,7 @@ def attempt_outcomes(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (bad_ratio_ema, ema_alerts, ema_resets, breaker_states, token_admission, attempt_outcomes)
+    for f in (bad_ratio_ema, progress_ema, ema_alerts, ema_resets, breaker_states, token_admission, attempt_outcomes)
 }
 
 _LOG = f"""log AS (SELECT user_id, event_id, epoch_us(ts) AS us, {IS_BAD} AS bad, row_number() OVER
@@ -101,7 +109,16 @@ BUCKET_SQL = f"""WITH RECURSIVE {_LOG}, walk AS (
         FROM walk w JOIN log l ON l.user_id = w.user_id AND l.n = w.n + 1))
     SELECT user_id, event_id, admitted, round(units / {_TOKEN}::DOUBLE, 6) AS tokens_after FROM walk"""
 
+# 0.95^1000 is below 1e-22, so older outcomes leave no trace in ten places.
+_GLOBAL = f"""WITH numbered AS (SELECT ts, event_id, {IS_BAD} AS bad, row_number() OVER (ORDER BY ts, event_id) AS n
+    FROM events), averaged AS (SELECT a.ts, a.event_id, a.bad,
+        sum(0.05::DOUBLE * b.bad::INT * pow(0.95::DOUBLE, a.n - b.n)) AS ema
+        FROM numbered a JOIN (SELECT *, unnest(range(n, n + 1000)) AS m FROM numbered) b ON b.m = a.n GROUP BY ALL)"""
+
 ORACLES = {
+    "progress_ema": f"""{_GLOBAL} SELECT time_bucket(INTERVAL 30 SECOND, ts) AS window_start, count(*) AS processed,
+        count(*) FILTER (WHERE NOT bad) AS good, count(*) FILTER (WHERE bad) AS bad,
+        round(arg_max(ema, (ts, event_id)), 10) AS ema FROM averaged GROUP BY 1""",
     "bad_ratio_ema": f"{EMA_SQL} SELECT user_id, event_id, round(ema, 10) AS ema FROM walk",
     "ema_alerts": f"""{EMA_SQL} SELECT user_id, event_id, CASE WHEN round(ema, 10) >= {STOP} THEN 'stop' ELSE 'warn' END
         AS alert FROM walk WHERE round(ema, 10) >= {WARN}""",
