@@ -95,6 +95,7 @@ def write_packed(
         title.unionByName(sections)
         .repartitionByRange(shards, "path")
         .sortWithinPartitions("path")
-        .select("value")
-        .write.option("lineSep", "").mode("errorifexists").text(folder)
+        # The text sink ends each value with a line feed, the last one of a section.
+        .select(F.expr("left(value, length(value) - 1)").alias("value"))
+        .write.mode("errorifexists").text(folder)
     )

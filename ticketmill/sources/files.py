@@ -252,9 +252,8 @@ def file_integrity(spark: SparkSession, path: str) -> DataFrame:
         (F.sum("bad_lines") == 0).alias("is_valid"),
         F.min(F.col("offset") + F.col("first_bad")).alias("first_bad_line"),
     )
-    # A file without lines is valid.
-    listed = (
-        spark.read.format("binaryFile").load(path).filter("length = 0").select(F.col("path").alias("file"))
-        .select("file", F.lit(True).alias("is_valid"), F.lit(None).cast("bigint").alias("first_bad_line"))
+    # A file without lines is valid. File names are known from the listing.
+    listed = spark.createDataFrame([(f,) for f in spark.read.text(path).inputFiles()], "file string")
+    return listed.join(scanned, "file", "left").withColumn(
+        "is_valid", F.coalesce("is_valid", F.lit(True))
     )
-    return scanned.unionByName(listed)
