@@ -23,9 +23,10 @@ def _write(path, data):
 def test_tolerant_scan(spark, tmp_path):
     _write(tmp_path / "in.jsonl", TEXT)
     lines = files.read_lines(spark, str(tmp_path / "in.jsonl"))
-    good, bad = files.read_tickets_jsonl(lines)
-    assert [r["value"] for r in good.collect()] == ['{"a": 1}', '{"a": "é"}', '{"a": 2}']
-    rejected = bad.collect()
+    judged = records.with_verdict(lines)
+    good = records.accepted(judged).select("json.line")
+    assert [r["line"] for r in good.collect()] == ['{"a": 1}', '{"a": "é"}', '{"a": 2}']
+    rejected = records.rejects(judged, ["value"]).collect()
     assert [r["value"] for r in rejected] == ["{bad"] and rejected[0]["reason"].startswith("Invalid JSON")
     with pytest.raises(ValueError):
         files.read_lines(spark, "x.xz")

@@ -81,15 +81,6 @@ def read_compressed(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_tickets_jsonl(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Tolerant scan: (decodable lines, rejects). Blank lines are in neither."""
-    judged = lines.withColumn("json", json_verdict(F.col(column)))
-    verdict = F.col("json.verdict")
-    good = judged.filter(verdict == "ok").withColumn(column, F.col("json.line")).drop("json")
-    bad = judged.filter(~verdict.isin("ok", "blank")).withColumn("reason", F.col("json.reason"))
-    return good, bad.drop("json")
-
-
 def _pick_columns(frame: DataFrame) -> list[Column]:
     """First column under each header wins; a missing column is null."""
     present: dict[str, str] = {}
@@ -149,6 +140,18 @@ def read_workbooks(spark: SparkSession, path: str) -> DataFrame:
     return cells.select(*[blank_to_null(F.col(n)).alias(n) for n in EXPORT_COLUMNS])
 
 
+def _listed(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Names of the files a scan of ``path`` would read, from the driver's file index."""
+    names = spark.read.options(**options).text(path).inputFiles()
+    listed = spark.createDataFrame([(name,) for name in names], "file string")
+    return listed.withColumn("file", _one_slash(F.col("file")))
+
+
+def _one_slash(uri: Column) -> Column:
+    """``file:/x`` and ``file:///x`` name the same file."""
+    return F.regexp_replace(uri, "^([A-Za-z0-9+.-]+):/+", "$1:/")
+
+
 def discover_files(
     spark: SparkSession,
     root: str,
@@ -156,19 +159,25 @@ def discover_files(
     ignored: Iterable[str] = IGNORED_DIRECTORIES,
 ) -> DataFrame:
     """Whole files below ``root`` as ``(path, content)``, path relative to the root."""
-    found = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .option("wholetext", True)
-        .text(root)
-        .select(F.col("_metadata.file_path").alias("full"), F.col("value").alias("content"))
+    # The readers skip empty files, so the listing says which files there are.
+    names = _listed(spark, root, pathGlobFilter=glob, recursiveFileLookup=True)
+    contents = (
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+        .format("binaryFile").load(root)
+        .select(_one_slash(F.col("_metadata.file_path")).alias("file"), F.decode("content", "UTF-8").alias("content"))
+    )
+    found = names.join(contents, "file", "left").select(
+        F.col("file").alias("full"), F.coalesce("content", F.lit("")).alias("content")
     )
     folder = spark._jvm.org.apache.hadoop.fs.Path(root)
     system = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    prefix = system.makeQualified(folder).toUri().getPath().rstrip("/") + "/"
+    # With one slash, the authority of a URI is the first part of its path.
+    qualified = system.makeQualified(folder).toUri()
+    prefix = (f"/{qualified.getAuthority()}" if qualified.getAuthority() else "") + qualified.getPath()
+    prefix = prefix.rstrip("/") + "/"
     # Paths come as URIs. The root may itself stand in an ignored directory:
     # only the part below it counts.
-    local = F.regexp_replace("full", "^[A-Za-z0-9+.-]+:(//[^/]*)?(?=/)", "")
+    local = F.regexp_replace("full", "^[A-Za-z0-9+.-]+:(?=/)", "")
     decoded = F.url_decode(F.replace(local, F.lit("+"), F.lit("%2B")))
     relative = F.substring(decoded, F.lit(len(prefix) + 1), F.length(decoded))
     skip = F.arrays_overlap(F.split(relative, "/"), F.array(*[F.lit(x) for x in ignored]))
@@ -240,7 +249,7 @@ def file_integrity(spark: SparkSession, path: str) -> DataFrame:
     where it is read, and the few block counts of a file are then added up.
     """
     lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
+        _one_slash(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"),
         json_verdict(F.col("value"))["verdict"].alias("verdict"),
     )
@@ -252,8 +261,7 @@ def file_integrity(spark: SparkSession, path: str) -> DataFrame:
         (F.sum("bad_lines") == 0).alias("is_valid"),
         F.min(F.col("offset") + F.col("first_bad")).alias("first_bad_line"),
     )
-    # A file without lines is valid. File names are known from the listing.
-    listed = spark.createDataFrame([(f,) for f in spark.read.text(path).inputFiles()], "file string")
-    return listed.join(scanned, "file", "left").withColumn(
+    # A file without lines is valid.
+    return _listed(spark, path).join(scanned, "file", "left").withColumn(
         "is_valid", F.coalesce("is_valid", F.lit(True))
     )
