@@ -109,7 +109,7 @@ def test_training_pair(spark):
     notes = "Reset done. Call +1 (555) 010-1234 if needed. It works. Fourth sentence."
     body = "Screen is  black.\nThis email is confidential.\nPlease help\nBest regards\nAnn Other"
     df = spark.createDataFrame([(" Help ", body, notes, "c", None, None)], ", ".join(f"{n} string" for n in fields.TICKET_FIELDS))
-    row = df.select(*fields.training_pair()).first()
+    row = fields.training_pairs(df).first()
     assert row["instruction"] == "Help Screen is black.\nPlease help"
     assert row["response"] == "Reset done. Call if needed. It works."
     assert (row["category"], row["subcategory"]) == ("c", "unknown")

@@ -211,6 +211,26 @@ def test_custom_detector(spark):
         assert df.select(out).first()[0] == "see <ASSET>"
 
 
+def test_names_and_detectors_compete(spark):
+    people = spark.createDataFrame([("Ada",), ("a@b",)], "name string")
+    df = spark.createDataFrame([(1, "Ada wrote a@b.co from 10.0.0.1")], "id int, text string")
+    out = names.mask_names(df, "id", "text", people, detectors=[EMAIL, IP]).first()
+    assert out["text"] == "<PERSON> wrote <EMAIL_ADDRESS> from <IP_ADDRESS>"
+
+
+def test_a_callers_own_detector(spark):
+    @F.pandas_udf(spans.SPANS)
+    def shouting(texts):
+        return texts.map(
+            lambda t: [{"start": i, "end": i + 4, "entity": "SHOUT", "score": 0.7} for i in [t.find("HELP")] if i >= 0]
+        )
+
+    df = spark.createDataFrame([("please HELP a@b.co",), ("calm",)], "text string")
+    found = [shouting("text"), redaction.analyze(F.col("text"), [EMAIL])]
+    out = df.select(redaction.redact_spans(F.col("text"), found, {"SHOUT": "<SHOUT>"})).collect()
+    assert [r[0] for r in out] == ["please <SHOUT> <EMAIL_ADDRESS>", "calm"]
+
+
 def test_luhn(spark):
     df = spark.createDataFrame([("4111111111111111",), ("4111111111111112",), ("5500 0000 0000 0004",)], "n string")
     assert [r[0] for r in df.select(spans.passes_luhn(F.col("n"))).collect()] == [True, False, True]

@@ -42,6 +42,11 @@ class Detector:
         return replace(self, score=score)
 
 
+def is_plain(hint: str | None) -> bool:
+    """Is the hint a text to look for, rather than a pattern?"""
+    return hint is not None and not set(hint) & set(r"\[](){}.*+?^$|")
+
+
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 
 EMAIL = Detector(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .detectors import PHONE
@@ -113,23 +113,27 @@ def leading_sentences(text: Column, count: int) -> Column:
     return F.array_join(F.slice(F.split(text, ends, -1), 1, count), " ")
 
 
-def training_pair(sentences: int = 3) -> list[Column]:
-    """Rule-based pair from the six fields: instruction, response, categories."""
-
-    def clean(text: Column) -> Column:
-        return collapse_space(remove_phones(remove_boilerplate(text)))
+def training_pairs(df: DataFrame, keep: Iterable[str] = (), sentences: int = 3) -> DataFrame:
+    """Rule-based pairs from the six fields: instruction, response, categories.
 
+    In stages: each step reads its input several times, and Spark evaluates a
+    costly column of an earlier stage only once.
+    """
     merged = F.concat_ws(
         " ", blank_to_null(F.col("Short_Description")), blank_to_null(F.col("Description"))
     )
-    notes = blank_to_null(F.col("Close_Notes"))
-    return [
-        clean(merged).alias("instruction"),
-        F.coalesce(leading_sentences(clean(notes), sentences), F.lit("")).alias("response"),
+    texts = {"instruction": merged, "response": F.coalesce(blank_to_null(F.col("Close_Notes")), F.lit(""))}
+    out = df.withColumns(texts)
+    for step in (remove_boilerplate, remove_phones, collapse_space):
+        out = out.withColumns({name: step(F.col(name)) for name in texts})
+    return out.select(
+        *keep,
+        "instruction",
+        leading_sentences(F.col("response"), sentences).alias("response"),
         fill_missing(F.col("Category")).alias("category"),
         fill_missing(F.col("Subcategory")).alias("subcategory"),
         fill_missing(F.col("Assignment_Group")).alias("assignment_group"),
-    ]
+    )
 
 
 DEFAULT_PROMPT = (

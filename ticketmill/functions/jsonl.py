@@ -32,6 +32,16 @@ def _reject_constant(name: str) -> float:
     raise ValueError(f"{name} is not JSON")
 
 
+def struct_array(rows: list[dict | None], kind: pa.StructType) -> pa.StructArray:
+    """Column by column: much faster than converting a list of dicts."""
+    columns = [
+        pa.array([None if r is None else r.get(field.name) for r in rows], type=field.type)
+        for field in kind
+    ]
+    missing = pa.array([r is None for r in rows], type=pa.bool_())
+    return pa.StructArray.from_arrays(columns, fields=list(kind), mask=missing)
+
+
 def _judge(line: str, allow_nan: bool, fields: tuple[str, ...]) -> dict:
     try:
         value = json.loads(line, parse_constant=float if allow_nan else _reject_constant)
@@ -78,7 +88,7 @@ def json_verdict(
         rows = [
             None if t is None else _judge(t.strip(), allow_nan, fields) for t in lines.to_pylist()
         ]
-        return pa.array(rows, type=_ARROW_VERDICT)
+        return struct_array(rows, _ARROW_VERDICT)
 
     blank = F.coalesce(is_blank(line), F.lit(True))
     nothing = F.lit(None).cast("string")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .detectors import Detector, operators_for
+from .detectors import Detector, is_plain, operators_for
 from .spans import SPANS, hint_test
 from .text import python_pattern
 
@@ -25,18 +25,26 @@ CONTEXT_WINDOW = 5  # word runs looked at on either side of a span
 CONTEXT_BOOST = 0.35
 
 _WORDS = re.compile(r"\w+")
-_ARROW_SPANS = pa.list_(
-    pa.struct(
-        [
-            ("start", pa.int32()),
-            ("end", pa.int32()),
-            ("entity", pa.string()),
-            ("score", pa.float64()),
-        ]
-    )
+_ARROW_SPAN = pa.struct(
+    [("start", pa.int32()), ("end", pa.int32()), ("entity", pa.string()), ("score", pa.float64())]
 )
 
 
+def span_lists(found: Iterable[list[tuple] | None]) -> pa.ListArray:
+    """Lists of (start, end, entity, score) as an Arrow column; None becomes null."""
+    flat: list[tuple] = []
+    offsets: list[int | None] = []
+    for spans in found:
+        offsets.append(None if spans is None else len(flat))
+        flat.extend(spans or ())
+    offsets.append(len(flat))
+    columns = list(zip(*flat)) if flat else [[], [], [], []]
+    values = pa.StructArray.from_arrays(
+        [pa.array(c, type=f.type) for c, f in zip(columns, _ARROW_SPAN)], fields=list(_ARROW_SPAN)
+    )
+    return pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), values)
+
+
 def _luhn(hit: str) -> bool:
     digits = [int(c) for c in reversed(hit) if c.isdigit()]
     doubled = (2 * d if i % 2 else d for i, d in enumerate(digits))
@@ -51,6 +59,7 @@ def _compiled(detectors: Iterable[Detector]) -> list[tuple]:
             d.score,
             d.check,
             [tuple(_WORDS.findall(term.lower())) for term in d.context],
+            d.hint if is_plain(d.hint) else "",
         )
         for d in detectors
     ]
@@ -71,7 +80,9 @@ def _near_context(words: list, starts: list[int], begin: int, end: int, terms: l
 def _find(text: str, compiled: list[tuple], context: bool) -> list[tuple]:
     words = starts = None
     found = []
-    for entity, pattern, score, check, terms in compiled:
+    for entity, pattern, score, check, terms, hint in compiled:
+        if hint not in text:
+            continue
         for m in pattern.finditer(text):
             if check == "luhn" and not _luhn(m.group()):
                 continue
@@ -123,13 +134,9 @@ def find_spans(text: Column, detectors: Iterable[Detector], context: bool = Fals
     @F.arrow_udf(SPANS)
     def analyse(texts: pa.Array) -> pa.Array:
         compiled = _compiled(detectors)
-        rows = [
-            None if t is None else [
-                dict(zip(("start", "end", "entity", "score"), s)) for s in _find(t, compiled, context)
-            ]
-            for t in texts.to_pylist()
-        ]
-        return pa.array(rows, type=_ARROW_SPANS)
+        return span_lists(
+            None if t is None else _find(t, compiled, context) for t in texts.to_pylist()
+        )
 
     return F.coalesce(analyse(_gated(text, detectors)), F.array().cast(SPANS))
 

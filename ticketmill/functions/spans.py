@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .detectors import Detector, operators_for
+from .detectors import Detector, is_plain, operators_for
 
 SPAN = "struct<start:int,end:int,entity:string,score:double>"
 SPANS = f"array<{SPAN}>"
@@ -30,8 +30,8 @@ def hint_test(text: Column, detectors: Iterable[Detector]) -> Column:
     for d in detectors:
         if d.hint is None:
             return F.lit(True)
-        plain = not any(c in d.hint for c in r"\[](){}.*+?^$|")
-        test = test | (F.contains(text, F.lit(d.hint)) if plain else text.rlike(d.hint))
+        found = F.contains(text, F.lit(d.hint)) if is_plain(d.hint) else text.rlike(d.hint)
+        test = test | found
     return test
 
 

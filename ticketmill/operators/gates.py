@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fields import GOOD_FIELDS, TICKET_FIELDS, payload
-from ..functions.jsonl import json_verdict, strict_json
+from ..functions.jsonl import json_verdict, strict_json, struct_array
 from ..functions.text import word_count
 
 # Texts of the reasons a ticket is bad.
@@ -32,6 +32,7 @@ MIN_WORDS = 5
 TIMEOUT_SECONDS = 180
 
 REASON_ORDER = (
+    "timeout",
     "invalid_json",
     "invalid_unicode",
     "invalid_shape",
@@ -112,7 +113,7 @@ def parse_response(response: Column) -> Column:
     @F.arrow_udf(_ANSWER)
     def read(answers: pa.Array) -> pa.Array:
         rows = [None if t is None else _read_answer(t) for t in answers.to_pylist()]
-        return pa.array(rows, type=_ARROW_ANSWER)
+        return struct_array(rows, _ARROW_ANSWER)
 
     return read(response)
 
@@ -150,58 +151,61 @@ def classify(
     def optional(name: str | None) -> Column:
         return F.col(name) if name else F.lit(None).cast("string")
 
-    answered = df.withColumn("answer", parse_response(F.col(response)))
-    answer = F.col("answer")
+    answer, verdict, ticket = F.col("answer"), F.col("json.verdict"), F.col("answer.ticket")
+    logged, call_text = optional(call_class), F.coalesce(optional(call_error), F.lit(""))
     refused = (F.coalesce(optional(refusal), F.lit("")) != "") | F.col(response).isNull()
-    logged = optional(call_class)
-    ticket = answer["ticket"]
-    said_bad = F.lower(answer["status"]) == "bad"
-
-    verdict = F.col("json.verdict")
-    call_text = F.coalesce(optional(call_error), F.lit(""))
     # Only a returned answer can be refused or judged.
     returned = logged.isNull()
-    reasons = {
-        "invalid_json": F.when(verdict.isin("invalid", "blank"), F.coalesce("json.reason", F.lit("Invalid JSON: blank line"))),
-        "invalid_unicode": F.when(verdict == "invalid_unicode", F.col("json.reason")),
-        "invalid_shape": F.when(~F.col("shape_ok"), F.lit("Ticket is not an object with six text fields")),
-        "rate_limited": F.when(logged == "rate_limited", F.lit(RATE_LIMITED)),
-        "breaker_open": F.when(logged == "breaker_open", F.lit(BREAKER_OPEN)),
-        "refusal": F.when(returned & refused, F.lit(REFUSED)),
-        "api_error": F.when(logged == "api_error", F.concat(F.lit("API Error (final): "), call_text)),
-        "unexpected": F.when(
-            (logged == "unexpected") | (returned & ~F.coalesce(answer["valid"], F.lit(False))),
-            F.concat(
-                F.lit("Worker unexpected final fail: "),
-                F.when(returned, F.lit("answer does not match the response schema")).otherwise(call_text),
-            ),
+    late = F.col(seconds) > timeout if seconds else F.lit(False)
+
+    # In the order that decides; a condition is only evaluated when none before
+    # it held, so the word counts run for the last few candidates only.
+    conditions = {
+        "timeout": late,
+        "invalid_json": verdict.isin("invalid", "blank"),
+        "invalid_unicode": verdict == "invalid_unicode",
+        "invalid_shape": ~F.col("shape_ok"),
+        "rate_limited": logged == "rate_limited",
+        "breaker_open": logged == "breaker_open",
+        "refusal": returned & refused,
+        "api_error": logged == "api_error",
+        "unexpected": (logged == "unexpected") | ~F.coalesce(answer["valid"], F.lit(False)),
+        "model_bad": F.lower(answer["status"]) == "bad",
+        "schema_error": answer["object"] & ticket.isNull(),
+        "no_data": ~answer["object"],
+        "too_short": too_short(ticket["instruction"], ticket["response"], min_words),
+    }
+    texts = {
+        "timeout": timeout_reason(F.col(seconds), timeout) if seconds else F.lit(None),
+        "invalid_json": F.coalesce("json.reason", F.lit("Invalid JSON: blank line")),
+        "invalid_unicode": F.col("json.reason"),
+        "invalid_shape": F.lit("Ticket is not an object with six text fields"),
+        "rate_limited": F.lit(RATE_LIMITED),
+        "breaker_open": F.lit(BREAKER_OPEN),
+        "refusal": F.lit(REFUSED),
+        "api_error": F.concat(F.lit("API Error (final): "), call_text),
+        "unexpected": F.concat(
+            F.lit("Worker unexpected final fail: "),
+            F.when(returned, "answer does not match the response schema").otherwise(call_text),
         ),
-        "model_bad": F.when(said_bad, F.coalesce(F.nullif(answer["reason"], F.lit("")), F.lit(NO_REASON))),
-        "schema_error": F.when(answer["object"] & ticket.isNull(), F.lit(SCHEMA_ERROR)),
-        "no_data": F.when(~answer["object"], F.lit(NO_DATA)),
-        "too_short": F.when(too_short(ticket["instruction"], ticket["response"], min_words), F.lit(TOO_SHORT)),
+        "model_bad": F.coalesce(F.nullif(answer["reason"], F.lit("")), F.lit(NO_REASON)),
+        "schema_error": F.lit(SCHEMA_ERROR),
+        "no_data": F.lit(NO_DATA),
+        "too_short": F.lit(TOO_SHORT),
     }
-    candidates = [
-        F.when(reasons[name].isNotNull(), F.struct(F.lit(name).alias("name"), reasons[name].alias("text")))
-        for name in REASON_ORDER
-    ]
-    if seconds:
-        late = timeout_reason(F.col(seconds), timeout)
-        candidates.insert(0, F.when(late.isNotNull(), F.struct(F.lit("timeout").alias("name"), late.alias("text"))))
-    return (
-        answered.withColumn("why", F.coalesce(*candidates))
-        .withColumns(
-            {
-                "status": F.when(F.col("why").isNull(), F.lit("good")).otherwise(F.lit("bad")),
-                "error_class": F.col("why.name"),
-                "error": F.col("why.text"),
-                "ticket": F.when(F.col("why").isNull(), F.col("answer.ticket")),
-                # A transaction exists for every answer that came back, good or bad.
-                "answered": returned & F.col("shape_ok") & (verdict == "ok"),
-            }
-        )
-        .drop("why", "answer")
-    )
+    name = F.coalesce(*[F.when(conditions[n], F.lit(n)) for n in REASON_ORDER])
+    error_class = F.col("error_class")
+    text = F.coalesce(*[F.when(error_class == n, texts[n]) for n in REASON_ORDER])
+    judged = df.withColumn("answer", parse_response(F.col(response))).withColumn("error_class", name)
+    return judged.withColumns(
+        {
+            "status": F.when(error_class.isNull(), "good").otherwise("bad"),
+            "error": text,
+            "ticket": F.when(error_class.isNull(), ticket),
+            # A transaction exists for every answer that came back, good or bad.
+            "answered": returned & F.col("shape_ok") & (verdict == "ok"),
+        }
+    ).drop("answer")
 
 
 def with_model(

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import spans as span_exprs
+from ..functions.detectors import Detector
+from ..functions.span_udfs import span_lists
 from ..functions.spans import SPANS
 from ..functions.text import strip
+from .redaction import analyze, redact_spans
 
 # A names table up to this size is shipped to every task; beyond, it is joined.
 MAX_NAMES = 500_000
@@ -32,7 +35,7 @@ def _grams(text: str, longest: int):
 
 
 def clean_names(names: DataFrame, column: str) -> DataFrame:
-    return names.select(strip(F.col(column)).alias("name")).filter(F.length("name") > 0).distinct()
+    return names.select(strip(F.col(column)).alias("name")).filter(F.length("name") > 0)
 
 
 def fits_broadcast(names: DataFrame) -> bool:
@@ -49,21 +52,9 @@ def _shipped(df: DataFrame, text: Column, names: DataFrame, words: int, out: str
     @F.arrow_udf(SPANS)
     def match(texts: pa.Array) -> pa.Array:
         listed = known.value
-        rows = [
-            [
-                {"start": b, "end": e, "entity": "PERSON", "score": NAME_SCORE}
-                for b, e, gram in _grams(t or "", words)
-                if gram in listed
-            ]
+        return span_lists(
+            [(b, e, "PERSON", NAME_SCORE) for b, e, gram in _grams(t or "", words) if gram in listed]
             for t in texts.to_pylist()
-        ]
-        return pa.array(
-            rows,
-            type=pa.list_(
-                pa.struct(
-                    [("start", pa.int32()), ("end", pa.int32()), ("entity", pa.string()), ("score", pa.float64())]
-                )
-            ),
         )
 
     return df.withColumn(out, match(text))
@@ -119,11 +110,21 @@ def name_spans(
     small = fits_broadcast(cleaned) if ship is None else ship
     if small:
         return _shipped(df, F.col(text), cleaned, words, out)
-    return _joined(df, key, F.col(text), cleaned, words, out, salts)
+    return _joined(df, key, F.col(text), cleaned.distinct(), words, out, salts)
 
 
-def mask_names(df: DataFrame, key: str, text: str, names: DataFrame, **options) -> DataFrame:
-    """The text with every known name replaced."""
+def mask_names(
+    df: DataFrame,
+    key: str,
+    text: str,
+    names: DataFrame,
+    detectors: Iterable[Detector] = (),
+    operators: dict[str, str] | None = None,
+    **options,
+) -> DataFrame:
+    """The text with every known name replaced, together with other detectors' finds."""
     found = name_spans(df, key, text, names, out="__names", **options)
-    resolved = span_exprs.resolve_spans(F.col("__names"))
-    return found.withColumn(text, span_exprs.replace_spans(F.col(text), resolved)).drop("__names")
+    sources = [F.col("__names")]
+    if detectors := tuple(detectors):
+        sources.append(analyze(F.col(text), detectors))
+    return found.withColumn(text, redact_spans(F.col(text), sources, operators)).drop("__names")

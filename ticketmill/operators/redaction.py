@@ -60,6 +60,12 @@ def redact(
     return span_udfs.redact_text(text, detectors, operators, context, memo)
 
 
+def redact_spans(text: Column, found: Iterable[Column], operators: dict[str, str] | None = None) -> Column:
+    """Redact spans from several sources at once: detectors, names, or a caller's
+    own UDF that returns `functions.spans.SPANS`. Overlaps are resolved across them."""
+    return spans.replace_spans(text, spans.resolve_spans(F.flatten(F.array(*found))), operators)
+
+
 def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 

@@ -83,7 +83,7 @@ def ticket_shape(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def training_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return tickets(spark, folder).select("ticket_id", *fields.training_pair())
+    return fields.training_pairs(tickets(spark, folder), ["ticket_id"])
 
 
 def model_requests(spark: SparkSession, folder: str) -> DataFrame:
