@@ -63,6 +63,17 @@ def _judge(line: str, allow_nan: bool, fields: tuple[str, ...]) -> dict:
     return row
 
 
+def once(udf):
+    """Evaluate a decoding UDF once per row.
+
+    Its result is nearly always filtered on, and Catalyst would push such a
+    filter below the projection and call the function a second time. A function
+    it takes for nondeterministic stays where it is. Filter on other columns
+    before decoding: they are not pushed past it either.
+    """
+    return udf.asNondeterministic()
+
+
 def strict_json(text: str):
     """The decoded value; None when a strict reader rejects the text."""
     try:
@@ -93,7 +104,7 @@ def json_verdict(
     blank = F.coalesce(is_blank(line), F.lit(True))
     nothing = F.lit(None).cast("string")
     return F.coalesce(
-        judge(F.when(~blank, line)),
+        once(judge)(F.when(~blank, line)),
         F.struct(
             F.lit("blank").alias("verdict"),
             nothing.alias("kind"),

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fields import GOOD_FIELDS, TICKET_FIELDS, payload
-from ..functions.jsonl import json_verdict, strict_json, struct_array
+from ..functions.jsonl import json_verdict, once, strict_json, struct_array
 from ..functions.text import word_count
 
 # Texts of the reasons a ticket is bad.
@@ -115,7 +115,7 @@ def parse_response(response: Column) -> Column:
         rows = [None if t is None else _read_answer(t) for t in answers.to_pylist()]
         return struct_array(rows, _ARROW_ANSWER)
 
-    return read(response)
+    return once(read)(response)
 
 
 def too_short(instruction: Column, response: Column, min_words: int = MIN_WORDS) -> Column:
