@@ -18,6 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .detectors import Detector, is_plain, operators_for
+from .jsonl import once
 from .spans import SPANS, hint_test
 from .text import python_pattern
 
@@ -128,17 +129,20 @@ def _gated(text: Column, detectors: tuple[Detector, ...]) -> Column:
     return F.when(hint_test(text, detectors), text)
 
 
-def find_spans(text: Column, detectors: Iterable[Detector], context: bool = False) -> Column:
+def find_spans(
+    text: Column, detectors: Iterable[Detector], context: bool = False, resolved: bool = False
+) -> Column:
     detectors = tuple(detectors)
 
     @F.arrow_udf(SPANS)
     def analyse(texts: pa.Array) -> pa.Array:
         compiled = _compiled(detectors)
+        pick = _resolve if resolved else list
         return span_lists(
-            None if t is None else _find(t, compiled, context) for t in texts.to_pylist()
+            None if t is None else pick(_find(t, compiled, context)) for t in texts.to_pylist()
         )
 
-    return F.coalesce(analyse(_gated(text, detectors)), F.array().cast(SPANS))
+    return F.coalesce(once(analyse)(_gated(text, detectors)), F.array().cast(SPANS))
 
 
 def make_redactor(detectors: tuple[Detector, ...], operators: dict[str, str], context: bool, memo: int):

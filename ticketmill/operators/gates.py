@@ -118,11 +118,14 @@ def parse_response(response: Column) -> Column:
     return once(read)(response)
 
 
-def too_short(instruction: Column, response: Column, min_words: int = MIN_WORDS) -> Column:
+def too_few_words(counts: Iterable[Column], min_words: int = MIN_WORDS) -> Column:
     if min_words < 0:
         raise ValueError("min_words must not be negative")
-    short = lambda c: F.coalesce(word_count(c), F.lit(0)) < min_words
-    return short(instruction) | short(response)
+    return F.least(*[F.coalesce(c, F.lit(0)) for c in counts]) < min_words
+
+
+def too_short(instruction: Column, response: Column, min_words: int = MIN_WORDS) -> Column:
+    return too_few_words([word_count(instruction), word_count(response)], min_words)
 
 
 def timeout_reason(seconds: Column, limit: float = TIMEOUT_SECONDS) -> Column:

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.detectors import Detector
+from ..functions.jsonl import once
 from ..functions.span_udfs import span_lists
 from ..functions.spans import SPANS
 from ..functions.text import strip
@@ -19,6 +22,7 @@ from .redaction import analyze, redact_spans
 MAX_NAMES = 500_000
 MAX_NAME_BYTES = 32 * 1024 * 1024
 NAME_SCORE = 0.85
+NAME_BUCKETS = 1 << 26
 _RUNS = re.compile(r"\w+")
 _GRAMS = "array<struct<start:int,end:int,gram:string>>"
 _ARROW_GRAMS = pa.list_(
@@ -60,21 +64,47 @@ def _shipped(df: DataFrame, text: Column, names: DataFrame, words: int, out: str
     return df.withColumn(out, match(text))
 
 
+def _name_bits(names: DataFrame) -> bytes:
+    """A bit per hash bucket that holds a name: 8 MiB, however many names there are.
+
+    Built as a grouped aggregate; the driver gets at most one row per 32 buckets.
+    """
+    bucket = F.pmod(F.crc32(F.encode("name", "UTF-8")), F.lit(NAME_BUCKETS))
+    cells = (
+        names.select(bucket.alias("b"))
+        .groupBy((F.col("b") / 32).cast("int").alias("cell"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(b % 32 AS int)))").alias("bits"))
+    )
+    table = np.zeros(NAME_BUCKETS // 32, dtype="<u4")
+    found = cells.toArrow()
+    table[found["cell"].to_numpy()] = found["bits"].to_numpy()
+    return table.tobytes()
+
+
 def _joined(
     df: DataFrame, key: str, text: Column, names: DataFrame, words: int, out: str, salts: int
 ) -> DataFrame:
+    known = df.sparkSession.sparkContext.broadcast(_name_bits(names))
+
     @F.arrow_udf(_GRAMS)
     def grams(texts: pa.Array) -> pa.Array:
+        bits = known.value
+
+        def possible(gram: str) -> bool:
+            bucket = crc32(gram.encode()) % NAME_BUCKETS
+            return bool(bits[bucket >> 3] & (1 << (bucket & 7)))
+
         rows = [
-            [{"start": b, "end": e, "gram": g} for b, e, g in _grams(t or "", words)]
+            [{"start": b, "end": e, "gram": g} for b, e, g in _grams(t or "", words) if possible(g)]
             for t in texts.to_pylist()
         ]
         return pa.array(rows, type=_ARROW_GRAMS)
 
-    # Frequent words would all meet in one task, so each gram is spread over
-    # salted copies of the names, the small side.
+    # Most word runs are dropped by the bits before the shuffle. A frequent name
+    # would still meet in one task, so each gram is spread over salted copies of
+    # the names, the small side.
     mentions = (
-        df.select(key, F.explode(grams(text)).alias("g"))
+        df.select(key, F.explode(once(grams)(text)).alias("g"))
         .select(key, "g.start", "g.end", F.col("g.gram").alias("name"))
         .withColumn("salt", F.pmod(F.hash(key, "start"), F.lit(salts)))
     )

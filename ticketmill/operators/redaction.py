@@ -38,12 +38,14 @@ def analyze(
     detectors: Iterable[Detector] = DEFAULT_DETECTORS,
     context: bool = False,
     backend: str = "auto",
+    resolved: bool = False,
 ) -> Column:
-    """All spans over the original text, overlaps included."""
+    """All spans over the original text, or with ``resolved`` those that get replaced."""
     detectors = tuple(detectors)
     if _backend(backend, detectors, context) == "native":
-        return spans.find_spans(text, detectors)
-    return span_udfs.find_spans(text, detectors, context)
+        found = spans.find_spans(text, detectors)
+        return spans.resolve_spans(found) if resolved else found
+    return span_udfs.find_spans(text, detectors, context, resolved)
 
 
 def redact(

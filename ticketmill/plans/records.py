@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fields
+from ..functions.text import word_count
 from ..operators import records
-from ..operators.gates import raw_tickets, too_short
+from ..operators.gates import raw_tickets, too_few_words
 from .tables import (
     ANSWERS_SQL,
     PAIRS_SQL,
@@ -92,9 +93,10 @@ def model_requests(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def word_gate(spark: SparkSession, folder: str) -> DataFrame:
-    turns = pairs(spark, folder)
+    """Words are counted before the turns are paired: the join moves counts, not texts."""
+    turns = pairs(spark, folder, word_count(F.col("text")))
     return turns.select(
-        "conv_id", "turn", too_short(F.col("instruction"), F.col("response"), 25).alias("too_short")
+        "conv_id", "turn", too_few_words([F.col("instruction"), F.col("response")], 25).alias("too_short")
     )
 
 

@@ -13,7 +13,6 @@ from ..functions.detectors import (
     MACHINE,
     WITH_CUSTOM,
 )
-from ..functions.spans import resolve_spans
 from ..operators import monitor, names, redaction
 from .tables import REDUMPED, TICKETS_SQL, answered_lines, documents, table, tickets
 
@@ -146,10 +145,8 @@ def mask_known_names_joined(spark: SparkSession, folder: str) -> DataFrame:
 
 def entity_usage(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("text")
-    found = docs.select(
-        resolve_spans(redaction.analyze(F.col("text"), DEFAULT_DETECTORS)).alias("spans")
-    )
-    return redaction.entity_usage(found)
+    kept = redaction.analyze(F.col("text"), DEFAULT_DETECTORS, resolved=True)
+    return redaction.entity_usage(docs.select(kept.alias("spans")))
 
 
 def redaction_metrics(spark: SparkSession, folder: str) -> DataFrame:

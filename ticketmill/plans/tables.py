@@ -7,7 +7,7 @@ and the comparison engine read alike.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fields import TICKET_FIELDS
@@ -123,11 +123,14 @@ def spoilt_lines(spark: SparkSession, folder: str) -> DataFrame:
     return events.selectExpr("event_id", "user_id", f"{SPOILT} AS value")
 
 
-def pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """A user turn and the assistant turn right after it, joined on the turn."""
-    turns = table(spark, folder, "conversations")
-    asked = turns.filter("role = 'user'").selectExpr("conv_id", "turn", "text AS instruction")
-    said = turns.filter("role = 'assistant'").selectExpr("conv_id", "turn - 1 AS turn", "text AS response")
+def pairs(spark: SparkSession, folder: str, measure: Column) -> DataFrame:
+    """``measure`` of a user turn and of the assistant turn right after it.
+
+    Joined on the turn as well, so a long conversation is no single key.
+    """
+    turns = table(spark, folder, "conversations").withColumn("measure", measure)
+    asked = turns.filter("role = 'user'").selectExpr("conv_id", "turn", "measure AS instruction")
+    said = turns.filter("role = 'assistant'").selectExpr("conv_id", "turn - 1 AS turn", "measure AS response")
     return asked.join(said, ["conv_id", "turn"])
 
 
