@@ -212,6 +212,29 @@ def test_bucket_links_a_hot_key_in_few_rounds(spark, gap):
     assert len(starts) > 30 and rounds <= 6
 
 
+@pytest.mark.parametrize("gap", [2_000, 20_000, 200_000, 2_000_000, 20_000_000])
+@pytest.mark.parametrize("pairs", [1000, 2])
+def test_breaker_links_a_hot_key(spark, gap, pairs, monkeypatch):
+    """Exact from the digests, and also where blocks have to be walked again."""
+    monkeypatch.setattr(folds, "MAX_PAIRS", pairs)
+    rows = _random_rows(8, 6000, gap, hot=0.95)
+    df = _events(spark, rows).withColumns(
+        {"__in_at": F.col("us"), "__in_failed": F.col("bad"), "__in_reset": F.lit(False)}
+    )
+    frozen = blocks.ordered_blocks(df, "key", ORDER, 40)
+    starts, rounds = blocks.link_blocks(frozen, "key", folds.breaker(3, 5))
+    print("BREAKER ROUNDS", gap, pairs, len(starts), rounds)
+    assert len(starts) > 30 and (pairs == 2 or rounds == 1)
+    firsts = {r["__block"]: (r["key"], r["n"]) for r in frozen.groupBy("__block").agg(
+        F.min_by("key", F.struct("key", "ts", "event_id")).alias("key"),
+        F.min_by("event_id", F.struct("key", "ts", "event_id")).alias("n")).collect()}
+    at = {}
+    for key, events in _by_key(rows).items():
+        for i, (before, _, _) in _plain_breaker(events, 3, 5_000_000, False):
+            at[key, i] = before
+    assert all(starts[b][0] == at[firsts[b]] for b in starts)
+
+
 def test_null_keys_are_a_key(spark):
     rows = [(None, i, i, True) for i in range(40)] + [("a", i, 100 + i, True) for i in range(40)]
     got = _collect(sequence.ema(_events(spark, rows), "key", ORDER, F.col("bad"), blocks=6), "ema")

@@ -9,26 +9,33 @@ start than the one it was run with: exactly where the mathematics allows it.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
 
 State = tuple
+# Pairs kept of a block's transition; beyond, the block is walked again.
+MAX_PAIRS = 1000
 CLOSED, OPEN, HALF_OPEN = "CLOSED", "OPEN", "HALF_OPEN"
 
 
 class Fold:
     inputs: tuple[str, ...]
     outputs: tuple[tuple[str, str], ...]
-    exact_prediction = False
 
     def resume(self, end: State) -> State:
         """The state the next rows start from."""
         return end
 
-    def predict(self, start: State, used: State, end: State, rows: int) -> State:
-        """End of a segment of ``rows`` for ``start``, when it ended in ``end`` from ``used``."""
-        return end
+    def digest(self, columns: list[np.ndarray]) -> dict | None:
+        """What `predict` needs to know of a block that holds a single key."""
+        return None
+
+    def predict(self, start: State, used: State, end: State, rows: int, digest: dict | None) -> tuple[State, bool]:
+        """End of a block for ``start``, when it ended in ``end`` from ``used``,
+        and whether that is exact."""
+        return end, False
 
 
 @dataclass(frozen=True)
@@ -38,7 +45,6 @@ class Ema(Fold):
     alpha: float
     inputs = ("x",)
     outputs = (("ema", "double"),)
-    exact_prediction = True
 
     def __post_init__(self) -> None:
         if not 0.0 < self.alpha <= 1.0:
@@ -63,8 +69,8 @@ class Ema(Fold):
             e = float(values[-1])
         return [np.concatenate(out).tolist()], (e,)
 
-    def predict(self, start: State, used: State, end: State, rows: int) -> State:
-        return (end[0] + (1.0 - self.alpha) ** rows * (start[0] - used[0]),)
+    def predict(self, start: State, used: State, end: State, rows: int, digest: dict | None) -> tuple[State, bool]:
+        return (end[0] + (1.0 - self.alpha) ** rows * (start[0] - used[0]),), True
 
 
 @dataclass(frozen=True)
@@ -93,8 +99,8 @@ class ResettingEma(Fold):
                 alerts.append("warn" if e >= self.warn else None)
         return [averages, alerts], (e,)
 
-    def predict(self, start: State, used: State, end: State, rows: int) -> State:
-        return (end[0] + (1.0 - self.alpha) ** rows * (start[0] - used[0]),)
+    def predict(self, start: State, used: State, end: State, rows: int, digest: dict | None) -> tuple[State, bool]:
+        return (end[0] + (1.0 - self.alpha) ** rows * (start[0] - used[0]),), False
 
 
 @dataclass(frozen=True)
@@ -141,6 +147,62 @@ class Breaker(Fold):
             after.append(name)
         return [before, admitted, after], (name, failures, last)
 
+    def digest(self, columns: list[np.ndarray]) -> dict | None:
+        """How the block maps the failure that opened the breaker to the one that did so last.
+
+        Once tripped, a breaker without resets hops from failure to failure: to
+        the first one at or after the first request later than ``recovery``.
+        That map is monotone, and hops from different starts soon meet, so a few
+        pairs (entry bound, exit time) describe the whole block.
+        """
+        at, failed, reset = columns
+        if self.reset_on_success or reset.any():
+            return None
+        times = at[failed.astype(bool)]
+        known = {"last_at": int(at[-1]), "failures": len(times), "first": times[: self.threshold].tolist()}
+        if len(times) == 0:
+            return {**known, "bounds": [], "exits": []}
+        rows = np.flatnonzero(failed)
+        # First row after the recovery of each failure, then the first failure from there.
+        hop = np.searchsorted(rows, np.searchsorted(at, times + self.recovery, side="right"))
+        ends = hop == len(times)
+        last = np.where(ends, np.arange(len(times)), hop)
+        while True:  # follow the hops, doubling their length
+            further = last[last]
+            if (further == last).all():
+                break
+            last = further
+        groups = np.flatnonzero(np.append(last[1:] != last[:-1], True))
+        if len(groups) > MAX_PAIRS:
+            return {**known, "bounds": None, "exits": None}
+        return {**known, "bounds": times[groups].tolist(), "exits": times[last[groups]].tolist()}
+
+    def predict(self, start: State, used: State, end: State, rows: int, digest: dict | None) -> tuple[State, bool]:
+        if digest is None:
+            return end, False
+        name, failures, last = start
+        if name == OPEN and digest["last_at"] - last <= self.recovery:
+            return start, True  # every request of the block is denied
+        if digest["bounds"] is None:
+            return end, False
+        # The failure at which the breaker opens first in this block.
+        if name == CLOSED:
+            wanted = self.threshold - failures
+            if digest["failures"] < wanted:
+                seen = digest["failures"]
+                return (CLOSED, failures + seen, digest["first"][seen - 1] if seen else last), True
+            trip = digest["first"][wanted - 1]
+        elif name == HALF_OPEN:
+            trip = digest["first"][0] if digest["first"] else None
+        else:
+            trip = last + self.recovery + 1
+        at = None if trip is None else bisect_left(digest["bounds"], trip)
+        if at is None or at == len(digest["bounds"]):
+            return (HALF_OPEN, self.threshold, last), True
+        opened = digest["exits"][at]
+        over = digest["last_at"] - opened > self.recovery
+        return (HALF_OPEN if over else OPEN, self.threshold, opened), True
+
 
 @dataclass(frozen=True)
 class Bucket(Fold):
@@ -182,14 +244,14 @@ class Bucket(Fold):
     def resume(self, end: State) -> State:
         return (*end[:2], False)
 
-    def predict(self, start: State, used: State, end: State, rows: int) -> State:
+    def predict(self, start: State, used: State, end: State, rows: int, digest: dict | None) -> tuple[State, bool]:
         """A bucket that ran full has forgotten its start. Between two fillings,
         the part below one token only moves with the clock."""
         if end[2]:
-            return end
+            return end, False
         shift = start[0] - used[0]
         whole, part = divmod(end[0], self.token)
-        return (whole * self.token + (part + shift) % self.token, end[1], False)
+        return (whole * self.token + (part + shift) % self.token, end[1], False), False
 
 
 def bucket(capacity: int, refill: int, per_seconds: int = 1) -> Bucket:

@@ -22,6 +22,7 @@ import math
 from collections.abc import Iterable, Iterator
 from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,9 +61,10 @@ def _runs(keys: list) -> Iterator[tuple[int, int]]:
         at += n
 
 
-def _walk(batches: Iterator[pa.RecordBatch], key: str, fold, starts: dict):
+def _walk(batches: Iterator[pa.RecordBatch], key: str, fold, starts: dict, summing: bool = False):
     """Yield (batch, outputs) in order; the generator's return value sums up the block."""
     seen = False
+    held: list[list[np.ndarray]] = []  # inputs of a block with a single key
     block = first_key = current = state = None
     rows = keys_seen = 0
     for batch in batches:
@@ -79,6 +81,9 @@ def _walk(batches: Iterator[pa.RecordBatch], key: str, fold, starts: dict):
             elif keys[begin] != current:
                 current, state, rows = keys[begin], fold.first(), 0
                 keys_seen += 1
+                held.clear()
+            if summing and keys_seen == 1:
+                held.append([np.asarray(c[begin:end]) for c in columns])
             part, state = fold.segment([c[begin:end] for c in columns], state)
             rows += end - begin
             for out, values in zip(outputs, part):
@@ -92,6 +97,7 @@ def _walk(batches: Iterator[pa.RecordBatch], key: str, fold, starts: dict):
             "single": keys_seen == 1,
             "rows": rows,
             "state": json.dumps(state),
+            "digest": json.dumps(fold.digest([np.concatenate(c) for c in zip(*held)])) if held else None,
         }
     return None
 
@@ -106,6 +112,7 @@ def _summaries(frozen: DataFrame, key: str, fold, starts: dict) -> DataFrame:
             T.StructField("single", T.BooleanType()),
             T.StructField("rows", T.LongType()),
             T.StructField("state", T.StringType()),
+            T.StructField("digest", T.StringType()),
         ]
     )
 
@@ -117,7 +124,7 @@ def _summaries(frozen: DataFrame, key: str, fold, starts: dict) -> DataFrame:
                 keys[:] = [b.schema.field(key).type]
                 yield b
 
-        walk = _walk(noted(batches), key, fold, starts)
+        walk = _walk(noted(batches), key, fold, starts, summing=True)
         while True:
             try:
                 next(walk)
@@ -133,6 +140,7 @@ def _summaries(frozen: DataFrame, key: str, fold, starts: dict) -> DataFrame:
                     ("single", pa.bool_()),
                     ("rows", pa.int64()),
                     ("state", pa.string()),
+                    ("digest", pa.string()),
                 ]
             )
             yield pa.RecordBatch.from_pylist([summary], schema=arrow)
@@ -160,7 +168,11 @@ def link_blocks(frozen: DataFrame, key: str, fold) -> tuple[dict[int, tuple], in
         rounds += 1
         part = frozen if todo is None else frozen.filter(F.col(BLOCK).isin(todo))
         for row in _summaries(part, key, fold, used).collect():
-            known[row["block"]] = {**row.asDict(), "state": tuple(json.loads(row["state"]))}
+            known[row["block"]] = {
+                **row.asDict(),
+                "state": tuple(json.loads(row["state"])),
+                "digest": json.loads(row["digest"] or "null"),
+            }
         starts: dict[int, tuple] = {}
         todo = []
         before = None  # last key and end state of the block before
@@ -171,8 +183,8 @@ def link_blocks(frozen: DataFrame, key: str, fold) -> tuple[dict[int, tuple], in
                 starts[block] = before[1]
                 walked_from = used.get(block, fold.first())
                 if s["single"] and not _same(before[1], walked_from):
-                    end = fold.predict(before[1], walked_from, end, s["rows"])
-                    if not fold.exact_prediction:
+                    end, exact = fold.predict(before[1], walked_from, end, s["rows"], s["digest"])
+                    if not exact:
                         todo.append(block)
             before = (s["last_key"], fold.resume(end))
         if todo:
