@@ -172,6 +172,10 @@ class Breaker(Fold):
             if (further == last).all():
                 break
             last = further
+        # An open breaker comes in at most ``recovery`` after the first row, so it
+        # trips at one of the first failures; by now their hops have mostly met.
+        entries = int(np.searchsorted(times, at[0] + self.recovery, side="right")) + 1
+        last = last[:entries]
         groups = np.flatnonzero(np.append(last[1:] != last[:-1], True))
         if len(groups) > MAX_PAIRS:
             return {**known, "bounds": None, "exits": None}
@@ -192,6 +196,8 @@ class Breaker(Fold):
                 seen = digest["failures"]
                 return (CLOSED, failures + seen, digest["first"][seen - 1] if seen else last), True
             trip = digest["first"][wanted - 1]
+            if trip > digest["bounds"][-1]:
+                return end, False
         elif name == HALF_OPEN:
             trip = digest["first"][0] if digest["first"] else None
         else:

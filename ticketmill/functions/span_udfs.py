@@ -155,6 +155,14 @@ def make_redactor(detectors: tuple[Detector, ...], operators: dict[str, str], co
     return lru_cache(maxsize=memo)(redact) if memo else redact
 
 
+def _any_hint(detectors: tuple[Detector, ...]):
+    """The JVM's hint test for texts that are only known inside the function."""
+    if any(d.hint is None for d in detectors):
+        return lambda text: True
+    hints = (re.escape(d.hint) if is_plain(d.hint) else python_pattern(d.hint) for d in detectors)
+    return re.compile("|".join(f"(?:{h})" for h in hints)).search
+
+
 def _marker(error: Exception) -> str:
     # Only the kind of failure: the message could repeat the text.
     return f"<REDACTION_ERROR: {type(error).__name__}>"
@@ -205,9 +213,12 @@ def redact_json(
     @F.arrow_udf("string")
     def redact(lines: pa.Array) -> pa.Array:
         run = make_redactor(detectors, table, False, 0)
+        candidate = _any_hint(detectors)
 
         def visit(value, depth):
             if isinstance(value, str):
+                if not candidate(value):
+                    return value
                 try:
                     return run(value)
                 except Exception as error:

@@ -43,13 +43,14 @@ def ordered_blocks(df: DataFrame, key: str, order: Iterable[str], blocks: int |
     """``df`` in (key, order) with a block number, kept at the checkpoint.
 
     The checkpoint fixes the block borders, so every later pass sees the same
-    blocks even when executors are lost.
+    blocks even when executors are lost. Without ``blocks`` their number is the
+    session's shuffle partitions, which adaptive execution merges for small data.
     """
     columns = [key, *order]
     spark = df.sparkSession
     shared_folder(spark)
-    count = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(count, *columns).sortWithinPartitions(*columns)
+    ranged = df.repartitionByRange(*([blocks] if blocks else []), *columns)
+    ranged = ranged.sortWithinPartitions(*columns)
     return ranged.withColumn(BLOCK, F.spark_partition_id()).checkpoint()
 
 

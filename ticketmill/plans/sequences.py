@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import monitor, sequence
-from .monitoring import CLASS, IS_BAD, is_bad
+from .monitoring import IS_BAD, is_bad
 from .tables import table
 
 ORDER = ["ts", "event_id"]
