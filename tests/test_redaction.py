@@ -142,8 +142,9 @@ def test_failure_marker_keeps_the_record_and_hides_the_text(spark, monkeypatch):
 
     monkeypatch.setattr(span_udfs, "make_redactor", broken)
     df = spark.createDataFrame([(1, "a@b.co")], "id int, text string")
-    row = df.select("id", span_udfs.redact_text(F.col("text"), [EMAIL])).first()
-    assert row[0] == 1 and row[1] == "<REDACTION_ERROR: RuntimeError>"
+    redacted = df.withColumn("text", span_udfs.redact_text(F.col("text"), [EMAIL]))
+    row = redacted.select("*", redaction.failed_columns(["text"]).alias("failed")).first()
+    assert row["id"] == 1 and row["text"] == "<REDACTION_ERROR: RuntimeError>" and row["failed"] == ["text"]
 
 
 def test_redact_distinct_equals_redact_with_a_hot_text(spark):

@@ -52,6 +52,14 @@ def _luhn(hit: str) -> bool:
     return sum(d - 9 if d > 9 else d for d in doubled) % 10 == 0
 
 
+def _any_hint(detectors: tuple[Detector, ...]):
+    """The hint test of `spans.hint_test` for a text inside a task."""
+    if any(d.hint is None for d in detectors):
+        return lambda text: True
+    hints = (re.escape(d.hint) if is_plain(d.hint) else python_pattern(d.hint) for d in detectors)
+    return re.compile("|".join(f"(?:{h})" for h in hints)).search
+
+
 def _compiled(detectors: Iterable[Detector]) -> list[tuple]:
     return [
         (
@@ -60,7 +68,7 @@ def _compiled(detectors: Iterable[Detector]) -> list[tuple]:
             d.score,
             d.check,
             [tuple(_WORDS.findall(term.lower())) for term in d.context],
-            d.hint if is_plain(d.hint) else "",
+            _any_hint((d,)),
         )
         for d in detectors
     ]
@@ -81,8 +89,8 @@ def _near_context(words: list, starts: list[int], begin: int, end: int, terms: l
 def _find(text: str, compiled: list[tuple], context: bool) -> list[tuple]:
     words = starts = None
     found = []
-    for entity, pattern, score, check, terms, hint in compiled:
-        if hint not in text:
+    for entity, pattern, score, check, terms, possible in compiled:
+        if not possible(text):
             continue
         for m in pattern.finditer(text):
             if check == "luhn" and not _luhn(m.group()):
@@ -155,17 +163,13 @@ def make_redactor(detectors: tuple[Detector, ...], operators: dict[str, str], co
     return lru_cache(maxsize=memo)(redact) if memo else redact
 
 
-def _any_hint(detectors: tuple[Detector, ...]):
-    """The JVM's hint test for texts that are only known inside the function."""
-    if any(d.hint is None for d in detectors):
-        return lambda text: True
-    hints = (re.escape(d.hint) if is_plain(d.hint) else python_pattern(d.hint) for d in detectors)
-    return re.compile("|".join(f"(?:{h})" for h in hints)).search
+# Fixed value: how a text that could not be redacted begins.
+MARKER = "<REDACTION_ERROR: "
 
 
 def _marker(error: Exception) -> str:
     # Only the kind of failure: the message could repeat the text.
-    return f"<REDACTION_ERROR: {type(error).__name__}>"
+    return f"{MARKER}{type(error).__name__}>"
 
 
 def redact_text(
@@ -240,4 +244,4 @@ def redact_json(
             out.append(json.dumps(visit(record, 0), ensure_ascii=False) if is_record else None)
         return pa.array(out, type=pa.string())
 
-    return redact(line)
+    return once(redact)(line)

@@ -100,6 +100,12 @@ def redact_columns(
     return df.withColumns({name: one(name) for name in names})
 
 
+def failed_columns(columns: Iterable[str]) -> Column:
+    """Names of the redacted columns that hold a failure marker instead of a text."""
+    marked = [F.when(F.startswith(c, F.lit(span_udfs.MARKER)), F.lit(c)) for c in columns]
+    return F.array_compact(F.array(*marked))
+
+
 def redact_json_lines(
     df: DataFrame,
     column: str = "value",

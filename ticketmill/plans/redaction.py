@@ -216,7 +216,8 @@ ORACLES = {
             ' ' || lower(array_to_string(list_slice(words, pos + 1, pos + 5), ' ')) || ' ' AS after FROM placed)
         SELECT ticket_id, strpos(Description, ' ' || badge || ' ') AS start,
             CASE WHEN regexp_matches(before, ' (badge number|employee id|id number) ')
-                OR regexp_matches(after, ' (badge number|employee id|id number) ') THEN 1.0::DOUBLE ELSE 0.8::DOUBLE END AS score
+                OR regexp_matches(after, ' (badge number|employee id|id number) ')
+                THEN 1.0::DOUBLE ELSE 0.8::DOUBLE END AS score
         FROM near""",
     "mask_known_names": _NAMES_SQL,
     "mask_known_names_joined": _NAMES_SQL,
