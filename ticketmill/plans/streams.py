@@ -67,7 +67,9 @@ def stream_tokens(spark: SparkSession, folder: str) -> DataFrame:
 def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
     windows = jobs.progress_stream(_events(spark, folder), "ts", is_bad(), "1 hour")
     out = jobs.drain(jobs.upsert_to, windows, run_folder(spark, "stream"))
-    return jobs.latest(spark, out, ["window_start"])
+    # The log has no zone, so neither have its windows.
+    rows = jobs.latest(spark, out, ["window_start"])
+    return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 def stream_recent_bad(spark: SparkSession, folder: str) -> DataFrame:
