@@ -62,54 +62,84 @@ def _runs(keys: list) -> Iterator[tuple[int, int]]:
         at += n
 
 
-def _walk(batches: Iterator[pa.RecordBatch], key: str, fold, starts: dict, summing: bool = False):
-    """Yield (batch, outputs) in order; the generator's return value sums up the block."""
+def _values(column: pa.Array) -> list:
+    """Plain Python values; by way of numpy where that is the same and faster."""
+    kind = column.type
+    if column.null_count == 0 and (pa.types.is_integer(kind) or pa.types.is_boolean(kind) or pa.types.is_float64(kind)):
+        return column.to_numpy(zero_copy_only=False).tolist()
+    return column.to_pylist()
+
+
+def _inputs(batch: pa.RecordBatch, fold) -> list[list]:
+    return [_values(batch.column(_INPUT + name)) for name in fold.inputs]
+
+
+def _walk(
+    batches: Iterator[pa.RecordBatch], key: str, fold, starts: dict
+) -> Iterator[tuple[pa.RecordBatch, list[list]]]:
+    """Each batch of a block with its fold outputs."""
     seen = False
-    held: list[list[np.ndarray]] = []  # inputs of a block with a single key
-    block = first_key = current = state = None
-    rows = keys_seen = 0
+    current = state = None
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        keys = batch.column(key).to_pylist()
-        columns = [batch.column(_INPUT + name).to_pylist() for name in fold.inputs]
+        keys, columns = _values(batch.column(key)), _inputs(batch, fold)
         outputs: list[list] = [[] for _ in fold.outputs]
         for begin, end in _runs(keys):
             if not seen:
                 block = batch.column(BLOCK)[0].as_py()
-                seen, first_key, current, keys_seen = True, keys[begin], keys[begin], 1
-                state = starts.get(block, fold.first())
+                seen, current, state = True, keys[begin], starts.get(block, fold.first())
             elif keys[begin] != current:
-                current, state, rows = keys[begin], fold.first(), 0
-                keys_seen += 1
-                held.clear()
-            if summing and keys_seen == 1:
-                held.append([np.asarray(c[begin:end]) for c in columns])
+                current, state = keys[begin], fold.first()
             part, state = fold.segment([c[begin:end] for c in columns], state)
-            rows += end - begin
             for out, values in zip(outputs, part):
                 out.extend(values)
         yield batch, outputs
-    if seen:
-        return {
-            "block": block,
-            "first_key": first_key,
-            "last_key": current,
-            "single": keys_seen == 1,
-            "rows": rows,
-            "state": json.dumps(state),
-            "digest": json.dumps(fold.digest([np.concatenate(c) for c in zip(*held)])) if held else None,
-        }
-    return None
+
+
+def _summary(batches: Iterator[pa.RecordBatch], key: str, fold, starts: dict) -> dict | None:
+    """First and last key of a block and the state it ends with.
+
+    Only the last key matters for the next block, so earlier ones are skipped:
+    rows are sorted, and a batch that ends with the current key holds no other.
+    """
+    out: dict | None = None
+    held: list[list[np.ndarray]] = []  # inputs of a block with a single key
+    state = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        keys = _values(batch.column(key))
+        last, begin = keys[-1], 0
+        if out is None:
+            block = batch.column(BLOCK)[0].as_py()
+            out = {"block": block, "first_key": keys[0], "last_key": keys[0], "single": True, "rows": 0}
+            state = starts.get(block, fold.first())
+        if last != out["last_key"]:
+            begin = len(keys) - 1
+            while begin > 0 and keys[begin - 1] == last:
+                begin -= 1
+            out.update(last_key=last, single=False, rows=0)
+            state = fold.first()
+            held.clear()
+        columns = _inputs(batch.slice(begin), fold)
+        _, state = fold.segment(columns, state)
+        out["rows"] += len(keys) - begin
+        if out["single"]:
+            held.append([np.asarray(c) for c in columns])
+    if out is not None:
+        out["state"] = json.dumps(state)
+        digest = fold.digest([np.concatenate(c) for c in zip(*held)]) if held else None
+        out["digest"] = json.dumps(digest)
+    return out
 
 
 def _summaries(frozen: DataFrame, key: str, fold, starts: dict) -> DataFrame:
-    key_type = frozen.schema[key].dataType
     schema = T.StructType(
         [
             T.StructField("block", T.IntegerType()),
-            T.StructField("first_key", key_type),
-            T.StructField("last_key", key_type),
+            T.StructField("first_key", frozen.schema[key].dataType),
+            T.StructField("last_key", frozen.schema[key].dataType),
             T.StructField("single", T.BooleanType()),
             T.StructField("rows", T.LongType()),
             T.StructField("state", T.StringType()),
@@ -118,32 +148,17 @@ def _summaries(frozen: DataFrame, key: str, fold, starts: dict) -> DataFrame:
     )
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys: list = []
-
-        def noted(source):
-            for b in source:
-                keys[:] = [b.schema.field(key).type]
-                yield b
-
-        walk = _walk(noted(batches), key, fold, starts, summing=True)
-        while True:
-            try:
-                next(walk)
-            except StopIteration as stop:
-                summary = stop.value
-                break
+        kinds: list[pa.DataType] = []
+
+        def noted() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                kinds[:] = [batch.schema.field(key).type]
+                yield batch
+
+        summary = _summary(noted(), key, fold, starts)
         if summary is not None:
-            arrow = pa.schema(
-                [
-                    ("block", pa.int32()),
-                    ("first_key", keys[0]),
-                    ("last_key", keys[0]),
-                    ("single", pa.bool_()),
-                    ("rows", pa.int64()),
-                    ("state", pa.string()),
-                    ("digest", pa.string()),
-                ]
-            )
+            types = [pa.int32(), *kinds, *kinds, pa.bool_(), pa.int64(), pa.string(), pa.string()]
+            arrow = pa.schema(list(zip(schema.names, types)))
             yield pa.RecordBatch.from_pylist([summary], schema=arrow)
 
     needed = frozen.select(key, BLOCK, *[_INPUT + name for name in fold.inputs])
@@ -172,7 +187,7 @@ def link_blocks(frozen: DataFrame, key: str, fold) -> tuple[dict[int, tuple], in
             known[row["block"]] = {
                 **row.asDict(),
                 "state": tuple(json.loads(row["state"])),
-                "digest": json.loads(row["digest"] or "null"),
+                "digest": json.loads(row["digest"]),
             }
         starts: dict[int, tuple] = {}
         todo = []
