@@ -20,7 +20,9 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from itertools import groupby
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -97,72 +99,83 @@ def _walk(
         yield batch, outputs
 
 
-def _summary(batches: Iterator[pa.RecordBatch], key: str, fold, starts: dict) -> dict | None:
-    """First and last key of a block and the state it ends with.
+@dataclass
+class Block:
+    first_key: Any
+    last_key: Any
+    end: tuple | None = None  # state after the last key, when some block continues it
+    rows: int = 0
+    digest: dict | None = None
 
-    Only the last key matters for the next block, so earlier ones are skipped:
-    rows are sorted, and a batch that ends with the current key holds no other.
-    """
-    out: dict | None = None
-    held: list[list[np.ndarray]] = []  # inputs of a block with a single key
-    state = None
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        keys = _values(batch.column(key))
-        last, begin = keys[-1], 0
-        if out is None:
-            block = batch.column(BLOCK)[0].as_py()
-            out = {"block": block, "first_key": keys[0], "last_key": keys[0], "single": True, "rows": 0}
-            state = starts.get(block, fold.first())
-        if last != out["last_key"]:
-            begin = len(keys) - 1
-            while begin > 0 and keys[begin - 1] == last:
-                begin -= 1
-            out.update(last_key=last, single=False, rows=0)
-            state = fold.first()
-            held.clear()
-        columns = _inputs(batch.slice(begin), fold)
-        _, state = fold.segment(columns, state)
-        out["rows"] += len(keys) - begin
-        if out["single"]:
-            held.append([np.asarray(c) for c in columns])
-    if out is not None:
-        out["state"] = json.dumps(state)
-        digest = fold.digest([np.concatenate(c) for c in zip(*held)]) if held else None
-        out["digest"] = json.dumps(digest)
-    return out
-
-
-def _summaries(frozen: DataFrame, key: str, fold, starts: dict) -> DataFrame:
-    schema = T.StructType(
-        [
-            T.StructField("block", T.IntegerType()),
-            T.StructField("first_key", frozen.schema[key].dataType),
-            T.StructField("last_key", frozen.schema[key].dataType),
-            T.StructField("single", T.BooleanType()),
-            T.StructField("rows", T.LongType()),
-            T.StructField("state", T.StringType()),
-            T.StructField("digest", T.StringType()),
-        ]
+    @property
+    def single(self) -> bool:
+        return self.first_key == self.last_key
+
+
+def _borders(frozen: DataFrame, key: str) -> dict[int, Block]:
+    """First and last key of each block: an aggregate of one row per block."""
+    has_null = F.count_if(F.col(key).isNull()) > 0
+    rows = frozen.groupBy(BLOCK).agg(
+        F.min(key).alias("low"), F.max(key).alias("high"), has_null.alias("has_null")
     )
+    # Nulls sort first.
+    return {
+        r[BLOCK]: Block(None if r["has_null"] else r["low"], r["high"])
+        for r in sorted(rows.collect(), key=lambda r: r[BLOCK])
+    }
+
+
+_ENDS = T.StructType(
+    [
+        T.StructField("block", T.IntegerType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("state", T.StringType()),
+        T.StructField("digest", T.StringType()),
+    ]
+)
 
-    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds: list[pa.DataType] = []
 
-        def noted() -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                kinds[:] = [batch.schema.field(key).type]
-                yield batch
+def _walk_ends(frozen: DataFrame, key: str, fold, blocks: dict[int, Block], starts: dict) -> None:
+    """Walk the last key of ``blocks`` and note how each ends.
 
-        summary = _summary(noted(), key, fold, starts)
-        if summary is not None:
-            types = [pa.int32(), *kinds, *kinds, pa.bool_(), pa.int64(), pa.string(), pa.string()]
-            arrow = pa.schema(list(zip(schema.names, types)))
-            yield pa.RecordBatch.from_pylist([summary], schema=arrow)
+    Only rows of that key leave the JVM: blocks full of small keys cost nothing.
+    """
+    kind = T.StructType([T.StructField("b", T.IntegerType()), T.StructField("k", frozen.schema[key].dataType)])
+    spark = frozen.sparkSession
+    wanted = F.broadcast(spark.createDataFrame([(b, x.last_key) for b, x in blocks.items()], kind))
+    chosen = frozen.join(wanted, (F.col(BLOCK) == F.col("b")) & F.col(key).eqNullSafe(F.col("k")), "left_semi")
+    whole = {b for b, x in blocks.items() if x.single}
 
-    needed = frozen.select(key, BLOCK, *[_INPUT + name for name in fold.inputs])
-    return needed.mapInArrow(summarise, schema)
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = state = None
+        rows = 0
+        held: list[list[np.ndarray]] = []
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            if block is None:
+                block = batch.column(BLOCK)[0].as_py()
+                state = starts.get(block, fold.first())
+            columns = _inputs(batch, fold)
+            _, state = fold.segment(columns, state)
+            rows += batch.num_rows
+            if block in whole:
+                held.append([np.asarray(c) for c in columns])
+        if block is not None:
+            digest = fold.digest([np.concatenate(c) for c in zip(*held)]) if held else None
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "block": pa.array([block], pa.int32()),
+                    "rows": pa.array([rows], pa.int64()),
+                    "state": pa.array([json.dumps(state)], pa.string()),
+                    "digest": pa.array([json.dumps(digest)], pa.string()),
+                }
+            )
+
+    needed = chosen.select(BLOCK, *[_INPUT + name for name in fold.inputs])
+    for row in needed.mapInArrow(summarise, _ENDS).collect():
+        x = blocks[row["block"]]
+        x.end, x.rows, x.digest = tuple(json.loads(row["state"])), row["rows"], json.loads(row["digest"])
 
 
 def _same(a: tuple, b: tuple) -> bool:
@@ -176,35 +189,29 @@ def _same(a: tuple, b: tuple) -> bool:
 
 def link_blocks(frozen: DataFrame, key: str, fold) -> tuple[dict[int, tuple], int]:
     """State before each block that continues a key, and the rounds it took."""
-    known: dict[int, dict] = {}
-    used: dict[int, tuple] = {}
-    todo: list[int] | None = None
+    known = _borders(frozen, key)
+    order = list(known)
+    pairs = [(a, b) for a, b in zip(order, order[1:]) if known[a].last_key == known[b].first_key]
+    used: dict[int, tuple] = {}  # starts other than the initial state that blocks were walked from
+    starts: dict[int, tuple] = {}
+    todo = [a for a, _ in pairs]
     rounds = 0
-    while todo is None or todo:
+    while todo:
         rounds += 1
-        part = frozen if todo is None else frozen.filter(F.col(BLOCK).isin(todo))
-        for row in _summaries(part, key, fold, used).collect():
-            known[row["block"]] = {
-                **row.asDict(),
-                "state": tuple(json.loads(row["state"])),
-                "digest": json.loads(row["digest"]),
-            }
-        starts: dict[int, tuple] = {}
-        todo = []
-        before = None  # last key and end state of the block before
-        for block in sorted(known):
-            s = known[block]
-            end = s["state"]
-            if before is not None and before[0] == s["first_key"]:
-                starts[block] = before[1]
-                walked_from = used.get(block, fold.first())
-                if s["single"] and not _same(before[1], walked_from):
-                    end, exact = fold.predict(before[1], walked_from, end, s["rows"], s["digest"])
-                    if not exact:
-                        todo.append(block)
-            before = (s["last_key"], fold.resume(end))
-        if todo:
-            used.update({b: starts[b] for b in todo})
+        _walk_ends(frozen, key, fold, {b: known[b] for b in todo}, used)
+        starts, wrong = {}, []
+        for before, block in pairs:
+            x = known[before]
+            end = x.end
+            walked_from = used.get(before, fold.first())
+            # A block with several keys begins its last one itself.
+            if x.single and before in starts and not _same(starts[before], walked_from):
+                end, exact = fold.predict(starts[before], walked_from, end, x.rows, x.digest)
+                if not exact:
+                    wrong.append(before)
+            starts[block] = fold.resume(end)
+        used.update({b: starts[b] for b in wrong})
+        todo = wrong
     return starts, rounds
 
 
