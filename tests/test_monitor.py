@@ -77,3 +77,10 @@ def test_rankings_limit_rows_before_the_shuffle(spark, folder):
     plan = monitor.recent_bad(events, F.expr("event_type = 'error'"), "user_id", ["ts", "event_id"])
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in text and "Partial" in text
+
+
+def test_unreadable_answers_mean_stop(spark):
+    answers = ['{"decision":"CONTINUE"}', '{"decision":"continue"} x', '{"decision":["continue"]}', "", None, '{"decision":null}']
+    df = spark.createDataFrame([(i, a) for i, a in enumerate(answers)], "id int, a string")
+    got = {r["id"]: r["d"] for r in df.select("id", monitor.decision_of(F.col("a")).alias("d")).collect()}
+    assert [got[i] for i in range(6)] == ["continue"] + ["stop"] * 5

@@ -1,8 +1,7 @@
 """Gates between a raw ticket and a training pair, and the routing verdict.
 
-Every gate is a nullable reason; the first reason in `REASON_ORDER` wins and a
-row without one is good. The reasons are plain columns, so Catalyst sees the
-whole decision as one expression.
+Every gate is a condition with a text; the first one in `REASON_ORDER` that
+holds decides, and a row that passes all of them is good.
 """
 
 from __future__ import annotations
@@ -46,7 +45,7 @@ REASON_ORDER = (
     "no_data",
     "too_short",
 )
-# Failures that count for the circuit breaker.
+# Error classes that count as failures for the circuit breaker (a refusal does not).
 BREAKER_FAILURES = ("api_error", "unexpected")
 TECHNICAL = ("api_error", "breaker_open", "unexpected", "timeout")
 

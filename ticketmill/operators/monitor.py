@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.detectors import Detector
+from ..functions.jsonl import json_verdict
 from ..functions.time import epoch_micros
 from .gates import TECHNICAL
 
@@ -244,3 +245,9 @@ def health(
         F.coalesce("technical", F.lit(0)).alias("technical"),
         F.when(share < stop_share, "continue").otherwise("stop").alias("decision"),
     )
+
+
+def decision_of(answer: Column) -> Column:
+    """A reviewer's JSON answer as continue or stop; whatever cannot be read means stop."""
+    said = F.get_json_object(json_verdict(answer)["line"], "$.decision")
+    return F.when(F.lower(said) == "continue", "continue").otherwise("stop")

@@ -105,16 +105,17 @@ def _joined(
     # the names, the small side.
     mentions = (
         df.select(key, F.explode(once(grams)(text)).alias("g"))
-        .select(key, "g.start", "g.end", F.col("g.gram").alias("name"))
-        .withColumn("salt", F.pmod(F.hash(key, "start"), F.lit(salts)))
+        .withColumn("__salt", F.pmod(F.hash(key, "g.start"), F.lit(salts)))
+        .withColumn("__name", F.col("g.gram"))
     )
-    copies = names.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    copies = names.select(F.col("name").alias("__name"), every_salt.alias("__salt"))
     span = F.struct(
-        "start", "end", F.lit("PERSON").alias("entity"), F.lit(NAME_SCORE).alias("score")
+        "g.start", "g.end", F.lit("PERSON").alias("entity"), F.lit(NAME_SCORE).alias("score")
     )
     # A text's own spans: bounded by its length.
     found = (
-        mentions.join(copies, ["name", "salt"]).groupBy(key).agg(F.collect_list(span).alias(out))
+        mentions.join(copies, ["__name", "__salt"]).groupBy(key).agg(F.collect_list(span).alias(out))
     )
     matched = df.join(found, key, "left")
     return matched.withColumn(out, F.coalesce(out, F.array().cast(SPANS)))
@@ -133,7 +134,8 @@ def name_spans(
 ) -> DataFrame:
     """Adds the PERSON spans of names of up to ``words`` word runs.
 
-    ``key`` identifies a row. A small names table goes to the tasks and costs
+    ``key`` identifies a row. A name matches as written, from the start of a word
+    run to the end of one. A small names table goes to the tasks and costs
     no shuffle; a large one is joined on the mention. Both give the same spans.
     """
     cleaned = clean_names(names, name_column)

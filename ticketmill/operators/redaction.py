@@ -12,14 +12,14 @@ from ..functions import span_udfs, spans
 from ..functions.detectors import DEFAULT_DETECTORS, Detector, operators_for
 
 # Above this many detectors the interpreted higher-order functions lose to one
-# Arrow batch function; a detector without a selective hint loses earlier.
+# Arrow batch function; a detector that matches in nearly every text loses earlier.
 NATIVE_LIMIT = 3
-_SELECTIVE = frozenset({"MACHINE_NAME"})
+_FREQUENT = frozenset({"MACHINE_NAME"})
 
 
 def pick_backend(detectors: Iterable[Detector], context: bool = False, memo: int = 0) -> str:
     detectors = tuple(detectors)
-    wide = len(detectors) > NATIVE_LIMIT or any(d.entity in _SELECTIVE for d in detectors)
+    wide = len(detectors) > NATIVE_LIMIT or any(d.entity in _FREQUENT for d in detectors)
     return "arrow" if context or memo or wide else "native"
 
 
@@ -122,8 +122,8 @@ def hot_values(df: DataFrame, value: Column, total: int, share: int) -> DataFram
 
     Only used to choose salts, so a hash collision costs balance, not results.
     """
-    counted = df.groupBy(F.xxhash64(value).alias("hot_hash")).agg(F.count(F.lit(1)).alias("copies"))
-    return counted.filter(F.col("copies") > total / share).select("hot_hash")
+    counted = df.groupBy(F.xxhash64(value).alias("__hash")).agg(F.count(F.lit(1)).alias("copies"))
+    return counted.filter(F.col("copies") > total / share).select("__hash")
 
 
 def redact_distinct(
@@ -157,20 +157,20 @@ def redact_distinct(
     own_salt = F.pmod(mixed, F.lit(salts)).cast("int")
 
     def marked(frame: DataFrame) -> DataFrame:
-        keyed = frame.withColumn("hot_hash", F.xxhash64(text))
-        return keyed.join(hot.withColumn("is_hot", F.lit(True)), "hot_hash", "left")
+        keyed = frame.withColumn("__hash", F.xxhash64(text))
+        return keyed.join(hot.withColumn("__hot", F.lit(True)), "__hash", "left")
 
     unique = (
         marked(rows.select(column).distinct())
-        .withColumn("memo_text", redact(text, detectors, operators, **options))
+        .withColumn("__memo", redact(text, detectors, operators, **options))
         .withColumn(
-            "salt", F.explode(F.when(F.col("is_hot"), every_salt).otherwise(F.array(F.lit(0))))
+            "__salt", F.explode(F.when(F.col("__hot"), every_salt).otherwise(F.array(F.lit(0))))
         )
-        .select(column, "salt", "memo_text")
+        .select(column, "__salt", "__memo")
     )
-    salted = marked(rows).withColumn("salt", F.when(F.col("is_hot"), own_salt).otherwise(F.lit(0)))
-    joined = salted.join(unique, [column, "salt"])
-    redacted = joined.withColumn(column, F.col("memo_text")).select(*df.columns)
+    salted = marked(rows).withColumn("__salt", F.when(F.col("__hot"), own_salt).otherwise(F.lit(0)))
+    joined = salted.join(unique, [column, "__salt"])
+    redacted = joined.withColumn(column, F.col("__memo")).select(*df.columns)
     return redacted.unionByName(rest)
 
 

@@ -11,6 +11,10 @@ from .tables import table
 IS_BAD = "event_type = 'error'"
 # The log has no error classes: value ranges stand in for them.
 CLASS = "CASE WHEN value < 10 THEN 'api_error' WHEN value < 20 THEN 'timeout' ELSE 'too_short' END"
+# Answers of a reviewer, good and bad ones.
+ANSWER = """CASE event_type WHEN 'error' THEN '{"decision":"STOP","explanation":"fault"}'
+    WHEN 'click' THEN '{"decision":"Continue"}' WHEN 'view' THEN 'continue' WHEN 'signup' THEN '{"explanation":"?"}'
+    ELSE concat('{"decision":', event_id, '}') END"""
 
 
 def is_bad() -> Column:
@@ -51,9 +55,14 @@ def health_decision(spark: SparkSession, folder: str) -> DataFrame:
     return monitor.health(keys, _recent(spark, folder), "user_id", F.expr(CLASS))
 
 
+def review_decisions(spark: SparkSession, folder: str) -> DataFrame:
+    answers = table(spark, folder, "events").selectExpr("event_id", f"{ANSWER} AS answer")
+    return answers.select("event_id", monitor.decision_of(F.col("answer")).alias("decision"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (run_summary, progress_30s, throughput, recent_bad, bad_digest, health_decision)
+    for f in (run_summary, progress_30s, throughput, recent_bad, bad_digest, health_decision, review_decisions)
 }
 
 PROGRESS_SQL = f"""SELECT time_bucket(INTERVAL 30 SECOND, ts) AS window_start, count(*) AS processed,
@@ -72,6 +81,8 @@ def _so_far(column: str) -> str:
 
 
 ORACLES = {
+    "review_decisions": """SELECT event_id, CASE WHEN event_type = 'click' THEN 'continue' ELSE 'stop' END AS decision
+        FROM events""",
     "run_summary": f"""SELECT user_id, count(*) AS total, count(*) FILTER (WHERE NOT {IS_BAD}) AS good,
         count(*) FILTER (WHERE {IS_BAD}) AS bad,
         count(*) FILTER (WHERE {IS_BAD}) / CAST(count(*) AS DOUBLE) AS error_rate FROM events GROUP BY user_id""",
