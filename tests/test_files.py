@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ticketmill.functions.fields import TICKET_FIELDS
-from ticketmill.operators import gates, records, routing
+from ticketmill.functions.detectors import EMAIL
+from ticketmill.operators import gates, records, redaction, routing
 from ticketmill.sources import files
 
 TEXT = '{"a":1}\r\n\n{"a":"é"}\n{bad\n{"a":2}'
@@ -171,3 +172,24 @@ def test_quarantine_sink(spark, tmp_path):
     judged = records.with_verdict(files.read_lines(spark, str(tmp_path / "in.jsonl")))
     out = records.rejects(judged, ["file", "value"], objects_only=True).collect()
     assert [(r["value"], r["reason"].split(":")[0]) for r in out] == [("{bad", "Invalid JSON"), ("[1]", "not an object")]
+
+
+def test_broken_utf8_is_rejected_not_fatal(spark, tmp_path):
+    _write(tmp_path / "in.jsonl", b'{"a":"\xff a@b.co"}\n{"a":1}\n\xff\xfe\n\n')
+    lines = files.read_lines(spark, str(tmp_path / "in.jsonl"))
+    judged = records.with_verdict(lines)
+    verdicts = sorted(r[0] for r in judged.select("json.verdict").collect())
+    assert verdicts == ["blank", "invalid_unicode", "invalid_unicode", "ok"]
+    for backend in ("native", "arrow"):
+        out = redaction.redact_columns(lines, ["value"], [EMAIL], backend=backend).select(F.make_valid_utf8("value"))
+        assert [r[0] for r in out.collect()][0] == '{"a":"\ufffd <EMAIL_ADDRESS>"}'
+    assert redaction.redact_json_lines(lines).filter("value IS NOT NULL").count() == 1
+    row = files.file_integrity(spark, str(tmp_path / "in.jsonl")).first()
+    assert (row["is_valid"], row["first_bad_line"]) == (False, 1)
+
+
+def test_unknown_white_space_around_a_value(spark):
+    df = spark.createDataFrame([("\u00a0{}",)], "value string")
+    for strip_line, verdict in ((True, "ok"), (False, "invalid")):
+        judged = records.with_verdict(df, strip_line=strip_line)
+        assert judged.select("json.verdict").first()[0] == verdict

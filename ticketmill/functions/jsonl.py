@@ -85,32 +85,43 @@ def strict_json(text: str):
 
 
 def json_verdict(
-    line: Column, allow_nan: bool = True, fields: tuple[str, ...] = ()
+    line: Column,
+    allow_nan: bool = True,
+    fields: tuple[str, ...] = (),
+    strip_line: bool = True,
 ) -> Column:
     """``verdict`` ok / blank / invalid / invalid_unicode, the ``kind`` of value,
     the compact one-line ``line`` and, for rejects, the ``reason``.
 
+    Without ``strip_line``, white space that JSON does not know (a no-break
+    space, say) around the value makes the line invalid.
+
     With ``fields``, ``shape_ok`` tells whether the line is an object in which
     each named field is a string, null or missing, and ``fields`` has them.
     """
 
     @F.arrow_udf(VERDICT)
     def judge(lines: pa.Array) -> pa.Array:
-        rows = [
-            None if t is None else _judge(t.strip(), allow_nan, fields) for t in lines.to_pylist()
-        ]
+        texts = (t.strip() if t is not None and strip_line else t for t in lines.to_pylist())
+        rows = [None if t is None else _judge(t, allow_nan, fields) for t in texts]
         return struct_array(rows, _ARROW_VERDICT)
 
     blank = F.coalesce(is_blank(line), F.lit(True))
-    nothing = F.lit(None).cast("string")
-    return F.coalesce(
-        once(judge)(F.when(~blank, line)),
-        F.struct(
-            F.lit("blank").alias("verdict"),
-            nothing.alias("kind"),
-            nothing.alias("line"),
-            nothing.alias("reason"),
+    readable = F.is_valid_utf8(line)
+
+    def without_value(verdict: str, reason: Column) -> Column:
+        nothing = F.lit(None)
+        return F.struct(
+            F.lit(verdict).alias("verdict"),
+            nothing.cast("string").alias("kind"),
+            nothing.cast("string").alias("line"),
+            reason.cast("string").alias("reason"),
             nothing.cast("boolean").alias("shape_ok"),
-            F.lit(None).cast("map<string,string>").alias("fields"),
-        ),
+            nothing.cast("map<string,string>").alias("fields"),
+        )
+
+    return F.coalesce(
+        once(judge)(F.when(readable & ~blank, line)),
+        F.when(~readable, without_value("invalid_unicode", F.lit("Invalid JSON: not UTF-8"))),
+        without_value("blank", F.lit(None)),
     )

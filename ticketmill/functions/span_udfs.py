@@ -133,8 +133,11 @@ def _replace(text: str, kept: list[tuple], operators: dict[str, str]) -> str:
 
 
 def _gated(text: Column, detectors: tuple[Detector, ...]) -> Column:
-    """Null for texts no detector can match: they never cross to Python."""
-    return F.when(hint_test(text, detectors), text)
+    """Null for texts no detector can match: they never cross to Python.
+
+    Broken UTF-8 cannot cross either; its bad bytes are replaced first.
+    """
+    return F.when(hint_test(text, detectors), F.make_valid_utf8(text))
 
 
 def find_spans(
@@ -244,4 +247,4 @@ def redact_json(
             out.append(json.dumps(visit(record, 0), ensure_ascii=False) if is_record else None)
         return pa.array(out, type=pa.string())
 
-    return once(redact)(line)
+    return once(redact)(F.when(F.is_valid_utf8(line), line))

@@ -114,7 +114,7 @@ def parse_response(response: Column) -> Column:
         rows = [None if t is None else _read_answer(t) for t in answers.to_pylist()]
         return struct_array(rows, _ARROW_ANSWER)
 
-    return once(read)(response)
+    return once(read)(F.when(F.is_valid_utf8(response), response))
 
 
 def too_few_words(counts: Iterable[Column], min_words: int = MIN_WORDS) -> Column:

@@ -61,7 +61,7 @@ def _shipped(df: DataFrame, text: Column, names: DataFrame, words: int, out: str
             for t in texts.to_pylist()
         )
 
-    return df.withColumn(out, match(text))
+    return df.withColumn(out, match(F.make_valid_utf8(text)))
 
 
 def _name_bits(names: DataFrame) -> bytes:
@@ -104,7 +104,7 @@ def _joined(
     # would still meet in one task, so each gram is spread over salted copies of
     # the names, the small side.
     mentions = (
-        df.select(key, F.explode(once(grams)(text)).alias("g"))
+        df.select(key, F.explode(once(grams)(F.make_valid_utf8(text))).alias("g"))
         .withColumn("__salt", F.pmod(F.hash(key, "g.start"), F.lit(salts)))
         .withColumn("__name", F.col("g.gram"))
     )

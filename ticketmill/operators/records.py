@@ -11,8 +11,12 @@ from pyspark.sql.observation import Observation
 from ..functions.jsonl import json_verdict
 
 
-def with_verdict(lines: DataFrame, column: str = "value", allow_nan: bool = True) -> DataFrame:
-    return lines.withColumn("json", json_verdict(F.col(column), allow_nan))
+def with_verdict(
+    lines: DataFrame, column: str = "value", allow_nan: bool = True, strip_line: bool = True
+) -> DataFrame:
+    """Lines with their ``json`` verdict. Counting and integrity checks of whole
+    files do not strip lines; reading and reformatting do."""
+    return lines.withColumn("json", json_verdict(F.col(column), allow_nan, strip_line=strip_line))
 
 
 def accepted(judged: DataFrame) -> DataFrame:

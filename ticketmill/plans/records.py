@@ -38,11 +38,12 @@ def reformat_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def valid_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return records.count_records(records.with_verdict(spoilt_lines(spark, folder)))
+    judged = records.with_verdict(spoilt_lines(spark, folder), strip_line=False)
+    return records.count_records(judged)
 
 
 def line_integrity(spark: SparkSession, folder: str) -> DataFrame:
-    judged = records.with_verdict(spoilt_lines(spark, folder))
+    judged = records.with_verdict(spoilt_lines(spark, folder), strip_line=False)
     return records.integrity(judged, ["user_id"], F.col("event_id"))
 
 

@@ -164,7 +164,7 @@ def discover_files(
     contents = (
         spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
         .format("binaryFile").load(root)
-        .select(_one_slash(F.col("_metadata.file_path")).alias("file"), F.decode("content", "UTF-8").alias("content"))
+        .select(_one_slash(F.col("_metadata.file_path")).alias("file"), F.make_valid_utf8(F.col("content").cast("string")).alias("content"))
     )
     found = names.join(contents, "file", "left").select(
         F.col("file").alias("full"), F.coalesce("content", F.lit("")).alias("content")
@@ -251,7 +251,7 @@ def file_integrity(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path).select(
         _one_slash(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"),
-        json_verdict(F.col("value"))["verdict"].alias("verdict"),
+        json_verdict(F.col("value"), strip_line=False)["verdict"].alias("verdict"),
     )
     flagged = lines.select("file", "block_start", (~F.col("verdict").isin("ok", "blank")).alias("bad"))
     blocks = flagged.mapInPandas(_split_summaries, _SPLIT_SCHEMA)
