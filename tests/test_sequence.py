@@ -2,6 +2,7 @@
 
 import random
 
+import numpy
 import pytest
 from pyspark.sql import functions as F
 
@@ -213,8 +214,9 @@ def test_bucket_links_a_hot_key_in_few_rounds(spark, gap):
 
 
 @pytest.mark.parametrize("gap", [2_000, 20_000, 200_000, 2_000_000, 20_000_000])
-@pytest.mark.parametrize("pairs", [1000, 2])
-def test_breaker_links_a_hot_key(spark, gap, pairs, monkeypatch):
+@pytest.mark.parametrize("pairs", [1000, 3])
+@pytest.mark.parametrize("reset_on_success", [False, True])
+def test_breaker_links_a_hot_key(spark, gap, pairs, reset_on_success, monkeypatch):
     """Exact from the digests, and also where blocks have to be walked again."""
     monkeypatch.setattr(folds, "MAX_PAIRS", pairs)
     rows = _random_rows(8, 6000, gap, hot=0.95)
@@ -222,17 +224,33 @@ def test_breaker_links_a_hot_key(spark, gap, pairs, monkeypatch):
         {"__in_at": F.col("us"), "__in_failed": F.col("bad"), "__in_reset": F.lit(False)}
     )
     frozen = blocks.ordered_blocks(df, "key", ORDER, 40)
-    starts, rounds = blocks.link_blocks(frozen, "key", folds.breaker(3, 5))
-    print("BREAKER ROUNDS", gap, pairs, len(starts), rounds)
-    assert len(starts) > 30 and (pairs == 2 or rounds == 1)
+    starts, rounds = blocks.link_blocks(frozen, "key", folds.breaker(3, 5, reset_on_success))
+    print("BREAKER ROUNDS", gap, pairs, reset_on_success, len(starts), rounds)
+    assert len(starts) > 30 and (pairs == 3 or rounds == 1)
     firsts = {r["__block"]: (r["key"], r["n"]) for r in frozen.groupBy("__block").agg(
         F.min_by("key", F.struct("key", "ts", "event_id")).alias("key"),
         F.min_by("event_id", F.struct("key", "ts", "event_id")).alias("n")).collect()}
     at = {}
     for key, events in _by_key(rows).items():
-        for i, (before, _, _) in _plain_breaker(events, 3, 5_000_000, False):
+        for i, (before, _, _) in _plain_breaker(events, 3, 5_000_000, reset_on_success):
             at[key, i] = before
     assert all(starts[b][0] == at[firsts[b]] for b in starts)
+    # Each prediction is the state a walk from the same start ends in.
+    fold, rng = folds.breaker(3, 5, reset_on_success), random.Random(gap)
+    for _ in range(60):
+        part = [rng.randrange(gap) for _ in range(rng.randrange(1, 60))]
+        times = [sum(part[: i + 1]) for i in range(len(part))]
+        columns = [times, [rng.random() < 0.5 for _ in part], [False] * len(part)]
+        opened = times[0] - rng.randrange(8_000_000)
+        states = [("CLOSED", 0, None), ("CLOSED", 2, opened), ("OPEN", 3, opened)]
+        for start in states if reset_on_success else [*states, ("HALF_OPEN", 3, opened)]:
+            _, want = fold.segment(columns, start)
+            digest = fold.digest([numpy.asarray(c) for c in columns])
+            got, exact = fold.predict(start, fold.first(), fold.first(), len(part), digest)
+            if exact:
+                assert got[:2] == want[:2] and (got[0] != "OPEN" or got[2] == want[2])
+            else:
+                assert pairs == 3
 
 
 def test_null_keys_are_a_key(spark):

@@ -9,7 +9,7 @@ start than the one it was run with: exactly where the mathematics allows it.
 from __future__ import annotations
 
 import math
-from bisect import bisect_left
+from bisect import bisect_right
 from dataclasses import dataclass
 
 import numpy as np
@@ -148,66 +148,87 @@ class Breaker(Fold):
         return [before, admitted, after], (name, failures, last)
 
     def digest(self, columns: list[np.ndarray]) -> dict | None:
-        """How the block maps the failure that opened the breaker to the one that did so last.
+        """How a block without reset rows maps each state before it to the state after it.
 
-        Once tripped, a breaker without resets hops from failure to failure: to
-        the first one at or after the first request later than ``recovery``.
-        That map is monotone, and hops from different starts soon meet, so a few
-        pairs (entry bound, exit time) describe the whole block.
+        Once open, a breaker hops from opening to opening: the first request
+        later than ``recovery`` is let through, and from there the next opening
+        is a matter of the rows alone. The openings that follow each row are
+        chained by doubling, and hops from different rows soon meet, so the first
+        rows an open breaker can let through need few different answers.
         """
         at, failed, reset = columns
-        if self.reset_on_success or reset.any():
+        if reset.any() or self.threshold > MAX_PAIRS:
             return None
-        times = at[failed.astype(bool)]
-        known = {"last_at": int(at[-1]), "failures": len(times), "first": times[: self.threshold].tolist()}
-        if len(times) == 0:
-            return {**known, "bounds": [], "exits": []}
-        rows = np.flatnonzero(failed)
-        # First row after the recovery of each failure, then the first failure from there.
-        hop = np.searchsorted(rows, np.searchsorted(at, times + self.recovery, side="right"))
-        ends = hop == len(times)
-        last = np.where(ends, np.arange(len(times)), hop)
+        n, rows = len(at), np.arange(len(at) + 1)
+        failed = failed.astype(bool)
+        failures = np.flatnonzero(failed)
+        streak = np.arange(n) - np.maximum.accumulate(np.where(failed, -1, np.arange(n)))
+        tail = int(streak[-1])  # failures in a row at the end
+
+        # opens[r]: the row that opens a breaker which lets row r through first.
+        if self.reset_on_success:
+            full = np.flatnonzero(streak >= self.threshold)
+            closed_from = np.append(full, n)[np.searchsorted(full, rows + self.threshold - 1)]
+            opens = np.append(np.where(failed, rows[:-1], closed_from[1:]), n)
+        else:
+            opens = np.append(failures, n)[np.searchsorted(failures, rows)]
+        after = np.searchsorted(at, at + self.recovery, side="right")
+        last = np.where(opens[after] == n, rows[:-1], opens[after])
         while True:  # follow the hops, doubling their length
             further = last[last]
             if (further == last).all():
                 break
             last = further
-        # An open breaker comes in at most ``recovery`` after the first row, so it
-        # trips at one of the first failures; by now their hops have mostly met.
-        entries = int(np.searchsorted(times, at[0] + self.recovery, side="right")) + 1
-        last = last[:entries]
-        groups = np.flatnonzero(np.append(last[1:] != last[:-1], True))
-        if len(groups) > MAX_PAIRS:
-            return {**known, "bounds": None, "exits": None}
-        return {**known, "bounds": times[groups].tolist(), "exits": times[last[groups]].tolist()}
+
+        def end(opening: int) -> list | None:
+            if opening == n:
+                return None
+            row = last[opening]
+            return [*((OPEN, self.threshold) if after[row] == n else self._quiet(tail)), int(at[row])]
+
+        def closed(count: int) -> list:
+            wanted = self.threshold - count
+            if not self.reset_on_success:
+                seen, opening = len(failures), n
+                if seen >= wanted:
+                    opening = int(failures[wanted - 1])
+                return end(opening) or [CLOSED, count + seen, None]
+            lead = int(np.argmin(failed)) if not failed.all() else n
+            opening = wanted - 1 if lead >= wanted else int(closed_from[lead + 1]) if lead < n else n
+            return end(opening) or [CLOSED, count + n if lead == n else tail, None]
+
+        entries = np.append(last, n)[opens[: int(after[0]) + 1]]
+        groups = np.flatnonzero(np.append(entries[1:] != entries[:-1], True))
+        few = len(groups) <= MAX_PAIRS
+        return {
+            "last_at": int(at[-1]),
+            "tail": tail,
+            "closed": [closed(c) for c in range(self.threshold)],
+            "bounds": [int(at[g]) if g < n else None for g in groups] if few else None,
+            "ends": [end(int(opens[g])) for g in groups] if few else None,
+            "first": end(int(opens[0])),
+        }
+
+    def _quiet(self, tail: int) -> tuple[str, int]:
+        """State after requests were let through again and nothing opened the breaker."""
+        return (CLOSED, tail) if self.reset_on_success else (HALF_OPEN, self.threshold)
 
     def predict(self, start: State, used: State, end: State, rows: int, digest: dict | None) -> tuple[State, bool]:
         if digest is None:
             return end, False
         name, failures, last = start
-        if name == OPEN and digest["last_at"] - last <= self.recovery:
+        if name == CLOSED:
+            return tuple(digest["closed"][failures]), True
+        if name == HALF_OPEN:
+            found = digest["first"]
+        elif digest["last_at"] - last <= self.recovery:
             return start, True  # every request of the block is denied
-        if digest["bounds"] is None:
+        elif digest["bounds"] is None:
             return end, False
-        # The failure at which the breaker opens first in this block.
-        if name == CLOSED:
-            wanted = self.threshold - failures
-            if digest["failures"] < wanted:
-                seen = digest["failures"]
-                return (CLOSED, failures + seen, digest["first"][seen - 1] if seen else last), True
-            trip = digest["first"][wanted - 1]
-            if trip > digest["bounds"][-1]:
-                return end, False
-        elif name == HALF_OPEN:
-            trip = digest["first"][0] if digest["first"] else None
         else:
-            trip = last + self.recovery + 1
-        at = None if trip is None else bisect_left(digest["bounds"], trip)
-        if at is None or at == len(digest["bounds"]):
-            return (HALF_OPEN, self.threshold, last), True
-        opened = digest["exits"][at]
-        over = digest["last_at"] - opened > self.recovery
-        return (HALF_OPEN if over else OPEN, self.threshold, opened), True
+            bounds = [b for b in digest["bounds"] if b is not None]
+            found = digest["ends"][bisect_right(bounds, last + self.recovery)]
+        return tuple(found) if found else (*self._quiet(digest["tail"]), last), True
 
 
 @dataclass(frozen=True)
