@@ -8,12 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import run_folder
-from . import exact_dedup, warc
+from . import exact_dedup, packing, pieces, warc, wordpiece
 from .common import table
 
+WORD_MODEL, PIECE_MODEL = "word_bpe_49k.json", "piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_file(name: str) -> str:
+    """The place of an installed tokenizer file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed_documents(table(spark, folder, "documents"), tokenizer_file(WORD_MODEL))
+
+
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return wordpiece.document_counts(table(spark, folder, "documents"), tokenizer_file(PIECE_MODEL))
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, folder, "documents"))
 
@@ -30,9 +47,16 @@ def op9_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encoded_digests(table(spark, folder, "documents"), tokenizer_file(PIECE_MODEL))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op5_token_counts": op5_token_counts,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc_archives": op9_warc_archives,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 ORACLES: dict[str, str] = {
