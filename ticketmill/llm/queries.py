@@ -70,4 +70,17 @@ ORACLES: dict[str, str] = {
             row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST) = 1 AS kept,
             text_sha256
         FROM texts""",
+    "op9_warc_archives": """
+        WITH payloads AS (
+            SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest FROM pages),
+        digests AS (
+            SELECT digest, max(page_id) AS response_id, CAST(CAST(unhex(digest) AS BIT) AS VARCHAR) AS bits
+            FROM payloads GROUP BY digest)
+        SELECT page_id,
+            strlen(html) AS payload_bytes,
+            list_aggregate(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + CAST(CAST(substr(bits, 5 * i + 1, 5) AS BIT) AS INTEGER), 1)), 'string_agg', '') AS payload_digest,
+            CASE WHEN page_id = response_id THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> response_id THEN response_id END AS refers_to
+        FROM payloads JOIN digests USING (digest)""",
 }

@@ -169,25 +169,29 @@ def write_archives(
 ) -> None:
     """Write ``pages`` as archives below ``folder``; payloads under ``min_bytes`` are never revisits."""
     text = text_of(payload)
+    total, volume = pages.agg(F.count("*"), F.sum(F.octet_length(text))).first()
+    # About SAMPLE_RECORDS rows, whatever the size of the table; the limit is for ids that repeat.
+    share = F.lit(min(1 << 30, (SAMPLE_RECORDS << 30) // max(1, total)))
     sample = (
-        pages.select(text.alias("_text"), F.xxhash64(text).alias("_hash"))
-        .select(F.substring("_text", 1, SAMPLE_BYTES).alias("_text"), "_hash")
-        .orderBy("_hash", "_text")
-        .limit(SAMPLE_RECORDS)
+        pages.filter(F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 30)) < share)
+        .select(F.substring(text, 1, SAMPLE_BYTES).alias("_text"))
+        .limit(2 * SAMPLE_RECORDS)
         .collect()
     )
     samples = [record_bytes("0", None, _digest(b""), 0, r[0].encode()[:SAMPLE_BYTES], None, date) for r in sample]
     dictionary = train_dictionary(sorted(set(samples)))
-    volume = pages.agg(F.sum(F.octet_length(text) + F.lit(1024))).first()[0] or 0
+    # Each file begins with the dictionary and ends when it has this many records.
+    held = max(1, FILE_BYTES * total // max(1, (volume or 0) + 1024 * total))
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compressor = None
+        compressor = zstandard.ZstdCompressor(level=level, dict_data=_as_dictionary(dictionary))
+        written = 0
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                if compressor is None:
-                    compressor = zstandard.ZstdCompressor(level=level, dict_data=_as_dictionary(dictionary))
+                if written % held == 0:
                     out.append(struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary)
+                written += 1
                 digest = base64.b32encode(bytes.fromhex(row["_sha"])).decode()
                 data = record_bytes(row["_key"], row["_uri"], digest, row["_bytes"], row["_payload"], row["_refers"], date)
                 out.append(compressor.compress(data))
@@ -195,11 +199,10 @@ def write_archives(
 
     (
         archive_records(pages, key, uri, payload, min_bytes)
-        .repartition(max(1, -(-volume // FILE_BYTES)))
         .mapInArrow(frames, "frame binary")
         .select(F.col("frame").cast("string").alias("value"))
-        .write.option("compression", "none")
-        .text(folder, lineSep=EMPTY_FRAME)
+        .write.option("maxRecordsPerFile", held + 1)
+        .text(folder, compression="none", lineSep=EMPTY_FRAME)
     )
 
 
