@@ -78,7 +78,7 @@ ORACLES: dict[str, str] = {
             FROM payloads GROUP BY digest)
         SELECT page_id,
             strlen(html) AS payload_bytes,
-            list_aggregate(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
                 1 + CAST(CAST(substr(bits, 5 * i + 1, 5) AS BIT) AS INTEGER), 1)), 'string_agg', '') AS payload_digest,
             CASE WHEN page_id = response_id THEN 'response' ELSE 'revisit' END AS record_type,
             CASE WHEN page_id <> response_id THEN response_id END AS refers_to
