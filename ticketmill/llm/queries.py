@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import run_folder
-from . import exact_dedup, packing, pieces, warc, wordpiece
+from . import exact_dedup, language, packing, pieces, pii, sharding, warc, wordpiece
 from .common import table
 
 WORD_MODEL, PIECE_MODEL = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -27,10 +27,38 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"), tokenizer_file(WORD_MODEL))
 
 
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    shards = [f"shard-{i:04}" for i in range(256)]
+    return sharding.place(table(spark, folder, "documents").select("doc_id"), shards)
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return wordpiece.document_counts(table(spark, folder, "documents"), tokenizer_file(PIECE_MODEL))
 
 
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return language.identified(documents).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def _listed(spans: str) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
+
+
+def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_personal(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "spans")
+    found = found.withColumn("base", F.filter("spans", lambda s: s.base))
+    kinds = F.transform("base", lambda s: s.kind)
+    number = [F.size(F.filter(kinds, lambda kind: kind == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]  # noqa: B023
+    return found.select(
+        "doc_id",
+        *number,
+        F.sha2(_listed("base"), 256).alias("base_sha256"),
+        _listed("spans").alias("spans"),
+        (F.size("spans") - F.size("base")).cast("long").alias("n_added"),
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, folder, "documents"))
 
@@ -53,7 +81,10 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_sharding": op4_sharding,
     "op5_token_counts": op5_token_counts,
+    "op6_language_id": op6_language_id,
+    "op7_personal_data": op7_personal_data,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc_archives": op9_warc_archives,
     "op10_sentencepiece": op10_sentencepiece,
