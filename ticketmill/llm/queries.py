@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import run_folder
-from . import exact_dedup, language, packing, pieces, pii, sharding, warc, wordpiece
+from . import exact_dedup, language, packing, pieces, pii, sharding, simhash, warc, wordpiece
 from .common import table
 
 WORD_MODEL, PIECE_MODEL = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -27,6 +27,10 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"), tokenizer_file(WORD_MODEL))
 
 
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.report(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     shards = [f"shard-{i:04}" for i in range(256)]
     return sharding.place(table(spark, folder, "documents").select("doc_id"), shards)
@@ -81,6 +85,7 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_fingerprints": op3_fingerprints,
     "op4_sharding": op4_sharding,
     "op5_token_counts": op5_token_counts,
     "op6_language_id": op6_language_id,
