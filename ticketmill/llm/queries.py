@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import run_folder
-from . import exact_dedup, language, packing, pieces, pii, sharding, simhash, warc, wordpiece
+from . import exact_dedup, jaccard, language, packing, pieces, pii, sharding, simhash, warc, wordpiece
 from .common import table
 
 WORD_MODEL, PIECE_MODEL = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -23,6 +23,10 @@ def tokenizer_file(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.components(table(spark, folder, "documents"), rule=jaccard.Rule(width=3, num=90, den=100))
+
+
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed_documents(table(spark, folder, "documents"), tokenizer_file(WORD_MODEL))
 
@@ -84,6 +88,7 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_fingerprints": op3_fingerprints,
     "op4_sharding": op4_sharding,
