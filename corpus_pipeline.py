@@ -1,26 +1,65 @@
-"""The training-data pipeline over ``documents``."""
+"""The training-data pipeline over ``documents``: five stages, each over all rows its predecessor kept.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes each as
+Parquet and reads it again for the next one. All but the last return the columns of
+``documents``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ticketmill.llm import exact_dedup
+from ticketmill.llm import exact_dedup, jaccard, language, packing, pii, tagger
 from ticketmill.llm.common import stored, table
+from ticketmill.llm.queries import WORD_MODEL, tokenizer_file
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+# Stages on word shingles take five words and a similarity of 0.8.
+NEAR = jaccard.Rule(width=5, num=80, den=100)
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; those without letters and those far from all languages go."""
+    found = language.identified(docs)
+    return found.filter(~F.col("rejected")).select(*docs.columns)
+
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest id stays."""
     return exact_dedup.drop_copies(docs)
 
 
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked texts the document with the smallest id stays."""
+    groups = stored(jaccard.components(docs, rule=NEAR), "groups")
+    copies = groups.filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by its kind; n_chars is the new length."""
+    masked = docs.withColumn("text", pii.masked("text", tagger.trained()))
+    return masked.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents with their place in sequences of 4096 tokens."""
+    return packing.packed_documents(docs, tokenizer_file(WORD_MODEL))
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("language id", known_language),
     ("exact dedup", without_copies),
+    ("n-gram jaccard join", without_near_copies),
+    ("pii", without_personal_data),
+    ("best-fit packing", packed),
 ]
 
+# Neither trained models nor tokenizers can be written as SQL.
 ORACLE_SQL = None
 
 
