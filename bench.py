@@ -46,8 +46,8 @@ HEADLINES = (
     "recent_bad",
     "bad_digest",
     "bad_ratio_ema",
-    "breaker_states",
-    "token_admission",
+    "failure_streaks",
+    "rate_excess",
     "attempt_outcomes",
     "stream_ema",
     "stream_redact",

@@ -2,7 +2,6 @@
 
 import random
 
-import numpy
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,154 +102,49 @@ def test_resetting_ema(spark, n_blocks):
     assert seen == {None, "warn", "stop"}
 
 
-def test_breaker_fixture(spark):
-    s = 1_000_000
-    rows = [("a", 0, 0, True), ("a", s, 1, True), ("a", 2 * s, 2, True), ("a", 61 * s, 3, False),
-            ("a", 61 * s + s // 2, 4, False)]
-    df = sequence.breaker_log(_events(spark, rows), "key", ORDER, F.col("ts"), F.col("bad"), 2, 60)
-    got = _collect(df, "state_before", "admitted", "state_after")
-    assert got == {
-        0: ("CLOSED", True, "CLOSED"),
-        1: ("CLOSED", True, "OPEN"),
-        2: ("OPEN", False, "OPEN"),
-        3: ("OPEN", False, "OPEN"),
-        4: ("OPEN", True, "HALF_OPEN"),
-    }
+@pytest.mark.parametrize("n_blocks", [1, 2, 24])
+def test_streaks(spark, n_blocks):
+    rows = _random_rows(5, 3000, 100) + [("long", i, 10_000 + i, i != 7) for i in range(2000)]
+    df = sequence.failure_streaks(_events(spark, rows), "key", ORDER, F.col("bad"), blocks=n_blocks)
+    got = _collect(df, "streak")
+    for events in _by_key(rows).values():
+        streak = 0
+        for _, i, bad in events:
+            streak = streak + 1 if bad else 0
+            assert got[i] == (streak,)
 
 
-def test_breaker_counts_are_cumulative_unless_reset_on_success(spark):
-    rows = [("a", 0, 0, True)] + [("a", i, i, False) for i in range(1, 6)] + [("a", 9, 9, True)]
-    df = _events(spark, rows)
-    for reset, state in ((False, "OPEN"), (True, "CLOSED")):
-        log = sequence.breaker_log(df, "key", ORDER, F.col("ts"), F.col("bad"), 2, 60, reset)
-        assert _collect(log, "state_after")[9] == (state,)
+def test_streaks_link_in_one_round(spark):
+    df = _events(spark, [("a", i, i, True) for i in range(4000)]).withColumn("__in_bad", F.col("bad"))
+    frozen = blocks.ordered_blocks(df, "key", ORDER, 12)
+    starts, rounds = blocks.link_blocks(frozen, "key", folds.Streak())
+    assert len(starts) >= 8 and rounds == 1 and max(s[0] for s in starts.values()) > 3000
 
 
-def test_breaker_reset_rows(spark):
-    rows = [("a", i, i, True) for i in range(3)] + [("a", 3, 3, False), ("a", 4, 4, False)]
-    log = sequence.breaker_log(
-        _events(spark, rows), "key", ORDER, F.col("ts"), F.col("bad"), 2, 60, reset=F.col("event_id") == 3
-    )
-    got = _collect(log, "admitted", "state_after")
-    assert got[2] == (False, "OPEN") and got[3] == (None, "CLOSED") and got[4] == (True, "CLOSED")
-
-
-def _plain_breaker(events, threshold, recovery, reset_on_success):
-    state, count, last = "CLOSED", 0, None
-    for at, i, bad in events:
-        before = state
-        if state == "OPEN" and at - last > recovery:
-            state, admitted = "HALF_OPEN", True
-        else:
-            admitted = state != "OPEN"
-        if admitted and bad:
-            count, last = count + 1, at
-            if count >= threshold:
-                state = "OPEN"
-        elif admitted and reset_on_success:
-            state, count = "CLOSED", 0
-        yield i, (before, admitted, state)
-
-
-@pytest.mark.parametrize("n_blocks", [1, 3, 24])
-@pytest.mark.parametrize("reset_on_success", [False, True])
-def test_breaker_blocks(spark, n_blocks, reset_on_success):
-    rows = _random_rows(5, 3000, 2_000_000)
-    df = sequence.breaker_log(
-        _events(spark, rows), "key", ORDER, F.col("ts"), F.col("bad"), 3, 5, reset_on_success, blocks=n_blocks
-    )
-    got = _collect(df, "state_before", "admitted", "state_after")
-    for events in _by_key(rows).values():
-        for i, want in _plain_breaker(events, 3, 5_000_000, reset_on_success):
-            assert got[i] == want
+def test_a_block_is_summarised_batch_by_batch(spark, monkeypatch):
+    """No more than one batch of a block is held, so the largest segment is a batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100)
+    try:
+        df = _events(spark, [("a", i, i, True) for i in range(3000)]).withColumn("__in_bad", F.col("bad"))
+        frozen = blocks.ordered_blocks(df, "key", ORDER, 3)
 
+        class Bounded(folds.Streak):
+            def segment(self, columns, state):
+                assert len(columns[0]) <= 100
+                return super().segment(columns, state)
 
-def test_bucket_fixture(spark):
-    s = 1_000_000
-    rows = [("a", 0, 0, False), ("a", 0, 1, False), ("a", 0, 2, False), ("a", s // 2, 3, False),
-            ("a", 3 * s // 2, 4, False)]
-    df = sequence.token_admission(_events(spark, rows), "key", ORDER, F.col("ts"), capacity=2, refill=1)
-    got = _collect(df, "admitted")
-    assert [got[i][0] for i in range(5)] == [True, True, False, False, True]
-
-
-def _plain_bucket(events, capacity, refill, per):
-    full, token = capacity * per * 1_000_000, per * 1_000_000
-    units, last = full, None
-    for at, i, _ in events:
-        if last is not None:
-            units = min(full, units + (at - last) * refill)
-        last = at
-        admitted = units >= token
-        units -= token if admitted else 0
-        yield i, admitted, units / token
-
-
-# Gaps that keep the bucket full, near empty, and in between.
-@pytest.mark.parametrize("gap", [60_000, 400_000, 1_000_000, 4_000_000])
-@pytest.mark.parametrize("n_blocks", [1, 24])
-def test_bucket_blocks(spark, gap, n_blocks):
-    rows = _random_rows(6, 3000, gap)
-    df = sequence.token_admission(
-        _events(spark, rows), "key", ORDER, F.col("ts"), capacity=5, refill=2, per_seconds=3, blocks=n_blocks
-    )
-    got = _collect(df, "admitted", "tokens_after")
-    for events in _by_key(rows).values():
-        for i, admitted, tokens in _plain_bucket(events, 5, 2, 3):
-            assert got[i] == (admitted, tokens)
-            assert 0 <= got[i][1] <= 5
+        starts, _ = blocks.link_blocks(frozen, "key", Bounded())
+        assert len(starts) == 2
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
-@pytest.mark.parametrize("gap", [60_000, 400_000, 1_000_000, 2_500_000, 3_000_000, 3_500_000, 4_000_000, 9_000_000])
-def test_bucket_links_a_hot_key_in_few_rounds(spark, gap):
-    """The number of rounds must not grow with the number of blocks of a key."""
-    df = _events(spark, _random_rows(7, 6000, gap, hot=0.95)).withColumns(
-        {"__in_at": F.col("us"), "__in_cost": F.lit(1).cast("bigint")}
-    )
-    frozen = blocks.ordered_blocks(df, "key", ORDER, 40)
-    starts, rounds = blocks.link_blocks(frozen, "key", folds.bucket(5, 2, 3))
-    print("ROUNDS", gap, len(starts), rounds)
-    assert len(starts) > 30 and rounds <= 6
-
-
-@pytest.mark.parametrize("gap", [2_000, 20_000, 200_000, 2_000_000, 20_000_000])
-@pytest.mark.parametrize("pairs", [1000, 3])
-@pytest.mark.parametrize("reset_on_success", [False, True])
-def test_breaker_links_a_hot_key(spark, gap, pairs, reset_on_success, monkeypatch):
-    """Exact from the digests, and also where blocks have to be walked again."""
-    monkeypatch.setattr(folds, "MAX_PAIRS", pairs)
-    rows = _random_rows(8, 6000, gap, hot=0.95)
-    df = _events(spark, rows).withColumns(
-        {"__in_at": F.col("us"), "__in_failed": F.col("bad"), "__in_reset": F.lit(False)}
-    )
-    frozen = blocks.ordered_blocks(df, "key", ORDER, 40)
-    starts, rounds = blocks.link_blocks(frozen, "key", folds.breaker(3, 5, reset_on_success))
-    print("BREAKER ROUNDS", gap, pairs, reset_on_success, len(starts), rounds)
-    assert len(starts) > 30 and (pairs == 3 or rounds == 1)
-    firsts = {r["__block"]: (r["key"], r["n"]) for r in frozen.groupBy("__block").agg(
-        F.min_by("key", F.struct("key", "ts", "event_id")).alias("key"),
-        F.min_by("event_id", F.struct("key", "ts", "event_id")).alias("n")).collect()}
-    at = {}
-    for key, events in _by_key(rows).items():
-        for i, (before, _, _) in _plain_breaker(events, 3, 5_000_000, reset_on_success):
-            at[key, i] = before
-    assert all(starts[b][0] == at[firsts[b]] for b in starts)
-    # Each prediction is the state a walk from the same start ends in.
-    fold, rng = folds.breaker(3, 5, reset_on_success), random.Random(gap)
-    for _ in range(60):
-        part = [rng.randrange(gap) for _ in range(rng.randrange(1, 60))]
-        times = [sum(part[: i + 1]) for i in range(len(part))]
-        columns = [times, [rng.random() < 0.5 for _ in part], [False] * len(part)]
-        opened = times[0] - rng.randrange(8_000_000)
-        states = [("CLOSED", 0, None), ("CLOSED", 2, opened), ("OPEN", 3, opened)]
-        for start in states if reset_on_success else [*states, ("HALF_OPEN", 3, opened)]:
-            _, want = fold.segment(columns, start)
-            digest = fold.digest([numpy.asarray(c) for c in columns])
-            got, exact = fold.predict(start, fold.first(), fold.first(), len(part), digest)
-            if exact:
-                assert got[:2] == want[:2] and (got[0] != "OPEN" or got[2] == want[2])
-            else:
-                assert pairs == 3
+def test_rate_excess(spark):
+    s = 1_000_000
+    rows = [("a", at, i, False) for i, at in enumerate((0, 1, s - 1, s, 5 * s))] + [("b", 0, 9, False)]
+    got = sequence.rate_excess(_events(spark, rows), "key", "ts", 2).collect()
+    assert [(r["key"], r["events"], r["excess"]) for r in got] == [("a", 3, 1)]
+    assert got[0]["window_start"] is not None
 
 
 def test_null_keys_are_a_key(spark):
@@ -286,8 +180,6 @@ def test_attempts(spark):
 def test_bad_parameters():
     for wrong in (
         lambda: folds.Ema(0.0),
-        lambda: folds.breaker(0, 60),
-        lambda: folds.bucket(0, 1),
         lambda: sequence.alert_level(None, 99.0),
     ):
         with pytest.raises(ValueError):

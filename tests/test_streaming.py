@@ -2,6 +2,7 @@
 
 import random
 
+import compare
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,7 +71,7 @@ def test_late_rows_are_returned_not_folded(spark, tmp_path):
     assert got == {1: (False, 0.5), 2: (False, 0.75), 3: (True, None), 4: (False, 0.375)}
 
 
-@pytest.mark.parametrize("kind", ["breaker", "bucket", "reset"])
+@pytest.mark.parametrize("kind", ["streak", "reset"])
 def test_watermark_restores_event_time_order(spark, tmp_path, kind):
     """Rows shuffled within the delay, over several files and a restart."""
     rows = _rows(240, seed=8)
@@ -79,10 +80,8 @@ def test_watermark_restores_event_time_order(spark, tmp_path, kind):
     # Far-away rows push the watermark past everything else.
     flush = [("flush", 10**10, 10_000, False)]
     src, out, ckpt = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ckpt")
-    at = F.unix_micros("ts")
     fold, inputs = {
-        "breaker": (folds.breaker(2, 5), {"at": at, "failed": F.col("bad"), "reset": F.lit(False)}),
-        "bucket": (folds.bucket(2, 1, 3), {"at": at, "cost": F.lit(1).cast("bigint")}),
+        "streak": (folds.Streak(), {"bad": F.col("bad")}),
         "reset": (folds.ResettingEma(0.05, 0.1, 0.2), _x()),
     }[kind]
 
@@ -99,8 +98,7 @@ def test_watermark_restores_event_time_order(spark, tmp_path, kind):
     names = [n for n, _ in fold.outputs]
     have = _by_id(spark.read.parquet(out).filter("key <> 'flush'"), *names)
     batch = {
-        "breaker": lambda df: sequence.breaker_log(df, "key", ["ts", "id"], F.col("ts"), F.col("bad"), 2, 5),
-        "bucket": lambda df: sequence.token_admission(df, "key", ["ts", "id"], F.col("ts"), capacity=2, refill=1, per_seconds=3),
+        "streak": lambda df: sequence.failure_streaks(df, "key", ["ts", "id"], F.col("bad")),
         "reset": lambda df: sequence.ema_with_resets(df, "key", ["ts", "id"], F.col("bad"), warn=0.1, stop=0.2),
     }[kind](_frame(spark, rows))
     want = _by_id(batch, *names)
@@ -110,6 +108,34 @@ def test_watermark_restores_event_time_order(spark, tmp_path, kind):
             assert a == (pytest.approx(b, abs=1e-9) if isinstance(b, float) else b)
 
 
+def test_rows_without_a_time_are_late(spark, tmp_path):
+    src, out, ckpt = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    _put(spark, [("a", 10_000_000, 1, True), ("a", None, 2, True), ("b", None, 3, True)], src, 0)
+    fold = folds.Ema(0.5)
+    jobs.append_to(state.stream_fold(_stream(spark, src), "key", "ts", "id", _x(), fold), out, ckpt).awaitTermination()
+    rows = spark.read.parquet(out)
+    assert _by_id(rows, "late", "ema") == {1: (False, 0.5), 2: (True, None), 3: (True, None)}
+    again = lambda df: sequence.ema(df, "key", ["ts", "id"], F.col("bad"), 0.5)
+    assert _by_id(state.settled(rows, "key", fold, again), "ema") == {2: (0.5,), 1: (0.75,), 3: (0.5,)}
+
+
+def test_streams_read_a_folder_of_part_files_and_lose_no_row(spark, folder, tmp_path):
+    """The event log as 60 shuffled part files, three to a trigger: every registered stream over it."""
+    from ticketmill.plans import streams
+
+    table = spark.read.parquet(f"{folder}/events.parquet")
+    table.orderBy(F.rand(3)).repartition(60).write.parquet(str(tmp_path / "events.parquet"))
+    con = compare.connect(folder)
+    try:
+        real = jobs.stream_table
+        streams.jobs.stream_table = lambda s, f, name: real(s, f, name, 3)
+        for name in ("stream_ema", "stream_ema_resets", "stream_streaks", "stream_progress", "stream_recent_bad"):
+            assert compare.differences(streams.QUERIES[name](spark, str(tmp_path)), con, streams.ORACLES[name]) is None, name
+    finally:
+        streams.jobs.stream_table = real
+        con.close()
+
+
 def test_recent_rows_over_many_files(spark, tmp_path):
     rows = _rows(200, seed=5)
     src = str(tmp_path / "in")

@@ -9,15 +9,11 @@ start than the one it was run with: exactly where the mathematics allows it.
 from __future__ import annotations
 
 import math
-from bisect import bisect_right
 from dataclasses import dataclass
 
 import numpy as np
 
 State = tuple
-# Pairs kept of a block's transition; beyond, the block is walked again.
-MAX_PAIRS = 1000
-CLOSED, OPEN, HALF_OPEN = "CLOSED", "OPEN", "HALF_OPEN"
 
 
 class Fold:
@@ -28,11 +24,7 @@ class Fold:
         """The state the next rows start from."""
         return end
 
-    def digest(self, columns: list[np.ndarray]) -> dict | None:
-        """What `predict` needs to know of a block that holds a single key."""
-        return None
-
-    def predict(self, start: State, used: State, end: State, rows: int, digest: dict | None) -> tuple[State, bool]:
+    def predict(self, start: State, used: State, end: State, rows: int) -> tuple[State, bool]:
         """End of a block for ``start``, when it ended in ``end`` from ``used``,
         and whether that is exact."""
         return end, False
@@ -69,7 +61,7 @@ class Ema(Fold):
             e = float(values[-1])
         return [np.concatenate(out).tolist()], (e,)
 
-    def predict(self, start: State, used: State, end: State, rows: int, digest: dict | None) -> tuple[State, bool]:
+    def predict(self, start: State, used: State, end: State, rows: int) -> tuple[State, bool]:
         return (end[0] + (1.0 - self.alpha) ** rows * (start[0] - used[0]),), True
 
 
@@ -99,196 +91,28 @@ class ResettingEma(Fold):
                 alerts.append("warn" if e >= self.warn else None)
         return [averages, alerts], (e,)
 
-    def predict(self, start: State, used: State, end: State, rows: int, digest: dict | None) -> tuple[State, bool]:
+    def predict(self, start: State, used: State, end: State, rows: int) -> tuple[State, bool]:
         return (end[0] + (1.0 - self.alpha) ** rows * (start[0] - used[0]),), False
 
 
 @dataclass(frozen=True)
-class Breaker(Fold):
-    """Circuit breaker over a request log.
-
-    An admitted failure adds to the count; at ``threshold`` the breaker opens.
-    While open, a request is let through (half open) only when more than
-    ``recovery`` microseconds passed since the last failure. Success clears
-    nothing unless ``reset_on_success``. Inputs: time in microseconds, failed,
-    reset (a row that closes the breaker instead of making a request).
-    """
-
-    threshold: int
-    recovery: int
-    reset_on_success: bool = False
-    inputs = ("at", "failed", "reset")
-    outputs = (("state_before", "string"), ("admitted", "boolean"), ("state_after", "string"))
-
-    def first(self) -> State:
-        return (CLOSED, 0, None)
-
-    def segment(self, columns: list[list], state: State) -> tuple[list[list], State]:
-        name, failures, last = state
-        before, admitted, after = [], [], []
-        for at, failed, reset in zip(*columns):
-            before.append(name)
-            if reset:
-                name, failures = CLOSED, 0
-                admitted.append(None)
-                after.append(name)
-                continue
-            let = name != OPEN
-            if not let and last is not None and at - last > self.recovery:
-                name, let = HALF_OPEN, True
-            if let and failed:
-                # Beyond the threshold the count has no further effect.
-                failures, last = min(failures + 1, self.threshold), at
-                if failures >= self.threshold:
-                    name = OPEN
-            elif let and self.reset_on_success:
-                name, failures = CLOSED, 0
-            admitted.append(let)
-            after.append(name)
-        return [before, admitted, after], (name, failures, last)
-
-    def digest(self, columns: list[np.ndarray]) -> dict | None:
-        """How a block without reset rows maps each state before it to the state after it.
-
-        Once open, a breaker hops from opening to opening: the first request
-        later than ``recovery`` is let through, and from there the next opening
-        is a matter of the rows alone. The openings that follow each row are
-        chained by doubling, and hops from different rows soon meet, so the first
-        rows an open breaker can let through need few different answers.
-        """
-        at, failed, reset = columns
-        if reset.any() or self.threshold > MAX_PAIRS:
-            return None
-        n, rows = len(at), np.arange(len(at) + 1)
-        failed = failed.astype(bool)
-        failures = np.flatnonzero(failed)
-        streak = np.arange(n) - np.maximum.accumulate(np.where(failed, -1, np.arange(n)))
-        tail = int(streak[-1])  # failures in a row at the end
-
-        # opens[r]: the row that opens a breaker which lets row r through first.
-        if self.reset_on_success:
-            full = np.flatnonzero(streak >= self.threshold)
-            closed_from = np.append(full, n)[np.searchsorted(full, rows + self.threshold - 1)]
-            opens = np.append(np.where(failed, rows[:-1], closed_from[1:]), n)
-        else:
-            opens = np.append(failures, n)[np.searchsorted(failures, rows)]
-        after = np.searchsorted(at, at + self.recovery, side="right")
-        last = np.where(opens[after] == n, rows[:-1], opens[after])
-        while True:  # follow the hops, doubling their length
-            further = last[last]
-            if (further == last).all():
-                break
-            last = further
-
-        def end(opening: int) -> list | None:
-            if opening == n:
-                return None
-            row = last[opening]
-            return [*((OPEN, self.threshold) if after[row] == n else self._quiet(tail)), int(at[row])]
-
-        def closed(count: int) -> list:
-            wanted = self.threshold - count
-            if not self.reset_on_success:
-                seen, opening = len(failures), n
-                if seen >= wanted:
-                    opening = int(failures[wanted - 1])
-                return end(opening) or [CLOSED, count + seen, None]
-            lead = int(np.argmin(failed)) if not failed.all() else n
-            opening = wanted - 1 if lead >= wanted else int(closed_from[lead + 1]) if lead < n else n
-            return end(opening) or [CLOSED, count + n if lead == n else tail, None]
-
-        entries = np.append(last, n)[opens[: int(after[0]) + 1]]
-        groups = np.flatnonzero(np.append(entries[1:] != entries[:-1], True))
-        few = len(groups) <= MAX_PAIRS
-        return {
-            "last_at": int(at[-1]),
-            "tail": tail,
-            "closed": [closed(c) for c in range(self.threshold)],
-            "bounds": [int(at[g]) if g < n else None for g in groups] if few else None,
-            "ends": [end(int(opens[g])) for g in groups] if few else None,
-            "first": end(int(opens[0])),
-        }
-
-    def _quiet(self, tail: int) -> tuple[str, int]:
-        """State after requests were let through again and nothing opened the breaker."""
-        return (CLOSED, tail) if self.reset_on_success else (HALF_OPEN, self.threshold)
-
-    def predict(self, start: State, used: State, end: State, rows: int, digest: dict | None) -> tuple[State, bool]:
-        if digest is None:
-            return end, False
-        name, failures, last = start
-        if name == CLOSED:
-            return tuple(digest["closed"][failures]), True
-        if name == HALF_OPEN:
-            found = digest["first"]
-        elif digest["last_at"] - last <= self.recovery:
-            return start, True  # every request of the block is denied
-        elif digest["bounds"] is None:
-            return end, False
-        else:
-            bounds = [b for b in digest["bounds"] if b is not None]
-            found = digest["ends"][bisect_right(bounds, last + self.recovery)]
-        return tuple(found) if found else (*self._quiet(digest["tail"]), last), True
-
-
-@dataclass(frozen=True)
-class Bucket(Fold):
-    """Token bucket over an event log, in whole units so that sums are exact.
-
-    One token is ``token`` units and each microsecond refills ``refill`` units.
-    The bucket is full at the first event of a key. Inputs: time in
-    microseconds, tokens asked for.
-    """
+class Streak(Fold):
+    """Number of bad outcomes in a row up to each outcome; a good one sets it to 0."""
 
-    capacity: int  # in tokens
-    token: int
-    refill: int
-    inputs = ("at", "cost")
-    outputs = (("admitted", "boolean"), ("tokens_after", "double"))
+    inputs = ("bad",)
+    outputs = (("streak", "long"),)
 
     def first(self) -> State:
-        # Units, time of the last event, and whether the bucket ran full since.
-        return (self.capacity * self.token, None, False)
+        return (0,)
 
     def segment(self, columns: list[list], state: State) -> tuple[list[list], State]:
-        full = self.capacity * self.token
-        units, last, filled = state
-        admitted, left = [], []
-        for at, cost in zip(*columns):
-            if last is not None:
-                units += (at - last) * self.refill
-                if units >= full:
-                    units, filled = full, True
-            last = at
-            need = cost * self.token
-            let = units >= need
-            if let:
-                units -= need
-            admitted.append(let)
-            left.append(units / self.token)
-        return [admitted, left], (units, last, filled)
-
-    def resume(self, end: State) -> State:
-        return (*end[:2], False)
-
-    def predict(self, start: State, used: State, end: State, rows: int, digest: dict | None) -> tuple[State, bool]:
-        """A bucket that ran full has forgotten its start. Between two fillings,
-        the part below one token only moves with the clock."""
-        if end[2]:
-            return end, False
-        shift = start[0] - used[0]
-        whole, part = divmod(end[0], self.token)
-        return (whole * self.token + (part + shift) % self.token, end[1], False), False
-
-
-def bucket(capacity: int, refill: int, per_seconds: int = 1) -> Bucket:
-    """``refill`` tokens every ``per_seconds`` seconds, at most ``capacity``."""
-    if min(capacity, refill, per_seconds) <= 0:
-        raise ValueError("capacity, refill and per_seconds must be positive")
-    return Bucket(capacity, 1_000_000 * per_seconds, refill)
-
-
-def breaker(threshold: int, recovery_seconds: float, reset_on_success: bool = False) -> Breaker:
-    if threshold <= 0 or recovery_seconds < 0:
-        raise ValueError("threshold must be positive and recovery_seconds not negative")
-    return Breaker(threshold, round(recovery_seconds * 1_000_000), reset_on_success)
+        bad = np.asarray(columns[0], dtype=bool)
+        place = np.arange(1, len(bad) + 1)
+        # Place of the last good outcome so far; before the first one the streak goes on from the state.
+        good = np.maximum.accumulate(np.where(bad, 0, place))
+        streak = place - good + np.where(good == 0, state[0], 0)
+        return [streak.tolist()], (int(streak[-1]),)
+
+    def predict(self, start: State, used: State, end: State, rows: int) -> tuple[State, bool]:
+        unbroken = end[0] - used[0] == rows
+        return (start[0] + rows if unbroken else end[0],), True

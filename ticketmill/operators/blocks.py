@@ -8,8 +8,8 @@ with. All blocks are first walked from the initial state; each reports one
 small row with its end state, the starts are linked up, and the few blocks that
 were walked from a wrong start are walked again until nothing changes. That
 ends with the sequential result: every round makes at least the next block of
-each key right, and where states forget their past (a breaker that opens, a
-bucket that runs full or empty) one or two rounds do.
+each key right. The plain average and the streak of failures link in one round, by
+algebra; an average that resets forgets its past, and one or two rounds do.
 
 Only block summaries reach the driver: one row per partition, whatever the
 data volume.
@@ -24,7 +24,6 @@ from dataclasses import dataclass
 from itertools import groupby
 from typing import Any
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +35,7 @@ BLOCK = "__block"
 _INPUT = "__in_"
 _TYPES = {
     "double": (T.DoubleType(), pa.float64()),
+    "long": (T.LongType(), pa.int64()),
     "string": (T.StringType(), pa.string()),
     "boolean": (T.BooleanType(), pa.bool_()),
 }
@@ -105,7 +105,6 @@ class Block:
     last_key: Any
     end: tuple | None = None  # state after the last key, when some block continues it
     rows: int = 0
-    digest: dict | None = None
 
     @property
     def single(self) -> bool:
@@ -130,7 +129,6 @@ _ENDS = T.StructType(
         T.StructField("block", T.IntegerType()),
         T.StructField("rows", T.LongType()),
         T.StructField("state", T.StringType()),
-        T.StructField("digest", T.StringType()),
     ]
 )
 
@@ -144,38 +142,31 @@ def _walk_ends(frozen: DataFrame, key: str, fold, blocks: dict[int, Block], star
     spark = frozen.sparkSession
     wanted = F.broadcast(spark.createDataFrame([(b, x.last_key) for b, x in blocks.items()], kind))
     chosen = frozen.join(wanted, (F.col(BLOCK) == F.col("b")) & F.col(key).eqNullSafe(F.col("k")), "left_semi")
-    whole = {b for b, x in blocks.items() if x.single}
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = state = None
         rows = 0
-        held: list[list[np.ndarray]] = []
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             if block is None:
                 block = batch.column(BLOCK)[0].as_py()
                 state = starts.get(block, fold.first())
-            columns = _inputs(batch, fold)
-            _, state = fold.segment(columns, state)
+            _, state = fold.segment(_inputs(batch, fold), state)
             rows += batch.num_rows
-            if block in whole:
-                held.append([np.asarray(c) for c in columns])
         if block is not None:
-            digest = fold.digest([np.concatenate(c) for c in zip(*held)]) if held else None
             yield pa.RecordBatch.from_pydict(
                 {
                     "block": pa.array([block], pa.int32()),
                     "rows": pa.array([rows], pa.int64()),
                     "state": pa.array([json.dumps(state)], pa.string()),
-                    "digest": pa.array([json.dumps(digest)], pa.string()),
                 }
             )
 
     needed = chosen.select(BLOCK, *[_INPUT + name for name in fold.inputs])
     for row in needed.mapInArrow(summarise, _ENDS).collect():
         x = blocks[row["block"]]
-        x.end, x.rows, x.digest = tuple(json.loads(row["state"])), row["rows"], json.loads(row["digest"])
+        x.end, x.rows = tuple(json.loads(row["state"])), row["rows"]
 
 
 def _same(a: tuple, b: tuple) -> bool:
@@ -206,7 +197,7 @@ def link_blocks(frozen: DataFrame, key: str, fold) -> tuple[dict[int, tuple], in
             walked_from = used.get(before, fold.first())
             # A block with several keys begins its last one itself.
             if x.single and before in starts and not _same(starts[before], walked_from):
-                end, exact = fold.predict(starts[before], walked_from, end, x.rows, x.digest)
+                end, exact = fold.predict(starts[before], walked_from, end, x.rows)
                 if not exact:
                     wrong.append(before)
             starts[block] = fold.resume(end)

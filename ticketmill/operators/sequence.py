@@ -1,4 +1,4 @@
-"""Ordered operators per key: moving bad ratio, breaker, token bucket, retries."""
+"""Ordered operators per key: moving bad ratio, failure streaks, rates, retries."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import folds
-from ..functions.time import epoch_micros
 from .blocks import fold_rows
 
 # Smoothing, alert levels, retry limits and waits in seconds.
@@ -59,44 +58,26 @@ def ema_with_resets(
     return fold_rows(outcomes, key, order, {"x": x}, folds.ResettingEma(alpha, warn, stop), blocks)
 
 
-def breaker_log(
-    requests: DataFrame,
-    key: str,
-    order: Iterable[str],
-    ts: Column,
-    failed: Column,
-    threshold: int = 5,
-    recovery_seconds: float = 60,
-    reset_on_success: bool = False,
-    reset: Column | None = None,
-    blocks: int | None = None,
+def failure_streaks(
+    outcomes: DataFrame, key: str, order: Iterable[str], is_bad: Column, blocks: int | None = None
 ) -> DataFrame:
-    """Breaker state around each request: ``state_before``, ``admitted``, ``state_after``."""
-    inputs = {
-        "at": epoch_micros(requests, ts),
-        "failed": F.coalesce(failed, F.lit(False)),
-        "reset": F.coalesce(reset, F.lit(False)) if reset is not None else F.lit(False),
-    }
-    fold = folds.breaker(threshold, recovery_seconds, reset_on_success)
-    return fold_rows(requests, key, order, inputs, fold, blocks)
-
-
-def token_admission(
-    events: DataFrame,
-    key: str,
-    order: Iterable[str],
-    ts: Column,
-    cost: Column | None = None,
-    capacity: int = 200,
-    refill: int = 40,
-    per_seconds: int = 1,
-    blocks: int | None = None,
+    """Bad outcomes in a row up to each outcome of a key (column ``streak``)."""
+    bad = F.coalesce(is_bad, F.lit(False))
+    return fold_rows(outcomes, key, order, {"bad": bad}, folds.Streak(), blocks)
+
+
+def rate_excess(
+    events: DataFrame, key: str, ts: str, limit: int, interval: str = "1 second"
 ) -> DataFrame:
-    """Rate-limit verdict of each event: ``admitted`` and ``tokens_after``."""
-    wanted = cost if cost is not None else F.lit(1)
-    inputs = {"at": epoch_micros(events, ts), "cost": wanted.cast("bigint")}
-    fold = folds.bucket(capacity, refill, per_seconds)
-    return fold_rows(events, key, order, inputs, fold, blocks)
+    """Intervals in which a key had more than ``limit`` events, and by how many; events without a time don't count."""
+    window = F.window(ts, interval)
+    return (
+        events.filter(F.col(ts).isNotNull())
+        .groupBy(key, window["start"].alias("window_start"))
+        .agg(F.count("*").alias("events"))
+        .filter(F.col("events") > limit)
+        .withColumn("excess", F.col("events") - limit)
+    )
 
 
 def resolve_attempts(

@@ -1,4 +1,4 @@
-"""Registered sequence queries: moving averages, breaker, bucket, retries."""
+"""Registered sequence queries: moving averages, failure streaks, rates, retries."""
 
 from __future__ import annotations
 
@@ -12,8 +12,7 @@ from .tables import table
 ORDER = ["ts", "event_id"]
 # Levels and limits at which this sparse log shows every state.
 WARN, STOP = 0.15, 0.25
-BREAKER = {"threshold": 2, "recovery_seconds": 6 * 3600}
-BUCKET = {"capacity": 3, "refill": 1, "per_seconds": 12 * 3600}
+RATE_LIMIT = 1  # per key and 12 hours
 RETRIES = f"CASE WHEN {IS_BAD} THEN 'api_error' WHEN event_type = 'view' THEN 'rate_limited' " \
     "WHEN event_type = 'signup' THEN 'schema_error' END"
 
@@ -48,16 +47,13 @@ def ema_resets(spark: SparkSession, folder: str) -> DataFrame:
     return averaged.select("user_id", "event_id", F.round("ema", 10).alias("ema"), "alert")
 
 
-def breaker_states(spark: SparkSession, folder: str) -> DataFrame:
-    log = sequence.breaker_log(
-        outcomes(spark, folder), "user_id", ORDER, F.col("ts"), is_bad(), **BREAKER
-    )
-    return log.select("user_id", "event_id", "state_before", "admitted", "state_after")
+def failure_streaks(spark: SparkSession, folder: str) -> DataFrame:
+    log = sequence.failure_streaks(outcomes(spark, folder), "user_id", ORDER, is_bad())
+    return log.select("user_id", "event_id", "streak")
 
 
-def token_admission(spark: SparkSession, folder: str) -> DataFrame:
-    log = sequence.token_admission(outcomes(spark, folder), "user_id", ORDER, F.col("ts"), **BUCKET)
-    return log.select("user_id", "event_id", "admitted", F.round("tokens_after", 6).alias("tokens_after"))
+def rate_excess(spark: SparkSession, folder: str) -> DataFrame:
+    return sequence.rate_excess(outcomes(spark, folder), "user_id", "ts", RATE_LIMIT, "12 hours")
 
 
 def attempt_outcomes(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,7 +65,7 @@ def attempt_outcomes(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (bad_ratio_ema, progress_ema, ema_alerts, ema_resets, breaker_states, token_admission, attempt_outcomes)
+    for f in (bad_ratio_ema, progress_ema, ema_alerts, ema_resets, failure_streaks, rate_excess, attempt_outcomes)
 }
 
 _LOG = f"""log AS (SELECT user_id, event_id, epoch_us(ts) AS us, {IS_BAD} AS bad, row_number() OVER
@@ -83,31 +79,8 @@ _RESET = f"""WITH RECURSIVE {_LOG}, walk AS (
     UNION ALL SELECT l.user_id, l.event_id, l.n, 0.05::DOUBLE * l.bad::INT
         + 0.95::DOUBLE * CASE WHEN w.ema >= {STOP} THEN 0 ELSE w.ema END
     FROM walk w JOIN log l ON l.user_id = w.user_id AND l.n = w.n + 1)"""
-_RECOVERY = BREAKER["recovery_seconds"] * 1_000_000
-_LIMIT = BREAKER["threshold"]
-# A failure before the first row: far in the past, never looked at while closed.
-BREAKER_SQL = f"""WITH RECURSIVE {_LOG}, walk AS (
-    SELECT user_id, 0::BIGINT AS n, 0::BIGINT AS event_id, ''::VARCHAR AS state_before, true AS admitted,
-        'CLOSED'::VARCHAR AS state_after, 0::BIGINT AS failures, 0::BIGINT AS last FROM log WHERE n = 1
-    UNION ALL SELECT user_id, n, event_id, state_before, admitted,
-        CASE WHEN NOT admitted THEN 'OPEN' WHEN bad AND failures + 1 >= {_LIMIT} THEN 'OPEN'
-            WHEN state_before = 'OPEN' THEN 'HALF_OPEN' ELSE state_before END,
-        CASE WHEN admitted AND bad THEN failures + 1 ELSE failures END,
-        CASE WHEN admitted AND bad THEN us ELSE last END
-    FROM (SELECT l.user_id, l.n, l.event_id, l.bad, l.us, w.failures, w.last, w.state_after AS state_before,
-        (w.state_after <> 'OPEN' OR l.us - w.last > {_RECOVERY}) AS admitted
-        FROM walk w JOIN log l ON l.user_id = w.user_id AND l.n = w.n + 1))
-    SELECT user_id, event_id, state_before, admitted, state_after FROM walk WHERE n > 0"""
-_TOKEN = BUCKET["per_seconds"] * 1_000_000
-_FULL = BUCKET["capacity"] * _TOKEN
-BUCKET_SQL = f"""WITH RECURSIVE {_LOG}, walk AS (
-    SELECT user_id, event_id, n, us, true AS admitted, {_FULL - _TOKEN}::BIGINT AS units FROM log WHERE n = 1
-    UNION ALL SELECT user_id, event_id, n, us, refilled >= {_TOKEN},
-        CASE WHEN refilled >= {_TOKEN} THEN refilled - {_TOKEN} ELSE refilled END
-    FROM (SELECT l.user_id, l.event_id, l.n, l.us,
-        least({_FULL}, w.units + (l.us - w.us) * {BUCKET['refill']})::BIGINT AS refilled
-        FROM walk w JOIN log l ON l.user_id = w.user_id AND l.n = w.n + 1))
-    SELECT user_id, event_id, admitted, round(units / {_TOKEN}::DOUBLE, 6) AS tokens_after FROM walk"""
+_STREAKS = f"""WITH {_LOG} SELECT user_id, event_id, n - coalesce(max(n) FILTER (WHERE NOT bad)
+    OVER (PARTITION BY user_id ORDER BY n), 0) AS streak FROM log"""
 
 # 0.95^1000 is below 1e-22, so older outcomes leave no trace in ten places.
 _GLOBAL = f"""WITH numbered AS (SELECT ts, event_id, {IS_BAD} AS bad, row_number() OVER (ORDER BY ts, event_id) AS n
@@ -124,8 +97,9 @@ ORACLES = {
         AS alert FROM walk WHERE round(ema, 10) >= {WARN}""",
     "ema_resets": f"""{_RESET} SELECT user_id, event_id, round(ema, 10) AS ema,
         CASE WHEN ema >= {STOP} THEN 'stop' WHEN ema >= {WARN} THEN 'warn' END AS alert FROM walk""",
-    "breaker_states": BREAKER_SQL,
-    "token_admission": BUCKET_SQL,
+    "failure_streaks": _STREAKS,
+    "rate_excess": f"""SELECT user_id, time_bucket(INTERVAL 12 HOUR, ts) AS window_start, count(*) AS events,
+        count(*) - {RATE_LIMIT} AS excess FROM events GROUP BY ALL HAVING count(*) > {RATE_LIMIT}""",
     "attempt_outcomes": f"""WITH ranked AS (SELECT user_id, {RETRIES} AS error_class, row_number() OVER
         (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
         ends AS (SELECT user_id, coalesce(min(n) FILTER (WHERE n <= 5 AND (error_class IS NULL

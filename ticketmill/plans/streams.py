@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import folds
 from ..functions.detectors import DEFAULT_DETECTORS
 from ..functions.time import epoch_micros
-from ..operators import gates, monitor, redaction
+from ..operators import gates, monitor, redaction, sequence
 from ..session import run_folder
 from ..streaming import folds as state
 from ..streaming import jobs
@@ -23,16 +23,12 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
     return events.select("user_id", "ts", "event_id", "event_type")
 
 
-def _folded(spark: SparkSession, folder: str, fold, inputs: dict) -> DataFrame:
+def _folded(spark: SparkSession, folder: str, fold, name: str, value, again) -> DataFrame:
+    """The event log folded as it arrives; ``again`` is the batch twin for keys with late rows."""
     events = _events(spark, folder)
-    columns = {name: make(events) for name, make in inputs.items()}
-    rows = state.stream_fold(events, "user_id", "ts", "event_id", columns, fold)
-    kept = rows.filter("NOT late").drop("ts", "event_type", "late")
-    return spark.read.parquet(jobs.drain(jobs.append_to, kept, run_folder(spark, "stream")))
-
-
-def _bad(_: DataFrame):
-    return F.when(is_bad(), 1.0).otherwise(0.0)
+    rows = state.stream_fold(events, "user_id", "ts", "event_id", {name: value}, fold)
+    out = spark.read.parquet(jobs.drain(jobs.append_to, rows, run_folder(spark, "stream")))
+    return state.settled(out, "user_id", fold, again)
 
 
 def _at(events: DataFrame):
@@ -40,32 +36,35 @@ def _at(events: DataFrame):
 
 
 def stream_ema(spark: SparkSession, folder: str) -> DataFrame:
-    averaged = _folded(spark, folder, folds.Ema(0.05), {"x": _bad})
+    def again(rows: DataFrame) -> DataFrame:
+        return sequence.ema(rows, "user_id", sequences.ORDER, is_bad())
+
+    x = F.when(is_bad(), 1.0).otherwise(0.0)
+    averaged = _folded(spark, folder, folds.Ema(sequence.EMA_ALPHA), "x", x, again)
     return averaged.select("user_id", "event_id", F.round("ema", 10).alias("ema"))
 
 
 def stream_ema_resets(spark: SparkSession, folder: str) -> DataFrame:
-    fold = folds.ResettingEma(0.05, sequences.WARN, sequences.STOP)
-    averaged = _folded(spark, folder, fold, {"x": _bad})
-    return averaged.select("user_id", "event_id", F.round("ema", 10).alias("ema"), "alert")
+    levels = {"warn": sequences.WARN, "stop": sequences.STOP}
 
+    def again(rows: DataFrame) -> DataFrame:
+        return sequence.ema_with_resets(rows, "user_id", sequences.ORDER, is_bad(), **levels)
+
+    x = F.when(is_bad(), 1.0).otherwise(0.0)
+    averaged = _folded(spark, folder, folds.ResettingEma(sequence.EMA_ALPHA, **levels), "x", x, again)
+    return averaged.select("user_id", "event_id", F.round("ema", 10).alias("ema"), "alert")
 
-def stream_breaker(spark: SparkSession, folder: str) -> DataFrame:
-    fold = folds.breaker(**sequences.BREAKER)
-    inputs = {"at": _at, "failed": lambda _: is_bad(), "reset": lambda _: F.lit(False)}
-    return _folded(spark, folder, fold, inputs).select(
-        "user_id", "event_id", "state_before", "admitted", "state_after"
-    )
 
+def stream_streaks(spark: SparkSession, folder: str) -> DataFrame:
+    def again(rows: DataFrame) -> DataFrame:
+        return sequence.failure_streaks(rows, "user_id", sequences.ORDER, is_bad())
 
-def stream_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    inputs = {"at": _at, "cost": lambda _: F.lit(1).cast("bigint")}
-    log = _folded(spark, folder, folds.bucket(**sequences.BUCKET), inputs)
-    return log.select("user_id", "event_id", "admitted", F.round("tokens_after", 6).alias("tokens_after"))
+    log = _folded(spark, folder, folds.Streak(), "bad", F.coalesce(is_bad(), F.lit(False)), again)
+    return log.select("user_id", "event_id", "streak")
 
 
 def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
-    windows = jobs.progress_stream(_events(spark, folder), "ts", is_bad(), "1 hour")
+    windows = jobs.progress_stream(_events(spark, folder), "ts", is_bad())
     out = jobs.drain(jobs.upsert_to, windows, run_folder(spark, "stream"))
     # The log has no zone, so neither have its windows.
     rows = jobs.latest(spark, out, ["window_start"])
@@ -114,8 +113,7 @@ QUERIES = {
     for f in (
         stream_ema,
         stream_ema_resets,
-        stream_breaker,
-        stream_tokens,
+        stream_streaks,
         stream_progress,
         stream_recent_bad,
         stream_redact,
@@ -126,8 +124,7 @@ QUERIES = {
 ORACLES = {
     "stream_ema": sequences.ORACLES["bad_ratio_ema"],
     "stream_ema_resets": sequences.ORACLES["ema_resets"],
-    "stream_breaker": sequences.ORACLES["breaker_states"],
-    "stream_tokens": sequences.ORACLES["token_admission"],
+    "stream_streaks": sequences.ORACLES["failure_streaks"],
     "stream_progress": monitoring.PROGRESS_SQL,
     "stream_recent_bad": monitoring.ORACLES["recent_bad"],
     "stream_redact": redaction_plans.ORACLES["redact_documents"],

@@ -4,8 +4,9 @@ The same folds as the batch operators run per key over state. A stream has no
 total order, so a choice is needed:
 
 * without ``delay`` rows are folded as they arrive, ordered within a trigger;
-  a row older than one already folded is returned with ``late`` true and no
-  verdict, so nothing is lost;
+  a row older than one already folded, or without a time, is returned with
+  ``late`` true and no verdict, so nothing is lost; `settled` folds the keys
+  that have such rows again, in order;
 * with ``delay`` rows wait in state until the watermark has passed them and
   are then folded in exact event-time order. Spark drops rows behind the
   watermark and counts them in the query progress.
@@ -17,7 +18,7 @@ The rows of one key in one trigger are held together: bound a trigger with
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -95,12 +96,13 @@ def stream_fold(
     def on_arrival(k: tuple, frames: Iterator[pd.DataFrame], group: GroupState) -> Iterator[pd.DataFrame]:
         state, last, _ = load(group)
         rows = pd.concat(list(frames), ignore_index=True).sort_values([_AT, tie])
+        late = rows[_AT].isna() | rows[tie].isna()
         if last is not None:
-            late = (rows[_AT] < last[0]) | ((rows[_AT] == last[0]) & (rows[tie] < last[1]))
-            if late.any():
-                passed = rows.loc[late, names].reset_index(drop=True)
-                yield passed.assign(**{n: None for n in output_names}, late=True)
-                rows = rows[~late]
+            late |= (rows[_AT] < last[0]) | ((rows[_AT] == last[0]) & (rows[tie] < last[1]))
+        if late.any():
+            passed = rows.loc[late, names].reset_index(drop=True)
+            yield passed.assign(**{n: None for n in output_names}, late=True)
+            rows = rows[~late]
         if not rows.empty:
             out, state = folded(rows, state)
             newest = rows.iloc[-1]
@@ -130,6 +132,19 @@ def stream_fold(
     return prepared.groupBy(key).applyInPandasWithState(run, schema, _STATE, "append", timeout)
 
 
+def settled(rows: DataFrame, key: str, fold, again: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows that a drained `stream_fold` without ``delay`` wrote, none of them late.
+
+    Keys without late rows stand as they are. Those with some are folded ``again`` by
+    the batch operator, which orders all rows of a key and splits large keys.
+    """
+    late = rows.filter("late").select(F.col(key).alias("__late_key")).distinct()
+    same = F.col(key).eqNullSafe(F.col("__late_key"))
+    columns = [c for c in rows.columns if c not in ("late", *(n for n, _ in fold.outputs))]
+    on_time = rows.join(late, same, "left_anti").drop("late")
+    return on_time.unionByName(again(rows.join(late, same, "left_semi").select(*columns)))
+
+
 def stream_recent(
     stream: DataFrame, key: str, order: Iterable[str], columns: Iterable[str], keep: int
 ) -> DataFrame:

@@ -26,14 +26,11 @@ def stream_lines(
 
 
 def stream_table(spark: SparkSession, folder: str, name: str, max_files: int = 100) -> DataFrame:
-    """A parquet table of ``folder`` as a stream."""
+    """A parquet table of ``folder`` as a stream, be it one file or a folder of part files."""
     schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .option("maxFilesPerTrigger", max_files)
-        .parquet(folder)
-    )
+    # The source takes a file only by a pattern; this one matches nothing but the table.
+    pattern = f"{folder}/{name}.parque[t]"
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(pattern)
 
 
 def append_to(stream: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
@@ -113,8 +110,13 @@ def drain(
 
 
 def progress_stream(
-    outcomes: DataFrame, ts: str, is_bad: Column, delay: str, interval: str = "30 seconds"
+    outcomes: DataFrame, ts: str, is_bad: Column, delay: str | None = None, interval: str = "30 seconds"
 ) -> DataFrame:
-    """Progress per interval; a window is final once the watermark passed its end."""
-    timed = with_event_time(outcomes, ts).withWatermark(ts, delay)
-    return progress(timed, ts, is_bad, interval)
+    """Progress per interval.
+
+    With ``delay`` a window is final once the watermark passed its end, and later rows
+    are dropped by Spark. Without, every row counts whenever it comes; the state has
+    one small row per interval.
+    """
+    timed = with_event_time(outcomes, ts)
+    return progress(timed.withWatermark(ts, delay) if delay else timed, ts, is_bad, interval)
