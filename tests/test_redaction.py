@@ -187,6 +187,49 @@ def test_known_names(spark, ship):
     assert out == {1: "<PERSON> met <PERSON>.", 2: "Lovelaces", 3: "", 4: None, 5: "<PERSON>, Ada"}
 
 
+@pytest.mark.parametrize("ship", [True, False])
+def test_long_and_dotted_names(spark, ship):
+    people = spark.createDataFrame(
+        [("Maria de la Cruz Santos Ibarra",), ("Sammy Davis Jr.",), ("Ann Lee",), ("'t Hooft",), ("***",), ("Ann Lee",)],
+        "name string",
+    )
+    texts = [
+        "Maria de la Cruz Santos Ibarra met Ann Lee.",
+        "Sammy Davis Jr. and Sammy Davis Jr, Ann  Lee",
+        "by G. 't Hooft, not t Hooft",
+        "Sammy Davis Jr.",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    out = [r["text"] for r in names.mask_names(df, "id", "text", people, ship=ship).orderBy("id").collect()]
+    assert out == [
+        "<PERSON> met <PERSON>.",
+        "<PERSON> and Sammy Davis Jr, Ann  Lee",
+        "by G. <PERSON>, not t Hooft",
+        "<PERSON>",
+    ]
+    assert [r["name"] for r in names.unmatchable_names(people).collect()] == ["***"]
+
+
+@pytest.mark.parametrize("ship", [True, False])
+def test_repeated_and_null_keys_keep_their_own_spans(spark, ship):
+    people = spark.createDataFrame([("Ann Lee",)], "name string")
+    rows = [(1, "Ann Lee here"), (1, "that person Ann"), (1, "so Ann Lee"), (1, "Ann Lee here"), (None, "Ann Lee")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    out = sorted(r["text"] for r in names.mask_names(df, "id", "text", people, ship=ship).collect())
+    assert out == ["<PERSON>", "<PERSON> here", "<PERSON> here", "so <PERSON>", "that person Ann"]
+
+
+def test_both_ways_give_the_same_spans_over_all_customers(spark, folder, monkeypatch):
+    people = spark.read.parquet(f"{folder}/customer.parquet").select(F.col("c_name").alias("name"))
+    df = people.select(F.monotonically_increasing_id().alias("id"), F.concat(F.lit("ask "), "name", F.lit(" or Customer#000000001")).alias("text"))
+    spans_of = lambda ship: {r["id"]: sorted(map(tuple, r["name_spans"])) for r in names.name_spans(df, "id", "text", people, ship=ship).collect()}
+    shipped = spans_of(True)
+    assert shipped == spans_of(False) and all(len(v) == 2 for v in shipped.values())
+    monkeypatch.setattr(names, "MAX_NAMES", 10)
+    with pytest.raises(ValueError):
+        names.name_spans(df, "id", "text", people, ship=True)
+
+
 def test_operators_and_detectors_are_checked(spark):
     assert operators_for({"PERSON": "X"})["PERSON"] == "X"
     row = spark.range(1).select(

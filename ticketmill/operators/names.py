@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 from zlib import crc32
 
 import numpy as np
@@ -15,109 +16,168 @@ from ..functions.detectors import Detector
 from ..functions.jsonl import once
 from ..functions.span_udfs import span_lists
 from ..functions.spans import SPANS
-from ..functions.text import strip
+from ..functions.text import WORD_CHAR, strip, word_count
+from ..session import run_folder
 from .redaction import analyze, redact_spans
 
 # A names table up to this size is shipped to every task; beyond, it is joined.
 MAX_NAMES = 500_000
 MAX_NAME_BYTES = 32 * 1024 * 1024
 NAME_SCORE = 0.85
-NAME_BUCKETS = 1 << 26
+# Bits of the table that drops word runs which are no name, per name and at most.
+BITS_PER_NAME = 64
+MAX_BITS = 1 << 30
+# A name with more than 1/HOT_SHARE of the mentions is hot: there are fewer than HOT_SHARE.
+HOT_SHARE = 1000
 _RUNS = re.compile(r"\w+")
-_GRAMS = "array<struct<start:int,end:int,gram:string>>"
+_GRAMS = "array<struct<start:int,end:int,gram:string,before:string,after:string>>"
 _ARROW_GRAMS = pa.list_(
-    pa.struct([("start", pa.int32()), ("end", pa.int32()), ("gram", pa.string())])
+    pa.struct(
+        [("start", pa.int32()), ("end", pa.int32())] + [(n, pa.string()) for n in ("gram", "before", "after")]
+    )
 )
 
 
-def _grams(text: str, longest: int):
-    """Texts from the start of a word run to the end of one of the next few."""
+class NameStats(NamedTuple):
+    """What the scan of a text must know of the names."""
+
+    names: int
+    size: int  # bytes
+    runs: tuple[int, ...]  # word runs a name may have
+    head: int  # characters before the first word run, at most
+    tail: int  # and after the last one
+
+    @property
+    def fits(self) -> bool:
+        return self.names <= MAX_NAMES and self.size <= MAX_NAME_BYTES
+
+
+def _grams(text: str, counts: tuple[int, ...]) -> Iterator[tuple[int, int, str]]:
+    """Texts from the start of a word run to the end of the run with which it makes one of ``counts``."""
     runs = [m.span() for m in _RUNS.finditer(text)]
     for i, (begin, _) in enumerate(runs):
-        for _, end in runs[i : i + longest]:
+        for n in counts:
+            if i + n > len(runs):
+                break
+            end = runs[i + n - 1][1]
             yield begin, end, text[begin:end]
 
 
 def clean_names(names: DataFrame, column: str) -> DataFrame:
-    return names.select(strip(F.col(column)).alias("name")).filter(F.length("name") > 0)
-
+    """The distinct names, without those that have no word: see `unmatchable_names`.
 
-def fits_broadcast(names: DataFrame) -> bool:
-    """Is the cleaned table small enough to copy to every task? Counts it."""
-    size = names.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("name")), F.lit(0)).alias("b")
+    ``core`` goes from the first word run to the last one, ``head`` and ``tail`` are
+    the other characters around it.
+    """
+    stripped = names.select(strip(F.col(column)).alias("name")).filter(F.length("name") > 0).distinct()
+    parts = rf"(?s)^([^\p{{L}}\p{{N}}_]*)({WORD_CHAR}(?:.*{WORD_CHAR})?)([^\p{{L}}\p{{N}}_]*)$"
+    cut = [F.regexp_extract("name", parts, i).alias(n) for i, n in enumerate(("head", "core", "tail"), 1)]
+    return stripped.select("name", *cut).filter(F.col("core") != "")
+
+
+def unmatchable_names(names: DataFrame, column: str = "name") -> DataFrame:
+    """Names without a letter, digit or underscore: no mention of them can be told from punctuation."""
+    stripped = names.select(strip(F.col(column)).alias("name")).filter(F.length("name") > 0)
+    return stripped.filter(~F.col("name").rlike(WORD_CHAR)).distinct()
+
+
+def name_stats(cleaned: DataFrame) -> NameStats:
+    """One aggregate; the run counts of names are few."""
+    row = cleaned.agg(
+        F.count(F.lit(1)),
+        F.coalesce(F.sum(F.octet_length("name")), F.lit(0)),
+        F.sort_array(F.collect_set(word_count(F.col("core")).cast("int"))),
+        F.coalesce(F.max(F.length("head")), F.lit(0)),
+        F.coalesce(F.max(F.length("tail")), F.lit(0)),
     ).first()
-    return size["n"] <= MAX_NAMES and size["b"] <= MAX_NAME_BYTES
+    return NameStats(row[0], row[1], tuple(row[2]), row[3], row[4])
+
 
+def _shipped(df: DataFrame, text: Column, names: DataFrame, stats: NameStats, out: str) -> DataFrame:
+    table: dict[str, list[tuple[str, str]]] = {}
+    for r in names.select("head", "core", "tail").collect():
+        table.setdefault(r["core"], []).append((r["head"], r["tail"]))
+    known = df.sparkSession.sparkContext.broadcast(table)
 
-def _shipped(df: DataFrame, text: Column, names: DataFrame, words: int, out: str) -> DataFrame:
-    known = df.sparkSession.sparkContext.broadcast(frozenset(r["name"] for r in names.collect()))
+    def mentions(t: str) -> Iterator[tuple[int, int, str, float]]:
+        listed = known.value
+        for b, e, gram in _grams(t, stats.runs):
+            for head, tail in listed.get(gram, ()):
+                start = b - len(head)
+                if start >= 0 and t.startswith(head, start) and t.startswith(tail, e):
+                    yield start, e + len(tail), "PERSON", NAME_SCORE
 
     @F.arrow_udf(SPANS)
     def match(texts: pa.Array) -> pa.Array:
-        listed = known.value
-        return span_lists(
-            [(b, e, "PERSON", NAME_SCORE) for b, e, gram in _grams(t or "", words) if gram in listed]
-            for t in texts.to_pylist()
-        )
+        return span_lists(list(mentions(t or "")) for t in texts.to_pylist())
 
     return df.withColumn(out, match(F.make_valid_utf8(text)))
 
 
-def _name_bits(names: DataFrame) -> bytes:
-    """A bit per hash bucket that holds a name: 8 MiB, however many names there are.
+def _name_bits(names: DataFrame, buckets: int) -> bytes:
+    """A bit per hash bucket that holds a name's core.
 
     Built as a grouped aggregate; the driver gets at most one row per 32 buckets.
     """
-    bucket = F.pmod(F.crc32(F.encode("name", "UTF-8")), F.lit(NAME_BUCKETS))
+    bucket = F.pmod(F.crc32(F.encode("core", "UTF-8")), F.lit(buckets))
     cells = (
         names.select(bucket.alias("b"))
         .groupBy((F.col("b") / 32).cast("int").alias("cell"))
         .agg(F.expr("bit_or(shiftleft(1L, cast(b % 32 AS int)))").alias("bits"))
     )
-    table = np.zeros(NAME_BUCKETS // 32, dtype="<u4")
+    table = np.zeros(buckets // 32, dtype="<u4")
     found = cells.toArrow()
     table[found["cell"].to_numpy()] = found["bits"].to_numpy()
     return table.tobytes()
 
 
-def _joined(
-    df: DataFrame, key: str, text: Column, names: DataFrame, words: int, out: str, salts: int
-) -> DataFrame:
-    known = df.sparkSession.sparkContext.broadcast(_name_bits(names))
+def _joined(df: DataFrame, key: str, text: Column, names: DataFrame, stats: NameStats, out: str) -> DataFrame:
+    buckets = min(MAX_BITS, 1 << max(16, (stats.names * BITS_PER_NAME - 1).bit_length()))
+    known = df.sparkSession.sparkContext.broadcast(_name_bits(names, buckets))
 
     @F.arrow_udf(_GRAMS)
     def grams(texts: pa.Array) -> pa.Array:
         bits = known.value
 
         def possible(gram: str) -> bool:
-            bucket = crc32(gram.encode()) % NAME_BUCKETS
+            bucket = crc32(gram.encode()) % buckets
             return bool(bits[bucket >> 3] & (1 << (bucket & 7)))
 
         rows = [
-            [{"start": b, "end": e, "gram": g} for b, e, g in _grams(t or "", words) if possible(g)]
-            for t in texts.to_pylist()
+            [
+                {"start": b, "end": e, "gram": g, "before": t[max(0, b - stats.head) : b], "after": t[e : e + stats.tail]}
+                for b, e, g in _grams(t, stats.runs)
+                if possible(g)
+            ]
+            for t in (t or "" for t in texts.to_pylist())
         ]
         return pa.array(rows, type=_ARROW_GRAMS)
 
-    # Most word runs are dropped by the bits before the shuffle. A frequent name
-    # would still meet in one task, so each gram is spread over salted copies of
-    # the names, the small side.
-    mentions = (
-        df.select(key, F.explode(once(grams)(F.make_valid_utf8(text))).alias("g"))
-        .withColumn("__salt", F.pmod(F.hash(key, "g.start"), F.lit(salts)))
-        .withColumn("__name", F.col("g.gram"))
+    # Most word runs are dropped by the bits before the shuffle. A text is known by its
+    # key and its content: rows with one key and different texts keep their own spans.
+    mark = F.xxhash64(text)
+    listed = df.select(F.col(key).alias("__key"), mark.alias("__mark"), F.explode(once(grams)(F.make_valid_utf8(text))).alias("g"))
+    folder = run_folder(df.sparkSession, "mentions")
+    listed.select("__key", "__mark", "g.*").withColumnRenamed("gram", "core").write.parquet(folder)
+    mentions = df.sparkSession.read.parquet(folder)
+    # A frequent name's mentions are met where they lie: those few names go to all tasks.
+    often = mentions.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > F.lit(mentions.count() / HOT_SHARE))
+    hot = F.broadcast(often.select("core"))
+    parts = names.select("core", "head", "tail")
+    met = mentions.join(F.broadcast(parts.join(hot, "core", "left_semi")), "core").unionByName(
+        mentions.join(hot, "core", "left_anti").join(parts, "core")
     )
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    copies = names.select(F.col("name").alias("__name"), every_salt.alias("__salt"))
+    met = met.filter(F.endswith("before", "head") & F.startswith("after", "tail"))
     span = F.struct(
-        "g.start", "g.end", F.lit("PERSON").alias("entity"), F.lit(NAME_SCORE).alias("score")
+        (F.col("start") - F.length("head")).alias("start"),
+        (F.col("end") + F.length("tail")).alias("end"),
+        F.lit("PERSON").alias("entity"),
+        F.lit(NAME_SCORE).alias("score"),
     )
     # A text's own spans: bounded by its length.
-    found = (
-        mentions.join(copies, ["__name", "__salt"]).groupBy(key).agg(F.collect_list(span).alias(out))
-    )
-    matched = df.join(found, key, "left")
+    found = met.groupBy("__key", "__mark").agg(F.collect_set(span).alias(out))
+    same = df[key].eqNullSafe(found["__key"]) & (mark == found["__mark"])
+    matched = df.join(found, same, "left").drop("__key", "__mark")
     return matched.withColumn(out, F.coalesce(out, F.array().cast(SPANS)))
 
 
@@ -127,22 +187,23 @@ def name_spans(
     text: str,
     names: DataFrame,
     name_column: str = "name",
-    words: int = 3,
     out: str = "name_spans",
-    salts: int = 16,
     ship: bool | None = None,
 ) -> DataFrame:
-    """Adds the PERSON spans of names of up to ``words`` word runs.
+    """Adds the PERSON spans of the names, of any number of words.
 
-    ``key`` identifies a row. A name matches as written, from the start of a word
-    run to the end of one. A small names table goes to the tasks and costs
-    no shuffle; a large one is joined on the mention. Both give the same spans.
+    A name matches as written: its first word from the start of a word run, its last
+    one to the end of one, and the punctuation it has around them. A small names table
+    goes to the tasks and costs no shuffle; a large one is joined on the mention. Both
+    give the same spans. Names without a word are listed by `unmatchable_names`.
     """
     cleaned = clean_names(names, name_column)
-    small = fits_broadcast(cleaned) if ship is None else ship
-    if small:
-        return _shipped(df, F.col(text), cleaned, words, out)
-    return _joined(df, key, F.col(text), cleaned.distinct(), words, out, salts)
+    stats = name_stats(cleaned)
+    if ship and not stats.fits:
+        raise ValueError(f"{stats.names} names of {stats.size} bytes are too many to ship")
+    if stats.fits if ship is None else ship:
+        return _shipped(df, F.col(text), cleaned, stats, out)
+    return _joined(df, key, F.col(text), cleaned, stats, out)
 
 
 def mask_names(

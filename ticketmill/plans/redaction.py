@@ -133,13 +133,13 @@ def redact_context_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 def mask_known_names(spark: SparkSession, folder: str) -> DataFrame:
     rows = tickets(spark, folder).select("ticket_id", "Description")
-    people = table(spark, folder, "customer").filter("c_acctbal >= 0").select(F.col("c_name").alias("name"))
+    people = table(spark, folder, "customer").select(F.col("c_name").alias("name"))
     return names.mask_names(rows, "ticket_id", "Description", people)
 
 
 def mask_known_names_joined(spark: SparkSession, folder: str) -> DataFrame:
     rows = tickets(spark, folder).select("ticket_id", "Description")
-    people = table(spark, folder, "customer").filter("c_acctbal >= 0").select(F.col("c_name").alias("name"))
+    people = table(spark, folder, "customer").select(F.col("c_name").alias("name"))
     return names.mask_names(rows, "ticket_id", "Description", people, ship=False)
 
 
@@ -181,7 +181,7 @@ QUERIES = {
 }
 
 _DOCS_SQL = f"SELECT doc_id, lang, {redacted_sql('text', _DEFAULT)} AS text FROM documents"
-_NAMES_SQL = f"""WITH {TICKETS_SQL}, people AS (SELECT DISTINCT c_name FROM customer WHERE c_acctbal >= 0)
+_NAMES_SQL = f"""WITH {TICKETS_SQL}, people AS (SELECT DISTINCT c_name FROM customer)
     SELECT ticket_id, CASE WHEN c_name IS NULL THEN Description
         ELSE '<PERSON>' || substr(Description, length(customer_name) + 1) END AS Description
     FROM tickets LEFT JOIN people ON c_name = customer_name"""
