@@ -9,7 +9,7 @@ from pyspark.sql.observation import Observation
 from ticketmill.functions import fields
 from ticketmill.functions.jsonl import json_verdict
 from ticketmill.functions.text import WHITE_SPACE, strip, word_count
-from ticketmill.operators import gates, records
+from ticketmill.operators import gates, records, sequence
 from ticketmill.settings import Settings
 
 LINES = [
@@ -205,3 +205,41 @@ def test_settings():
     ):
         with pytest.raises(ValueError):
             Settings(**wrong)
+
+
+def test_a_model_is_asked_once_and_only_for_accepted_lines(spark, tmp_path):
+    lines = [TICKET, TICKET, "{", "[1]"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "id long, value string").coalesce(1)
+    log = str(tmp_path / "calls")
+
+    def model(requests):
+        with open(log, "a") as out:
+            out.writelines(f"{r}\n" for r in requests)
+        return requests.map(lambda r: '{"status":"bad","data":"no"}')
+
+    def asked():
+        with open(log) as made:
+            calls = made.readlines()
+        open(log, "w").close()
+        return calls
+
+    answered = gates.with_model(gates.raw_tickets(df), model)
+    assert answered.filter("response <> ''").count() == 2
+    calls = asked()
+    assert len(calls) == 2 and "None\n" not in calls
+    routed = gates.classify(answered).withColumn("key", F.lit(1))
+    averaged = sequence.ema(routed, "key", ["id"], F.col("status") == "bad")
+    assert averaged.count() == 4 and len(asked()) == 2
+
+
+def test_transactions_are_answers_that_came(spark):
+    rows = [
+        (1, '{"status":"bad","data":"no"}', None),
+        (2, None, None),
+        (3, "nonsense", None),
+        (4, "I cannot", "refused"),
+        (5, None, "refused"),
+    ]
+    df = spark.createDataFrame([(i, TICKET, r, f) for i, r, f in rows], "id long, value string, response string, refusal string")
+    routed = gates.classify(gates.raw_tickets(df), refusal="refusal")
+    assert sorted(r["id"] for r in routed.filter("answered").collect()) == [1, 4]

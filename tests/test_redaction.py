@@ -133,6 +133,44 @@ def test_json_records(spark):
     assert "x@y.co" not in deep and '"f": ["<EMAIL_ADDRESS>"]' in deep
 
 
+def test_every_line_gives_a_record_or_a_reason(spark):
+    deep = '{"a":' + "[" * 3000 + '"x@y.co"' + "]" * 3000 + "}"
+    lines = {
+        '{"a":"x@y.co"}': None,
+        '{"a":"\\ud800"}': "invalid_unicode",
+        '{"a":' + "9" * 5000 + "}": "invalid_json",
+        "[1]": "not_an_object",
+        "{": "invalid_json",
+        "": "invalid_json",
+        "[" * 200_000: "too_deep",
+    }
+    rows = [*lines, None, deep]
+    df = spark.createDataFrame([(i, v, "x") for i, v in enumerate(rows)], "id int, value string, reject string")
+    for nested in (False, True):
+        out = {r["id"]: r for r in redaction.redact_json_lines(df, deep=nested).collect()}
+        assert len(out) == len(rows)
+        assert [out[i]["reject"] for i in range(len(lines))] == list(lines.values())
+        assert out[len(lines)]["reject"] == "missing"
+        assert all((r["value"] is None) == (r["reject"] is not None) for r in out.values())
+        last = out[len(lines) + 1]
+        assert last["reject"] in (None, "too_deep") and (not nested or "x@y.co" not in (last["value"] or ""))
+    broken = df.limit(1).select("id", F.lit(b"{\xff}").cast("string").alias("value"))
+    assert redaction.redact_json_lines(broken).first()["reject"] == "invalid_unicode"
+
+
+def test_distinct_with_a_map_column(spark):
+    df = spark.createDataFrame([(1, "a@b.co", {"k": 1}), (2, "a@b.co", None), (3, "x", {})], "id int, text string, m map<string,int>")
+    out = {r["id"]: (r["text"], r["m"]) for r in redaction.redact_distinct(df, "text").collect()}
+    assert out == {1: ("<EMAIL_ADDRESS>", {"k": 1}), 2: ("<EMAIL_ADDRESS>", None), 3: ("x", {})}
+
+
+def test_cards_are_analysed_once(spark, folder):
+    from ticketmill.plans import redaction as plans
+
+    plan = plans.redact_cards(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") + plan.count("regexp_instr") <= plan.count("Generate") + 1 and "Filter (size" not in plan
+
+
 def test_failure_marker_keeps_the_record_and_hides_the_text(spark, monkeypatch):
     def broken(*_):
         def run(text):

@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 import re
 from bisect import bisect_left
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 import pyarrow as pa
@@ -203,48 +203,75 @@ def redact_text(
     return F.coalesce(redact(_gated(text, detectors)), text)
 
 
+# Why a line has no redacted record.
+REJECTS = ("missing", "invalid_unicode", "invalid_json", "not_an_object", "too_deep")
+REDACTED_JSON = "struct<value:string,reject:string>"
+
+
+def _walk_strings(record: dict, deep: bool, change: Callable[[str], str]) -> None:
+    """Change the strings of a record in place; nesting of any depth."""
+    waiting: list = [record]
+    while waiting:
+        value = waiting.pop()
+        for at, item in value.items() if isinstance(value, dict) else enumerate(value):
+            if isinstance(item, str):
+                value[at] = change(item)
+            elif deep and isinstance(item, (dict, list)):
+                waiting.append(item)
+
+
 def redact_json(
     line: Column,
     detectors: Iterable[Detector],
     operators: dict[str, str] | None = None,
     deep: bool = False,
 ) -> Column:
-    """Redact the strings of a JSON object line; other values are kept as is.
+    """Redact the strings of a JSON object line: ``value``, or ``reject`` with one of REJECTS.
 
-    Only top-level fields by default; ``deep`` also visits nested objects and
-    arrays. Lines that are not JSON objects become null.
+    Only top-level fields by default; ``deep`` also visits nested objects and arrays.
+    Other values are kept as they are. No line fails the job.
     """
     detectors = tuple(detectors)
     table = operators_for(operators)
+    kind = pa.struct([("value", pa.string()), ("reject", pa.string())])
 
-    @F.arrow_udf("string")
+    @F.arrow_udf(REDACTED_JSON)
     def redact(lines: pa.Array) -> pa.Array:
         run = make_redactor(detectors, table, False, 0)
         candidate = _any_hint(detectors)
 
-        def visit(value, depth):
-            if isinstance(value, str):
-                if not candidate(value):
-                    return value
-                try:
-                    return run(value)
-                except Exception as error:
-                    return _marker(error)
-            if deep or depth == 0:
-                if isinstance(value, dict):
-                    return {k: visit(v, depth + 1) for k, v in value.items()}
-                if isinstance(value, list):
-                    return [visit(v, depth + 1) for v in value]
-            return value
+        def change(text: str) -> str:
+            if not candidate(text):
+                return text
+            try:
+                return run(text)
+            except Exception as error:  # one bad text must not lose the record
+                return _marker(error)
 
-        out = []
-        for t in lines.to_pylist():
+        def one(text: str) -> tuple[str | None, str | None]:
             try:
-                record = None if t is None else json.loads(t)
-            except (ValueError, RecursionError):
-                record = None
-            is_record = isinstance(record, dict)
-            out.append(json.dumps(visit(record, 0), ensure_ascii=False) if is_record else None)
-        return pa.array(out, type=pa.string())
+                record = json.loads(text)
+            except RecursionError:
+                return None, "too_deep"
+            except ValueError:
+                return None, "invalid_json"
+            if not isinstance(record, dict):
+                return None, "not_an_object"
+            try:
+                _walk_strings(record, deep, change)
+                dumped = json.dumps(record, ensure_ascii=False)
+                dumped.encode("utf-8")
+            except RecursionError:
+                return None, "too_deep"
+            except UnicodeEncodeError:  # an escape that is half of a character
+                return None, "invalid_unicode"
+            return dumped, None
+
+        rows = [(None, None) if t is None else one(t) for t in lines.to_pylist()]
+        return pa.StructArray.from_arrays(
+            [pa.array([r[i] for r in rows], type=pa.string()) for i in range(2)], fields=list(kind)
+        )
 
-    return once(redact)(F.when(F.is_valid_utf8(line), line))
+    done = once(redact)(F.when(F.is_valid_utf8(line), line))
+    unread = F.when(line.isNull(), "missing").when(~F.is_valid_utf8(line), "invalid_unicode")
+    return F.struct(done["value"].alias("value"), F.coalesce(unread, done["reject"]).alias("reject"))

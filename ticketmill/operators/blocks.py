@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shared_folder
+from ..session import run_folder, shared_folder
 
 BLOCK = "__block"
 _INPUT = "__in_"
@@ -51,6 +51,11 @@ def ordered_blocks(df: DataFrame, key: str, order: Iterable[str], blocks: int |
     columns = [key, *order]
     spark = df.sparkSession
     shared_folder(spark)
+    if not df._jdf.queryExecution().analyzed().deterministic():
+        # Ranges are sampled first: what must run once (a model call, say) is stored before.
+        folder = run_folder(spark, "rows")
+        df.write.parquet(folder)
+        df = spark.read.parquet(folder)
     ranged = df.repartitionByRange(*([blocks] if blocks else []), *columns)
     ranged = ranged.sortWithinPartitions(*columns)
     return ranged.withColumn(BLOCK, F.spark_partition_id()).checkpoint()

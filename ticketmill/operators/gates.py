@@ -204,8 +204,16 @@ def classify(
             "status": F.when(error_class.isNull(), "good").otherwise("bad"),
             "error": text,
             "ticket": F.when(error_class.isNull(), ticket),
-            # A transaction exists for every answer that came back, good or bad.
-            "answered": returned & F.col("shape_ok") & (verdict == "ok"),
+            # A transaction exists for every answer that came back, good or bad. A call whose
+            # answer breaks the response schema fails, unless it is a refusal, and leaves none.
+            "answered": F.coalesce(
+                returned
+                & F.col("shape_ok")
+                & (verdict == "ok")
+                & F.col(response).isNotNull()
+                & ((F.coalesce(optional(refusal), F.lit("")) != "") | F.coalesce(answer["valid"], F.lit(False))),
+                F.lit(False),
+            ),
         }
     ).drop("answer")
 
@@ -218,12 +226,22 @@ def with_model(
 ) -> DataFrame:
     """Run a caller's model over batches of requests: texts in, answer texts out.
 
-    Put `repartition` before it to set how many run at once.
+    Each request is sent once: filters on the answer stay behind the call, and lines
+    without a request (rejected ones) are not sent. An operator that reads its input
+    twice needs the answers stored first. Put `repartition` before it to set how many
+    run at once.
     """
 
     @F.pandas_udf("string")
     def call(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for requests in batches:
-            yield model_fn(requests)
-
-    return df.withColumn(response, call(F.col(request)))
+            answers = pd.Series([None] * len(requests), index=requests.index, dtype=object)
+            asked = requests.notna()
+            if asked.any():
+                given = model_fn(requests[asked].reset_index(drop=True))
+                if len(given) != asked.sum():
+                    raise ValueError(f"{len(given)} answers to {asked.sum()} requests")
+                answers[asked] = list(given)
+            yield answers
+
+    return df.withColumn(response, once(call)(F.col(request)))

@@ -112,9 +112,17 @@ def redact_json_lines(
     detectors: Iterable[Detector] = DEFAULT_DETECTORS,
     operators: dict[str, str] | None = None,
     deep: bool = False,
+    reject: str = "reject",
 ) -> DataFrame:
-    """Redact records with arbitrary keys, held as one JSON object per row."""
-    return df.withColumn(column, span_udfs.redact_json(F.col(column), detectors, operators, deep))
+    """Redact records with arbitrary keys, held as one JSON object per row.
+
+    A line without a record becomes null, and ``reject`` tells why.
+    """
+    done = span_udfs.redact_json(F.col(column), detectors, operators, deep)
+    kept = [c for c in df.columns if c != reject]
+    out = df.select(*kept, done.alias("__json"))
+    values = [F.col("__json.value").alias(c) if c == column else F.col(c) for c in kept]
+    return out.select(*values, F.col("__json.reject").alias(reject))
 
 
 def hot_values(df: DataFrame, value: Column, total: int, share: int) -> DataFrame:
@@ -153,7 +161,8 @@ def redact_distinct(
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
     # From the row's content and its partition: a retried task repeats the
     # salt, and even rows that are equal throughout are spread.
-    mixed = F.xxhash64(*[F.col(c) for c in df.columns], F.spark_partition_id())
+    plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.typeName() != "variant"]
+    mixed = F.xxhash64(*[F.col(c) for c in plain], F.spark_partition_id())
     own_salt = F.pmod(mixed, F.lit(salts)).cast("int")
 
     def marked(frame: DataFrame) -> DataFrame:

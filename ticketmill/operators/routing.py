@@ -60,6 +60,8 @@ def write_routed(
 PACK_TITLE = "# Merged Python Project\n\n"
 PACK_INTRO = "Below are all .py files in the project. Each file is wrapped in a code block.\n\n"
 
+SHARD_BYTES = 128 * 1024 * 1024
+
 
 def packed_section(path: Column, content: Column, language: str = "python") -> Column:
     return F.concat(
@@ -81,15 +83,18 @@ def pack_shards(df: DataFrame, group: list[Column], order: Column, section: Colu
 
 
 def write_packed(
-    df: DataFrame, folder: str, path: str = "path", content: str = "content", shards: int = 1
+    df: DataFrame, folder: str, path: str = "path", content: str = "content", shards: int | None = None
 ) -> None:
-    """The whole corpus as text shards in path order.
+    """The whole corpus as text shards in path order, of about SHARD_BYTES unless ``shards`` is given.
 
     Range partitioning sorts without bringing a group together: the part files,
     read in name order, are the packed document. The title stands first.
     """
     spark: SparkSession = df.sparkSession
     sections = df.select(F.col(path).alias("path"), packed_section(F.col(path), F.col(content)).alias("value"))
+    if shards is None:
+        volume = sections.agg(F.sum(F.octet_length("value"))).first()[0] or 0
+        shards = max(1, -(-volume // SHARD_BYTES))
     title = spark.createDataFrame([("", PACK_TITLE + PACK_INTRO)], "path string, value string")
     (
         title.unionByName(sections)

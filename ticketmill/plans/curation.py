@@ -24,11 +24,11 @@ def routed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def verdict_parse(spark: SparkSession, folder: str) -> DataFrame:
-    answers = answered_lines(spark, folder).select("ticket_id", "response").filter("response IS NOT NULL")
+    answers = answered_lines(spark, folder).select("ticket_id", "response")
     parsed = answers.select("ticket_id", gates.parse_response(F.col("response")).alias("p"))
     return parsed.select(
         "ticket_id",
-        "p.valid",
+        F.coalesce("p.valid", F.lit(False)).alias("valid"),
         "p.status",
         F.when(~F.col("p.object"), F.col("p.reason")).alias("reason"),
         F.col("p.ticket").isNotNull().alias("has_ticket"),
@@ -155,7 +155,8 @@ _ROUTED = f"""WITH {ANSWERS_SQL}, {_PARSED}, why AS (SELECT *, CASE
         THEN ['too_short', 'Instruction or response too short'] END AS why FROM parsed),
     routed AS (SELECT *, CASE WHEN why IS NULL THEN 'good' ELSE 'bad' END AS status,
         why[1] AS error_class, why[2] AS error,
-        coalesce(call_class IS NULL AND NOT ({_LINE_BAD}) AND {_SHAPE}, false) AS answered FROM why)"""
+        coalesce(call_class IS NULL AND NOT ({_LINE_BAD}) AND {_SHAPE} AND response IS NOT NULL
+            AND (refusal IS NOT NULL OR valid), false) AS answered FROM why)"""
 
 _REQUEST = (
     "concat('{', "
@@ -170,7 +171,7 @@ ORACLES = {
     "verdict_parse": f"""WITH {ANSWERS_SQL}, {_PARSED} SELECT ticket_id, valid, said AS status,
         CASE WHEN kind <> 'OBJECT' THEN data_text END AS reason, pair_ok AS has_ticket,
         CASE WHEN pair_ok THEN {_text('$.data.instruction')} END AS instruction
-        FROM parsed WHERE response IS NOT NULL""",
+        FROM parsed""",
     "route_tickets": f"{_ROUTED} SELECT ticket_id, status, error_class, error, answered FROM routed",
     "good_tickets": f"""{_ROUTED} SELECT {', '.join(f"{_text('$.data.' + n)} AS {n}" for n in GOOD_FIELDS)}
         FROM routed WHERE status = 'good'""",

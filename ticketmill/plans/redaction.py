@@ -14,7 +14,7 @@ from ..functions.detectors import (
     WITH_CUSTOM,
 )
 from ..operators import monitor, names, redaction
-from .tables import REDUMPED, TICKETS_SQL, answered_lines, documents, table, tickets
+from .tables import LINE, REDUMPED, TICKETS_SQL, answered_lines, documents, table, tickets
 
 # --- comparison SQL ---------------------------------------------------------
 # The other engine has no look-around. Word runs are wrapped in control
@@ -100,10 +100,9 @@ def redact_memo(spark: SparkSession, folder: str) -> DataFrame:
 
 def redact_cards(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
-    found = docs.withColumn("spans", redaction.analyze(F.col("text"), [CARD]))
-    return found.select(
-        "doc_id", F.size("spans").cast("bigint").alias("cards")
-    ).filter("cards > 0")
+    # Exploded, not filtered on their number: a filter would analyse each text twice.
+    found = docs.select("doc_id", F.explode(redaction.analyze(F.col("text"), [CARD])))
+    return found.groupBy("doc_id").agg(F.count("*").alias("cards"))
 
 
 def redact_machine_names(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,7 +117,7 @@ def redact_tickets_custom(spark: SparkSession, folder: str) -> DataFrame:
 
 def redact_json_records(spark: SparkSession, folder: str) -> DataFrame:
     lines = answered_lines(spark, folder).select("ticket_id", "value")
-    return redaction.redact_json_lines(lines, "value", DEFAULT_DETECTORS).filter("value IS NOT NULL")
+    return redaction.redact_json_lines(lines, "value", DEFAULT_DETECTORS)
 
 
 def redact_context_scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -205,8 +204,11 @@ ORACLES = {
     "redact_tickets_custom": f"""WITH {TICKETS_SQL} SELECT ticket_id,
         {redacted_sql('Short_Description', _ALL)} AS Short_Description,
         {redacted_sql('Description', _ALL)} AS Description FROM tickets""",
-    "redact_json_records": f"""WITH {TICKETS_SQL} SELECT ticket_id, {redacted_sql('redumped', _DEFAULT)} AS value
-        FROM (SELECT ticket_id, {REDUMPED} AS redumped FROM tickets) WHERE redumped IS NOT NULL""",
+    "redact_json_records": f"""WITH {TICKETS_SQL} SELECT ticket_id, CASE WHEN reject IS NULL
+            THEN {redacted_sql('redumped', _DEFAULT)} END AS value, reject
+        FROM (SELECT ticket_id, {REDUMPED} AS redumped, CASE WHEN NOT json_valid(line) THEN 'invalid_json'
+            WHEN json_type(line) <> 'OBJECT' THEN 'not_an_object' END AS reject
+            FROM (SELECT *, {LINE} AS line FROM tickets))""",
     "redact_context_scores": rf"""WITH {TICKETS_SQL}, found AS (SELECT ticket_id, Description,
             regexp_extract_all(Description, '[\p{{L}}\p{{N}}_]+') AS words,
             regexp_extract(Description, '(?:badge|employee ID|id number) ([0-9]{{6}}) ', 1) AS badge FROM tickets),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,8 +106,18 @@ def stream_route(spark: SparkSession, folder: str) -> DataFrame:
         seconds="seconds",
     )
     out = jobs.drain(jobs.route_stream, routed, run_folder(spark, "stream"))
-    bad = spark.read.schema("raw_ticket string, error string, error_class string").json(f"{out}/bad")
-    return bad.select("raw_ticket", "error", "error_class")
+    read = {
+        "good": ["instruction", "response", "category", "subcategory", "assignment_group"],
+        "bad": ["raw_ticket", "error", "error_class"],
+        "transactions": ["ticket_json", "request_payload", "raw_response"],
+    }
+    sinks = [
+        spark.read.schema(", ".join(f"{c} string" for c in columns))
+        .json(f"{out}/{sink}")
+        .select(F.lit(sink).alias("sink"), F.concat_ws("|", *[F.coalesce(c, F.lit("-")) for c in columns]).alias("row"))
+        for sink, columns in read.items()
+    ]
+    return reduce(DataFrame.unionByName, sinks)
 
 
 QUERIES = {
@@ -128,5 +140,13 @@ ORACLES = {
     "stream_progress": monitoring.PROGRESS_SQL,
     "stream_recent_bad": monitoring.ORACLES["recent_bad"],
     "stream_redact": redaction_plans.ORACLES["redact_documents"],
-    "stream_route": curation.ORACLES["bad_tickets"],
+    "stream_route": " UNION ALL ".join(
+        f"SELECT '{sink}' AS sink, concat_ws('|', {', '.join(f"coalesce({c}, '-')" for c in columns)}) AS \"row\" "
+        f"FROM ({curation.ORACLES[query]})"
+        for sink, query, columns in (
+            ("good", "good_tickets", ["instruction", "response", "category", "subcategory", "assignment_group"]),
+            ("bad", "bad_tickets", ["raw_ticket", "error", "error_class"]),
+            ("transactions", "transactions", ["ticket_json", "request_payload", "raw_response"]),
+        )
+    ),
 }

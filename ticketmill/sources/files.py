@@ -9,8 +9,11 @@ import importlib.util
 import io
 import lzma
 from collections.abc import Iterable, Iterator
+from functools import reduce
+from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,40 +25,50 @@ from ..functions.jsonl import json_verdict
 IGNORED_DIRECTORIES = (".venv", "venv", "__pycache__", ".git", "node_modules")
 FALLBACK_ENCODINGS = ("utf-16", "cp1252", "latin-1")
 
+# Where cp1252 has other characters than latin-1: 0x80 to 0x9F, but for five unused bytes.
+_WINDOWS = tuple(
+    "".join(c) for c in zip(*((chr(b), bytes([b]).decode("cp1252")) for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)))
+)
+MAX_HEADERS = 64  # different headers an export may have
 _BATCH_LINES = 10_000
 _BLOCK = 1024 * 1024
-LINE_SCHEMA = "file string, value string"
+
+
+def _foreign(name: Column) -> Column:
+    """Compressed files that Spark's text reader does not open by their suffix."""
+    return name.rlike(r"(?i)\.(gz|bz2|xz)$") & ~name.rlike(r"\.(gz|bz2)$")
 
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Lines of plain, ``.gz`` and ``.bz2`` files as ``(file, value)``.
 
     Plain and ``.bz2`` files are split. A ``.gz`` file is one task: repartition
-    after the scan when a few large ones feed heavy work. ``.xz`` files would
-    come back as raw bytes, so they are refused here; see `read_compressed`.
+    after the scan when a few large ones feed heavy work. ``.xz`` (and ``.GZ``) files
+    would come back as raw bytes: the job fails when a path or folder holds one; see
+    `read_compressed`.
     """
     listed = [paths] if isinstance(paths, str) else list(paths)
     if any(p.lower().endswith(".xz") for p in listed):
         raise ValueError("read .xz files with read_compressed")
-    return spark.read.text(listed).select(F.col("_metadata.file_path").alias("file"), "value")
+    name = F.col("_metadata.file_path")
+    refused = F.raise_error(F.concat(F.lit("read this file with read_compressed: "), name)).cast("boolean")
+    lines = spark.read.text(listed).filter(F.when(_foreign(name), refused).otherwise(F.lit(True)))
+    return lines.select(name.alias("file"), "value")
 
 
 _OPENERS = {".gz": gzip.open, ".bz2": bz2.open, ".xz": lzma.open}
 
 
-def _opened_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _opened_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines as bytes: whether they are text is for the line's verdict to say."""
     for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
             opener = _OPENERS["." + path.lower().rsplit(".", 1)[1]]
-            with opener(io.BytesIO(content), "rt", encoding="utf-8", errors="replace") as lines:
-                held: list[str] = []
-                for line in lines:
-                    held.append(line.rstrip("\n"))
-                    if len(held) == _BATCH_LINES:
-                        yield pd.DataFrame({"file": path, "value": held})
-                        held = []
-                if held:
-                    yield pd.DataFrame({"file": path, "value": held})
+            with opener(io.BytesIO(content.as_buffer()), "rb") as lines:
+                while held := [line.rstrip(b"\n").removesuffix(b"\r") for line in islice(lines, _BATCH_LINES)]:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([path] * len(held)), pa.array(held, pa.binary())], names=["file", "value"]
+                    )
 
 
 def read_compressed(spark: SparkSession, path: str) -> DataFrame:
@@ -64,21 +77,31 @@ def read_compressed(spark: SparkSession, path: str) -> DataFrame:
     Spark's own codecs read ``.gz``, ``.bz2`` and plain files. The suffixes
     they do not know (``.xz``, ``.GZ``) are opened in the tasks instead.
     """
-    reader = spark.read.option("recursiveFileLookup", True)
+    # Both filters are on the file's own metadata, so neither branch opens the other's files.
+    name = F.col("_metadata.file_path")
+    opened = spark.read.option("recursiveFileLookup", True).format("binaryFile").load(path).filter(_foreign(name))
+    native = spark.read.option("recursiveFileLookup", True).text(path).filter(~_foreign(name)).select(name.alias("file"), "value")
+    lines = opened.select(name.alias("file"), "content").mapInArrow(_opened_lines, "file string, value binary")
+    return native.unionByName(lines.withColumn("value", F.col("value").cast("string")))
 
-    def foreign(name: Column) -> Column:
-        return name.rlike(r"(?i)\.(gz|bz2|xz)$") & ~name.rlike(r"\.(gz|bz2)$")
 
-    # Both filters are on file names, so neither branch opens the other's files.
-    opened = reader.format("binaryFile").load(path).filter(foreign(F.col("path")))
-    native = (
-        spark.read.option("recursiveFileLookup", True).text(path)
-        .select(F.col("_metadata.file_path").alias("file"), "value")
-        .filter(~foreign(F.col("file")))
-    )
-    return native.unionByName(
-        opened.select("path", "content").mapInPandas(_opened_lines, LINE_SCHEMA)
+def decoded_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines ``(file, value)`` of plain files, each read in the encoding `file_encoding_report` finds.
+
+    For encodings in which a line feed is one byte; UTF-16 files are refused.
+    """
+    report = file_encoding_report(spark, path).select(_one_slash(F.col("path")).alias("file"), "encoding")
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    lines = lines.select(_one_slash(F.col("_metadata.file_path")).alias("file"), F.col("value").cast("binary").alias("value"))
+    raw, encoding = F.col("value"), F.col("encoding")
+    refused = F.raise_error(F.concat(F.lit("not readable line by line: "), F.col("file"))).cast("string")
+    value = (
+        F.when(encoding == "utf-8", raw.cast("string"))
+        .when(encoding == "cp1252", F.translate(F.decode(raw, "ISO-8859-1"), *_WINDOWS))
+        .when(encoding == "latin-1", F.decode(raw, "ISO-8859-1"))
+        .otherwise(refused)
     )
+    return lines.join(report, "file").select("file", value.alias("value"))
 
 
 def _pick_columns(frame: DataFrame) -> list[Column]:
@@ -96,19 +119,22 @@ def _pick_columns(frame: DataFrame) -> list[Column]:
     ]
 
 
-def read_export(spark: SparkSession, path: str) -> DataFrame:
-    """A tabular export (CSV with a header) as the six nullable ticket fields.
+def _headers(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, header)``: the first line of each file."""
 
-    Spark renames repeated headers by appending their position, e.g. the
-    columns ``Category3`` and ``Category7``; the first of them is taken.
-    """
-    raw = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .csv(path)
-    )
+    def first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, str] = {}
+        for batch in batches:
+            for file, line in zip(*(c.to_pylist() for c in batch.columns)):
+                seen.setdefault(file, line)
+        yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.string()) for x in (seen, seen.values())], names=["file", "header"])
+
+    lines = spark.read.text(path)
+    begin = lines.filter(F.col("_metadata.file_block_start") == 0).select(F.col("_metadata.file_path").alias("file"), "value")
+    return begin.mapInArrow(first_lines, "file string, header string")
+
+
+def _with_header(raw: DataFrame) -> DataFrame:
     firsts: set[str] = set()
     renamed = []
     for position, name in enumerate(raw.columns):
@@ -116,7 +142,33 @@ def read_export(spark: SparkSession, path: str) -> DataFrame:
         header = base if base in EXPORT_COLUMNS.values() else name
         renamed.append(header if header not in firsts else f"__repeated_{position}")
         firsts.add(header)
-    return raw.toDF(*renamed).select(*_pick_columns(raw.toDF(*renamed)))
+    named = raw.toDF(*renamed)
+    return named.select(*_pick_columns(named))
+
+
+def read_export(spark: SparkSession, path: str) -> DataFrame:
+    """A tabular export (CSV with a header) as the six nullable ticket fields.
+
+    Files may differ in the order and choice of columns: each distinct header (at most
+    MAX_HEADERS) is read on its own, over the files that have it. Spark renames
+    repeated headers by appending their position, e.g. the columns ``Category3`` and
+    ``Category7``; the first of them is taken.
+    """
+    options = {"header": True, "inferSchema": False, "multiLine": True, "escape": '"'}
+    files = _headers(spark, path)
+    kinds = files.groupBy("header").agg(F.min("file").alias("file")).orderBy("header").limit(MAX_HEADERS + 1).collect()
+    if len(kinds) > MAX_HEADERS:
+        raise ValueError(f"{path} has more than {MAX_HEADERS} different headers")
+    if len(kinds) < 2:
+        return _with_header(spark.read.options(**options).csv(path))
+    parts = []
+    for kind in kinds:
+        schema = spark.read.options(**options).csv(kind["file"]).schema
+        own = files.filter(F.col("header") == kind["header"]).select("file")
+        raw = spark.read.options(**options).schema(schema).csv(path).withColumn("__file", F.col("_metadata.file_path"))
+        mine = raw.join(own, F.col("__file") == F.col("file"), "left_semi").drop("__file")
+        parts.append(_with_header(mine))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_workbooks(spark: SparkSession, path: str) -> DataFrame:
@@ -159,16 +211,14 @@ def discover_files(
     ignored: Iterable[str] = IGNORED_DIRECTORIES,
 ) -> DataFrame:
     """Whole files below ``root`` as ``(path, content)``, path relative to the root."""
-    # The readers skip empty files, so the listing says which files there are.
+    # The readers skip empty files, so those are added from the listing: names only are compared.
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).format("binaryFile")
+    name = _one_slash(F.col("_metadata.file_path"))
+    read = reader.load(root).select(name.alias("full"), F.make_valid_utf8(F.col("content").cast("string")).alias("content"))
+    filled = reader.load(root).select(name.alias("file"))
     names = _listed(spark, root, pathGlobFilter=glob, recursiveFileLookup=True)
-    contents = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-        .format("binaryFile").load(root)
-        .select(_one_slash(F.col("_metadata.file_path")).alias("file"), F.make_valid_utf8(F.col("content").cast("string")).alias("content"))
-    )
-    found = names.join(contents, "file", "left").select(
-        F.col("file").alias("full"), F.coalesce("content", F.lit("")).alias("content")
-    )
+    empty = names.join(filled, "file", "left_anti").select(F.col("file").alias("full"), F.lit("").alias("content"))
+    found = read.unionByName(empty)
     folder = spark._jvm.org.apache.hadoop.fs.Path(root)
     system = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     # With one slash, the authority of a URI is the first part of its path.
