@@ -44,11 +44,20 @@ CUTS = ((LETTER, SPACE), (PLAIN, SPACE), (REST, SPACE))
 BAND_RATIO = 1.4
 BLOCK = 1024  # classes in a block of a large tile
 PARTNERS = 8  # partners tested in the first round; each later round takes eight times as many
+PORTION = 1000  # texts worked on at once
 SHIPPED_KEYS = 1 << 20  # ids are sent to all tasks up to this number, else joined
 
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
+def _portions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, few at a time: what is made of a text is a multiple of its size."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PORTION):
+            yield batch.slice(at, PORTION)
+        pa.default_memory_pool().release_unused()
+
+
 class Rule(NamedTuple):
     """Sets link when den * |intersection| >= num * |union|."""
 
@@ -151,7 +160,7 @@ def _described(df: DataFrame, rule: Rule) -> DataFrame:
     """_id, n, key, short (of the key), bitmap of each row of (_id, _text)."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches):
             found = list(sets(batch.column("_text"), rule.width))
             keys = [key_of(f) if len(f) else None for f in found]
             columns = [
@@ -176,7 +185,7 @@ def _signed(df: DataFrame, rule: Rule, hot: dict[bytes, object]) -> DataFrame:
     lows = rule.bands()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches):
             sigs, shorts, met = [], [], set()
             ids = batch.column("_id")
             for i, elements in enumerate(sets(batch.column("_text"), rule.width)):
@@ -336,13 +345,13 @@ def _verified(pairs: DataFrame, df: DataFrame, classes: DataFrame, rule: Rule) -
     rows = df.alias("d").join(wanted.alias("w"), F.col("d._id").eqNullSafe(F.col("w._id")), "left_semi")
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches):
             found = [f for f in sets(batch.column("_text"), rule.width) if len(f)]
             columns = [pa.array([key_of(f) for f in found], pa.binary()), pa.array([f.tobytes() for f in found], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["key", "elements"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches):
             kept = []
             for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)

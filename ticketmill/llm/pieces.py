@@ -38,7 +38,7 @@ from .words import SPACE as BLANK
 from .words import split
 
 SPACE = "▁"
-MEMO = 800_000  # chunks whose encoding a worker keeps; it starts anew when full
+MEMO = 400_000  # chunks whose encoding a worker keeps; it starts anew when full
 MEMO_CHARS = 64  # longer chunks are not kept
 # Latin letters; pieces of a supported model join them with no other character but U+2581.
 LATIN = r"A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af\u1e00-\u1eff"

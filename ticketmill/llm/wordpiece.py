@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import text_of
 from .words import ASCII_SPACES, LETTER, PLAIN, REST, SPACE, slices, split, sums
 
-MEMO = 800_000  # words whose count a worker keeps; it starts anew when full
+MEMO = 400_000  # words whose count a worker keeps; it starts anew when full
 MEMO_CHARS = 64
 CUTS = ((LETTER, SPACE), (PLAIN, SPACE), (REST, SPACE))
 
