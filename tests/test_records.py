@@ -200,13 +200,23 @@ def test_settings():
         {"bad_ratio_stop": 99.0},
         {"ema_alpha": 0.0},
         {"bad_ratio_warning": 0.995},
-        {"batch_size": 0},
-        {"breaker_recovery_seconds": -1},
+        {"max_attempts": 0},
+        {"ticket_timeout_seconds": -1},
     ):
         with pytest.raises(ValueError):
             Settings(**wrong)
 
 
+def test_settings_reach_the_operators(spark, folder):
+    """Other settings than the defaults change what the queries do."""
+    from ticketmill.plans import curation, sequences
+
+    strict = curation.routed(spark, folder, Settings(ticket_timeout_seconds=1.0))
+    assert strict.filter("error_class = 'timeout'").count() > curation.routed(spark, folder).filter("error_class = 'timeout'").count()
+    quick = sequences.bad_ratio_ema(spark, folder, Settings(ema_alpha=1.0))
+    assert {r["ema"] for r in quick.select("ema").distinct().collect()} == {0.0, 1.0}
+
+
 def test_a_model_is_asked_once_and_only_for_accepted_lines(spark, tmp_path):
     lines = [TICKET, TICKET, "{", "[1]"]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "id long, value string").coalesce(1)

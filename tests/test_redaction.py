@@ -120,6 +120,15 @@ def test_other_columns_and_languages_pass_through(spark):
     assert out[1]["parts"] == ["a@b.co"] and out[1]["n"] == 2.5
 
 
+def test_detectors_of_a_language(spark):
+    german = Detector("NUMMER", r"\bNr [0-9]+\b", 0.9, hint="Nr ", language="de")
+    rows = [(1, "de", "Nr 5 a@b.co"), (2, "en", "Nr 5 a@b.co"), (3, "fr", "Nr 5 a@b.co"), (4, None, "Nr 5"), (5, "de", None)]
+    df = spark.createDataFrame(rows, "id int, lang string, text string")
+    out = redaction.redact_columns(df, ["text"], [EMAIL, german], language=F.col("lang"), languages=("de", "en"))
+    got = {r["id"]: r["text"] for r in out.collect()}
+    assert got == {1: "<REDACTED> <EMAIL_ADDRESS>", 2: "Nr 5 <EMAIL_ADDRESS>", 3: "Nr 5 a@b.co", 4: "Nr 5", 5: None}
+
+
 def test_json_records(spark):
     line = '{"a":"x@y.co","b":5,"c":null,"d":{"e":"x@y.co"},"f":["x@y.co"],"g":""}'
     df = spark.createDataFrame([(line,), ("[1]",), ("{bad",)], "value string")

@@ -23,6 +23,7 @@ class Detector:
     context: tuple[str, ...] = field(default_factory=tuple)
     check: str | None = None  # None or "luhn"
     name: str = ""
+    language: str | None = None  # only for texts in this language; None: for all
 
     def __post_init__(self) -> None:
         if not self.entity:

@@ -44,9 +44,13 @@ def run_summary(outcomes: DataFrame, is_bad: Column, by: Iterable[str] = ()) ->
     )
 
 
-def redaction_metrics(df: DataFrame, text: Column, failed: Column | None = None) -> DataFrame:
+def redaction_metrics(
+    df: DataFrame, text: Column, failed: Column | None = None, seconds: float | None = None
+) -> DataFrame:
     """Texts, characters, error rate, and the share of texts a memo would answer.
 
+    With the ``seconds`` a run took, also its ``chars_per_second``.
+
     Null and empty texts never reach the analyser. Distinct texts are counted
     on a 256-bit digest, so the shuffle carries 32 bytes per distinct text.
     """
@@ -58,9 +62,11 @@ def redaction_metrics(df: DataFrame, text: Column, failed: Column | None = None)
         F.count_if("failed").alias("errors"),
         F.count_distinct(F.unhex(F.sha2(F.encode("text", "UTF-8"), 256))).alias("distinct_texts"),
     )
+    rate = [] if seconds is None else [_ratio(F.col("chars"), F.lit(seconds)).alias("chars_per_second")]
     return counted.select(
         "texts",
         "chars",
+        *rate,
         "errors",
         _ratio(F.col("errors"), F.col("texts")).alias("error_rate"),
         "distinct_texts",

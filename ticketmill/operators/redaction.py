@@ -83,19 +83,27 @@ def redact_columns(
 ) -> DataFrame:
     """Redact every top-level string column; other columns pass through.
 
-    With a ``language`` column, rows in other languages are left untouched.
+    With a ``language`` column, rows in other languages are left untouched, and a
+    detector that has a language is used for rows in it only.
     No shuffle: the rows stay in the partitions they were read into.
     """
     detectors = tuple(detectors)
     names = list(columns) if columns is not None else string_columns(df)
-    analysed = language.isin(*languages) if language is not None else None
+    own = sorted({d.language for d in detectors if d.language}) if language is not None else []
 
     def one(name: str) -> Column:
         text = F.col(name)
-        if analysed is None:
+        if language is None:
             return redact(text, detectors, operators, **options)
-        chosen = redact(F.when(analysed, text), detectors, operators, **options)
-        return F.when(analysed, chosen).otherwise(text)
+        # A text reaches only the detectors of its row.
+        general = tuple(d for d in detectors if d.language is None)
+        cases = [(language == x, general + tuple(d for d in detectors if d.language == x)) for x in own if x in languages]
+        cases.append((language.isin(*languages) & ~language.isin(*own), general) if own else (language.isin(*languages), general))
+        chosen = text
+        for when, used in reversed(cases):
+            if used:
+                chosen = F.when(when, redact(F.when(when, text), used, operators, **options)).otherwise(chosen)
+        return chosen
 
     return df.withColumns({name: one(name) for name in names})
 

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions.fields import GOOD_FIELDS
 from ..operators import gates, monitor, routing
+from ..settings import Settings
 from .tables import ANSWERS_SQL, answered_lines, table
 
 PACK_WIDTH = 64  # documents per shard: ids are unique, so a shard is bounded
 
 
-def routed(spark: SparkSession, folder: str) -> DataFrame:
+def routed(spark: SparkSession, folder: str, settings: Settings = Settings()) -> DataFrame:
     lines = gates.raw_tickets(answered_lines(spark, folder))
     return gates.classify(
         lines,
@@ -20,6 +21,8 @@ def routed(spark: SparkSession, folder: str) -> DataFrame:
         call_error="call_error",
         call_class="call_class",
         seconds="seconds",
+        min_words=settings.min_word_count,
+        timeout=settings.ticket_timeout_seconds,
     )
 
 

@@ -149,8 +149,10 @@ def entity_usage(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def redaction_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("text")
-    return monitor.redaction_metrics(docs, F.col("text"))
+    docs = documents(spark, folder).select("text")
+    done = docs.withColumn("redacted", redaction.redact(F.col("text"), DEFAULT_DETECTORS))
+    failed = F.size(redaction.failed_columns(["redacted"])) > 0
+    return monitor.redaction_metrics(done, F.col("text"), failed)
 
 
 def detector_metrics(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import monitor, sequence
+from ..settings import Settings
 from .monitoring import IS_BAD, is_bad
 from .tables import table
 
@@ -21,8 +22,8 @@ def outcomes(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select("user_id", "ts", "event_id", "event_type")
 
 
-def bad_ratio_ema(spark: SparkSession, folder: str) -> DataFrame:
-    averaged = sequence.ema(outcomes(spark, folder), "user_id", ORDER, is_bad())
+def bad_ratio_ema(spark: SparkSession, folder: str, settings: Settings = Settings()) -> DataFrame:
+    averaged = sequence.ema(outcomes(spark, folder), "user_id", ORDER, is_bad(), settings.ema_alpha)
     return averaged.select("user_id", "event_id", F.round("ema", 10).alias("ema"))
 
 
@@ -56,9 +57,9 @@ def rate_excess(spark: SparkSession, folder: str) -> DataFrame:
     return sequence.rate_excess(outcomes(spark, folder), "user_id", "ts", RATE_LIMIT, "12 hours")
 
 
-def attempt_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+def attempt_outcomes(spark: SparkSession, folder: str, settings: Settings = Settings()) -> DataFrame:
     log = table(spark, folder, "events").select("user_id", "ts", "event_id", "event_type")
-    return sequence.resolve_attempts(log, "user_id", ORDER, F.expr(RETRIES)).select(
+    return sequence.resolve_attempts(log, "user_id", ORDER, F.expr(RETRIES), settings.max_attempts).select(
         "user_id", F.col("attempts").cast("bigint").alias("attempts"), "status", "error_class", "waited_seconds"
     )
 

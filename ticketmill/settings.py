@@ -1,26 +1,21 @@
-"""Parameters of a curation run, checked when they are set."""
+"""Parameters of a curation run, checked when they are set; the registered queries run with the defaults."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 from .operators.gates import MIN_WORDS, TIMEOUT_SECONDS
+from .operators.sequence import EMA_ALPHA, MAX_ATTEMPTS, STOP_AT, WARN_AT
 
 
 @dataclass(frozen=True)
 class Settings:
-    # The defaults of the workload.
     min_word_count: int = MIN_WORDS
     ticket_timeout_seconds: float = TIMEOUT_SECONDS
-    ema_alpha: float = 0.05
-    bad_ratio_warning: float = 0.90
-    bad_ratio_stop: float = 0.99
-    breaker_failures: int = 10
-    breaker_recovery_seconds: float = 60
-    bucket_capacity: int = 200
-    bucket_refill_per_second: int = 40
-    max_attempts: int = 5
-    batch_size: int = 500
+    ema_alpha: float = EMA_ALPHA
+    bad_ratio_warning: float = WARN_AT
+    bad_ratio_stop: float = STOP_AT
+    max_attempts: int = MAX_ATTEMPTS
 
     def __post_init__(self) -> None:
         if self.min_word_count < 0:
@@ -30,15 +25,6 @@ class Settings:
                 raise ValueError(f"{name} must be in (0, 1]")
         if self.bad_ratio_warning > self.bad_ratio_stop:
             raise ValueError("bad_ratio_warning must not exceed bad_ratio_stop")
-        for name in (
-            "ticket_timeout_seconds",
-            "breaker_failures",
-            "bucket_capacity",
-            "bucket_refill_per_second",
-            "max_attempts",
-            "batch_size",
-        ):
+        for name in ("ticket_timeout_seconds", "max_attempts"):
             if getattr(self, name) <= 0:
                 raise ValueError(f"{name} must be positive")
-        if self.breaker_recovery_seconds < 0:
-            raise ValueError("breaker_recovery_seconds must not be negative")
