@@ -4,7 +4,8 @@ A document's ids, with the end id after them, are cut into pieces of at most
 ``capacity`` tokens. A piece goes into the open sequence, or a new one, that makes
 the sum over all residual gaps of (number of open sequences with that gap)^2
 smallest. Pieces come in a mixed order, for which the rule is meant, but the small ones
-come last and longest first: they fill what is open. Shards of a bounded number of pieces, dealt by
+come last and longest first: they fill what is open. All longest first is tried too, and
+the better placing kept. Shards of a bounded number of pieces, dealt by
 hash, are packed each in one task; they differ in nothing but chance, and each
 leaves at most a few sequences open.
 
@@ -150,20 +151,25 @@ def pieces(text: Column | str, path: str, capacity: int = CAPACITY, end: int = E
     return split(text_of(text))
 
 
-def order(lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """The order in which pieces are placed: those over a sixteenth mixed, then the others by length."""
+def orders(lengths: np.ndarray, capacity: int) -> list[np.ndarray]:
+    """Orders to place pieces in: those over a sixteenth mixed, then the others by length; all by length."""
     large, small = (np.flatnonzero(x) for x in (lengths > capacity // 16, lengths <= capacity // 16))
     mixed = np.random.default_rng(len(large)).permutation(large)
-    return np.concatenate([mixed, small[np.argsort(-lengths[small], kind="stable")]])
+    return [np.concatenate([mixed, small[np.argsort(-lengths[small], kind="stable")]]), np.argsort(-lengths, kind="stable")]
 
 
-def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+def best_place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """The placing with the fewest sequences: the second order wins where pieces are few."""
+    return min((place(lengths, capacity, o) for o in orders(lengths, capacity)), key=lambda p: p[0].max(initial=-1))
+
+
+def place(lengths: np.ndarray, capacity: int, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sequence number and offset of each piece, by the sum-of-squares rule."""
     sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
     open_ = np.zeros(capacity + 1, np.int64)  # open sequences by gap; index 0 stays 0
     members: list[list[int]] = [[] for _ in range(capacity + 1)]
     made = 0
-    for at in order(lengths, capacity).tolist():
+    for at in order.tolist():
         size = int(lengths[at])
         rest = capacity - size
         if rest == 0:
@@ -197,7 +203,7 @@ def pack(cut_pieces: DataFrame, length: str = "length", capacity: int = CAPACITY
     columns = cut_pieces.columns
 
     def packed(key: tuple, rows: pa.Table) -> pa.Table:
-        sequence, offset = place(rows["_length"].to_numpy(), capacity)
+        sequence, offset = best_place(rows["_length"].to_numpy(), capacity)
         rows = rows.drop_columns(["_length"])
         rows = rows.append_column("sequence_id", pa.array((key[0].as_py() << 32) + sequence))
         return rows.append_column("offset", pa.array(offset))
