@@ -9,6 +9,7 @@ recognised in the JVM and never cross to Python.
 from __future__ import annotations
 
 import json
+import re
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -25,6 +26,7 @@ _ARROW_VERDICT = pa.struct(
     + [("shape_ok", pa.bool_()), ("fields", pa.map_(pa.string(), pa.string()))]
 )
 
+_SURROGATE = re.compile(r"\\u[dD][89a-fA-F]")
 _KINDS = {dict: "object", list: "array", str: "string", bool: "boolean", type(None): "null"}
 
 
@@ -42,19 +44,31 @@ def struct_array(rows: list[dict | None], kind: pa.StructType) -> pa.StructArray
     return pa.StructArray.from_arrays(columns, fields=list(kind), mask=missing)
 
 
-def _judge(line: str, allow_nan: bool, fields: tuple[str, ...]) -> dict:
+def _writable(line: str, value, dump: bool) -> str | None:
+    """The value on one line, as far as ``dump`` asks for it; fails on half a character.
+
+    Only an escape can bring one in, so other lines need no encoding to find out.
+    """
+    escaped = _SURROGATE.search(line) is not None
+    if not (dump or escaped):
+        return None
+    dumped = json.dumps(value, ensure_ascii=False)
+    if escaped:
+        dumped.encode("utf-8")
+    return dumped
+
+
+def _judge(line: str, allow_nan: bool, fields: tuple[str, ...], dump: bool) -> dict:
     try:
         value = json.loads(line, parse_constant=float if allow_nan else _reject_constant)
+        dumped = _writable(line, value, dump)
+    except UnicodeEncodeError:
+        return {"verdict": "invalid_unicode", "reason": "Invalid JSON: lone surrogate"}
     except json.JSONDecodeError as error:
         return {"verdict": "invalid", "reason": f"Invalid JSON: {error}"}
     except (ValueError, RecursionError) as error:
         return {"verdict": "invalid", "reason": f"Invalid JSON: {type(error).__name__}"}
-    dumped = json.dumps(value, ensure_ascii=False)
-    try:
-        dumped.encode("utf-8")
-    except UnicodeEncodeError:
-        return {"verdict": "invalid_unicode", "reason": "Invalid JSON: lone surrogate"}
-    row = {"verdict": "ok", "kind": _KINDS.get(type(value), "number"), "line": dumped}
+    row = {"verdict": "ok", "kind": _KINDS.get(type(value), "number"), "line": dumped if dump else None}
     if fields:
         picked = {f: value.get(f) for f in fields} if isinstance(value, dict) else {}
         texts = all(v is None or isinstance(v, str) for v in picked.values())
@@ -78,7 +92,7 @@ def strict_json(text: str):
     """The decoded value; None when a strict reader rejects the text."""
     try:
         value = json.loads(text.strip())
-        json.dumps(value, ensure_ascii=False).encode("utf-8")
+        _writable(text, value, False)
     except (ValueError, RecursionError):
         return None
     return value
@@ -89,9 +103,11 @@ def json_verdict(
     allow_nan: bool = True,
     fields: tuple[str, ...] = (),
     strip_line: bool = True,
+    dump: bool = True,
 ) -> Column:
     """``verdict`` ok / blank / invalid / invalid_unicode, the ``kind`` of value,
-    the compact one-line ``line`` and, for rejects, the ``reason``.
+    the compact one-line ``line`` and, for rejects, the ``reason``. Without ``dump``
+    ``line`` is null, which saves writing every value anew.
 
     Without ``strip_line``, white space that JSON does not know (a no-break
     space, say) around the value makes the line invalid.
@@ -103,7 +119,7 @@ def json_verdict(
     @F.arrow_udf(VERDICT)
     def judge(lines: pa.Array) -> pa.Array:
         texts = (t.strip() if t is not None and strip_line else t for t in lines.to_pylist())
-        rows = [None if t is None else _judge(t, allow_nan, fields) for t in texts]
+        rows = [None if t is None else _judge(t, allow_nan, fields, dump) for t in texts]
         return struct_array(rows, _ARROW_VERDICT)
 
     blank = F.coalesce(is_blank(line), F.lit(True))

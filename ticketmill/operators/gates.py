@@ -55,7 +55,7 @@ def raw_tickets(lines: DataFrame, column: str = "value") -> DataFrame:
 
     The source line is kept verbatim as ``raw_ticket``.
     """
-    judged = lines.withColumn("json", json_verdict(F.col(column), fields=TICKET_FIELDS))
+    judged = lines.withColumn("json", json_verdict(F.col(column), fields=TICKET_FIELDS, dump=False))
     fields = {n: F.try_element_at(F.col("json.fields"), F.lit(n)) for n in TICKET_FIELDS}
     shape = F.coalesce("json.shape_ok", F.lit(False))
     return judged.withColumns(

@@ -12,11 +12,11 @@ from ..functions.jsonl import json_verdict
 
 
 def with_verdict(
-    lines: DataFrame, column: str = "value", allow_nan: bool = True, strip_line: bool = True
+    lines: DataFrame, column: str = "value", allow_nan: bool = True, strip_line: bool = True, dump: bool = True
 ) -> DataFrame:
     """Lines with their ``json`` verdict. Counting and integrity checks of whole
-    files do not strip lines; reading and reformatting do."""
-    return lines.withColumn("json", json_verdict(F.col(column), allow_nan, strip_line=strip_line))
+    files do not strip lines; reading and reformatting do. Only reformatting needs ``dump``."""
+    return lines.withColumn("json", json_verdict(F.col(column), allow_nan, strip_line=strip_line, dump=dump))
 
 
 def accepted(judged: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from .tables import (
 
 
 def json_verdicts(spark: SparkSession, folder: str) -> DataFrame:
-    judged = records.with_verdict(spoilt_lines(spark, folder))
+    judged = records.with_verdict(spoilt_lines(spark, folder), dump=False)
     return judged.select("event_id", F.col("json.verdict").alias("verdict"), F.col("json.kind").alias("kind"))
 
 
@@ -34,16 +34,16 @@ def reformat_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reformat_report(spark: SparkSession, folder: str) -> DataFrame:
-    return records.reformat_report(records.with_verdict(spoilt_lines(spark, folder)))
+    return records.reformat_report(records.with_verdict(spoilt_lines(spark, folder), dump=False))
 
 
 def valid_counts(spark: SparkSession, folder: str) -> DataFrame:
-    judged = records.with_verdict(spoilt_lines(spark, folder), strip_line=False)
+    judged = records.with_verdict(spoilt_lines(spark, folder), strip_line=False, dump=False)
     return records.count_records(judged)
 
 
 def line_integrity(spark: SparkSession, folder: str) -> DataFrame:
-    judged = records.with_verdict(spoilt_lines(spark, folder), strip_line=False)
+    judged = records.with_verdict(spoilt_lines(spark, folder), strip_line=False, dump=False)
     return records.integrity(judged, ["user_id"], F.col("event_id"))
 
 
@@ -53,14 +53,14 @@ def object_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    judged = records.with_verdict(spoilt_lines(spark, folder))
+    judged = records.with_verdict(spoilt_lines(spark, folder), dump=False)
     rejected = records.rejects(judged, ["event_id", "value"], objects_only=True)
     kind = F.when(F.startswith("reason", F.lit("Invalid JSON")), "invalid").otherwise(F.col("reason"))
     return rejected.select("event_id", "value", kind.alias("reason"))
 
 
 def io_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return records.io_metrics(records.with_verdict(spoilt_lines(spark, folder)))
+    return records.io_metrics(records.with_verdict(spoilt_lines(spark, folder), dump=False))
 
 
 def blank_to_null(spark: SparkSession, folder: str) -> DataFrame:
@@ -153,6 +153,9 @@ _PHONE = r"\+1 \(555\) 010-[0-9]{4}"
 _MERGED = "concat_ws(' ', nullif(trim(Short_Description), ''), Description)"
 _SCHEMA = json.dumps(fields.response_schema(), separators=(",", ":"))
 
+_MARKERS = ", ".join(f"'{m}'" for m in fields.MISSING_MARKERS)
+_JSON = "CASE WHEN json_valid(value) THEN value END"
+
 ORACLES = {
     "json_verdicts": f"""WITH {SPOILT_SQL} SELECT event_id,
         CASE WHEN {_BLANK} THEN 'blank' WHEN {_VALID} THEN 'ok' ELSE 'invalid' END AS verdict,
@@ -172,12 +175,14 @@ ORACLES = {
     "io_metrics": f"""WITH {SPOILT_SQL} SELECT CAST(sum(strlen(value) + 1) AS BIGINT) AS bytes_read,
         count(*) AS read_operations, count(*) FILTER (WHERE {_BAD}) AS error_count FROM lines""",
     "blank_to_null": f"""WITH {TICKETS_SQL} SELECT ticket_id,
-        {', '.join(f"nullif(trim({n}), '') AS {n}" for n in fields.TICKET_FIELDS)} FROM tickets""",
+        {', '.join(f"CASE WHEN {n} NOT IN ({_MARKERS}) THEN nullif(trim({n}), '') END AS {n}" for n in fields.TICKET_FIELDS)}
+        FROM tickets""",
     "fill_missing": f"""WITH {TICKETS_SQL} SELECT ticket_id,
         {', '.join(f"{_filled(n)} AS {n}" for n in fields.TICKET_FIELDS)} FROM tickets""",
     "ticket_payload": f"WITH {TICKETS_SQL} SELECT ticket_id, {_PAYLOAD} AS payload FROM tickets",
-    "ticket_shape": f"""WITH {ANSWERS_SQL}, shaped AS (SELECT ticket_id, ticket_id % 29 NOT IN (1, 2, 3, 4) AS shape_ok
-        FROM answers) SELECT ticket_id, shape_ok, CASE WHEN shape_ok THEN {_PAYLOAD} END AS request_payload
+    "ticket_shape": f"""WITH {ANSWERS_SQL}, shaped AS (SELECT ticket_id, coalesce(json_type({_JSON}) = 'OBJECT' AND
+        {' AND '.join(f"coalesce(json_type({_JSON}, '$.{n}'), 'NULL') IN ('VARCHAR', 'NULL')" for n in fields.TICKET_FIELDS)},
+        false) AS shape_ok FROM answers) SELECT ticket_id, shape_ok, CASE WHEN shape_ok THEN {_PAYLOAD} END AS request_payload
         FROM shaped JOIN tickets USING (ticket_id)""",
     "training_pairs": rf"""WITH {TICKETS_SQL} SELECT ticket_id,
         trim(regexp_replace(regexp_replace({_MERGED}, '{_PHONE}', '', 'g'), '[ \t]+', ' ', 'g')) AS instruction,

@@ -32,7 +32,7 @@ TICKET_COLUMNS = {
         ' mail u', o_custkey, '@corp.example.com from 10.0.', {_KEY} % 256, '.', o_custkey % 256)""",
     "Close_Notes": """CASE o_orderstatus WHEN 'F' THEN 'Replaced the cable and restarted the machine for them.'
         WHEN 'O' THEN 'Pending' END""",
-    "Category": "c_mktsegment",
+    "Category": f"CASE WHEN {_KEY} % 31 = 0 THEN 'N/A' WHEN {_KEY} % 37 = 0 THEN 'null' ELSE c_mktsegment END",
     "Subcategory": "o_orderpriority",
     "Assignment_Group": f"CASE WHEN {_KEY} % 11 = 0 THEN NULL ELSE concat('GRP-', c_nationkey) END",
 }
