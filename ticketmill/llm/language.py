@@ -34,6 +34,7 @@ DIMENSIONS = 4096
 CENTROIDS = 4
 SAMPLE_PER_LANGUAGE = 800
 ROUNDS = 12
+MAX_LANGUAGES = 1000  # more labels than that are no languages
 # A text is rejected below this share of the least cosine of the centroid's own texts.
 REJECT_SHARE = 0.2
 UNKNOWN = "und"
@@ -104,7 +105,11 @@ def fit(df: DataFrame, label: str = "lang", text: str = "text", key: str = "doc_
     """Learn from the rows of ``df`` that have a label."""
     rows = df.select(F.col(label).cast("string").alias("_label"), text_of(text).alias("_text"), F.xxhash64(key).alias("_hash"))
     rows = rows.filter("_label IS NOT NULL")
-    share = rows.groupBy("_label").agg((F.lit(float(SAMPLE_PER_LANGUAGE)) / F.count("*")).alias("_share"))
+    sizes = rows.groupBy("_label").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"{label} has more than {MAX_LANGUAGES} values")
+    shares = [(r["_label"], SAMPLE_PER_LANGUAGE / r["n"]) for r in sizes]
+    share = df.sparkSession.createDataFrame(shares, "_label string, _share double")
     sample = (
         rows.join(F.broadcast(share), "_label")
         .filter(F.pmod("_hash", F.lit(1 << 20)) < F.col("_share") * (1 << 20))

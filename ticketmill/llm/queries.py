@@ -101,6 +101,25 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_ngram_jaccard": """
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1),
+                lambda i: array_to_string(w[i:i + 2], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+            FROM words),
+        items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
+        pairs AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) + any_value(b.n) AS total, count(*) AS shared
+            FROM items a JOIN items b ON a.item = b.item AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+        links AS (SELECT a, b FROM pairs WHERE 100 * shared >= 90 * (total - shared)),
+        edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reached AS (
+            SELECT doc_id, doc_id AS r FROM documents
+            UNION SELECT x.doc_id, e.b FROM reached x JOIN edges e ON x.r = e.a)
+        SELECT sets.doc_id, any_value(len(s)) AS n_shingles, min(r) AS component_id
+        FROM sets JOIN reached ON sets.doc_id = reached.doc_id GROUP BY sets.doc_id""",
     "op8_exact_dedup": """
         WITH texts AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256
