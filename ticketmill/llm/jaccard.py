@@ -43,7 +43,7 @@ from .words import ASCII_SPACES, LETTER, PLAIN, REST, SPACE, slices, split
 CUTS = ((LETTER, SPACE), (PLAIN, SPACE), (REST, SPACE))
 BAND_RATIO = 1.4
 BLOCK = 1024  # classes in a block of a large tile
-PARTNERS = 8  # partners tested in the first round; each later round takes eight times as many
+PARTNERS = 1  # partners tested in the first round; each later round takes eight times as many
 PORTION = 1000  # texts worked on at once
 SHIPPED_KEYS = 1 << 20  # ids are sent to all tasks up to this number, else joined
 
