@@ -35,7 +35,7 @@ from .words import ASCII_SPACES, LETTER, PLAIN, REST, SPACE, plain_letters, slic
 CAPACITY = 4096
 END = 1
 SHARD_PIECES = 200_000
-MEMO = 200_000  # chunks whose ids a worker keeps; it starts anew when full
+MEMO = 100_000  # chunks whose ids a worker keeps; it starts anew when full
 MEMO_CHARS = 64
 
 # White space, and an ASCII character after a plain Latin letter, begin a new token.

@@ -16,7 +16,7 @@ import pyarrow as pa
 
 SPACE, LETTER, PLAIN, REST = range(4)
 ASCII_SPACES = b" \t\n\x0b\x0c\r"
-SLICE_BYTES = 4 << 20  # texts are taken in slices of about this size
+SLICE_BYTES = 2 << 20  # texts are taken in slices of about this size
 
 
 class Chunks(NamedTuple):
