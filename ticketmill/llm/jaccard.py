@@ -124,8 +124,8 @@ def key_of(elements: np.ndarray) -> bytes:
 
 
 def bitmap(elements: np.ndarray) -> bytes:
-    """Parity of the elements at each of 2 to 4 bits per element."""
-    bits = max(64, 1 << (2 * len(elements) - 1).bit_length())
+    """Parity of the elements at each of 1 to 2 bits per element."""
+    bits = max(64, 1 << (len(elements) - 1).bit_length())
     places = (mix(elements ^ _C[4]) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -292,10 +292,11 @@ def _ranked(size: int, passing: list[tuple[int, np.ndarray]]) -> tuple[np.ndarra
     return a, b, np.minimum(ranks[: len(a)], ranks[len(a) :])
 
 
-def _candidates(members: DataFrame, rule: Rule, first: int, last: int) -> DataFrame:
+def _candidates(members: DataFrame, classes: DataFrame, rule: Rule, first: int, last: int) -> DataFrame:
     """a, b, tile: pairs whose place is from ``first`` up to ``last``; a null pair where a tile has later ones.
 
-    ``members``: tile, key, n, bitmap, label. Pairs with equal labels are left out.
+    ``members``: tile, key, label; bitmaps are joined to them for the one exchange that
+    needs them. Pairs with equal labels are left out.
     """
     large = members.groupBy("tile").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks")).filter("blocks > 1")
     block = F.pmod(F.xxhash64("key"), "blocks").cast("int")
@@ -305,7 +306,9 @@ def _candidates(members: DataFrame, rule: Rule, first: int, last: int) -> DataFr
         .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
         .withColumn("block", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("tile", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "n", "key", "bitmap", "label", "block")
+        .select("tile", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "key", "label", "block")
+        .join(classes.select("key", "n", "bitmap"), "key")
+        .select("tile", "i", "j", "n", "key", "bitmap", "label", "block")
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -371,7 +374,7 @@ class Prepared(NamedTuple):
     rows: DataFrame  # _id, _text
     described: DataFrame  # _id, n, key
     classes: DataFrame  # key, short, size, first_id, n, bitmap
-    members: DataFrame  # tile, key, n, bitmap
+    members: DataFrame  # tile, key
     total: int
 
 
@@ -388,14 +391,14 @@ def _prepare(df: DataFrame, key: str, text: str, rule: Rule) -> Prepared:
     # At most 1 / HOT_SHARE classes, however many rows there are.
     hot = {bytes(r.key): r.first_id for r in classes.filter(F.col("size") > total * HOT_SHARE).select("key", "first_id").collect()}
     tiles = stored(_tiles(_signed(rows, rule, hot)), "tiles")
-    members = tiles.join(classes.select("short", "key", "n", "bitmap"), "short").drop("short")
+    members = tiles.join(classes.select("short", "key"), "short").drop("short")
     return Prepared(rows, described.drop("bitmap", "short"), classes, stored(members, "members"), total)
 
 
 def links(df: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule = Rule()) -> tuple[DataFrame, DataFrame]:
     """Every link: (first_a, first_b) of two classes, and (key, first) of each row with a set."""
     p = _prepare(df, key, text, rule)
-    pairs = _candidates(p.members.withColumn("label", F.col("key")), rule, 0, 1 << 60)
+    pairs = _candidates(p.members.withColumn("label", F.col("key")), p.classes, rule, 0, 1 << 60)
     found = _verified(stored(pairs.select("a", "b"), "pairs"), p.rows, p.classes, rule)
     first = p.classes.select("key", "first_id")
     found = found.join(first.toDF("a", "first_a"), "a").join(first.toDF("b", "first_b"), "b").select("first_a", "first_b")
@@ -409,7 +412,7 @@ def components(df: DataFrame, key: str = "doc_id", text: str = "text", rule: Rul
     members, found, least, last = p.members.withColumn("label", F.col("key")), None, 0, PARTNERS
     label = None
     while True:
-        pairs = stored(_candidates(members, rule, least, last), "pairs")
+        pairs = stored(_candidates(members, p.classes, rule, least, last), "pairs")
         new = _verified(pairs.filter("a IS NOT NULL").select("a", "b"), p.rows, p.classes, rule)
         found = stored(new if found is None else found.unionByName(new), "links")
         label = roots(found).toDF("key", "label")
