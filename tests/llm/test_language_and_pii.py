@@ -44,6 +44,41 @@ def test_centroids_part_what_is_apart():
     assert len({tuple(owner[i : i + 30]) for i in (0, 30, 60)}) == 3 and (least > 0.9).all()
 
 
+def test_lone_outliers_become_no_centroids():
+    rng = np.random.default_rng(4)
+    usual = np.eye(1, 40, dtype=np.float32) + 0.05 * rng.random((60, 40), np.float32)
+    vectors = np.concatenate([usual, np.eye(40, dtype=np.float32)[30:33]])
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    centres, _ = language.cluster(vectors.astype(np.float32))
+    assert (centres @ vectors[0] > 0.9).all()
+
+
+def test_texts_of_no_learnt_language_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.fit(docs.filter(~language.held_out()))
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [" ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(n)) for n in (16, 64, 500) for _ in range(5)]
+    foreign = [
+        "".join(rng.choices(letters, k=2000)),
+        "Tämä on tavallinen suomenkielinen lause, jossa kerrotaan miten kaupungin asukkaat viettävät kesäisin aikaansa järvellä",
+        "To jest zwykłe polskie zdanie, w którym opowiada się o tym, jak mieszkańcy miasta spędzają czas latem nad jeziorem",
+        "Bu, şehir sakinlerinin yazın göl kenarında nasıl vakit geçirdiklerini anlatan sıradan bir Türkçe cümledir",
+    ]
+    odd = spark.createDataFrame([(t,) for t in [*words, *foreign]], "text string")
+    kept = odd.select("text", language.predict("text", model).alias("f")).filter("NOT f.rejected").collect()
+    assert kept == []
+    held = docs.filter(language.held_out()).filter("text RLIKE '[a-z]{2}'")
+    for size in (10, 30, 100, 100_000):
+        short = held.select(F.substring("text", 1, size).alias("text"))
+        gone = short.filter(language.predict("text", model)["rejected"]).count()
+        assert gone <= 0.005 * held.count(), size
+    # Without one language its texts are of none.
+    model = language.fit(docs.filter("lang <> 'es'"))
+    unlearnt = docs.filter("lang = 'es' AND n_chars > 300")
+    assert unlearnt.filter(language.predict("text", model)["rejected"]).count() >= 0.97 * unlearnt.count()
+
+
 def _brute(text):
     digits = lambda s: re.sub("[^0-9]", "", s)
     found = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]

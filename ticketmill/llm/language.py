@@ -3,18 +3,23 @@
 A text is a vector of hashed letter n-grams (two and three bytes of its lower-cased
 UTF-8, letters and word borders only), weighted by log(1 + count) and the inverse
 document frequency, and scaled to length one. Per language, spherical k-means over
-labelled texts gives a few centroids. A text gets the language of the centroid with
-the greatest cosine, and is rejected when that is far below what the centroid's own
-texts have.
+labelled texts gives a few centroids, none of them of a few outliers alone. A text gets
+the language of the centroid with the greatest cosine, and is rejected when that is far
+below what labelled texts of that language and of that length have. Length is the number
+of different n-grams, in steps of doubling; the usual cosine of each step is a low
+quantile over pieces of the labelled texts, so short texts are held to what short pieces
+have.
 
 The model is fitted on a sample of about SAMPLE_PER_LANGUAGE labelled rows of each
 language, chosen by the hash of the id; whole texts are read. One task fits one
-language. Only counts per language, the document frequencies and the centroids reach
-the driver: DIMENSIONS numbers each.
+language. Only counts per language, the document frequencies, the centroids and STEPS
+quantiles per language reach the driver: DIMENSIONS numbers each at most.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, and
 rejected; ties go to the language that sorts first; a null label teaches nothing;
-without labelled rows every text is ``und``; repeated rows are predicted alike.
+without labelled rows every text is ``und``; repeated rows are predicted alike; a step
+with fewer than LEAST_PIECES pieces takes the limit of all languages together, then that
+of the step below, and without any nothing is rejected.
 """
 
 from __future__ import annotations
@@ -35,8 +40,13 @@ CENTROIDS = 4
 SAMPLE_PER_LANGUAGE = 800
 ROUNDS = 12
 MAX_LANGUAGES = 1000  # more labels than that are no languages
-# A text is rejected below this share of the least cosine of the centroid's own texts.
-REJECT_SHARE = 0.2
+LEAST_MEMBERS = 0.05  # of a language's texts; a smaller cluster goes to the others
+# A text is rejected below this share of a low quantile of what labelled pieces of its length have.
+REJECT_SHARE = 0.45
+QUANTILE = 0.01
+PIECES = 2  # of a text and length
+LEAST_PIECES = 20
+STEPS = DIMENSIONS.bit_length()  # of length, each twice the one before
 UNKNOWN = "und"
 
 _NO_LETTER = re.compile(r"[\W\d_]+")
@@ -45,7 +55,7 @@ _NO_LETTER = re.compile(r"[\W\d_]+")
 class Model(NamedTuple):
     languages: list[str]  # of each centroid, sorted
     centroids: np.ndarray  # a row each, of length one
-    least: np.ndarray  # below it a text is rejected
+    limits: np.ndarray  # a row each, by length: below it a text is rejected
     weights: np.ndarray  # inverse document frequencies
 
 
@@ -69,24 +79,60 @@ def vector(found: np.ndarray, weights: np.ndarray) -> np.ndarray:
 def cluster(vectors: np.ndarray, k: int = CENTROIDS, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """Spherical k-means: centroids of length one, and the least cosine of each one's members."""
     k = min(k, len(vectors))
-    chosen = [0]  # the first row, then always the row farthest from those chosen
+    fewest = min(len(vectors), max(2, int(LEAST_MEMBERS * len(vectors))))
+    chosen = [0]  # the first row, then always one far from those chosen, but no outlier
     near = vectors @ vectors[0]
     while len(chosen) < k:
-        chosen.append(int(np.argmin(near)))
+        chosen.append(int(np.argsort(near, kind="stable")[len(vectors) // 10]))
         near = np.maximum(near, vectors @ vectors[chosen[-1]])
     centres = vectors[chosen].copy()
-    for _ in range(rounds):
-        owner = np.argmax(vectors @ centres.T, axis=1)
-        for c in range(k):
-            if (owner == c).any():
-                mean = vectors[owner == c].sum(axis=0)
-                centres[c] = mean / max(float(np.linalg.norm(mean)), 1e-12)
+    while True:
+        for _ in range(rounds):
+            owner = np.argmax(vectors @ centres.T, axis=1)
+            for c in range(len(centres)):
+                if (owner == c).any():
+                    mean = vectors[owner == c].sum(axis=0)
+                    centres[c] = mean / max(float(np.linalg.norm(mean)), 1e-12)
+        members = np.bincount(np.argmax(vectors @ centres.T, axis=1), minlength=len(centres))
+        if members.min() >= fewest:
+            break
+        centres = np.delete(centres, int(members.argmin()), axis=0)
     cosine = vectors @ centres.T
     owner = np.argmax(cosine, axis=1)
-    least = [cosine[owner == c, c].min(initial=1.0) for c in range(k)]
+    least = [cosine[owner == c, c].min(initial=1.0) for c in range(len(centres))]
     return centres, np.array(least, np.float32)
 
 
+def step(found: np.ndarray) -> int:
+    """The length of a text: the number of its different n-grams, as a power of two."""
+    return int(np.count_nonzero(found)).bit_length() - 1
+
+
+def pieces(text: str) -> Iterator[str]:
+    """A text, and pieces of it in all lengths, dealt evenly over it."""
+    yield text
+    text = _NO_LETTER.sub(" ", text.lower()).strip()
+    size = 4
+    while size < len(text):
+        for i in range(PIECES):
+            at = (2 * i + 1) * (len(text) - size) // (2 * PIECES)
+            yield text[at : at + size]
+        size *= 2
+
+
+def _limits(quantiles: dict[tuple[str | None, int], tuple[float, int]], language: str) -> np.ndarray:
+    """By length, the cosine below which a text is rejected; (None, step) are the values of all languages together."""
+    limits, limit = np.zeros(STEPS, np.float32), 0.0
+    for at in range(STEPS):
+        for key in ((language, at), (None, at)):
+            value, n = quantiles.get(key, (0.0, 0))
+            if n >= LEAST_PIECES:
+                limit = value * REJECT_SHARE
+                break
+        limits[at] = limit
+    return limits
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total, rows = np.zeros(DIMENSIONS, np.int64), 0
     for batch in batches:
@@ -124,20 +170,40 @@ def fit(df: DataFrame, label: str = "lang", text: str = "text", key: str = "doc_
     def learn(rows: pa.Table) -> pa.Table:
         found = (counts(t.as_py()) for t in rows["_text"])
         vectors = np.array([vector(f, weights) for f in found if f is not None], np.float32).reshape(-1, DIMENSIONS)
-        centres, least = cluster(vectors) if len(vectors) else (vectors, np.zeros(0, np.float32))
+        centres = cluster(vectors)[0] if len(vectors) else vectors
         return pa.table(
             {
                 "language": pa.array([rows["_label"][0].as_py()] * len(centres), pa.string()),
                 "centre": pa.array([c.tobytes() for c in centres], pa.binary()),
-                "least": pa.array(least.astype(np.float64)),
             }
         )
 
-    learnt = sample.groupBy("_label").applyInArrow(learn, "language string, centre binary, least double").collect()
+    learnt = sample.groupBy("_label").applyInArrow(learn, "language string, centre binary").collect()
     learnt = sorted(learnt, key=lambda r: (r.language, r.centre))
     centroids = np.array([np.frombuffer(r.centre, np.float32) for r in learnt], np.float32).reshape(-1, DIMENSIONS)
-    least = np.array([r.least for r in learnt], np.float32) * REJECT_SHARE
-    return Model([r.language for r in learnt], centroids, least, weights)
+    languages = [r.language for r in learnt]
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[str, int, float]] = []
+            for label, text in zip(batch["_label"].to_pylist(), batch["_text"].to_pylist(), strict=True):
+                some = [c for c in map(counts, pieces(text)) if c is not None]
+                if not some:
+                    continue
+                cosine = np.array([vector(c, weights) for c in some]) @ centroids.T
+                # A piece nearest to another language teaches nothing: its label may be wrong.
+                best = [(languages[i], step(c), float(row[i])) for c, row, i in zip(some, cosine, cosine.argmax(axis=1), strict=True)]
+                out += [b for b in best if b[0] == label]
+            columns = [pa.array([o[i] for o in out], k) for i, k in enumerate((pa.string(), pa.int32(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["language", "step", "cosine"])
+
+    judged = sample.mapInArrow(judge, "language string, step int, cosine double")
+    low = judged.groupingSets([["language", "step"], ["step"]], "language", "step").agg(
+        F.percentile_approx("cosine", QUANTILE, 10_000).alias("low"), F.count("*").alias("n")
+    )
+    quantiles = {(r["language"], r["step"]): (r["low"], r["n"]) for r in low.collect()}
+    limits = np.array([_limits(quantiles, one) for one in languages], np.float32).reshape(-1, STEPS)
+    return Model(languages, centroids, limits, weights)
 
 
 def predict(text: Column | str, model: Model) -> Column:
@@ -155,8 +221,8 @@ def predict(text: Column | str, model: Model) -> Column:
                 cosine = np.array([vector(c, model.weights) for _, c in some]) @ model.centroids.T
                 best = np.argmax(cosine, axis=1)
                 score = cosine[np.arange(len(some)), best]
-                for (i, _), c, s in zip(some, best, score, strict=True):
-                    found[i] = (model.languages[c], min(1.0, max(0.0, float(s))), bool(s < model.least[c]))
+                for (i, own), c, s in zip(some, best, score, strict=True):
+                    found[i] = (model.languages[c], min(1.0, max(0.0, float(s))), bool(s < model.limits[c, step(own)]))
             columns = [pa.array([f[i] for f in found], k) for i, k in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.StructArray.from_arrays(columns, names=["lang_pred", "score", "rejected"])
 
