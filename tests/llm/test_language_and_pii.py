@@ -170,6 +170,32 @@ def test_every_anchor_is_in_a_window():
         assert pii._joined(len(text), starts, labels).max(initial=0) <= 1
 
 
+def test_long_loose_addresses_at_every_alignment():
+    rng = random.Random(8)
+    part = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    cases = []
+    for n in (17, 22, 28, 34, 40):
+        for shift in range(pii.STRIDE):
+            before = (" ".join(rng.choices(["the", "von", "rest", "house", "und"], k=40))[: 63 + shift]) + " "
+            for local, host in ((part(n), "mail.com"), (part(8), part(n - 4) + ".org")):
+                address = f"{local}{rng.choice((' @ ', '@ ', ' @'))}{host}"
+                text = f"{before}{address} and the rest of the line goes on for a while here"
+                cases.append((text, (len(before), len(before) + len(address))))
+    found = pii.spans_of([t for t, _ in cases], tagger.trained())
+    mails = [[(s.start, s.end) for s in spans if s.kind == "email"] for spans in found]
+    assert all(m in ([], [span]) for m, (_, span) in zip(mails, cases, strict=True))
+    assert sum(map(bool, mails)) >= 0.97 * len(cases)
+
+
+def test_runs_are_decoded_as_each_alone():
+    rng = np.random.default_rng(5)
+    weights = tagger.trained(48, 1)
+    runs = [rng.normal(size=(n, tagger.LABELS)).astype(np.float32) for n in (64, 65, 127, 96, 1, 64, 300)]
+    for run, labels in zip(runs, tagger.best_labels(weights, runs), strict=True):
+        moves, first = tagger.allowed()
+        assert (labels == tagger.decode(run[None], weights.moves + moves, weights.first + first)[0]).all()
+
+
 def test_columns(spark, odd_rows):
     rows = [*odd_rows, (20, "mail a@b.cd and a@b.cd, 10.0.0.1"), (21, "x" * 100_000 + " a@b.cd")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, spans int")

@@ -3,10 +3,12 @@
 Base spans follow fixed patterns, leftmost and without overlap per kind; a match that
 fails its check is dropped and not tried again. The tagger reads windows of WINDOW
 characters every half window over the whole text. Every span has a digit or an "@", so
-windows without one are not read. Each position takes its label from the window
-whose middle it is nearest to, and spans are read off the joined labels, across
-windows. A tagged span is added when it passes the check of its kind and overlaps no
-other span; base spans always stay.
+only windows with one and those beside them are read. Windows that follow each other are
+a run: the label scores of its windows are averaged, the more the nearer a position is
+to the middle, and the best labels are those of the whole run. A tagged address is taken
+to the ends of its local part and of its host, however long they are. A tagged span is
+added when it passes the check of its kind and overlaps no other span; base spans always
+stay.
 
 Defined cases: a null text is an empty one and has no spans; positions are code points;
 repeated rows are treated alike; any other columns pass unchanged, one named
@@ -25,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_of
-from .tagger import KINDS, WINDOW, Weights, char_codes, luhn, tag, trained
+from .tagger import KINDS, WINDOW, Weights, best_labels, char_codes, luhn, trained, window_scores
 
 STRIDE = WINDOW // 2
 ANCHOR = re.compile("[0-9@]")
@@ -119,15 +121,32 @@ def _window_starts(text: str) -> list[int]:
     return [STRIDE * b for b in sorted(found)]
 
 
-def _joined(length: int, starts: list[int], labels: np.ndarray) -> np.ndarray:
-    """Labels of a text: each position's from the window whose middle is nearest."""
-    whole = np.zeros(length, np.int64)
-    last = STRIDE * max(0, -(-(length - WINDOW) // STRIDE))
-    for start, found in zip(starts, labels, strict=True):
-        a = 0 if start == 0 else WINDOW // 4
-        b = WINDOW if start == last else WINDOW - WINDOW // 4
-        whole[start + a : start + b] = found[a:b][: max(0, length - start - a)]
-    return whole
+def _runs(text: str) -> list[list[int]]:
+    """Starts of the windows to read, in runs: those with an anchor and the ones beside them."""
+    last = STRIDE * max(0, -(-(len(text) - WINDOW) // STRIDE))
+    near = {min(max(s + d, 0), last) for s in _window_starts(text) for d in (-STRIDE, 0, STRIDE)}
+    runs: list[list[int]] = []
+    for start in sorted(near):
+        if runs and start == runs[-1][-1] + STRIDE:
+            runs[-1].append(start)
+        else:
+            runs.append([start])
+    return runs
+
+
+# How much each position of a window counts.
+_NEARNESS = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(np.float32)
+
+
+def _joined(length: int, starts: list[int], scores: np.ndarray) -> np.ndarray:
+    """Mean of the windows' values at each position, by nearness to a window's middle; 0 where none was read."""
+    each = (-1, *[1] * (scores.ndim - 2))
+    whole, total = np.zeros((length, *scores.shape[2:]), np.float32), np.zeros(length, np.float32)
+    for start, found in zip(starts, scores, strict=True):
+        n = min(WINDOW, length - start)
+        whole[start : start + n] += found[:n] * _NEARNESS[:n].reshape(each)
+        total[start : start + n] += _NEARNESS[:n]
+    return whole / np.maximum(total, 1).reshape(each)
 
 
 def _tagged(whole: np.ndarray) -> Iterator[tuple[str, int, int]]:
@@ -142,12 +161,26 @@ def _tagged(whole: np.ndarray) -> Iterator[tuple[str, int, int]]:
         yield KINDS[kind[a] - 1], a, b
 
 
+def _whole(kind: str, text: str, a: int, b: int) -> tuple[int, int]:
+    """A tagged address to the ends of its local part and host; other spans as they are."""
+    at = text.find("@", a, b) if kind == "email" else -1
+    if at < 0:
+        return a, b
+    end = at - (text[at - 1 : at].isspace())
+    start = end
+    while start > 0 and text[start - 1] in _LOCAL_CHARS:
+        start -= 1
+    host = _HOST.match(text, at + 1 + text[at + 1 : at + 2].isspace())
+    return (start, host.end()) if start < end and host else (a, b)
+
+
 def with_tagged(text: str, base: list[Span], tagged: Iterator[tuple[str, int, int]]) -> list[Span]:
     """Base spans and the tagged ones that pass and touch no other, by kind and start."""
     found = list(base)
     for kind, a, b in tagged:
         part = text[a:b]
         a, b = a + len(part) - len(part.lstrip()), b - (len(part) - len(part.rstrip()))
+        a, b = _whole(kind, text, a, b)
         if a < b and _passes(kind, text[a:b]) and not any(a < s.end and s.start < b for s in found):
             found.append(Span(kind, a, b, False))
     return sorted(found, key=lambda s: (KINDS.index(s.kind), s.start))
@@ -156,28 +189,34 @@ def with_tagged(text: str, base: list[Span], tagged: Iterator[tuple[str, int, in
 def spans_of(texts: list[str], weights: Weights) -> list[list[Span]]:
     """The spans of each text; windows of many texts are read together."""
     found: list[list[Span]] = [[] for _ in texts]
-    waiting: list[tuple[int, list[int]]] = []
+    waiting: list[tuple[int, list[list[int]]]] = []
     held = 0
 
     def read() -> None:
-        windows = np.zeros((held, WINDOW), np.int64)
+        windows = np.zeros((held, WINDOW), np.uint8)
         row = 0
-        for i, starts in waiting:
-            for start in starts:
+        for i, runs in waiting:
+            for start in (s for run in runs for s in run):
                 codes = char_codes(texts[i][start : start + WINDOW])
                 windows[row, : len(codes)] = codes
                 row += 1
-        labels, row = tag(weights, windows), 0
-        for i, starts in waiting:
-            whole = _joined(len(texts[i]), starts, labels[row : row + len(starts)])
-            row += len(starts)
-            found[i] = with_tagged(texts[i], base_spans(texts[i]), _tagged(whole))
+        scores, row = window_scores(weights, windows), 0
+        joined: list[np.ndarray] = []
+        for i, runs in waiting:
+            for run in runs:
+                length = min(len(texts[i]), run[-1] + WINDOW) - run[0]
+                joined.append(_joined(length, [s - run[0] for s in run], scores[row : row + len(run)]))
+                row += len(run)
+        labels = iter(best_labels(weights, joined))
+        for i, runs in waiting:
+            tagged = [(k, run[0] + a, run[0] + b) for run in runs for k, a, b in _tagged(next(labels))]
+            found[i] = with_tagged(texts[i], base_spans(texts[i]), iter(tagged))
 
     for i, text in enumerate(texts):
-        starts = _window_starts(text)
-        if starts:
-            waiting.append((i, starts))
-            held += len(starts)
+        runs = _runs(text)
+        if runs:
+            waiting.append((i, runs))
+            held += sum(map(len, runs))
         if held >= SLICE_WINDOWS:
             read()
             waiting, held = [], 0

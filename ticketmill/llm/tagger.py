@@ -134,26 +134,48 @@ def crf_gradient(scores: np.ndarray, labels: np.ndarray, moves: np.ndarray, firs
     return float((total - gold).mean()), [d_scores / rows, d_moves / rows, d_first / rows]
 
 
-def decode(scores: np.ndarray, moves: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """The best label sequence of each row."""
+def decode(scores: np.ndarray, moves: np.ndarray, first: np.ndarray, lengths: np.ndarray | None = None) -> np.ndarray:
+    """The best label sequence of each row; with ``lengths``, which must fall, it ends there and is 0 beyond."""
     rows, time, _ = scores.shape
+    lengths = np.full(rows, time) if lengths is None else lengths
+    open_ = rows - np.searchsorted(lengths[::-1], np.arange(time), side="right")  # rows that reach a time
     best, came = first + scores[:, 0], np.zeros(scores.shape, np.int8)
     for t in range(1, time):
-        step = best[:, :, None] + moves
-        came[:, t] = step.argmax(1)
-        best = step.max(1) + scores[:, t]
+        k = open_[t]
+        step = best[:k, :, None] + moves
+        came[:k, t] = step.argmax(1)
+        best[:k] = step.max(1) + scores[:k, t]
     found = np.zeros((rows, time), np.int64)
-    found[:, -1] = best.argmax(1)
+    found[np.arange(rows), lengths - 1] = best.argmax(1)
     for t in range(time - 1, 0, -1):
-        found[:, t - 1] = came[np.arange(rows), t, found[:, t]]
+        k = open_[t]
+        found[:k, t - 1] = came[np.arange(k), t, found[:k, t]]
     return found
 
 
-def tag(w: Weights, codes: np.ndarray, batch: int = 512) -> np.ndarray:
-    """Labels of windows of character codes."""
+def window_scores(w: Weights, codes: np.ndarray, batch: int = 512) -> np.ndarray:
+    """Label scores of windows of character codes."""
+    found = np.zeros((*codes.shape, LABELS), np.float32)
+    for at in range(0, len(codes), batch):
+        found[at : at + batch] = forward(w, codes[at : at + batch])[0]
+    return found
+
+
+def best_labels(w: Weights, runs: list[np.ndarray]) -> list[np.ndarray]:
+    """Labels of runs of any lengths from their label scores; runs of about one length are decoded together."""
     moves, first = allowed()
-    parts = [codes[at : at + batch] for at in range(0, len(codes), batch)]
-    return np.concatenate([decode(forward(w, p)[0], w.moves + moves, w.first + first) for p in parts] or [codes])
+    alike: dict[int, list[int]] = {}
+    for i in sorted(range(len(runs)), key=lambda i: -len(runs[i])):
+        alike.setdefault(len(runs[i]).bit_length(), []).append(i)
+    found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(runs)
+    for some in alike.values():
+        lengths = np.array([len(runs[i]) for i in some])
+        scores = np.zeros((len(some), lengths[0], LABELS), np.float32)
+        for row, i in enumerate(some):
+            scores[row, : lengths[row]] = runs[i]
+        for i, labels, n in zip(some, decode(scores, w.moves + moves, w.first + first, lengths), lengths, strict=True):
+            found[i] = labels[:n]
+    return found
 
 
 # --- training -----------------------------------------------------------------
