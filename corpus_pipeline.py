@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmill.llm import exact_dedup, jaccard, language, packing, pii, tagger
@@ -33,11 +33,25 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return exact_dedup.drop_copies(docs)
 
 
+def _row_key(doc_id: str, text: str) -> Column:
+    """A row's id and the hash of its text, in the order of the ids; null comes last."""
+    digits = lambda c: F.lpad(F.hex(c), 16, "0")
+    number = F.col(doc_id).cast("long").bitwiseXOR(F.lit(-(1 << 63)))
+    place = F.concat(F.when(F.col(doc_id).isNull(), "01").otherwise("00"), digits(F.coalesce(number, F.lit(0))))
+    return F.unhex(F.concat(place, digits(F.xxhash64(text))))
+
+
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked texts the document with the smallest id stays."""
-    groups = stored(jaccard.components(docs, rule=NEAR), "groups")
-    copies = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of linked texts the row with the smallest id stays.
+
+    Rows are told apart by id and text: of an id with several texts each row is judged on
+    its own, and of a group's rows with one id that with the least hash of its text stays.
+    Rows equal in both, which the stage before leaves none of, stay or go together.
+    """
+    rows = docs.withColumn("_row", _row_key("doc_id", "text"))
+    groups = stored(jaccard.components(rows, key="_row", rule=NEAR), "groups")
+    copies = groups.filter("_row <> component_id").select("_row").distinct()
+    return rows.join(copies, "_row", "left_anti").select(*docs.columns)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

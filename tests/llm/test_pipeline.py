@@ -69,6 +69,20 @@ def test_odd_rows(spark, folder, odd_rows):
         assert stage(spark, empty, folder).count() == 0
 
 
+def test_near_copies_of_repeated_ids(spark, folder):
+    words = [f"word{i}" for i in range(60)]
+    near = [" ".join([*words, f"end{i}"]) for i in range(6)]
+    alone = [" ".join(f"{c}{i}" for i in range(40)) for c in "xyz"]
+    texts = [(7, near[0]), (7, near[1]), (7, alone[0]), (9, near[2]), (9, alone[1]), (None, near[3]), (None, alone[2]), (-5, None), (-5, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in texts], SCHEMA)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.without_near_copies(spark, docs, folder).collect()]
+    assert sum(t in near for _, t in got) == 1 and all(i == 7 for i, t in got if t in near)
+    rest = [r for r in texts if r[1] not in near]
+    assert sorted(map(repr, (r for r in got if r[1] not in near))) == sorted(map(repr, rest))
+    negative = spark.createDataFrame([(i, near[n], "en", "s", 9) for n, i in enumerate((3, -2, 0, -1))], SCHEMA)
+    assert [r.doc_id for r in corpus_pipeline.without_near_copies(spark, negative, folder).collect()] == [-2]
+
+
 def test_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names
