@@ -192,3 +192,14 @@ def test_routing_a_repeated_batch_changes_nothing(spark, tmp_path):
     run("c2")  # a new checkpoint delivers batch 0 again
     assert first == stored() == [("[1]", "invalid_shape"), ("{", "invalid_json"), ("{}", "model_bad")]
     assert spark.read.json(str(tmp_path / "out/transactions")).count() == 1
+
+
+def test_triggers_of_tables_are_bounded_by_bytes(spark, tmp_path):
+    spark.range(6000).repartition(6).write.parquet(f"{tmp_path}/t.parquet")
+    largest = max(f.stat().st_size for f in (tmp_path / "t.parquet").glob("part-*"))
+    for bound, batches in ((largest, 6), (100 * largest, 1)):
+        stream = jobs.stream_table(spark, str(tmp_path), "t", max_bytes=str(bound))
+        query = jobs.append_to(stream, f"{tmp_path}/out{bound}", f"{tmp_path}/checkpoint{bound}")
+        query.awaitTermination()
+        assert sum(p["numInputRows"] > 0 for p in query.recentProgress) == batches
+        assert spark.read.parquet(f"{tmp_path}/out{bound}").count() == 6000

@@ -25,12 +25,15 @@ def stream_lines(
     return reader.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
 
 
-def stream_table(spark: SparkSession, folder: str, name: str, max_files: int = 100) -> DataFrame:
-    """A parquet table of ``folder`` as a stream, be it one file or a folder of part files."""
+def stream_table(spark: SparkSession, folder: str, name: str, max_bytes: str = "32m") -> DataFrame:
+    """A parquet table of ``folder`` as a stream, be it one file or a folder of part files.
+
+    A trigger takes files up to ``max_bytes``, and one file at least.
+    """
     schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
     # The source takes a file only by a pattern; this one matches nothing but the table.
     pattern = f"{folder}/{name}.parque[t]"
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(pattern)
+    return spark.readStream.schema(schema).option("maxBytesPerTrigger", max_bytes).parquet(pattern)
 
 
 def append_to(stream: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
