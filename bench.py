@@ -77,10 +77,14 @@ def main() -> None:
         return time.perf_counter() - begun
 
     seconds: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for name in names:
-        once(name)
-        seconds[name] = round(statistics.median(once(name) for _ in range(runs)), 3)
-        print(f"{name}: {seconds[name]}", file=sys.stderr, flush=True)
+        try:
+            once(name)
+            seconds[name] = round(statistics.median(once(name) for _ in range(runs)), 3)
+        except Exception as error:  # the others are still measured; the exit code tells
+            failed[name] = str(error)[:500]
+        print(f"{name}: {seconds.get(name, 'failed')}", file=sys.stderr, flush=True)
     spark.stop()
     print(
         json.dumps(
@@ -92,9 +96,12 @@ def main() -> None:
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
                 "cores": int(cores),
                 "runs": runs,
+                **({"failed": failed} if failed else {}),
             }
         )
     )
+    if failed:
+        sys.exit(1)
 
 
 if __name__ == "__main__":

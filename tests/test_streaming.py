@@ -198,8 +198,19 @@ def test_triggers_of_tables_are_bounded_by_bytes(spark, tmp_path):
     spark.range(6000).repartition(6).write.parquet(f"{tmp_path}/t.parquet")
     largest = max(f.stat().st_size for f in (tmp_path / "t.parquet").glob("part-*"))
     for bound, batches in ((largest, 6), (100 * largest, 1)):
-        stream = jobs.stream_table(spark, str(tmp_path), "t", max_bytes=str(bound))
+        stream = jobs.stream_table(spark, str(tmp_path), "t", max_bytes=bound)
         query = jobs.append_to(stream, f"{tmp_path}/out{bound}", f"{tmp_path}/checkpoint{bound}")
         query.awaitTermination()
         assert sum(p["numInputRows"] > 0 for p in query.recentProgress) == batches
         assert spark.read.parquet(f"{tmp_path}/out{bound}").count() == 6000
+
+
+def test_the_default_bound_of_a_trigger_is_one_spark_takes(spark, tmp_path):
+    spark.range(5).coalesce(1).write.parquet(f"{tmp_path}/t.parquet")
+    jobs.append_to(jobs.stream_table(spark, str(tmp_path), "t"), f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 5
+
+
+def test_a_trigger_has_one_bound(spark, tmp_path):
+    with pytest.raises(ValueError, match="max_files or"):
+        jobs.stream_lines(spark, str(tmp_path), max_files=1, max_bytes=1)

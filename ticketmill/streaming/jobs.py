@@ -13,10 +13,15 @@ from ..operators.monitor import progress
 from ..operators.routing import bad_rows, good_rows, transactions, write_jsonl
 
 
+TRIGGER_BYTES = 32 << 20
+
+
 def stream_lines(
-    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: str | None = None
+    spark: SparkSession, path: str, max_files: int | None = None, max_bytes: int | None = None
 ) -> DataFrame:
-    """Text lines as ``(file, value)`` in bounded batches; the last batch may be partial."""
+    """Text lines as ``(file, value)`` in triggers of whole files, bounded by number or by bytes, not both."""
+    if max_files and max_bytes:
+        raise ValueError("bound a trigger by max_files or by max_bytes")
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -25,7 +30,7 @@ def stream_lines(
     return reader.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
 
 
-def stream_table(spark: SparkSession, folder: str, name: str, max_bytes: str = "32m") -> DataFrame:
+def stream_table(spark: SparkSession, folder: str, name: str, max_bytes: int = TRIGGER_BYTES) -> DataFrame:
     """A parquet table of ``folder`` as a stream, be it one file or a folder of part files.
 
     A trigger takes files up to ``max_bytes``, and one file at least.
