@@ -12,6 +12,11 @@ def piece_model():
     return str(public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@pytest.fixture(scope="session")
+def byte_model():
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @pytest.fixture(scope="session")
 def odd_rows():
     """(doc_id, text): null and empty texts, null and repeated ids, repeated rows, one long text."""

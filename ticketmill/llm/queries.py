@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import run_folder
-from . import exact_dedup, jaccard, language, packing, pieces, pii, sharding, simhash, warc, wordpiece
+from . import alignment, exact_dedup, jaccard, language, packing, pieces, pii, sharding, simhash, warc, wordpiece
 from .common import table
 
-WORD_MODEL, PIECE_MODEL = "word_bpe_49k.json", "piece_bpe_32k.model"
+WORD_MODEL, PIECE_MODEL, BYTE_MODEL = "word_bpe_49k.json", "piece_bpe_32k.model", "byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +87,10 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encoded_digests(table(spark, folder, "documents"), tokenizer_file(PIECE_MODEL))
 
 
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.alignments(table(spark, folder, "documents"), tokenizer_file(BYTE_MODEL), tokenizer_file(PIECE_MODEL))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -98,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc_archives": op9_warc_archives,
     "op10_sentencepiece": op10_sentencepiece,
+    "op12_alignment": op12_alignment,
 }
 
 ORACLES: dict[str, str] = {

@@ -25,20 +25,21 @@ class Chunks(NamedTuple):
     bounds: np.ndarray  # text i has the chunks bounds[i] up to bounds[i + 1]
 
 
-def _kinds(spaces: bytes) -> np.ndarray:
+def _kinds(spaces: bytes, apart: bytes) -> np.ndarray:
     kinds = np.full(256, REST, np.uint8)
     kinds[:128] = PLAIN
     for first, last in ("AZ", "az"):
         kinds[ord(first) : ord(last) + 1] = LETTER
     kinds[0x80:0xC0] = LETTER  # second bytes; those of REST characters are set below
     kinds[0xC3:0xC6] = LETTER  # first bytes of U+00C0 to U+017F
+    kinds[list(apart)] = REST
     kinds[list(spaces)] = SPACE
     return kinds
 
 
-def classes(data: np.ndarray, spaces: bytes) -> np.ndarray:
-    """The class of each byte of UTF-8 text; REST also for U+00D7, U+00F7 and U+0130."""
-    found = _kinds(spaces)[data]
+def classes(data: np.ndarray, spaces: bytes, apart: bytes = b"") -> np.ndarray:
+    """The class of each byte of UTF-8 text; REST also for U+00D7, U+00F7, U+0130 and the plain characters ``apart``."""
+    found = _kinds(spaces, apart)[data]
     if not len(data) or data.max() < 0xC2:
         return found
     first = np.flatnonzero((data >= 0xC2) & ((data < 0xC3) | (data > 0xC5)))
@@ -57,7 +58,7 @@ def plain_letters(text: str) -> bool:
     return text.isascii() or not (classes(np.frombuffer(text.encode(), np.uint8), b" ") == REST).any()
 
 
-def split(texts: pa.Array, spaces: bytes, cuts: tuple[tuple[int, int], ...]) -> Chunks:
+def split(texts: pa.Array, spaces: bytes, cuts: tuple[tuple[int, int], ...], apart: bytes = b"") -> Chunks:
     texts = texts.cast(pa.string())
     offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
     buffer = texts.buffers()[2]
@@ -66,7 +67,7 @@ def split(texts: pa.Array, spaces: bytes, cuts: tuple[tuple[int, int], ...]) ->
     table = np.zeros((4, 4), bool)
     for pair in cuts:
         table[pair] = True
-    found = classes(data, spaces)
+    found = classes(data, spaces, apart)
     cut = np.zeros(len(data) + 1, bool)
     cut[1:-1] = table.ravel()[found[:-1] * 4 + found[1:]] if len(data) else False
     cut[starts] = True
