@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import run_folder
-from . import alignment, exact_dedup, jaccard, language, packing, pieces, pii, sharding, simhash, warc, wordpiece
+from . import alignment, conversations, exact_dedup, jaccard, language, packing, pieces, pii, sharding, simhash, warc, wordpiece
 from .common import table
 
 WORD_MODEL, PIECE_MODEL, BYTE_MODEL = "word_bpe_49k.json", "piece_bpe_32k.model", "byte_bpe_50k.json"
@@ -91,6 +91,10 @@ def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.alignments(table(spark, folder, "documents"), tokenizer_file(BYTE_MODEL), tokenizer_file(PIECE_MODEL))
 
 
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repaired(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -103,6 +107,7 @@ QUERIES: dict[str, Query] = {
     "op9_warc_archives": op9_warc_archives,
     "op10_sentencepiece": op10_sentencepiece,
     "op12_alignment": op12_alignment,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLES: dict[str, str] = {
@@ -148,4 +153,60 @@ ORACLES: dict[str, str] = {
             CASE WHEN page_id = response_id THEN 'response' ELSE 'revisit' END AS record_type,
             CASE WHEN page_id <> response_id THEN response_id END AS refers_to
         FROM payloads JOIN digests USING (digest)""",
+    "op13_conversation_repair": """
+        WITH RECURSIVE drawn AS (
+            SELECT conv_id AS conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, octet_length(k)),
+                    lambda p: ('0x' || substr(hex(k), 2 * p + 1, 2))::BIGINT)),
+                    lambda c, b: list_reduce(list_prepend(xor(c, b), range(0, 8)),
+                        lambda x, y: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END)))) % 20 AS draw
+            FROM (SELECT *, encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')) AS k FROM conversations)),
+        damaged AS (
+            SELECT conv, turn, CASE draw WHEN 4 THEN 'user' ELSE role END AS role,
+                CASE draw WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+            FROM (SELECT *, unnest(CASE draw WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) FROM drawn)),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, h) AS i,
+                row_number() OVER (PARTITION BY conv, h ORDER BY turn NULLS FIRST) AS same,
+                rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body
+            FROM (SELECT *, md5(role || chr(0) || text) AS h FROM damaged)),
+        judged AS (
+            SELECT *, CASE WHEN body = '' THEN 'b' WHEN same > 1 THEN 'd' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+                left(role, 1) AS initial,
+                lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY i) AS before_it
+            FROM placed),
+        after_it AS (SELECT * FROM (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')) AS t(st, nx, name)),
+        led AS (
+            SELECT st AS before, st, '' AS ins, '' AS put, 0 AS price FROM after_it
+            UNION ALL SELECT st, nx, 'I', chr(10) || name || ':', 3 FROM after_it
+            UNION ALL SELECT a.st, b.nx, 'II', chr(10) || a.name || ':' || chr(10) || b.name || ':', 6
+                FROM after_it a JOIN after_it b ON a.nx = b.st),
+        moves AS (
+            SELECT before, st AS after, ins || 'D' AS edits, put, price + 4 AS price, 'D' AS letter, '' AS name FROM led
+            UNION ALL SELECT before, nx, ins || 'R', put, price + 3, 'R', name FROM led JOIN after_it USING (st)
+            UNION ALL SELECT before, nx, ins || 'K', put, price, 'K', left(name, 1) FROM led JOIN after_it USING (st)
+            UNION ALL SELECT 0, 1, 'K', '', 0, 'K', 's'),
+        walked AS (
+            SELECT DISTINCT conv, 0::BIGINT AS i, 0 AS st, {'cost': 0, 'audit': '', 'lines': ''} AS best FROM drawn
+            UNION ALL
+            SELECT w.conv, w.i + 1, m.after, min({'cost': w.best.cost + m.price + CASE WHEN fault = 't' AND letter <> 'D' THEN 3 ELSE 0 END,
+                'audit': w.best.audit || m.edits, 'lines': w.best.lines || m.put || CASE letter WHEN 'D' THEN ''
+                    WHEN 'K' THEN chr(10) || role || ':' || text ELSE chr(10) || m.name || ':' || text END})
+            FROM walked w JOIN judged j ON j.conv IS NOT DISTINCT FROM w.conv AND j.i = w.i + 1
+            JOIN moves m ON m.before = w.st AND (letter = 'D' OR fault NOT IN ('b', 'd') AND (letter = 'R' OR m.name = initial))
+            GROUP BY w.conv, w.i, m.after),
+        ended AS (
+            SELECT conv, i, {'cost': best.cost + price, 'audit': best.audit || ins, 'lines': best.lines || put} AS best
+            FROM walked JOIN led ON led.before = walked.st AND led.st IN (0, 3)),
+        told AS (
+            SELECT conv, count(*) AS n, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+                count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+                count(*) FILTER (before_it IS NOT NULL AND before_it || initial NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM judged GROUP BY conv)
+        SELECT e.conv AS conv_id, coalesce(any_value(gaps), 0) AS gaps, coalesce(any_value(blank), 0) AS blank,
+            coalesce(any_value(duplicate), 0) AS duplicate, coalesce(any_value(truncated), 0) AS truncated,
+            coalesce(any_value(illegal), 0) AS illegal, min(e.best).cost::BIGINT AS cost, min(e.best).audit AS audit,
+            sha256(substr(min(e.best).lines, 2)) AS repaired_sha256
+        FROM ended e LEFT JOIN told t ON t.conv IS NOT DISTINCT FROM e.conv
+        WHERE e.i = coalesce(t.n, 0) GROUP BY e.conv""",
 }
