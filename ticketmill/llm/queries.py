@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import run_folder
-from . import alignment, conversations, exact_dedup, jaccard, language, packing, pieces, pii, sharding, simhash, warc, wordpiece
+from . import alignment, conversations, exact_dedup, jaccard, language, main_text, packing, pieces, pii, sharding, simhash, warc, wordpiece
 from .common import table
 
 WORD_MODEL, PIECE_MODEL, BYTE_MODEL = "word_bpe_49k.json", "piece_bpe_32k.model", "byte_bpe_50k.json"
@@ -87,6 +87,11 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encoded_digests(table(spark, folder, "documents"), tokenizer_file(PIECE_MODEL))
 
 
+def op11_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = main_text.with_main_text(table(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.alignments(table(spark, folder, "documents"), tokenizer_file(BYTE_MODEL), tokenizer_file(PIECE_MODEL))
 
@@ -106,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_warc_archives": op9_warc_archives,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_main_text": op11_main_text,
     "op12_alignment": op12_alignment,
     "op13_conversation_repair": op13_conversation_repair,
 }
