@@ -9,34 +9,42 @@ total order, so a choice is needed:
   that have such rows again, in order;
 * with ``delay`` rows wait in state until the watermark has passed them and
   are then folded in exact event-time order. Spark drops rows behind the
-  watermark and counts them in the query progress.
+  watermark and counts them in the query progress. `waiting` gives what is
+  left when a stream has ended, so no later row is needed to push it out.
 
-The rows of one key in one trigger are held together: bound a trigger with
-``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` at the source.
+A key's rows of one trigger come in batches. One batch is folded at once; more than
+one, and rows that wait, are put into map state as sorted runs cut into slices, and
+merged from there: a task holds a slice of each run, never the rows of a key. Waiting
+rows are appended as runs of their own, and slices once read are removed; a timer at the
+earliest waiting row wakes the key. The state is kept by RocksDB, on disk.
 """
 
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.time import epoch_micros, with_event_time
 from ..operators.blocks import _INPUT, _TYPES
 
 _AT = "__at"
-_STATE = "fold string, last string, held binary"
+SLICE_ROWS = 1000
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _pack(frame: pd.DataFrame) -> bytes | None:
-    if frame.empty:
-        return None
+def _pack(frame: pd.DataFrame) -> bytes:
     table = pa.Table.from_pandas(frame, preserve_index=False)
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema) as writer:
@@ -48,6 +56,151 @@ def _unpack(data: bytes) -> pd.DataFrame:
     return pa.ipc.open_stream(data).read_all().to_pandas()
 
 
+
+def _until(frame: pd.DataFrame, tie: str, last: tuple[int, int]) -> int:
+    """How many rows of a sorted frame are not after ``last``."""
+    at, ties = frame[_AT].to_numpy(np.int64), frame[tie].to_numpy(np.int64)
+    low, high = np.searchsorted(at, last[0], "left"), np.searchsorted(at, last[0], "right")
+    return int(low + np.searchsorted(ties[low:high], last[1], "right"))
+
+
+class Runs:
+    """Sorted runs of a key's rows in map state, cut into slices of SLICE_ROWS."""
+
+    def __init__(self, slices: Any, runs: Any, tie: str):
+        self.slices, self.runs, self.tie = slices, runs, tie
+
+    def add(self, number: int, rows: pd.DataFrame) -> int:
+        """A run of new rows; returns the time of the earliest."""
+        rows = rows.sort_values([_AT, self.tie], kind="stable")
+        for i, at in enumerate(range(0, len(rows), SLICE_ROWS)):
+            self.slices.updateValue((number, i), (_pack(rows.iloc[at : at + SLICE_ROWS]),))
+        self.runs.updateValue((number,), (0, -(-len(rows) // SLICE_ROWS)))
+        return int(rows[_AT].iloc[0])
+
+    def merged(self, until: int | None = None) -> Iterator[pd.DataFrame]:
+        """Takes out the rows up to a time (all: None), in order, some at a time."""
+        heads: dict[int, list] = {}  # of each run: its first slice, where that lies, the run's end
+        for (number,), (first, end) in sorted(self.runs.iterator()):
+            heads[number] = [_unpack(self.slices.getValue((number, first))[0]), first, end, False]
+        limit = (math.inf, 0) if until is None else (until, math.inf)
+        while heads:
+            # What is not after the last row of any slice with others behind it is complete.
+            ends = [(int(h[0][_AT].iloc[-1]), int(h[0][self.tie].iloc[-1])) for h in heads.values() if h[1] + 1 < h[2]]
+            bound = min([*ends, limit])
+            ready = []
+            for number, head in list(heads.items()):
+                count = len(head[0]) if bound[0] == math.inf else _until(head[0], self.tie, bound)
+                if not count:
+                    continue
+                ready.append(head[0].iloc[:count])
+                head[0], head[3] = head[0].iloc[count:], True
+                if len(head[0]):
+                    continue
+                self.slices.removeKey((number, head[1]))
+                head[1], head[3] = head[1] + 1, False
+                if head[1] == head[2]:
+                    self.runs.removeKey((number,))
+                    del heads[number]
+                else:
+                    self.runs.updateValue((number,), (head[1], head[2]))
+                    head[0] = _unpack(self.slices.getValue((number, head[1]))[0])
+            if ready:
+                yield pd.concat(ready, ignore_index=True).sort_values([_AT, self.tie], kind="stable", ignore_index=True)
+            if bound == limit:
+                break
+        for number, head in heads.items():
+            if head[3]:  # begun
+                self.slices.updateValue((number, head[1]), (_pack(head[0]),))
+        self.earliest = min((int(h[0][_AT].iloc[0]) for h in heads.values()), default=None)
+
+
+class _Folder(StatefulProcessor):
+    """One key's fold over state."""
+
+    def __init__(self, fold, names: list[str], columns: list[str], tie: str, waits: bool):
+        self.fold, self.names, self.columns, self.tie, self.waits = fold, names, columns, tie, waits
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("fold", "state string, last_at long, last_tie long, run long")
+        # The row of a key in these is small: what a slice holds is one binary value.
+        self.runs = Runs(
+            handle.getMapState("slices", "run long, slice long", "rows binary"),
+            handle.getMapState("runs", "run long", "first long, end long"),
+            self.tie,
+        )
+
+    def _load(self) -> tuple[tuple, tuple | None, int]:
+        held = self.state.get()
+        if held is None:
+            return self.fold.first(), None, 0
+        stored, at, tie, run = held
+        return tuple(json.loads(stored)), None if at is None else (at, tie), run
+
+    def _save(self, state: tuple, last: tuple | None, run: int) -> None:
+        self.state.update((json.dumps(state), *(last or (None, None)), run))
+
+    def _folded(self, rows: pd.DataFrame, state: tuple) -> tuple[pd.DataFrame, tuple]:
+        outputs, state = self.fold.segment([rows[_INPUT + n].tolist() for n in self.fold.inputs], state)
+        out = rows[self.names].reset_index(drop=True)
+        for (name, _), values in zip(self.fold.outputs, outputs):
+            out[name] = pd.Series(values, dtype=object)
+        return out, state
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        # Spark makes up new names for columns that begin with an underscore.
+        frames = (f.set_axis(self.columns, axis=1) for f in rows if len(f))
+        yield from self._await(frames) if self.waits else self._arrived(frames)
+
+    def _await(self, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        state, last, run = self._load()
+        for frame in frames:
+            self.handle.registerTimer(-(-self.runs.add(run, frame) // 1000))
+            run += 1
+        self._save(state, last, run)
+        return iter(())
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        state, last, run = self._load()
+        reached = timerValues.getCurrentWatermarkInMs() * 1000
+        for rows in self.runs.merged(reached):
+            out, state = self._folded(rows, state)
+            yield out
+        self._save(state, last, run)
+        if self.runs.earliest is not None:
+            self.handle.registerTimer(max(-(-self.runs.earliest // 1000), reached // 1000 + 1))
+
+    def _arrived(self, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        state, last, _ = self._load()
+        newest, run, held = last, 0, None
+        for frame in frames:
+            late = frame[_AT].isna() | frame[self.tie].isna()
+            if last is not None:
+                late |= (frame[_AT] < last[0]) | ((frame[_AT] == last[0]) & (frame[self.tie] < last[1]))
+            if late.any():
+                passed = frame.loc[late, self.names].reset_index(drop=True)
+                yield passed.assign(**{n: None for n, _ in self.fold.outputs}, late=True)
+                frame = frame[~late]
+            if held is not None and len(held):
+                self.runs.add(run, held)  # there is more than one batch: all go by way of the state
+                run += 1
+            held = frame
+        if held is None or (not len(held) and not run):
+            return
+        if run:
+            if len(held):
+                self.runs.add(run, held)
+            pieces = self.runs.merged()
+        else:
+            pieces = iter([held.sort_values([_AT, self.tie], kind="stable")])
+        for rows in pieces:
+            out, state = self._folded(rows, state)
+            newest = int(rows[_AT].iloc[-1]), int(rows[self.tie].iloc[-1])
+            yield out.assign(late=False)
+        self._save(state, newest, 0)
+
+
 def stream_fold(
     stream: DataFrame,
     key: str,
@@ -59,77 +212,66 @@ def stream_fold(
 ) -> DataFrame:
     """Streaming rows with the output columns of ``fold`` (and ``late`` without ``delay``).
 
-    Rows are ordered by ``ts`` and then by the integer column ``tie``.
+    Rows are ordered by ``ts`` and then by the integer column ``tie``. Sets the session's
+    state store to RocksDB, which map state and timers need, for the queries started after it.
     """
+    stream.sparkSession.conf.set(PROVIDER, ROCKS)
     if delay is not None:
         stream = with_event_time(stream, ts)
     prepared = stream.withColumns(
         {_AT: epoch_micros(stream, F.col(ts)), **{_INPUT + n: inputs[n] for n in fold.inputs}}
     )
     if delay is not None:
-        prepared = prepared.withWatermark(ts, delay)
-    names = stream.columns
+        prepared = prepared.withWatermark(ts, delay).filter(F.col(_AT).isNotNull() & F.col(tie).isNotNull())
     marks = [] if delay is not None else [T.StructField("late", T.BooleanType())]
     schema = T.StructType(
         [*stream.schema.fields, *(T.StructField(n, _TYPES[k][0]) for n, k in fold.outputs), *marks]
     )
-    output_names = [n for n, _ in fold.outputs]
+    folder = _Folder(fold, stream.columns, prepared.columns, tie, delay is not None)
+    return prepared.groupBy(key).transformWithStateInPandas(
+        folder, schema, "append", "None" if delay is None else "EventTime"
+    )
 
-    def folded(rows: pd.DataFrame, state: tuple) -> tuple[pd.DataFrame, tuple]:
-        columns = [rows[_INPUT + n].tolist() for n in fold.inputs]
-        outputs, state = fold.segment(columns, state)
-        out = rows[names].reset_index(drop=True)
-        for name, values in zip(output_names, outputs):
-            out[name] = pd.Series(values, dtype=object)
-        return out, state
 
-    def load(group: GroupState) -> tuple[tuple, tuple | None, pd.DataFrame | None]:
-        if not group.exists:
-            return fold.first(), None, None
-        stored, last, held = group.get
-        return (
-            tuple(json.loads(stored)),
-            tuple(json.loads(last)) if last else None,
-            _unpack(held) if held is not None else None,
-        )
+def _walked(frames: Iterable[pd.DataFrame], folder: _Folder, key: str) -> Iterator[pd.DataFrame]:
+    """Rows in (key, time) order, each key's fold going on from its column ``__state``."""
+    current = state = None
+    for frame in frames:
+        keys = frame[key].astype(object).where(frame[key].notna(), None)
+        for k, rows in frame.groupby((keys != keys.shift()).cumsum(), sort=False):
+            this = keys.loc[rows.index[0]]
+            if state is None or this != current:
+                current, held = this, rows["__state"].iloc[0]
+                state = tuple(json.loads(held)) if isinstance(held, str) else folder.fold.first()
+            out, state = folder._folded(rows, state)
+            yield out
 
-    def on_arrival(k: tuple, frames: Iterator[pd.DataFrame], group: GroupState) -> Iterator[pd.DataFrame]:
-        state, last, _ = load(group)
-        rows = pd.concat(list(frames), ignore_index=True).sort_values([_AT, tie])
-        late = rows[_AT].isna() | rows[tie].isna()
-        if last is not None:
-            late |= (rows[_AT] < last[0]) | ((rows[_AT] == last[0]) & (rows[tie] < last[1]))
-        if late.any():
-            passed = rows.loc[late, names].reset_index(drop=True)
-            yield passed.assign(**{n: None for n in output_names}, late=True)
-            rows = rows[~late]
-        if not rows.empty:
-            out, state = folded(rows, state)
-            newest = rows.iloc[-1]
-            group.update((json.dumps(state), json.dumps([int(newest[_AT]), int(newest[tie])]), None))
-            yield out.assign(late=False)
 
-    def on_watermark(k: tuple, frames: Iterator[pd.DataFrame], group: GroupState) -> Iterator[pd.DataFrame]:
-        state, _, held = load(group)
-        parts = [f for f in ([held] if held is not None else []) + list(frames) if not f.empty]
-        if not parts:
-            return
-        rows = pd.concat(parts, ignore_index=True).sort_values([_AT, tie])
-        reached = group.getCurrentWatermarkMs() * 1000
-        ready, waiting = rows[rows[_AT] <= reached], rows[rows[_AT] > reached]
-        if not ready.empty:
-            out, state = folded(ready, state)
-            yield out
-        group.update((json.dumps(state), None, _pack(waiting)))
-        if not waiting.empty:
-            group.setTimeoutTimestamp(max(int(waiting[_AT].iloc[0]) // 1000, reached // 1000 + 1))
-
-    run, timeout = (
-        (on_arrival, GroupStateTimeout.NoTimeout)
-        if delay is None
-        else (on_watermark, GroupStateTimeout.EventTimeTimeout)
-    )
-    return prepared.groupBy(key).applyInPandasWithState(run, schema, _STATE, "append", timeout)
+def waiting(spark: SparkSession, checkpoint: str, rows: DataFrame, key: str, ts: str, tie: str, inputs: dict[str, Column], fold) -> DataFrame:
+    """The rows an ended `stream_fold` with ``delay`` still holds, folded in order from where its state stands.
+
+    ``rows`` has the columns of the streamed rows, as a table or an empty one; key, ts, tie, inputs and fold are
+    those of the stream. The stream's own state stays as it is.
+    """
+    rows = with_event_time(rows.limit(0), ts)
+    prepared = rows.withColumns({_AT: epoch_micros(rows, F.col(ts)), **{_INPUT + n: inputs[n] for n in fold.inputs}})
+    kept = lambda name: spark.read.format("statestore").option("path", checkpoint).option("stateVarName", name).load()
+
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column(0).to_pylist():
+                yield from pa.ipc.open_stream(data).read_all().select(prepared_names).cast(prepared_schema).to_batches()
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    prepared_names, prepared_schema = prepared.columns, to_arrow_schema(prepared.schema, timezone="UTC")
+    held = kept("slices").select(F.col("user_map_value.rows")).mapInArrow(unpacked, prepared.schema)
+    states = kept("fold").select(F.col(f"key.{key}").alias("__key"), F.col("value.state").alias("__state"))
+    joined = held.join(states, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
+    ordered = joined.repartition(key).sortWithinPartitions(key, _AT, tie)
+    folder = _Folder(fold, rows.columns, prepared.columns, tie, True)
+    schema = T.StructType([*rows.schema.fields, *(T.StructField(n, _TYPES[k][0]) for n, k in fold.outputs)])
+    return ordered.mapInPandas(lambda frames: _walked(frames, folder, key), schema)
 
 
 def settled(rows: DataFrame, key: str, fold, again: Callable[[DataFrame], DataFrame]) -> DataFrame:
