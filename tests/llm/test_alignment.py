@@ -2,8 +2,11 @@
 
 import hashlib
 from collections import Counter
+from functools import cache
 
+import public_tokenizers
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 
 from ticketmill.llm import alignment
@@ -11,15 +14,23 @@ from ticketmill.llm.common import table
 
 ODD = [
     None, "", "a ▁ b", "\n\n x\t\ty     z  ", "<|endoftext|> <s> <0x41> don't  I'll", "日本 🎉 １２ \u3000 x\u0085 y \x1c z\x00 é",
-    "   ", "x" * 3000, "\n", " lead", "end\r\n  two;\r\n\tthree", "word, word, word",
+    "   ", "it's a'b c1d", "x" * 3000, "\n", " lead", "end\r\n  two;\r\n\tthree", "word, word, word",
 ]
 
 
+PIECES = str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@cache
+def _plain_model(path):
+    return sentencepiece.SentencePieceProcessor(model_file=path)
+
+
 def _encoded(tables, text):
     """Ids and bytes of the whole text, without cutting it first."""
     if not text:
         return [], [], [], []
-    a, b = tables.a.encode(" " + text, add_special_tokens=False).ids, tables.b.encode(text)
+    a, b = tables.a.encode(" " + text, add_special_tokens=False).ids, _plain_model(PIECES).encode(text)
     bytes_a, bytes_b = [tables.bytes_a[i] for i in a], [tables.bytes_b[i] for i in b]
     whole = (" " + text).encode()
     return (a, b, bytes_a, bytes_b) if b"".join(bytes_a) == b"".join(bytes_b) == whole else ([], [], [], [])
@@ -53,7 +64,7 @@ def _brute(tables, texts):
 @pytest.mark.parametrize("shipped", [alignment.SHIPPED, 300, 0])
 def test_rows_equal_brute_force(spark, folder, byte_model, piece_model, shipped):
     rows = [(r.doc_id, r.text) for r in table(spark, folder, "documents").limit(40).collect()]
-    rows += [(-1 - i, text) for i, text in enumerate(ODD)] + [(None, "no id"), (-1, None), (-12, "word, word, word")]
+    rows += [(-1 - i, text) for i, text in enumerate(ODD)] + [(None, "no id"), (-1, None), (-13, "word, word, word")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"row": F.lit(1), "codes": F.lit(2), "b": F.lit(3)})
     want = _brute(alignment.aligner(byte_model, piece_model), [text for _, text in rows])
     got = alignment.alignments(df, byte_model, piece_model, shipped=shipped)
