@@ -29,9 +29,11 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -257,14 +259,20 @@ def waiting(spark: SparkSession, checkpoint: str, rows: DataFrame, key: str, ts:
     prepared = rows.withColumns({_AT: epoch_micros(rows, F.col(ts)), **{_INPUT + n: inputs[n] for n in fold.inputs}})
     kept = lambda name: spark.read.format("statestore").option("path", checkpoint).option("stateVarName", name).load()
 
+    kinds, zone = to_arrow_schema(prepared.schema), spark.conf.get("spark.sql.session.timeZone")
+
+    def column(table: pa.Table, field: pa.Field) -> pa.ChunkedArray:
+        values = table[field.name]
+        if pa.types.is_timestamp(field.type) and field.type.tz and pa.types.is_timestamp(values.type) and not values.type.tz:
+            values = pc.assume_timezone(values, zone)  # pandas has them as local times
+        return values.cast(field.type)
+
     def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data in batch.column(0).to_pylist():
-                yield from pa.ipc.open_stream(data).read_all().select(prepared_names).cast(prepared_schema).to_batches()
-
-    from pyspark.sql.pandas.types import to_arrow_schema
+                table = pa.ipc.open_stream(data).read_all()
+                yield from pa.Table.from_arrays([column(table, f) for f in kinds], schema=kinds).to_batches()
 
-    prepared_names, prepared_schema = prepared.columns, to_arrow_schema(prepared.schema, timezone="UTC")
     held = kept("slices").select(F.col("user_map_value.rows")).mapInArrow(unpacked, prepared.schema)
     states = kept("fold").select(F.col(f"key.{key}").alias("__key"), F.col("value.state").alias("__state"))
     joined = held.join(states, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
