@@ -62,8 +62,7 @@ def test_ema_needs_one_pass_over_a_hot_key(spark):
     df = _events(spark, _random_rows(2, 4000, 50, hot=0.9))
     prepared = df.withColumn("__in_x", F.col("bad").cast("double"))
     frozen = blocks.ordered_blocks(prepared, "key", ORDER, 12)
-    starts, rounds = blocks.link_blocks(frozen, "key", folds.Ema(0.05))
-    assert len(starts) >= 8 and rounds == 1
+    assert len(blocks.link_blocks(frozen, "key", folds.Ema(0.05))) >= 8
 
 
 def test_ema_extreme_alpha(spark):
@@ -117,8 +116,8 @@ def test_streaks(spark, n_blocks):
 def test_streaks_link_in_one_round(spark):
     df = _events(spark, [("a", i, i, True) for i in range(4000)]).withColumn("__in_bad", F.col("bad"))
     frozen = blocks.ordered_blocks(df, "key", ORDER, 12)
-    starts, rounds = blocks.link_blocks(frozen, "key", folds.Streak())
-    assert len(starts) >= 8 and rounds == 1 and max(s[0] for s in starts.values()) > 3000
+    starts = blocks.link_blocks(frozen, "key", folds.Streak())
+    assert len(starts) >= 8 and max(s[0] for s in starts.values()) > 3000
 
 
 def test_a_block_is_summarised_batch_by_batch(spark, monkeypatch):
@@ -133,8 +132,7 @@ def test_a_block_is_summarised_batch_by_batch(spark, monkeypatch):
                 assert len(columns[0]) <= 100
                 return super().segment(columns, state)
 
-        starts, _ = blocks.link_blocks(frozen, "key", Bounded())
-        assert len(starts) == 2
+        assert len(blocks.link_blocks(frozen, "key", Bounded())) == 2
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
@@ -184,3 +182,66 @@ def test_bad_parameters():
     ):
         with pytest.raises(ValueError):
             wrong()
+
+
+@pytest.mark.parametrize("fold", [folds.Ema(0.3), folds.Streak(), folds.ResettingEma(0.3, 0.5, 0.7), folds.ResettingEma(1.0, 0.5, 0.9), folds.ResettingEma(0.02, 0.1, 0.3)])
+def test_charts_take_any_start_through_the_rows(fold):
+    rng = random.Random(repr(fold))
+    for _ in range(60):
+        chance = rng.random()
+        rows = [rng.random() < chance for _ in range(rng.randint(1, 200))]
+        columns = rows if isinstance(fold, folds.Streak) else [float(x) for x in rows]
+        cut = rng.randint(0, len(rows))
+        chart = fold.chart()
+        for part in (columns[:cut], columns[cut:]):
+            chart = fold.extend(chart, [part]) if part else chart
+        highest = getattr(fold, "stop", 1.0)
+        for start in [0.0, *(rng.random() * highest for _ in range(20))]:
+            state = (rng.randint(0, 9),) if isinstance(fold, folds.Streak) else (start,)
+            assert fold.through(chart, state)[0] == pytest.approx(fold.segment([columns], state)[1][0], abs=1e-9)
+
+
+def test_a_reset_chart_stays_small():
+    """Starts that are all reset at different rows, then long stretches without and with resets."""
+    fold, rng = folds.ResettingEma(0.01, 0.5, 0.9), random.Random(4)
+    e, xs = 0.0, []
+    for _ in range(30_000):  # an average kept just below the limit, so that ever lower starts reach it
+        x = min(1.0, (0.9 - e * 0.99) / 0.01 - 1e-9) if rng.random() < 0.9 else 0.0
+        e = 0.01 * x + 0.99 * e
+        xs.append(x)
+    chart = fold.extend(fold.chart(), [xs])
+    assert len(chart[3]) <= 40 / 0.01 and len(chart[5]) <= 40 / 0.01
+    for start in (0.0, 0.1, 0.45, 0.8999):
+        assert fold.through(chart, (start,))[0] == pytest.approx(fold.segment([xs], (start,))[1][0], abs=1e-6)
+
+
+def test_resets_are_linked_in_two_passes(spark, monkeypatch):
+    """A log in which every block's end depends on its start: the charts are read once, then the blocks are walked."""
+    rng = random.Random(6)
+    rows = [("hot", i, i, rng.random() < 0.93) for i in range(6000)]
+    calls, real = [], blocks._charts
+    monkeypatch.setattr(blocks, "_charts", lambda *a: calls.append(len(a[3])) or real(*a))
+    df = sequence.ema_with_resets(_events(spark, rows), "key", ORDER, F.col("bad"), alpha=0.001, warn=0.4, stop=0.6, blocks=20)
+    got, e = _collect(df, "ema", "alert"), 0.0
+    assert len(calls) == 1 and calls[0] >= 15
+    for _, _, i, bad in rows:
+        e = 0.001 * bad + 0.999 * e
+        assert got[i] == (pytest.approx(e, abs=1e-9), "stop" if e >= 0.6 else "warn" if e >= 0.4 else None)
+        e = 0.0 if e >= 0.6 else e
+    assert {alert for _, alert in got.values()} == {None, "warn", "stop"}
+
+
+def test_a_task_may_read_several_blocks_and_a_block_several_tasks(spark):
+    rows = _random_rows(9, 4000, 100)
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("3000", "1g"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got = _collect(sequence.failure_streaks(_events(spark, rows), "key", ORDER, F.col("bad"), blocks=13), "streak")
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+        for events in _by_key(rows).values():
+            streak = 0
+            for _, i, bad in events:
+                streak = streak + 1 if bad else 0
+                assert got[i] == (streak,)

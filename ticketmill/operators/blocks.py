@@ -2,36 +2,36 @@
 
 A fold needs the rows of a key in order, but one key may hold a third of all
 rows, so a key is never brought to one task. Rows are range-partitioned by
-(key, order): a large key then spans several blocks, each walked by its own
-task. A block that begins inside a key needs the state its predecessor ends
-with. All blocks are first walked from the initial state; each reports one
-small row with its end state, the starts are linked up, and the few blocks that
-were walked from a wrong start are walked again until nothing changes. That
-ends with the sequential result: every round makes at least the next block of
-each key right. The plain average and the streak of failures link in one round, by
-algebra; an average that resets forgets its past, and one or two rounds do.
-
-Only block summaries reach the driver: one row per partition, whatever the
-data volume.
+(key, order) and stored: a large key then spans several blocks, each walked by its
+own task. A block that begins inside a key needs the state its predecessor ends
+with. So the last key of each block that goes on elsewhere is first read for its
+chart, the small function from any state before its rows to the state after them;
+the charts are applied one after the other, and then all blocks are walked from the
+right states. Two passes, whatever the rows and the fold.
+
+The first pass reads the key and the fold's inputs only. A block's chart and border
+keys are all that reaches the driver, the charts one at a time.
 """
 
 from __future__ import annotations
 
 import json
-import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import groupby
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import run_folder, shared_folder
+from ..session import run_folder
 
 BLOCK = "__block"
+_PART = "__part"
+_FILE_BITS = 40  # a block's file is shorter than a terabyte
 _INPUT = "__in_"
 _TYPES = {
     "double": (T.DoubleType(), pa.float64()),
@@ -42,23 +42,27 @@ _TYPES = {
 
 
 def ordered_blocks(df: DataFrame, key: str, order: Iterable[str], blocks: int | None = None) -> DataFrame:
-    """``df`` in (key, order) with a block number, kept at the checkpoint.
+    """``df`` in (key, order) with a block number, stored below the run's folder.
 
-    The checkpoint fixes the block borders, so every later pass sees the same
-    blocks even when executors are lost. Without ``blocks`` their number is the
-    session's shuffle partitions, which adaptive execution merges for small data.
+    What is stored stays the same even when executors are lost. A block is the part of a
+    stored file that one task reads; blocks are numbered in the order of their rows. Without
+    ``blocks`` the number of files is the session's shuffle partitions, which adaptive
+    execution merges for small data.
     """
     columns = [key, *order]
     spark = df.sparkSession
-    shared_folder(spark)
     if not df._jdf.queryExecution().analyzed().deterministic():
         # Ranges are sampled first: what must run once (a model call, say) is stored before.
         folder = run_folder(spark, "rows")
         df.write.parquet(folder)
         df = spark.read.parquet(folder)
     ranged = df.repartitionByRange(*([blocks] if blocks else []), *columns)
-    ranged = ranged.sortWithinPartitions(*columns)
-    return ranged.withColumn(BLOCK, F.spark_partition_id()).checkpoint()
+    ranged = ranged.sortWithinPartitions(*columns).withColumn(_PART, F.spark_partition_id())
+    folder = run_folder(spark, "blocks")
+    ranged.write.option("maxRecordsPerFile", 0).parquet(folder)
+    stored = spark.read.schema(ranged.schema).parquet(folder)
+    place = F.shiftleft(F.col(_PART).cast("long"), _FILE_BITS) + F.col("_metadata.file_block_start")
+    return stored.withColumn(BLOCK, place).drop(_PART)
 
 
 def _runs(keys: list) -> Iterator[tuple[int, int]]:
@@ -81,21 +85,29 @@ def _inputs(batch: pa.RecordBatch, fold) -> list[list]:
     return [_values(batch.column(_INPUT + name)) for name in fold.inputs]
 
 
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of one block each; a task may read several blocks, one after the other."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        numbers = batch.column(BLOCK).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), batch.num_rows]
+        for begin, end in zip(cuts, cuts[1:]):
+            yield batch.slice(begin, end - begin) if len(cuts) > 2 else batch
+
+
 def _walk(
     batches: Iterator[pa.RecordBatch], key: str, fold, starts: dict
 ) -> Iterator[tuple[pa.RecordBatch, list[list]]]:
     """Each batch of a block with its fold outputs."""
-    seen = False
-    current = state = None
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
+    block = current = state = None
+    for batch in _by_block(batches):
         keys, columns = _values(batch.column(key)), _inputs(batch, fold)
         outputs: list[list] = [[] for _ in fold.outputs]
+        this = batch.column(BLOCK)[0].as_py()
         for begin, end in _runs(keys):
-            if not seen:
-                block = batch.column(BLOCK)[0].as_py()
-                seen, current, state = True, keys[begin], starts.get(block, fold.first())
+            if this != block:
+                block, current, state = this, keys[begin], starts.get(this, fold.first())
             elif keys[begin] != current:
                 current, state = keys[begin], fold.first()
             part, state = fold.segment([c[begin:end] for c in columns], state)
@@ -108,8 +120,6 @@ def _walk(
 class Block:
     first_key: Any
     last_key: Any
-    end: tuple | None = None  # state after the last key, when some block continues it
-    rows: int = 0
 
     @property
     def single(self) -> bool:
@@ -129,86 +139,51 @@ def _borders(frozen: DataFrame, key: str) -> dict[int, Block]:
     }
 
 
-_ENDS = T.StructType(
-    [
-        T.StructField("block", T.IntegerType()),
-        T.StructField("rows", T.LongType()),
-        T.StructField("state", T.StringType()),
-    ]
-)
-
-
-def _walk_ends(frozen: DataFrame, key: str, fold, blocks: dict[int, Block], starts: dict) -> None:
-    """Walk the last key of ``blocks`` and note how each ends.
+def _charts(frozen: DataFrame, key: str, fold, blocks: dict[int, Block]) -> Iterator[tuple[int, list]]:
+    """The chart of the last key of ``blocks``, by block.
 
     Only rows of that key leave the JVM: blocks full of small keys cost nothing.
     """
-    kind = T.StructType([T.StructField("b", T.IntegerType()), T.StructField("k", frozen.schema[key].dataType)])
+    kind = T.StructType([T.StructField("b", T.LongType()), T.StructField("k", frozen.schema[key].dataType)])
     spark = frozen.sparkSession
     wanted = F.broadcast(spark.createDataFrame([(b, x.last_key) for b, x in blocks.items()], kind))
     chosen = frozen.join(wanted, (F.col(BLOCK) == F.col("b")) & F.col(key).eqNullSafe(F.col("k")), "left_semi")
 
-    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = state = None
-        rows = 0
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            if block is None:
-                block = batch.column(BLOCK)[0].as_py()
-                state = starts.get(block, fold.first())
-            _, state = fold.segment(_inputs(batch, fold), state)
-            rows += batch.num_rows
-        if block is not None:
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "block": pa.array([block], pa.int32()),
-                    "rows": pa.array([rows], pa.int64()),
-                    "state": pa.array([json.dumps(state)], pa.string()),
-                }
-            )
+    def chart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = found = None
 
-    needed = chosen.select(BLOCK, *[_INPUT + name for name in fold.inputs])
-    for row in needed.mapInArrow(summarise, _ENDS).collect():
-        x = blocks[row["block"]]
-        x.end, x.rows = tuple(json.loads(row["state"])), row["rows"]
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int64()), "chart": pa.array([json.dumps(found)], pa.string())})
 
+        for batch in _by_block(batches):
+            this = batch.column(BLOCK)[0].as_py()
+            if this != block:
+                if block is not None:
+                    yield row()
+                block, found = this, fold.chart()
+            found = fold.extend(found, _inputs(batch, fold))
+        if block is not None:
+            yield row()
 
-def _same(a: tuple, b: tuple) -> bool:
-    return all(
-        math.isclose(x, y, rel_tol=0.0, abs_tol=1e-12)
-        if isinstance(x, float) and isinstance(y, float)
-        else x == y
-        for x, y in zip(a, b)
-    )
+    needed = chosen.select(BLOCK, *[_INPUT + name for name in fold.inputs])
+    rows = needed.mapInArrow(chart, "block long, chart string").orderBy("block")
+    for row in rows.toLocalIterator():
+        yield row["block"], json.loads(row["chart"])
 
 
-def link_blocks(frozen: DataFrame, key: str, fold) -> tuple[dict[int, tuple], int]:
-    """State before each block that continues a key, and the rounds it took."""
+def link_blocks(frozen: DataFrame, key: str, fold) -> dict[int, tuple]:
+    """The state before each block that continues a key."""
     known = _borders(frozen, key)
     order = list(known)
-    pairs = [(a, b) for a, b in zip(order, order[1:]) if known[a].last_key == known[b].first_key]
-    used: dict[int, tuple] = {}  # starts other than the initial state that blocks were walked from
+    following = {a: b for a, b in zip(order, order[1:]) if known[a].last_key == known[b].first_key}
     starts: dict[int, tuple] = {}
-    todo = [a for a, _ in pairs]
-    rounds = 0
-    while todo:
-        rounds += 1
-        _walk_ends(frozen, key, fold, {b: known[b] for b in todo}, used)
-        starts, wrong = {}, []
-        for before, block in pairs:
-            x = known[before]
-            end = x.end
-            walked_from = used.get(before, fold.first())
-            # A block with several keys begins its last one itself.
-            if x.single and before in starts and not _same(starts[before], walked_from):
-                end, exact = fold.predict(starts[before], walked_from, end, x.rows)
-                if not exact:
-                    wrong.append(before)
-            starts[block] = fold.resume(end)
-        used.update({b: starts[b] for b in wrong})
-        todo = wrong
-    return starts, rounds
+    if not following:
+        return starts
+    for block, chart in _charts(frozen, key, fold, {b: known[b] for b in following}):
+        # A block with several keys begins its last one itself.
+        before = starts.get(block, fold.first()) if known[block].single else fold.first()
+        starts[following[block]] = fold.resume(fold.through(chart, before))
+    return starts
 
 
 def fold_rows(
@@ -223,7 +198,7 @@ def fold_rows(
     order = list(order)
     prepared = df.withColumns({_INPUT + name: inputs[name] for name in fold.inputs})
     frozen = ordered_blocks(prepared, key, order, blocks)
-    starts, _ = link_blocks(frozen, key, fold)
+    starts = link_blocks(frozen, key, fold)
     names = df.columns
     schema = T.StructType(
         [*df.schema.fields, *(T.StructField(n, _TYPES[kind][0]) for n, kind in fold.outputs)]
