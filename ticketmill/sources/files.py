@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import bz2
-import codecs
+import csv
 import gzip
 import importlib.util
 import io
-import lzma
 from collections.abc import Iterable, Iterator
-from functools import reduce
 from itertools import islice
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -20,18 +19,13 @@ from pyspark.sql import types as T
 
 from ..functions.fields import EXPORT_COLUMNS, MISSING_MARKERS, blank_to_null
 from ..functions.jsonl import json_verdict
+from . import encodings, xz
+from .ranges import list_files, located, named, spread_ranges
 
 # Directories that never hold project sources.
 IGNORED_DIRECTORIES = (".venv", "venv", "__pycache__", ".git", "node_modules")
-FALLBACK_ENCODINGS = ("utf-16", "cp1252", "latin-1")
-
-# Where cp1252 has other characters than latin-1: 0x80 to 0x9F, but for five unused bytes.
-_WINDOWS = tuple(
-    "".join(c) for c in zip(*((chr(b), bytes([b]).decode("cp1252")) for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)))
-)
-MAX_HEADERS = 64  # different headers an export may have
 _BATCH_LINES = 10_000
-_BLOCK = 1024 * 1024
+_HEAD_BYTES = 1 << 16
 
 
 def _foreign(name: Column) -> Column:
@@ -56,18 +50,19 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return lines.select(name.alias("file"), "value")
 
 
-_OPENERS = {".gz": gzip.open, ".bz2": bz2.open, ".xz": lzma.open}
+_OPENERS = {".gz": gzip.open, ".bz2": bz2.open}
 
 
 def _opened_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines as bytes: whether they are text is for the line's verdict to say."""
     for batch in batches:
-        for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-            opener = _OPENERS["." + path.lower().rsplit(".", 1)[1]]
-            with opener(io.BytesIO(content.as_buffer()), "rb") as lines:
+        for name in batch.column(0).to_pylist():
+            opener = _OPENERS["." + name.lower().rsplit(".", 1)[1]]
+            system, path = located(name)
+            with system.open_input_file(path) as packed, opener(packed, "rb") as lines:
                 while held := [line.rstrip(b"\n").removesuffix(b"\r") for line in islice(lines, _BATCH_LINES)]:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([path] * len(held)), pa.array(held, pa.binary())], names=["file", "value"]
+                        [pa.array([name] * len(held)), pa.array(held, pa.binary())], names=["file", "value"]
                     )
 
 
@@ -75,100 +70,92 @@ def read_compressed(spark: SparkSession, path: str) -> DataFrame:
     """Lines of every file below a folder, opened by suffix in any case.
 
     Spark's own codecs read ``.gz``, ``.bz2`` and plain files. The suffixes
-    they do not know (``.xz``, ``.GZ``) are opened in the tasks instead.
+    they do not know are opened in the tasks instead: ``.xz`` by blocks, a
+    task each, and ``.GZ`` or ``.BZ2`` as one stream a file.
     """
-    # Both filters are on the file's own metadata, so neither branch opens the other's files.
+    # The filter is on the file's own metadata, so the text scan does not open the other files.
     name = F.col("_metadata.file_path")
-    opened = spark.read.option("recursiveFileLookup", True).format("binaryFile").load(path).filter(_foreign(name))
-    native = spark.read.option("recursiveFileLookup", True).text(path).filter(~_foreign(name)).select(name.alias("file"), "value")
-    lines = opened.select(name.alias("file"), "content").mapInArrow(_opened_lines, "file string, value binary")
-    return native.unionByName(lines.withColumn("value", F.col("value").cast("string")))
+    native = spark.read.option("recursiveFileLookup", True).text(path).filter(~_foreign(name))
+    listed = _visible(list_files(spark, path), path).filter(_foreign(F.col("file"))).select("file", "size")
+    by_block = F.lower("file").endswith(".xz")
+    whole = listed.filter(~by_block).withColumn("begin", F.lit(0))
+    lines = spread_ranges(whole).select("file").mapInArrow(_opened_lines, "file string, value binary")
+    lines = lines.unionByName(xz.read_xz(listed.filter(by_block)))
+    return native.select(_file_name().alias("file"), "value").unionByName(lines.withColumn("value", F.col("value").cast("string")))
 
 
 def decoded_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines ``(file, value)`` of plain files, each read in the encoding `file_encoding_report` finds.
-
-    For encodings in which a line feed is one byte; UTF-16 files are refused.
-    """
-    report = file_encoding_report(spark, path).select(_one_slash(F.col("path")).alias("file"), "encoding")
-    lines = spark.read.option("recursiveFileLookup", True).text(path)
-    lines = lines.select(_one_slash(F.col("_metadata.file_path")).alias("file"), F.col("value").cast("binary").alias("value"))
-    raw, encoding = F.col("value"), F.col("encoding")
-    refused = F.raise_error(F.concat(F.lit("not readable line by line: "), F.col("file"))).cast("string")
-    value = (
-        F.when(encoding == "utf-8", raw.cast("string"))
-        .when(encoding == "cp1252", F.translate(F.decode(raw, "ISO-8859-1"), *_WINDOWS))
-        .when(encoding == "latin-1", F.decode(raw, "ISO-8859-1"))
-        .otherwise(refused)
-    )
-    return lines.join(report, "file").select("file", value.alias("value"))
-
-
-def _pick_columns(frame: DataFrame) -> list[Column]:
-    """First column under each header wins; a missing column is null."""
-    present: dict[str, str] = {}
-    for name in frame.columns:
-        present.setdefault(name, name)
-    return [
-        (
-            blank_to_null(F.col(f"`{present[header]}`"), MISSING_MARKERS)
-            if header in present
-            else F.lit(None).cast("string")
-        ).alias(field)
-        for field, header in EXPORT_COLUMNS.items()
-    ]
-
+    """Lines ``(file, value)`` of plain files, each read in the encoding `file_encoding_report` finds, UTF-16 too."""
+    return encodings.lines_in_encodings(list_files(spark, path))
 
-def _headers(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, header)``: the first line of each file."""
 
-    def first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, str] = {}
+def _widths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many columns a file's header has, from as much of its begin as holds the first record."""
+    for batch in batches:
+        widths = []
+        for name in batch.column(0).to_pylist():
+            system, path = located(name)
+            with system.open_input_file(path) as source:
+                head, more = b"", True
+                while more:
+                    more = source.read(_HEAD_BYTES)
+                    head += more
+                    # An even number of quotes before the line feed: the record is whole.
+                    feed = head.find(b"\n")
+                    while feed >= 0 and head.count(b'"', 0, feed) % 2:
+                        feed = head.find(b"\n", feed + 1)
+                    if feed >= 0:
+                        head = head[:feed]
+                        break
+            widths.append(len(next(csv.reader(io.StringIO(head.decode(errors="replace"))), [])))
+        yield pa.RecordBatch.from_arrays([pa.array(widths, pa.int32())], names=["width"])
+
+
+def _own_headers(width: int):
+    """Rows under the six fields by the header of their own file, which is its first row."""
+
+    def fields(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, places = None, {}
         for batch in batches:
-            for file, line in zip(*(c.to_pylist() for c in batch.columns)):
-                seen.setdefault(file, line)
-        yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.string()) for x in (seen, seen.values())], names=["file", "header"])
-
-    lines = spark.read.text(path)
-    begin = lines.filter(F.col("_metadata.file_block_start") == 0).select(F.col("_metadata.file_path").alias("file"), "value")
-    return begin.mapInArrow(first_lines, "file string, header string")
-
-
-def _with_header(raw: DataFrame) -> DataFrame:
-    firsts: set[str] = set()
-    renamed = []
-    for position, name in enumerate(raw.columns):
-        base = name[: -len(str(position))] if name.endswith(str(position)) else name
-        header = base if base in EXPORT_COLUMNS.values() else name
-        renamed.append(header if header not in firsts else f"__repeated_{position}")
-        firsts.add(header)
-    named = raw.toDF(*renamed)
-    return named.select(*_pick_columns(named))
+            files = batch.column(width)
+            numbers = files.dictionary_encode().indices.to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), batch.num_rows]
+            for begin, end in zip(cuts, cuts[1:]):
+                if begin == end:
+                    continue
+                if files[begin].as_py() != current:
+                    current = files[begin].as_py()
+                    header = [batch.column(i)[begin].as_py() for i in range(width)]
+                    header[0] = (header[0] or "").removeprefix("\ufeff")
+                    places = {}
+                    for i, name in enumerate(header):
+                        places.setdefault(name, i)
+                    begin += 1
+                rows = batch.slice(begin, end - begin)
+                missing = pa.nulls(rows.num_rows, pa.string())
+                picked = [rows.column(places[h]) if h in places else missing for h in EXPORT_COLUMNS.values()]
+                yield pa.RecordBatch.from_arrays(picked, names=list(EXPORT_COLUMNS))
+
+    return fields
 
 
 def read_export(spark: SparkSession, path: str) -> DataFrame:
     """A tabular export (CSV with a header) as the six nullable ticket fields.
 
-    Files may differ in the order and choice of columns: each distinct header (at most
-    MAX_HEADERS) is read on its own, over the files that have it. Spark renames
-    repeated headers by appending their position, e.g. the columns ``Category3`` and
-    ``Category7``; the first of them is taken.
+    Files may differ in the order and choice of columns: each is read under its own first
+    record. Of columns with one name the first is taken; a missing column is null. One scan
+    over all files, a task a file, since a record may span lines; before it only the first
+    record of each file is read, for the number of columns.
     """
-    options = {"header": True, "inferSchema": False, "multiLine": True, "escape": '"'}
-    files = _headers(spark, path)
-    kinds = files.groupBy("header").agg(F.min("file").alias("file")).orderBy("header").limit(MAX_HEADERS + 1).collect()
-    if len(kinds) > MAX_HEADERS:
-        raise ValueError(f"{path} has more than {MAX_HEADERS} different headers")
-    if len(kinds) < 2:
-        return _with_header(spark.read.options(**options).csv(path))
-    parts = []
-    for kind in kinds:
-        schema = spark.read.options(**options).csv(kind["file"]).schema
-        own = files.filter(F.col("header") == kind["header"]).select("file")
-        raw = spark.read.options(**options).schema(schema).csv(path).withColumn("__file", F.col("_metadata.file_path"))
-        mine = raw.join(own, F.col("__file") == F.col("file"), "left_semi").drop("__file")
-        parts.append(_with_header(mine))
-    return reduce(DataFrame.unionByName, parts)
+    heads = list_files(spark, path).filter("size > 0").withColumn("begin", F.lit(0))
+    width = spread_ranges(heads.select("file", "begin")).select("file").mapInArrow(_widths, "width int").agg(F.max("width")).first()[0]
+    fields = ", ".join(f"{name} string" for name in EXPORT_COLUMNS)
+    if not width:
+        return spark.createDataFrame([], fields)
+    columns = ", ".join(f"c{i} string" for i in range(width))
+    raw = spark.read.options(header=False, multiLine=True, escape='"', recursiveFileLookup=True).schema(columns).csv(path)
+    read = raw.withColumn("__file", F.col("_metadata.file_path")).mapInArrow(_own_headers(width), fields)
+    return read.select(*[blank_to_null(F.col(n), MISSING_MARKERS).alias(n) for n in EXPORT_COLUMNS])
 
 
 def read_workbooks(spark: SparkSession, path: str) -> DataFrame:
@@ -192,16 +179,30 @@ def read_workbooks(spark: SparkSession, path: str) -> DataFrame:
     return cells.select(*[blank_to_null(F.col(n)).alias(n) for n in EXPORT_COLUMNS])
 
 
-def _listed(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Names of the files a scan of ``path`` would read, from the driver's file index."""
-    names = spark.read.options(**options).text(path).inputFiles()
-    listed = spark.createDataFrame([(name,) for name in names], "file string")
-    return listed.withColumn("file", _one_slash(F.col("file")))
+def _file_name() -> Column:
+    """The name of the file a scan's row comes from, as `list_files` writes it: Spark's scans escape it."""
+    decoded = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "file:/")
+
+
+def _prefix(root: str) -> str:
+    """What the names of files below ``root`` begin with."""
+    return named(root, located(root)[1].rstrip("/")) + "/"
 
 
-def _one_slash(uri: Column) -> Column:
-    """``file:/x`` and ``file:///x`` name the same file."""
-    return F.regexp_replace(uri, "^([A-Za-z0-9+.-]+):/+", "$1:/")
+def _visible(files: DataFrame, root: str) -> DataFrame:
+    """Files that Spark's scans of a folder read: no part of their path below it begins with a dot or underscore."""
+    below = F.substring("file", len(_prefix(root)), 1 << 30)
+    return files.filter(~below.rlike(r"/[._][^/]*"))
+
+
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for name in batch.column(0).to_pylist():
+            system, path = located(name)
+            with system.open_input_stream(path) as source:
+                text = source.read().decode("utf-8", "replace")
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([text])], names=["file", "content"])
 
 
 def discover_files(
@@ -210,60 +211,21 @@ def discover_files(
     glob: str = "*.py",
     ignored: Iterable[str] = IGNORED_DIRECTORIES,
 ) -> DataFrame:
-    """Whole files below ``root`` as ``(path, content)``, path relative to the root."""
-    # The readers skip empty files, so those are added from the listing: names only are compared.
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).format("binaryFile")
-    name = _one_slash(F.col("_metadata.file_path"))
-    read = reader.load(root).select(name.alias("full"), F.make_valid_utf8(F.col("content").cast("string")).alias("content"))
-    filled = reader.load(root).select(name.alias("file"))
-    names = _listed(spark, root, pathGlobFilter=glob, recursiveFileLookup=True)
-    empty = names.join(filled, "file", "left_anti").select(F.col("file").alias("full"), F.lit("").alias("content"))
-    found = read.unionByName(empty)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
-    system = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    # With one slash, the authority of a URI is the first part of its path.
-    qualified = system.makeQualified(folder).toUri()
-    prefix = (f"/{qualified.getAuthority()}" if qualified.getAuthority() else "") + qualified.getPath()
-    prefix = prefix.rstrip("/") + "/"
-    # Paths come as URIs. The root may itself stand in an ignored directory:
-    # only the part below it counts.
-    local = F.regexp_replace("full", "^[A-Za-z0-9+.-]+:(?=/)", "")
-    decoded = F.url_decode(F.replace(local, F.lit("+"), F.lit("%2B")))
-    relative = F.substring(decoded, F.lit(len(prefix) + 1), F.length(decoded))
-    skip = F.arrays_overlap(F.split(relative, "/"), F.array(*[F.lit(x) for x in ignored]))
-    return found.select(relative.alias("path"), "content").filter(~skip)
-
-
-def _encodings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    def decodes(content: bytes, encoding: str) -> bool:
-        decoder = codecs.getincrementaldecoder(encoding)()
-        try:
-            for at in range(0, len(content), _BLOCK):
-                decoder.decode(content[at : at + _BLOCK])
-            decoder.decode(b"", final=True)
-            return True
-        except UnicodeError:
-            return False
+    """Whole files below ``root`` as ``(path, content)``, path relative to the root.
 
-    for batch in batches:
-        rows = []
-        for path, content in zip(batch["path"], batch["content"]):
-            utf8 = decodes(content, "utf-8")
-            # UTF-16 is only believed with its byte order mark.
-            marked = content[:2] in (codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE)
-            guesses = FALLBACK_ENCODINGS if marked else FALLBACK_ENCODINGS[1:]
-            guess = "utf-8" if utf8 else next((e for e in guesses if decodes(content, e)), "utf-8")
-            rows.append((path, guess, utf8))
-        yield pd.DataFrame(rows, columns=["path", "encoding", "valid_utf8"])
+    The root may itself stand in an ignored folder: only those below it are passed over.
+    Names are dealt to the tasks, which read the files.
+    """
+    files = list_files(spark, root, glob, ignored)
+    prefix = len(_prefix(root))
+    dealt = spread_ranges(files.withColumn("begin", F.lit(0)).select("file", "begin")).select("file")
+    found = dealt.mapInArrow(_contents, "file string, content string")
+    return found.select(F.substring("file", prefix + 1, 1 << 30).alias("path"), "content")
 
 
 def file_encoding_report(spark: SparkSession, path: str) -> DataFrame:
-    """Which encoding reads each file: UTF-8 when it is valid, else a fixed candidate list."""
-    return (
-        spark.read.option("recursiveFileLookup", True).format("binaryFile").load(path)
-        .select("path", "content")
-        .mapInPandas(_encodings, "path string, encoding string, valid_utf8 boolean")
-    )
+    """Which encoding reads each file: UTF-8 when it is valid, else a fixed candidate list, judged by byte ranges."""
+    return encodings.encoding_report(spark, path)
 
 
 _SPLIT_SCHEMA = T.StructType(
@@ -298,8 +260,8 @@ def file_integrity(spark: SparkSession, path: str) -> DataFrame:
     Line numbers need file order but not whole files: each block is counted
     where it is read, and the few block counts of a file are then added up.
     """
-    lines = spark.read.text(path).select(
-        _one_slash(F.col("_metadata.file_path")).alias("file"),
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
+        _file_name().alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"),
         json_verdict(F.col("value"), strip_line=False, dump=False)["verdict"].alias("verdict"),
     )
@@ -312,6 +274,6 @@ def file_integrity(spark: SparkSession, path: str) -> DataFrame:
         F.min(F.col("offset") + F.col("first_bad")).alias("first_bad_line"),
     )
     # A file without lines is valid.
-    return _listed(spark, path).join(scanned, "file", "left").withColumn(
+    return _visible(list_files(spark, path), path).select("file").join(scanned, "file", "left").withColumn(
         "is_valid", F.coalesce("is_valid", F.lit(True))
     )
