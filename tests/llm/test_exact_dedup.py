@@ -62,6 +62,32 @@ def test_drop_keeps_one_row_of_each_text_with_its_columns(spark, odd_rows):
     assert kept.count() == 6
 
 
+def test_no_text_moves_whatever_the_size(spark, monkeypatch):
+    """Beyond the filter that is sent to all tasks, digests go to its segments."""
+    monkeypatch.setattr(exact_dedup, "SHIPPED_BYTES", 0)
+    plans, real = [], exact_dedup.stored
+
+    def stored(df, purpose):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, purpose)
+
+    monkeypatch.setattr(exact_dedup, "stored", stored)
+    df = spark.createDataFrame([(i, f"text {i % 7}") for i in range(50)], SCHEMA)
+    marked = exact_dedup.mark_copies(df)
+    plans.append(marked._jdf.queryExecution().executedPlan().toString())
+    scanned = [p for p in plans if re.search(r"\btext#", p)]
+    assert len(scanned) == 1 and "Exchange" not in scanned[0]  # texts are read once, for their digests
+    assert _got(marked) == _want([(i, f"text {i % 7}") for i in range(50)])
+
+
+def test_columns_named_like_the_inner_ones(spark):
+    names = ["_segment", "_maybe", "_row", "_hash", "_text", "_key", "_p0", "_words", "_digest", "c0", "a.b"]
+    rows = [(1, "one", *range(len(names))), (2, "one", *range(len(names))), (3, "two", *range(7, 7 + len(names)))]
+    df = spark.createDataFrame(rows, ", ".join([SCHEMA, *(f"`{n}` long" for n in names)]))
+    kept = exact_dedup.drop_copies(df)
+    assert kept.columns == df.columns and sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert exact_dedup.mark_copies(df).count() == 0 and exact_dedup.drop_copies(df).count() == 0

@@ -7,8 +7,8 @@ may have a copy, and only such rows are shuffled and compared by SHA-256. Every
 other row is proven unique and passes straight through.
 
 Defined cases: a null text is an empty one; null ids sort after all others; of
-rows equal in text and id one stays; no rows give no rows; columns named like the
-inner ones (``_...``) are not allowed, any others pass unchanged.
+rows equal in text and id one stays; a very long text is a digest like any other; no
+rows give no rows; all columns pass unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from .common import join_hot, stored, text_of
 SEGMENT_BITS = 1 << 20
 BITS_PER_ROW = 8
 PROBES = 3
-# The filter is sent to all tasks up to this size; beyond it, rows go to their segment.
+# The filter is sent to all tasks up to this size; beyond it, rows go to their segment. `mark_copies` then moves
+# digests of 40 bytes; `drop_copies`, which returns whole rows, moves those.
 SHIPPED_BYTES = 64 << 20
 
 _PLACES = [f"_p{i}" for i in range(PROBES)]
@@ -37,10 +38,9 @@ def normalised(text: Column | str) -> Column:
     return F.regexp_replace(text_of(text), r"[\x20\x09-\x0D]+", " ")
 
 
-def _probes(df: DataFrame, text: Column, segments: int) -> DataFrame:
-    digest = F.xxhash64(text)
-    places = [F.pmod(F.xxhash64(digest, F.lit(i)), F.lit(SEGMENT_BITS)).cast("int").alias(p) for i, p in enumerate(_PLACES)]
-    return df.select("*", F.pmod(digest, F.lit(segments)).cast("int").alias("_segment"), *places)
+def _probes(df: DataFrame, digest: str, segments: int) -> DataFrame:
+    places = [F.pmod(F.xxhash64(F.col(digest), F.lit(i)), F.lit(SEGMENT_BITS)).cast("int").alias(p) for i, p in enumerate(_PLACES)]
+    return df.select("*", F.pmod(F.col(digest), F.lit(segments)).cast("int").alias("_segment"), *places)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,13 +69,12 @@ def _merged(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"_segment": [key[0]], "_words": [words]})
 
 
-def possible_copies(df: DataFrame, text: Column | str) -> DataFrame:
-    """``df`` with ``_maybe``: false for rows whose normalised text no other row has."""
-    text = normalised(text)
-    count = df.count()
+def _flagged(rows: DataFrame, digest: str) -> DataFrame:
+    """``rows`` with ``_maybe``: false where no other row has the 64-bit hash in ``digest``."""
+    count = rows.count()
     segments = max(1, -(-count * BITS_PER_ROW // SEGMENT_BITS))
     filter_ = (
-        _probes(df.select(text.alias("_text")), F.col("_text"), segments)
+        _probes(rows.select(digest), digest, segments)
         .select("_segment", *_PLACES)
         .mapInArrow(_counted, "_segment int, _packed binary")
         .groupBy("_segment")
@@ -83,7 +82,7 @@ def possible_copies(df: DataFrame, text: Column | str) -> DataFrame:
     )
     if segments * SEGMENT_BITS // 8 <= SHIPPED_BYTES:
         filter_ = F.broadcast(filter_)
-    probed = _probes(df, text, segments).join(filter_, "_segment", "left")
+    probed = _probes(rows, digest, segments).join(filter_, "_segment", "left")
     hit = [F.getbit(F.get("_words", F.shiftright(p, 6)), F.col(p).bitwiseAND(63)) == 1 for p in _PLACES]
     maybe = F.lit(True)
     for one in hit:
@@ -91,15 +90,22 @@ def possible_copies(df: DataFrame, text: Column | str) -> DataFrame:
     return probed.withColumn("_maybe", F.coalesce(maybe, F.lit(False))).drop("_segment", "_words", *_PLACES)
 
 
+def possible_copies(df: DataFrame, text: Column | str) -> DataFrame:
+    """``df`` with ``_maybe``: false for rows whose normalised text no other row has."""
+    return _flagged(df.withColumn("_hash", F.xxhash64(normalised(text))), "_hash").drop("_hash")
+
+
 def mark_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: key, keep_id, group_size, kept, text_sha256.
 
-    Of rows with equal normalised text the one with the smallest key is kept. Only
-    (key, digest) of possible copies is shuffled, summed per task first, so a group
-    of any size is one row a task; groups are expanded from counts.
+    Of rows with equal normalised text the one with the smallest key is kept. Texts are read
+    once, for their digests, and never moved. Only (key, digest) of possible copies is
+    shuffled, summed per task first, so a group of any size is one row a task; groups are
+    expanded from counts.
     """
-    rows = possible_copies(df.select(F.col(key).alias("_key"), F.col(text).alias("_text")), "_text")
-    rows = stored(rows.select("_key", "_maybe", F.sha2(normalised("_text"), 256).alias("text_sha256")), "copies")
+    rows = df.select(F.col(key).alias("_key"), normalised(text).alias("_text"))
+    rows = stored(rows.select("_key", F.xxhash64("_text").alias("_hash"), F.sha2("_text", 256).alias("text_sha256")), "digests")
+    rows = stored(_flagged(rows, "_hash").select("_key", "_maybe", "text_sha256"), "copies")
     alone = rows.filter(~F.col("_maybe")).select(
         F.col("_key").alias(key),
         F.col("_key").alias("keep_id"),
@@ -126,13 +132,16 @@ def mark_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
 
 def drop_copies(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df`` that ``mark_copies`` keeps, with all their columns."""
-    rows = possible_copies(df, text)
-    alone = rows.filter(~F.col("_maybe")).select(*df.columns)
+    columns = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)]
+    # The row's own columns stand apart, so none can clash with the inner ones.
+    rows = df.select(F.struct(*columns).alias("_row"), F.col(key).alias("_key"), normalised(text).alias("_text"))
+    rows = _flagged(rows.withColumn("_hash", F.xxhash64("_text")), "_hash")
+    alone = rows.filter(~F.col("_maybe")).select("_row")
     kept = (
         rows.filter("_maybe")
-        .select(F.sha2(normalised(text), 256).alias("_digest"), F.col(key).alias("_key"), F.struct(*df.columns).alias("_row"))
+        .select(F.sha2("_text", 256).alias("_digest"), "_key", "_row")
         .groupBy("_digest")
         .agg(F.min_by("_row", F.struct(F.col("_key").isNull(), F.col("_key"))).alias("_row"))
-        .select("_row.*")
+        .select("_row")
     )
-    return alone.unionByName(kept)
+    return alone.unionByName(kept).select(*[F.col(f"_row.c{i}").alias(c) for i, c in enumerate(df.columns)])
