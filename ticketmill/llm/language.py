@@ -10,14 +10,16 @@ of different n-grams, in steps of doubling; the usual cosine of each step is a l
 quantile over pieces of the labelled texts, so short texts are held to what short pieces
 have.
 
-The model is fitted on a sample of about SAMPLE_PER_LANGUAGE labelled rows of each
-language, chosen by the hash of the id; whole texts are read. One task fits one
+The model is fitted on a sample of about SAMPLE_PER_LANGUAGE different labelled rows of
+each language, chosen by the hash of id and text; whole texts are read. One task fits one
 language. Only counts per language, the document frequencies, the centroids and STEPS
 quantiles per language reach the driver: DIMENSIONS numbers each at most.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, and
 rejected; ties go to the language that sorts first; a null label teaches nothing;
-without labelled rows every text is ``und``; repeated rows are predicted alike; a step
+without labelled rows every text is ``und``; repeated rows are predicted alike and teach
+once; a very long text is one vector like any other; an empty table gives no rows; columns
+named like the new ones are replaced, all others pass unchanged; a step
 with fewer than LEAST_PIECES pieces takes the limit of all languages together, then that
 of the step below, and without any nothing is rejected.
 """
@@ -25,6 +27,8 @@ of the step below, and without any nothing is rejected.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -49,7 +53,16 @@ LEAST_PIECES = 20
 STEPS = DIMENSIONS.bit_length()  # of length, each twice the one before
 UNKNOWN = "und"
 
-_NO_LETTER = re.compile(r"[\W\d_]+")
+
+def _no_letters() -> str:
+    """A class of all characters that are no letters: those of words less digits and other numbers."""
+    numbers = [c for c in range(0x80, sys.maxunicode + 1) if unicodedata.category(chr(c)) in ("Nl", "No")]
+    first = [c for i, c in enumerate(numbers) if i == 0 or numbers[i - 1] != c - 1]
+    last = [c for i, c in enumerate(numbers) if i + 1 == len(numbers) or numbers[i + 1] != c + 1]
+    return r"[\W\d_" + "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(first, last, strict=True)) + "]+"
+
+
+_NO_LETTER = re.compile(_no_letters())
 
 
 class Model(NamedTuple):
@@ -149,9 +162,10 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(df: DataFrame, label: str = "lang", text: str = "text", key: str = "doc_id") -> Model:
     """Learn from the rows of ``df`` that have a label."""
-    rows = df.select(F.col(label).cast("string").alias("_label"), text_of(text).alias("_text"), F.xxhash64(key).alias("_hash"))
-    rows = rows.filter("_label IS NOT NULL")
-    sizes = rows.groupBy("_label").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    # Rows equal in id and text are one: they would be drawn together, however many there are.
+    rows = df.select(F.col(label).cast("string").alias("_label"), text_of(text).alias("_text"), F.col(key).alias("_id"))
+    rows = rows.filter("_label IS NOT NULL").withColumn("_hash", F.xxhash64("_id", "_text"))
+    sizes = rows.groupBy("_label").agg(F.approx_count_distinct("_hash").alias("n")).limit(MAX_LANGUAGES + 1).collect()
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"{label} has more than {MAX_LANGUAGES} values")
     shares = [(r["_label"], SAMPLE_PER_LANGUAGE / r["n"]) for r in sizes]
@@ -159,6 +173,8 @@ def fit(df: DataFrame, label: str = "lang", text: str = "text", key: str = "doc_
     sample = (
         rows.join(F.broadcast(share), "_label")
         .filter(F.pmod("_hash", F.lit(1 << 20)) < F.col("_share") * (1 << 20))
+        .groupBy("_label", "_hash")
+        .agg(F.min("_text").alias("_text"))
         .select("_label", "_text")
     )
     known = dict(sample.mapInArrow(_frequencies, "place int, n long").groupBy("place").agg(F.sum("n")).collect())
@@ -238,4 +254,7 @@ def identified(df: DataFrame, key: str = "doc_id", text: str = "text", label: st
     """``df`` with lang_pred, score and rejected, learnt from the rows that aren't held out."""
     model = fit(df.filter(~held_out(key) & F.col(key).isNotNull()), label, text, key)
     kept = [c for c in df.columns if c not in ("lang_pred", "score", "rejected")]
-    return df.select(*kept, predict(text, model).alias("_found")).select(*kept, "_found.*")
+    # The row's own columns stand apart, so none can clash with the inner ones.
+    row = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)])
+    found = df.select(row.alias("row"), predict(text, model).alias("found"))
+    return found.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(kept)], "found.*")
