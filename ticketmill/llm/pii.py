@@ -2,22 +2,26 @@
 
 Base spans follow fixed patterns, leftmost and without overlap per kind; a match that
 fails its check is dropped and not tried again. The tagger reads windows of WINDOW
-characters every half window over the whole text. Every span has a digit or an "@", so
-only windows with one and those beside them are read. Windows that follow each other are
-a run: the label scores of its windows are averaged, the more the nearer a position is
-to the middle, and the best labels are those of the whole run. A tagged address is taken
+characters every half window over the whole text. Every span that can pass has an "@", or
+lies in a stretch of digits and the marks between them that has enough digits for a kind,
+so only windows with such an anchor and those beside them are read. Windows that follow
+each other are a run: the label scores of its windows are averaged, the more the nearer a
+position is to the middle, and the best labels are those of the whole run; a run of more
+than RUN_WINDOWS is decoded in parts that overlap by OVERLAP windows, each half of which
+counts for its own side, so a text of any length is held in bounded memory. A tagged address is taken
 to the ends of its local part and of its host, however long they are. A tagged span is
 added when it passes the check of its kind and overlaps no other span; base spans always
 stay.
 
 Defined cases: a null text is an empty one and has no spans; positions are code points;
-repeated rows are treated alike; any other columns pass unchanged, one named
-``spans`` is replaced.
+a very long text is read whole; repeated rows are treated alike; an empty table gives no
+rows; any other columns pass unchanged, one named ``spans`` is replaced.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -32,11 +36,14 @@ from .tagger import KINDS, WINDOW, Weights, best_labels, char_codes, luhn, train
 STRIDE = WINDOW // 2
 ANCHOR = re.compile("[0-9@]")
 SLICE_WINDOWS = 4096  # windows read at once
+RUN_WINDOWS, OVERLAP = 1024, 16
+# Stretches of digits and marks; a passing span without "@" has at least so many digits, or so many dots between some.
+_STRETCH = re.compile(r"[0-9][0-9\s().+/_-]*")
+LEAST_DIGITS, LEAST_DOTS = 9, 3
 
 # The base patterns. Local part and host of an address are looked for
 # from its "@", and dotted numbers from their first digit, which gives the same
 # matches in linear time.
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _HOST = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
@@ -111,27 +118,55 @@ def _passes(kind: str, text: str) -> bool:
     return _is_phone(text) and len(parts) > 2 and re.fullmatch(r"[+(]?[0-9][\x20().0-9-]+[0-9]", text) is not None
 
 
-def _window_starts(text: str) -> list[int]:
-    """Starts of the windows that have a digit or an "@"."""
+def _anchors(text: str) -> Iterator[tuple[int, int]]:
+    """Parts of a text that hold all its spans' digits and "@"."""
+    at = text.find("@")
+    while at >= 0:
+        yield at, at + 1
+        at = text.find("@", at + 1)
+    for m in _STRETCH.finditer(text):
+        part = m.group()
+        if len(part) >= LEAST_DIGITS and len(re.sub("[^0-9]", "", part)) >= LEAST_DIGITS or part.count(".") >= LEAST_DOTS:
+            yield m.span()
+
+
+def _runs(text: str) -> Iterator[tuple[int, int]]:
+    """First and last window, as numbers of half windows, of the runs to read: those with an anchor and the ones beside them."""
     last = max(0, -(-(len(text) - WINDOW) // STRIDE))
-    found: set[int] = set()
-    for m in ANCHOR.finditer(text):
-        block = m.start() // STRIDE
-        found.update({min(block, last), min(max(block - 1, 0), last)})
-    return [STRIDE * b for b in sorted(found)]
-
-
-def _runs(text: str) -> list[list[int]]:
-    """Starts of the windows to read, in runs: those with an anchor and the ones beside them."""
-    last = STRIDE * max(0, -(-(len(text) - WINDOW) // STRIDE))
-    near = {min(max(s + d, 0), last) for s in _window_starts(text) for d in (-STRIDE, 0, STRIDE)}
-    runs: list[list[int]] = []
-    for start in sorted(near):
-        if runs and start == runs[-1][-1] + STRIDE:
-            runs[-1].append(start)
-        else:
-            runs.append([start])
-    return runs
+    clipped = lambda block: min(max(block, 0), last)
+    near = sorted((clipped(a // STRIDE - 2), clipped((b - 1) // STRIDE + 1)) for a, b in _anchors(text))
+    begin = end = None
+    for a, b in near:
+        if end is not None and a <= end + 1:
+            end = max(end, b)
+            continue
+        if end is not None:
+            yield begin, end
+        begin, end = a, b
+    if end is not None:
+        yield begin, end
+
+
+class _Part(NamedTuple):
+    """Windows of a run that are decoded together, and from where to where their labels count."""
+
+    text: int
+    first: int
+    last: int
+    begin: int
+    end: int
+
+
+def _parts(texts: list[str]) -> Iterator[_Part]:
+    for i, text in enumerate(texts):
+        for first, last in _runs(text):
+            at, begin = first, STRIDE * first
+            while last - at >= RUN_WINDOWS:
+                stop = at + RUN_WINDOWS
+                middle = STRIDE * (stop - OVERLAP // 2)
+                yield _Part(i, at, stop - 1, begin, middle)
+                at, begin = stop - OVERLAP, middle
+            yield _Part(i, at, last, begin, len(text))
 
 
 # How much each position of a window counts.
@@ -177,52 +212,72 @@ def _whole(kind: str, text: str, a: int, b: int) -> tuple[int, int]:
 def with_tagged(text: str, base: list[Span], tagged: Iterator[tuple[str, int, int]]) -> list[Span]:
     """Base spans and the tagged ones that pass and touch no other, by kind and start."""
     found = list(base)
+    # What is taken, as stretches apart from each other in order.
+    begins: list[int] = []
+    ends: list[int] = []
+    for s in sorted(base, key=lambda s: s.start):
+        if ends and s.start < ends[-1]:
+            ends[-1] = max(ends[-1], s.end)
+        else:
+            begins.append(s.start)
+            ends.append(s.end)
     for kind, a, b in tagged:
         part = text[a:b]
         a, b = a + len(part) - len(part.lstrip()), b - (len(part) - len(part.rstrip()))
         a, b = _whole(kind, text, a, b)
-        if a < b and _passes(kind, text[a:b]) and not any(a < s.end and s.start < b for s in found):
+        after = bisect_right(ends, a)  # the first stretch that ends beyond a
+        if a < b and (after == len(begins) or begins[after] >= b) and _passes(kind, text[a:b]):
             found.append(Span(kind, a, b, False))
+            begins.insert(after, a)
+            ends.insert(after, b)
     return sorted(found, key=lambda s: (KINDS.index(s.kind), s.start))
 
 
+def _labelled(texts: list[str], parts: list[_Part], weights: Weights) -> Iterator[tuple[int, str, int, int]]:
+    """Tagged spans (text, kind, start, end) of parts whose windows are read together."""
+    windows = np.zeros((sum(p.last - p.first + 1 for p in parts), WINDOW), np.uint8)
+    row = 0
+    for p in parts:
+        for start in range(STRIDE * p.first, STRIDE * p.last + 1, STRIDE):
+            codes = char_codes(texts[p.text][start : start + WINDOW])
+            windows[row, : len(codes)] = codes
+            row += 1
+    scores, row = window_scores(weights, windows), 0
+    joined: list[np.ndarray] = []
+    for p in parts:
+        count = p.last - p.first + 1
+        length = min(len(texts[p.text]) - STRIDE * p.first, STRIDE * (count - 1) + WINDOW)
+        joined.append(_joined(length, [STRIDE * i for i in range(count)], scores[row : row + count]))
+        row += count
+    for p, labels in zip(parts, best_labels(weights, joined), strict=True):
+        offset = STRIDE * p.first
+        # A span that begins in this part's share is whole here, as the overlap is longer than it.
+        for kind, a, b in _tagged(labels):
+            if p.begin <= offset + a < p.end:
+                yield p.text, kind, offset + a, offset + b
+
+
 def spans_of(texts: list[str], weights: Weights) -> list[list[Span]]:
-    """The spans of each text; windows of many texts are read together."""
-    found: list[list[Span]] = [[] for _ in texts]
-    waiting: list[tuple[int, list[list[int]]]] = []
+    """The spans of each text; windows of many texts are read together, those of a long one in slices."""
+    tagged: list[list[tuple[str, int, int]]] = [[] for _ in texts]
+    waiting: list[_Part] = []
     held = 0
 
     def read() -> None:
-        windows = np.zeros((held, WINDOW), np.uint8)
-        row = 0
-        for i, runs in waiting:
-            for start in (s for run in runs for s in run):
-                codes = char_codes(texts[i][start : start + WINDOW])
-                windows[row, : len(codes)] = codes
-                row += 1
-        scores, row = window_scores(weights, windows), 0
-        joined: list[np.ndarray] = []
-        for i, runs in waiting:
-            for run in runs:
-                length = min(len(texts[i]), run[-1] + WINDOW) - run[0]
-                joined.append(_joined(length, [s - run[0] for s in run], scores[row : row + len(run)]))
-                row += len(run)
-        labels = iter(best_labels(weights, joined))
-        for i, runs in waiting:
-            tagged = [(k, run[0] + a, run[0] + b) for run in runs for k, a, b in _tagged(next(labels))]
-            found[i] = with_tagged(texts[i], base_spans(texts[i]), iter(tagged))
+        for i, kind, a, b in _labelled(texts, waiting, weights):
+            tagged[i].append((kind, a, b))
+        waiting.clear()
 
-    for i, text in enumerate(texts):
-        runs = _runs(text)
-        if runs:
-            waiting.append((i, runs))
-            held += sum(map(len, runs))
-        if held >= SLICE_WINDOWS:
+    for part in _parts(texts):
+        count = part.last - part.first + 1
+        if held + count > SLICE_WINDOWS and waiting:
             read()
-            waiting, held = [], 0
-    if held:
+            held = 0
+        waiting.append(part)
+        held += count
+    if waiting:
         read()
-    return found
+    return [with_tagged(text, base_spans(text), iter(found)) for text, found in zip(texts, tagged, strict=True)]
 
 
 SPANS = "array<struct<kind:string,start:int,end:int,base:boolean>>"
