@@ -238,3 +238,9 @@ def test_placing_rows(spark, odd_rows, tmp_path):
     for wrong in (lambda: sharding.fill([], 31), lambda: sharding.fill(["a"], 30), lambda: sharding.fill(["a", "a"], 31)):
         with pytest.raises(ValueError):
             wrong()
+
+
+def test_columns_of_placed_rows_may_have_any_name(spark):
+    df = spark.createDataFrame([(1, 5, 6, 7)], "doc_id long, _slot int, row int, `a.b` int")
+    (got,) = sharding.place(df, ["a"], slots=31).collect()
+    assert tuple(got)[:4] == (1, 5, 6, 7) and got.shard == "a" and 0 <= got.slot < 31

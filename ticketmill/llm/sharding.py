@@ -68,8 +68,10 @@ def place(df: DataFrame, shards: Sequence[str], key: str = "doc_id", slots: int
     table = [(slot, names[shard]) for slot, shard in enumerate(fill(names, slots))]
     lookup = df.sparkSession.createDataFrame(table, "slot int, shard string")
     kept = [c for c in df.columns if c not in ("slot", "shard")]
-    rows = df.select("*", slot_of(key, slots).alias("_slot")).select(*kept, F.col("_slot").alias("slot"))
-    return rows.join(F.broadcast(lookup), "slot", "left").select(*kept, "slot", "shard")
+    # The row's own columns stand apart, so none can clash with the inner ones.
+    rows = df.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept)]).alias("row"), slot_of(key, slots).alias("slot"))
+    found = rows.join(F.broadcast(lookup), "slot", "left")
+    return found.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(kept)], "slot", "shard")
 
 
 def write_shards(df: DataFrame, folder: str, shards: Sequence[str], key: str = "doc_id", slots: int = SLOTS) -> None:
