@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import curation, monitoring, records, redaction, sequences, streams
+from . import curation, monitoring, records, redaction, sequences, sources, streams
 
-_MODULES = (redaction, records, curation, monitoring, sequences, streams)
+_MODULES = (redaction, records, curation, monitoring, sequences, streams, sources)
 
 Query = Callable[[SparkSession, str], DataFrame]
 

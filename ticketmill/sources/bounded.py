@@ -211,7 +211,7 @@ class BoundedLines(DataSource):
         return "file string, value binary"
 
     def streamReader(self, schema) -> DataSourceStreamReader:
-        return _Reader(dict(self.options))
+        return _Reader(self.options)
 
 
 def stream_bounded(spark: SparkSession, index: str, checkpoint: str, **options: str) -> DataFrame:

@@ -107,7 +107,7 @@ def _widths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if feed >= 0:
                         head = head[:feed]
                         break
-            widths.append(len(next(csv.reader(io.StringIO(head.decode(errors="replace"))), [])))
+            widths.append(len(next(csv.reader(io.StringIO(head.decode(errors="replace"), newline="")), [])))
         yield pa.RecordBatch.from_arrays([pa.array(widths, pa.int32())], names=["width"])
 
 
@@ -147,7 +147,7 @@ def read_export(spark: SparkSession, path: str) -> DataFrame:
     over all files, a task a file, since a record may span lines; before it only the first
     record of each file is read, for the number of columns.
     """
-    heads = list_files(spark, path).filter("size > 0").withColumn("begin", F.lit(0))
+    heads = _visible(list_files(spark, path), path).filter("size > 0").withColumn("begin", F.lit(0))
     width = spread_ranges(heads.select("file", "begin")).select("file").mapInArrow(_widths, "width int").agg(F.max("width")).first()[0]
     fields = ", ".join(f"{name} string" for name in EXPORT_COLUMNS)
     if not width:
