@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fields import GOOD_FIELDS
-from ..operators import gates, monitor, routing
+from ..operators import gates, ledger, monitor, routing
+from ..session import run_folder
 from ..settings import Settings
 from .tables import ANSWERS_SQL, answered_lines, table
 
@@ -75,6 +76,20 @@ def model_step(spark: SparkSession, folder: str) -> DataFrame:
     return gates.classify(answered).select("ticket_id", "status", "error_class", "error")
 
 
+def model_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests answered through a ledger by two runs, the second over all of them; each distinct request is sent once."""
+    answers = run_folder(spark, "ledger")
+
+    def echo(requests):
+        return requests.map(lambda r: f"{len(r)} characters")
+
+    lines = gates.raw_tickets(answered_lines(spark, folder).select("ticket_id", "value")).select("ticket_id", "request_payload")
+    ledger.with_ledger(lines.filter("ticket_id % 2 = 0"), echo, answers)
+    done = ledger.with_ledger(lines, echo, answers)
+    sent = spark.read.schema("hash string, answer string").parquet(answers).groupBy("hash").count()
+    return done.select("ticket_id", "response", F.lit(sent.filter("count > 1").count()).cast("long").alias("sent_again"))
+
+
 def timeout_gate(spark: SparkSession, folder: str) -> DataFrame:
     log = table(spark, folder, "events").select("event_id", "value")
     return log.select("event_id", gates.timeout_reason(F.col("value"), 30).alias("error")).filter(
@@ -111,6 +126,7 @@ QUERIES = {
         bad_reasons,
         routing_summary,
         model_step,
+        model_ledger,
         timeout_gate,
         slow_ops,
         wrapped_errors,
@@ -192,6 +208,9 @@ ORACLES = {
         WHEN NOT {_SHAPE} THEN ['invalid_shape', 'Ticket is not an object with six text fields']
         ELSE ['model_bad', length({_REQUEST}) || ' characters'] END AS why FROM answers)
         SELECT ticket_id, 'bad' AS status, why[1] AS error_class, why[2] AS error FROM shaped""",
+    "model_ledger": f"""WITH {ANSWERS_SQL}, shaped AS (SELECT ticket_id, CASE
+        WHEN trim(value) <> '' AND json_valid(value) AND {_SHAPE} THEN length({_REQUEST}) || ' characters' END AS response FROM answers)
+        SELECT ticket_id, response, 0::BIGINT AS sent_again FROM shaped""",
     "timeout_gate": """SELECT event_id, 'Ticket timed out after ' || CAST(floor(value) AS BIGINT) || 's' AS error
         FROM events WHERE value > 30""",
     "slow_ops": "SELECT event_id, value FROM events WHERE value > 1.0",

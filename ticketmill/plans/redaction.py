@@ -13,7 +13,7 @@ from ..functions.detectors import (
     MACHINE,
     WITH_CUSTOM,
 )
-from ..operators import monitor, names, redaction
+from ..operators import durations, monitor, names, redaction
 from .tables import LINE, REDUMPED, TICKETS_SQL, answered_lines, documents, table, tickets
 
 # --- comparison SQL ---------------------------------------------------------
@@ -161,6 +161,13 @@ def detector_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return monitor.detector_metrics(found, F.col("Description"), F.col("found"), CUSTOM_DETECTORS)
 
 
+def detector_timings(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts and matches of each detector from its time sketch, and whether its quantiles are in order."""
+    sketch = durations.timed(tickets(spark, folder).select("Description"), "Description", CUSTOM_DETECTORS)
+    ordered = (F.col("p50") > 0) & (F.col("p50") <= F.col("p95")) & (F.col("p95") <= F.col("p99"))
+    return durations.quantiles(sketch).select("entity", "texts", "matches", ordered.alias("ordered"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -178,6 +185,7 @@ QUERIES = {
         entity_usage,
         redaction_metrics,
         detector_metrics,
+        detector_timings,
     )
 }
 
@@ -240,4 +248,10 @@ ORACLES = {
         for e in ("BADGE_NUMBER", "TICKET_NUMBER", "MACHINE_NAME"))})
         SELECT entity, patterns_checked, matches_found,
             matches_found / CAST(patterns_checked AS DOUBLE) AS match_ratio FROM counted""",
+    "detector_timings": f"""WITH {TICKETS_SQL}, counted AS ({' UNION ALL '.join(
+        f"SELECT '{e}' AS entity, count(*) AS texts, CAST(sum({_matches_sql(_PATTERNS[e])}) AS BIGINT) "
+        "AS matches FROM tickets WHERE length(Description) > 0"
+        for e in ("BADGE_NUMBER", "TICKET_NUMBER", "MACHINE_NAME"))})
+        SELECT entity, texts, matches, true AS ordered FROM counted
+        UNION ALL SELECT 'text', max(texts), CAST(sum(matches) AS BIGINT), true FROM counted""",
 }
