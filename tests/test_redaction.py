@@ -1,7 +1,9 @@
 """Redaction: fixtures, both back ends, memo, names, context."""
 
 import random
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -206,10 +208,27 @@ def test_redact_distinct_equals_redact_with_a_hot_text(spark):
     assert again.groupBy("text").count().filter("text = 'hot <EMAIL_ADDRESS>'").first()["count"] == 600
 
 
-def test_hot_values_are_few(spark):
-    df = spark.createDataFrame([(f"t{i % 7}",) for i in range(700)], "text string")
-    assert redaction.hot_values(df, F.col("text"), 700, 5).count() == 0
-    assert redaction.hot_values(df, F.col("text"), 700, 8).count() == 7
+def test_hot_values_are_found_in_one_pass(spark, monkeypatch):
+    """All values over 1/share of the rows, few others, whatever is spread over how many tasks."""
+    rows = [("a",)] * 300 + [("b",)] * 120 + [(f"x{i}",) for i in range(600)] + [(None,)] * 400
+    random.Random(3).shuffle(rows)
+    df = spark.createDataFrame(rows, "text string").repartition(7)
+    hashes = {r.h: r.text for r in df.select("text", F.xxhash64("text").alias("h")).collect()}
+    for share, least in ((5, {"a"}), (20, {"a", "b"}), (4, set())):
+        hot = {hashes[r[0]] for r in redaction.hot_values(df, F.col("text"), share).collect()}
+        assert least <= hot <= {"a", "b"} and len(hot) < 2 * share
+    assert redaction.hot_values(df.limit(0), F.col("text"), 5).count() == 0
+
+
+def test_a_sketch_keeps_what_is_frequent():
+    rng = random.Random(9)
+    values = [rng.choice([1, 1, 1, 2, 2, rng.randrange(10, 5000)]) for _ in range(20_000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(values[i : i + 700], pa.int64())], names=["h"]) for i in range(0, 20_000, 700)]
+    (got,) = redaction._sketched(40)(iter(batches))
+    counts = dict(zip(got["__hash"].to_pylist(), got["copies"].to_pylist()))
+    exact = Counter(values)
+    assert len(counts) <= 41 and counts[None] == 20_000
+    assert all(exact[v] - 20_000 / 40 <= n <= exact[v] for v, n in counts.items() if v is not None) and {1, 2} <= counts.keys()
 
 
 def test_context_raises_the_score(spark):

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import span_udfs, spans
 from ..functions.detectors import DEFAULT_DETECTORS, Detector, operators_for
+from ..session import run_folder
 
 # Above this many detectors the interpreted higher-order functions lose to one
 # Arrow batch function; a detector that matches in nearly every text loses earlier.
@@ -133,13 +136,45 @@ def redact_json_lines(
     return out.select(*values, F.col("__json.reject").alias(reject))
 
 
-def hot_values(df: DataFrame, value: Column, total: int, share: int) -> DataFrame:
-    """Hashes of values that fill more than 1/share of ``total`` rows: fewer than ``share``.
+def _sketched(counters: int):
+    """Of each task: its rows (hash null), and a frequency sketch of their hashes.
 
-    Only used to choose salts, so a hash collision costs balance, not results.
+    A sketch has ``counters`` values at most. When there are more, the count of the first
+    one too many is taken off all: what is lost of a value is less than rows / counters,
+    in a task and so over all of them.
     """
-    counted = df.groupBy(F.xxhash64(value).alias("__hash")).agg(F.count(F.lit(1)).alias("copies"))
-    return counted.filter(F.col("copies") > total / share).select("__hash")
+
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values, counts, rows = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        for batch in batches:
+            hashes = batch.column(0).drop_null().to_numpy()
+            rows += batch.num_rows
+            new, times = np.unique(hashes, return_counts=True)
+            values, place = np.unique(np.concatenate([values, new]), return_inverse=True)
+            counts = np.bincount(place, np.concatenate([counts, times]), len(values)).astype(np.int64)
+            if len(values) > counters:
+                counts = counts - np.partition(counts, len(counts) - counters - 1)[len(counts) - counters - 1]
+                values, counts = values[counts > 0], counts[counts > 0]
+        columns = [pa.array([None, *values.tolist()], pa.int64()), pa.array([rows, *counts.tolist()], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["__hash", "copies"])
+
+    return sketched
+
+
+def hot_values(df: DataFrame, value: Column, share: int) -> DataFrame:
+    """Hashes of all values that fill more than 1/share of the rows, and of some that fill half as much.
+
+    One pass, from which a task sends 2 * share counts at most. Only used to choose salts, so
+    neither a hash collision nor a value too many costs results.
+    """
+    counters = 2 * share
+    hashes = df.select(F.when(value.isNotNull(), F.xxhash64(value)).alias("h"))
+    found = hashes.mapInArrow(_sketched(counters), "__hash long, copies long")
+    folder = run_folder(df.sparkSession, "hot-values")
+    found.groupBy("__hash").agg(F.sum("copies").alias("copies")).write.parquet(folder)
+    counted = df.sparkSession.read.schema("__hash long, copies long").parquet(folder)
+    rows = counted.filter("__hash IS NULL").agg(F.sum("copies")).first()[0] or 0
+    return counted.filter(F.col("__hash").isNotNull() & (F.col("copies") > F.lit(rows / share - rows / counters))).select("__hash")
 
 
 def redact_distinct(
@@ -164,8 +199,8 @@ def redact_distinct(
     candidate = F.coalesce(spans.hint_test(text, detectors), F.lit(False))
     rows, rest = df.filter(candidate), df.filter(~candidate)
 
-    # Counting all rows reads no column of a file scan.
-    hot = F.broadcast(hot_values(rows.select(column), text, df.count(), share))
+    # Shares of all rows, though only rows with a candidate can be hot.
+    hot = F.broadcast(hot_values(df, F.when(candidate, text), share))
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
     # From the row's content and its partition: a retried task repeats the
     # salt, and even rows that are equal throughout are spread.
