@@ -296,6 +296,22 @@ def test_both_ways_give_the_same_spans_over_all_customers(spark, folder, monkeyp
         names.name_spans(df, "id", "text", people, ship=True)
 
 
+def test_names_in_parts_move_no_text(spark, monkeypatch):
+    """Names that share their first word, names in names, and rows held in several groups: as shipped."""
+    monkeypatch.setattr(names, "PART_NAMES", 30)
+    rng = random.Random(5)
+    words = ["Ann", "Lee", "de", "la", "Cruz", "Jr."]
+    listed = sorted({" ".join(rng.choice(words) for _ in range(rng.randint(1, 4))) for _ in range(150)} | {f"Ann {i}" for i in range(100)})
+    people = spark.createDataFrame([(n,) for n in listed], "name string")
+    texts = [" ".join(rng.choice([*words, "met", f"{rng.randrange(120)}"]) for _ in range(rng.randint(0, 30))) for _ in range(60)]
+    df = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)] + [(None, None, 1), (1, "Ann", 2)], "id int, text string, name_spans int")
+    spans_of = lambda ship: sorted((r["id"] is None, r["id"], r["text"], sorted(map(tuple, r["name_spans"]))) for r in names.name_spans(df, "id", "text", people, ship=ship).collect())
+    want = spans_of(True)
+    assert spans_of(False) == want and sum(len(r[3]) for r in want) > 500
+    plan = names.name_spans(df, "id", "text", people, ship=False)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 def test_operators_and_detectors_are_checked(spark):
     assert operators_for({"PERSON": "X"})["PERSON"] == "X"
     row = spark.range(1).select(

@@ -5,37 +5,31 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
-from zlib import crc32
 
-import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as ds
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.detectors import Detector
-from ..functions.jsonl import once
 from ..functions.span_udfs import span_lists
 from ..functions.spans import SPANS
 from ..functions.text import WORD_CHAR, strip, word_count
 from ..session import run_folder
+from ..sources.ranges import located
 from .redaction import analyze, redact_spans
 
-# A names table up to this size is shipped to every task; beyond, it is joined.
+# A names table up to this size is shipped to every task; beyond, tasks read it part by part.
 MAX_NAMES = 500_000
 MAX_NAME_BYTES = 32 * 1024 * 1024
 NAME_SCORE = 0.85
-# Bits of the table that drops word runs which are no name, per name and at most.
-BITS_PER_NAME = 64
-MAX_BITS = 1 << 30
-# A name with more than 1/HOT_SHARE of the mentions is hot: there are fewer than HOT_SHARE.
-HOT_SHARE = 1000
+# A part holds about so many names and bytes, and a task so many bytes of rows while it reads the parts.
+PART_NAMES = 200_000
+PART_BYTES = 16 * 1024 * 1024
+HELD_BYTES = 256 * 1024 * 1024
 _RUNS = re.compile(r"\w+")
-_GRAMS = "array<struct<start:int,end:int,gram:string,before:string,after:string>>"
-_ARROW_GRAMS = pa.list_(
-    pa.struct(
-        [("start", pa.int32()), ("end", pa.int32())] + [(n, pa.string()) for n in ("gram", "before", "after")]
-    )
-)
 
 
 class NameStats(NamedTuple):
@@ -114,71 +108,82 @@ def _shipped(df: DataFrame, text: Column, names: DataFrame, stats: NameStats, ou
     return df.withColumn(out, match(F.make_valid_utf8(text)))
 
 
-def _name_bits(names: DataFrame, buckets: int) -> bytes:
-    """A bit per hash bucket that holds a name's core.
+class NameTrie:
+    """Names by their words: every beginning of a name that ends with a word, and what stands around those that are names.
 
-    Built as a grouped aggregate; the driver gets at most one row per 32 buckets.
+    From a word of a text the trie is walked as long as the text goes on like some name, so a
+    text is passed once, however many words the names have.
     """
-    bucket = F.pmod(F.crc32(F.encode("core", "UTF-8")), F.lit(buckets))
-    cells = (
-        names.select(bucket.alias("b"))
-        .groupBy((F.col("b") / 32).cast("int").alias("cell"))
-        .agg(F.expr("bit_or(shiftleft(1L, cast(b % 32 AS int)))").alias("bits"))
-    )
-    table = np.zeros(buckets // 32, dtype="<u4")
-    found = cells.toArrow()
-    table[found["cell"].to_numpy()] = found["bits"].to_numpy()
-    return table.tobytes()
-
-
-def _joined(df: DataFrame, key: str, text: Column, names: DataFrame, stats: NameStats, out: str) -> DataFrame:
-    buckets = min(MAX_BITS, 1 << max(16, (stats.names * BITS_PER_NAME - 1).bit_length()))
-    known = df.sparkSession.sparkContext.broadcast(_name_bits(names, buckets))
-
-    @F.arrow_udf(_GRAMS)
-    def grams(texts: pa.Array) -> pa.Array:
-        bits = known.value
-
-        def possible(gram: str) -> bool:
-            bucket = crc32(gram.encode()) % buckets
-            return bool(bits[bucket >> 3] & (1 << (bucket & 7)))
-
-        rows = [
-            [
-                {"start": b, "end": e, "gram": g, "before": t[max(0, b - stats.head) : b], "after": t[e : e + stats.tail]}
-                for b, e, g in _grams(t, stats.runs)
-                if possible(g)
-            ]
-            for t in (t or "" for t in texts.to_pylist())
-        ]
-        return pa.array(rows, type=_ARROW_GRAMS)
-
-    # Most word runs are dropped by the bits before the shuffle. A text is known by its
-    # key and its content: rows with one key and different texts keep their own spans.
-    mark = F.xxhash64(text)
-    listed = df.select(F.col(key).alias("__key"), mark.alias("__mark"), F.explode(once(grams)(F.make_valid_utf8(text))).alias("g"))
-    folder = run_folder(df.sparkSession, "mentions")
-    listed.select("__key", "__mark", "g.*").withColumnRenamed("gram", "core").write.parquet(folder)
-    mentions = df.sparkSession.read.parquet(folder)
-    # A frequent name's mentions are met where they lie: those few names go to all tasks.
-    often = mentions.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > F.lit(mentions.count() / HOT_SHARE))
-    hot = F.broadcast(often.select("core"))
-    parts = names.select("core", "head", "tail")
-    met = mentions.join(F.broadcast(parts.join(hot, "core", "left_semi")), "core").unionByName(
-        mentions.join(hot, "core", "left_anti").join(parts, "core")
-    )
-    met = met.filter(F.endswith("before", "head") & F.startswith("after", "tail"))
-    span = F.struct(
-        (F.col("start") - F.length("head")).alias("start"),
-        (F.col("end") + F.length("tail")).alias("end"),
-        F.lit("PERSON").alias("entity"),
-        F.lit(NAME_SCORE).alias("score"),
-    )
-    # A text's own spans: bounded by its length.
-    found = met.groupBy("__key", "__mark").agg(F.collect_set(span).alias(out))
-    same = df[key].eqNullSafe(found["__key"]) & (mark == found["__mark"])
-    matched = df.join(found, same, "left").drop("__key", "__mark")
-    return matched.withColumn(out, F.coalesce(out, F.array().cast(SPANS)))
+
+    def __init__(self, rows: Iterable[tuple[str, str, str]]):
+        self.begun: dict[str, list[tuple[str, str]]] = {}
+        for head, core, tail in rows:
+            for m in _RUNS.finditer(core):
+                self.begun.setdefault(core[: m.end()], [])
+            self.begun[core].append((head, tail))
+
+    def mentions(self, text: str, runs: list[tuple[int, int]]) -> Iterator[tuple[int, int, str, float]]:
+        """Spans of the names in a text with its word runs."""
+        begun = self.begun
+        for i, (begin, end) in enumerate(runs):
+            known, n = begun.get(text[begin:end]), i
+            while known is not None:
+                for head, tail in known:
+                    start = begin - len(head)
+                    if start >= 0 and text.startswith(head, start) and text.startswith(tail, end):
+                        yield start, end + len(tail), "PERSON", NAME_SCORE
+                n += 1
+                if n == len(runs):
+                    break
+                end = runs[n][1]
+                known = begun.get(text[begin:end])
+
+
+def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > HELD_BYTES:
+            yield held
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield held
+
+
+def _by_parts(df: DataFrame, text: Column, names: DataFrame, stats: NameStats, out: str) -> DataFrame:
+    """The names are dealt into parts of bounded size, which lie in the run's folder; each task reads one after the
+    other for the rows it holds, so that neither texts nor spans move."""
+    parts = max(1, -(-stats.names // PART_NAMES), -(-stats.size // PART_BYTES))
+    folder = run_folder(df.sparkSession, "names")
+    dealt = names.select("head", "core", "tail", F.pmod(F.xxhash64("head", "core", "tail"), F.lit(parts)).cast("int").alias("part"))
+    dealt.repartition(parts, "part").write.partitionBy("part").parquet(folder)
+    schema = T.StructType([*df.schema.fields, T.StructField(out, df.select(F.array().cast(SPANS)).schema[0].dataType)])
+    kept = [f.name for f in df.schema.fields if f.name != out]
+    schema = T.StructType([f for f in schema.fields if f.name != out] + [schema.fields[-1]])
+
+    def tries() -> Iterator[NameTrie]:
+        system, path = located(folder)
+        for part in range(parts):
+            name = f"{path}/part={part}"
+            if system.get_file_info(name).type == fs.FileType.Directory:
+                table = ds.dataset(name, filesystem=system, format="parquet").to_table(columns=["head", "core", "tail"])
+                yield NameTrie(zip(*(table[c].to_pylist() for c in ("head", "core", "tail"))))
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            texts = [[t or "" for t in batch.column(batch.num_columns - 1).to_pylist()] for batch in group]
+            runs = [[[m.span() for m in _RUNS.finditer(t)] for t in some] for some in texts]
+            found: list[list[list]] = [[[] for _ in some] for some in texts]
+            for trie in tries():
+                for some, bounds, spans in zip(texts, runs, found):
+                    for t, r, mine in zip(some, bounds, spans):
+                        mine.extend(trie.mentions(t, r))
+            for batch, spans in zip(group, found):
+                arrays = [batch.column(i) for i in range(batch.num_columns - 1)]
+                yield pa.RecordBatch.from_arrays([*arrays, span_lists(sorted(x) for x in spans)], names=[*kept, out])
+
+    return df.select(*[F.col(f"`{c}`") for c in kept], F.make_valid_utf8(text).alias("__text")).mapInArrow(match, schema)
 
 
 def name_spans(
@@ -194,7 +199,7 @@ def name_spans(
 
     A name matches as written: its first word from the start of a word run, its last
     one to the end of one, and the punctuation it has around them. A small names table
-    goes to the tasks and costs no shuffle; a large one is joined on the mention. Both
+    goes to the tasks as a whole, a large one part by part; neither moves a text, and both
     give the same spans. Names without a word are listed by `unmatchable_names`.
     """
     cleaned = clean_names(names, name_column)
@@ -203,7 +208,7 @@ def name_spans(
         raise ValueError(f"{stats.names} names of {stats.size} bytes are too many to ship")
     if stats.fits if ship is None else ship:
         return _shipped(df, F.col(text), cleaned, stats, out)
-    return _joined(df, key, F.col(text), cleaned, stats, out)
+    return _by_parts(df, F.col(text), cleaned, stats, out)
 
 
 def mask_names(
