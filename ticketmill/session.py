@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_made: dict[str, list[str]] = {}  # folders of each application's runs
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own.
+    Only a local session without that setting gets a folder of its own, which goes when Python ends.
     """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
@@ -19,14 +24,27 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="ticketmill-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
 
 def run_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the shared one."""
-    return f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    """A fresh folder below the shared one; `clear_runs` removes it."""
+    folder = f"{shared_folder(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
+def clear_runs(spark: SparkSession) -> int:
+    """Removes the folders this application's runs have made; results not yet written elsewhere are gone then."""
+    folders = _made.pop(spark.sparkContext.applicationId, [])
+    settings = spark._jsparkSession.sessionState().newHadoopConf()
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(settings).delete(path, True)
+    return len(folders)
 
 
 def spread(df: DataFrame) -> DataFrame:
