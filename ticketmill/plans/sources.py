@@ -9,11 +9,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.detectors import Detector
 from ..functions.fields import EXPORT_COLUMNS, MISSING_MARKERS, TICKET_FIELDS
-from ..operators import counted
+from ..operators import counted, records, redaction
 from ..session import run_folder
 from ..sources import bounded, encodings, files
 from ..sources.ranges import list_files, located
+from . import records as record_plans
 from . import tables
 from .tables import TICKETS_SQL, table
 
@@ -131,9 +133,27 @@ def write_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return counted.write_counted(rows, run_folder(spark, "counted")).select("records", "bytes", "skipped")
 
 
+def scanned_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Spoilt event lines written as compressed text and scanned again: how many lines got which verdict."""
+    run = run_folder(spark, "lines")
+    tables.spoilt_lines(spark, folder).select(F.coalesce("value", F.lit("")).alias("value")).write.option("compression", "gzip").text(run)
+    judged = records.with_verdict(files.read_lines(spark, run), dump=False)
+    verdict = F.when(F.col("json.verdict").isin("ok", "blank"), F.col("json.verdict")).otherwise("invalid")
+    return judged.groupBy(verdict.alias("verdict")).agg(F.count("*").alias("lines"))
+
+
+INCIDENT = Detector("INCIDENT", r"\bINC[0-9]{7}\b", 0.9, hint="INC")
+
+
+def own_detector(spark: SparkSession, folder: str) -> DataFrame:
+    """Ticket titles redacted by a detector of the caller's own."""
+    titles = tables.tickets(spark, folder).select("ticket_id", "Short_Description")
+    return redaction.redact_columns(titles, ["Short_Description"], [INCIDENT])
+
+
 QUERIES = {
     f.__name__: f
-    for f in (bounded_lines, decoded_documents, packed_events, discovered_documents, exported_tickets, write_metrics)
+    for f in (scanned_lines, own_detector, bounded_lines, decoded_documents, packed_events, discovered_documents, exported_tickets, write_metrics)
 }
 
 _MARKERS = ", ".join(f"'{m}'" for m in MISSING_MARKERS)
@@ -146,6 +166,9 @@ ORACLES = {
     "bounded_lines": "SELECT event_id, user_id, event_type, true AS within FROM events",
     "decoded_documents": "SELECT doc_id, length(coalesce(text, '')) AS chars, md5(coalesce(text, '')) AS digest FROM documents",
     "packed_events": _EVENTS,
+    "scanned_lines": f"""SELECT verdict, count(*) AS lines FROM ({record_plans.ORACLES["json_verdicts"]}) GROUP BY verdict""",
+    "own_detector": f"""WITH {TICKETS_SQL} SELECT ticket_id,
+        regexp_replace(Short_Description, 'INC[0-9]{{7}}', '<REDACTED>') AS Short_Description FROM tickets""",
     "discovered_documents": """SELECT lang, count(*) AS lines, sum(length(coalesce(text, ''))) AS chars
         FROM documents WHERE lang <> 'de' GROUP BY lang""",
     "exported_tickets": f"WITH {TICKETS_SQL} SELECT {', '.join(f'{e} AS {n}' for n, e in _CLEAN.items())} FROM tickets",
