@@ -14,10 +14,11 @@ are joined.
    tiles are cut into blocks, and each pair of blocks is a task's work of bounded size.
 3. Pairs that pass are verified by intersecting the sorted arrays of hashes.
 
-For components, pairs inside one component need no test: a round tests, for each class,
-a few partners; later rounds take the next partners, of other components only, until none
-is left. So a group of any size gives rows in proportion to its members. ``links`` tests
-every pair instead.
+For components, pairs inside one component need no test. First every class of a large tile
+is tested with the tile's representative, its least class, so a group of near copies is one
+component after a number of pairs in proportion to its members, and its blocks are never
+crossed. Then a round tests, for each class, a few partners; later rounds take the next
+partners, of other components only, until none is left. ``links`` tests every pair instead.
 
 Defined cases: null is an empty text; a text without words has no set and links with
 nothing; rows with equal keys are rows like any others; null keys are allowed; no
@@ -340,6 +341,19 @@ def _candidates(members: DataFrame, classes: DataFrame, rule: Rule, first: int,
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "tile").distinct()
 
 
+def _with_representatives(members: DataFrame) -> DataFrame:
+    """a, b: in tiles of more than a block, the least class with each other one. Alike tiles have one representative."""
+    large = members.groupBy("tile").agg(F.count("*").alias("classes"), F.min("key").alias("a")).filter(F.col("classes") > BLOCK)
+    return members.join(large.select("tile", "a"), "tile").select("a", F.col("key").alias("b")).filter("a <> b").distinct()
+
+
+def _mixed(members: DataFrame, label: DataFrame) -> DataFrame:
+    """tile, key, label: the members of tiles that hold more than one component."""
+    labelled = members.join(label, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    mixed = labelled.groupBy("tile").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("tile")
+    return stored(labelled.join(mixed, "tile", "left_semi"), "members")
+
+
 def _verified(pairs: DataFrame, df: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """a, b: the pairs whose sets do link. ``pairs`` is stored."""
     nodes = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
@@ -411,16 +425,17 @@ def components(df: DataFrame, key: str = "doc_id", text: str = "text", rule: Rul
     p = _prepare(df, key, text, rule)
     members, found, least, last = p.members.withColumn("label", F.col("key")), None, 0, PARTNERS
     label = None
+    pairs = stored(_with_representatives(p.members), "pairs")
+    if not pairs.isEmpty():
+        found = stored(_verified(pairs, p.rows, p.classes, rule), "links")
+        members = _mixed(p.members, roots(found).toDF("key", "label"))
     while True:
         pairs = stored(_candidates(members, p.classes, rule, least, last), "pairs")
         new = _verified(pairs.filter("a IS NOT NULL").select("a", "b"), p.rows, p.classes, rule)
         found = stored(new if found is None else found.unionByName(new), "links")
         label = roots(found).toDF("key", "label")
         waiting = pairs.filter("tile IS NOT NULL").select("tile").distinct()
-        members = p.members.join(waiting, "tile", "left_semi").join(label, "key", "left")
-        members = members.withColumn("label", F.coalesce("label", "key"))
-        mixed = members.groupBy("tile").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("tile")
-        members = stored(members.join(mixed, "tile", "left_semi"), "members")
+        members = _mixed(p.members.join(waiting, "tile", "left_semi"), label)
         if members.isEmpty():
             break
         least, last = last, last * 8
