@@ -140,20 +140,6 @@ def test_blocks_and_rounds(spark, monkeypatch):
     assert Counter(tuple(r) for r in jaccard.components(df, rule=rule).collect()) == _groups(rows, rule)
 
 
-@pytest.mark.parametrize("n", [150, 300])
-def test_a_group_of_near_copies_crosses_no_blocks(spark, monkeypatch, n):
-    """All are tested with the least class of their tiles: pairs in proportion to the group, nothing left to cross."""
-    monkeypatch.setattr(jaccard, "BLOCK", 16)
-    verified, crossed, real, candidates = [], [], jaccard._verified, jaccard._candidates
-    monkeypatch.setattr(jaccard, "_verified", lambda pairs, *a: (verified.append(pairs.count()), real(pairs, *a))[1])
-    monkeypatch.setattr(jaccard, "_candidates", lambda members, *a: (crossed.append(members.count()), candidates(members, *a))[1])
-    base = " ".join(f"w{i}" for i in range(60))
-    rows = [(i, f"{base} own{i}") for i in range(n)] + [(n + i, f"other text number {i}") for i in range(20)]
-    rule = jaccard.Rule(1, 80, 100)
-    assert Counter(tuple(r) for r in jaccard.components(spark.createDataFrame(rows, SCHEMA), rule=rule).collect()) == _groups(rows, rule)
-    assert n - 1 <= verified[0] <= 4 * n and crossed[0] < n
-
-
 def test_every_link(spark):
     rule = jaccard.Rule(3, 80, 100)
     rows = list(enumerate(_near_texts(2, 150)))
