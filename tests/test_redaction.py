@@ -312,6 +312,23 @@ def test_names_in_parts_move_no_text(spark, monkeypatch):
     assert "Exchange" not in plan
 
 
+def test_names_hold_few_bytes_of_rows_and_compare_equal_hashes(monkeypatch):
+    """A large batch is cut to what a task may hold; names are told apart where their hashes are not."""
+    text = "Ann de la Cruz met Ann Lee and (Bo) and Bo " + "x" * 400
+    batch = pa.RecordBatch.from_arrays([pa.array([text] * 100_000)], names=["t"])
+    groups = list(names._groups([batch, batch.slice(0, 10)]))
+    assert sum(b.num_rows for g in groups for b in g) == 100_010
+    assert max(sum(b.nbytes for b in g) for g in groups) <= 16 << 20
+    plain = names._hashes
+    monkeypatch.setattr(names, "_hashes", lambda texts: plain(texts) % 3)
+    listed = [("", "Ann de la Cruz", ""), ("", "Ann", ""), ("(", "Bo", ")"), ("", "met Ann Lee", ""), ("", "Lee", "")]
+    parts = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*listed)], names=["head", "core", "tail"])
+    begun = pa.Table.from_batches(names._begun([parts])).sort_by([("level", "ascending"), ("hash", "ascending")])
+    found = names._mentions(["", text], [begun.slice(i, 2) for i in range(0, begun.num_rows, 2)])
+    want = sorted((b, b + len(n)) for n, b in (("Ann de la Cruz", 0), ("Ann", 0), ("met Ann Lee", 15), ("Ann", 19), ("Lee", 23), ("(Bo)", 31)))
+    assert set(found) == {1} and sorted({(b, e) for b, e, *_ in found[1]}) == want
+
+
 def test_operators_and_detectors_are_checked(spark):
     assert operators_for({"PERSON": "X"})["PERSON"] == "X"
     row = spark.range(1).select(

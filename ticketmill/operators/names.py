@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from itertools import islice
 from typing import NamedTuple
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-import pyarrow.dataset as ds
+import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +29,11 @@ MAX_NAMES = 500_000
 MAX_NAME_BYTES = 32 * 1024 * 1024
 NAME_SCORE = 0.85
 # A part holds about so many names and bytes, and a task so many bytes of rows while it reads the parts.
+# As Python's own objects and arrays of places the rows take some ten times these bytes.
 PART_NAMES = 200_000
 PART_BYTES = 16 * 1024 * 1024
-HELD_BYTES = 256 * 1024 * 1024
+HELD_BYTES = 16 * 1024 * 1024
+HASHED = 100_000  # stretches of text that are taken out of the texts at a time
 _RUNS = re.compile(r"\w+")
 
 
@@ -108,80 +113,152 @@ def _shipped(df: DataFrame, text: Column, names: DataFrame, stats: NameStats, ou
     return df.withColumn(out, match(F.make_valid_utf8(text)))
 
 
-class NameTrie:
-    """Names by their words: every beginning of a name that ends with a word, and what stands around those that are names.
+def _hashes(texts: list[str]) -> np.ndarray:
+    """64-bit hashes, the same in every process; equal hashes are always compared as texts."""
+    return pd.util.hash_array(np.array(texts, dtype=object), categorize=False).view(np.int64) if texts else np.empty(0, np.int64)
 
-    From a word of a text the trie is walked as long as the text goes on like some name, so a
-    text is passed once, however many words the names have.
-    """
 
-    def __init__(self, rows: Iterable[tuple[str, str, str]]):
-        self.begun: dict[str, list[tuple[str, str]]] = {}
-        for head, core, tail in rows:
-            for m in _RUNS.finditer(core):
-                self.begun.setdefault(core[: m.end()], [])
-            self.begun[core].append((head, tail))
-
-    def mentions(self, text: str, runs: list[tuple[int, int]]) -> Iterator[tuple[int, int, str, float]]:
-        """Spans of the names in a text with its word runs."""
-        begun = self.begun
-        for i, (begin, end) in enumerate(runs):
-            known, n = begun.get(text[begin:end]), i
-            while known is not None:
-                for head, tail in known:
-                    start = begin - len(head)
-                    if start >= 0 and text.startswith(head, start) and text.startswith(tail, end):
-                        yield start, end + len(tail), "PERSON", NAME_SCORE
-                n += 1
-                if n == len(runs):
-                    break
-                end = runs[n][1]
-                known = begun.get(text[begin:end])
+_BEGUN = pa.schema(
+    [("level", pa.int32()), ("hash", pa.int64()), ("text", pa.string()), ("head", pa.string()), ("tail", pa.string()), ("name", pa.bool_())]
+)
+
+
+def _begun(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every beginning of a core that ends with a word, by its number of words; the whole core is the name itself."""
+    for batch in batches:
+        levels, texts, heads, tails, whole = [], [], [], [], []
+        for head, core, tail in zip(*(c.to_pylist() for c in batch.columns)):
+            for level, m in enumerate(_RUNS.finditer(core), 1):
+                done = m.end() == len(core)
+                levels.append(level)
+                texts.append(core[: m.end()])
+                heads.append(head if done else "")
+                tails.append(tail if done else "")
+                whole.append(done)
+        columns = (levels, _hashes(texts), texts, heads, tails, whole)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _BEGUN)], schema=_BEGUN)
 
 
 def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Batches, or slices of large ones, that together have about HELD_BYTES."""
     held, size = [], 0
     for batch in batches:
-        if held and size + batch.nbytes > HELD_BYTES:
-            yield held
-            held, size = [], 0
-        held.append(batch)
-        size += batch.nbytes
+        rows = max(1, batch.num_rows * HELD_BYTES // max(HELD_BYTES, batch.nbytes))
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
+            if held and size + part.nbytes > HELD_BYTES:
+                yield held
+                held, size = [], 0
+            held.append(part)
+            size += part.nbytes
     if held:
         yield held
 
 
-def _by_parts(df: DataFrame, text: Column, names: DataFrame, stats: NameStats, out: str) -> DataFrame:
-    """The names are dealt into parts of bounded size, which lie in the run's folder; each task reads one after the
-    other for the rows it holds, so that neither texts nor spans move."""
-    parts = max(1, -(-stats.names // PART_NAMES), -(-stats.size // PART_BYTES))
-    folder = run_folder(df.sparkSession, "names")
-    dealt = names.select("head", "core", "tail", F.pmod(F.xxhash64("head", "core", "tail"), F.lit(parts)).cast("int").alias("part"))
-    dealt.repartition(parts, "part").write.partitionBy("part").parquet(folder)
+class _Places:
+    """Stretches of the rows' texts as arrays ordered by hash: no text is held for them."""
+
+    def __init__(self, found: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]):
+        self.hash, self.row, self.begin, self.end = (np.concatenate(c) for c in zip(*found))
+        order = np.argsort(self.hash)
+        self.hash, self.row, self.begin, self.end = (c[order] for c in (self.hash, self.row, self.begin, self.end))
+
+
+def _places(texts: list[str], stretches: Iterable[tuple[int, int, int]]) -> _Places:
+    """Places of (row, begin, end), hashed some at a time."""
+    found = [(np.empty(0, np.int64), *(np.empty(0, np.int32),) * 3)]
+    stretches = iter(stretches)
+    while some := list(islice(stretches, HASHED)):
+        found.append((_hashes([texts[r][b:e] for r, b, e in some]), *np.array(some, np.int32).T))
+    return _Places(found)
+
+
+def _first_words(texts: list[str]) -> Iterator[tuple[int, int, int]]:
+    return ((r, *m.span()) for r, t in enumerate(texts) for m in _RUNS.finditer(t))
+
+
+def _one_word_on(texts: list[str], begun: Iterable[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
+    for r, b, e in begun:
+        if m := _RUNS.search(texts[r], e):
+            yield r, b, m.end()
+
+
+def _mentions(texts: list[str], parts: Iterable[pa.Table]) -> dict[int, list[tuple[int, int, str, float]]]:
+    """Spans of the names in the texts, by row. The parts come in the order of level and hash.
+
+    Every word is looked up among the first words of names. What goes on like some name is
+    looked up with its next word among the beginnings of that level, and so on; a place is
+    looked up in the one part that can hold its hash, however many parts there are.
+    """
+    spans: dict[int, list[tuple[int, int, str, float]]] = {}
+    level, places, begun = 1, _places(texts, _first_words(texts)), []
+    for part in parts:
+        levels, hashes = part["level"].to_numpy(), part["hash"].to_numpy()
+        for here in np.unique(levels).tolist():
+            if here != level:  # levels have no gaps: a beginning has beginnings
+                level, places, begun = here, _places(texts, _one_word_on(texts, begun)), []
+            first, after = np.searchsorted(levels, [here, here + 1])
+            mine = hashes[first:after]
+            low, high = np.searchsorted(places.hash, mine[0]), np.searchsorted(places.hash, mine[-1], "right")
+            looked = places.hash[low:high]
+            left, right = np.searchsorted(mine, looked), np.searchsorted(mine, looked, "right")
+            counts = right - left
+            hit = np.flatnonzero(counts)
+            which = np.repeat(hit, counts[hit]) + low  # a hash may stand in several rows
+            listed = first + np.repeat(left[hit], counts[hit]) + _numbers(counts[hit])
+            for at in range(0, len(which), HASHED):
+                ours, theirs = which[at : at + HASHED], part.select(_BEGUN.names[2:]).take(listed[at : at + HASHED])
+                rows = zip(places.row[ours].tolist(), places.begin[ours].tolist(), places.end[ours].tolist(), *(c.to_pylist() for c in theirs.columns))
+                for r, b, e, text, head, tail, name in rows:
+                    t = texts[r]
+                    if not t.startswith(text, b) or len(text) != e - b:
+                        continue
+                    if not name:
+                        begun.append((r, b, e))
+                    elif (start := b - len(head)) >= 0 and t.startswith(head, start) and t.startswith(tail, e):
+                        spans.setdefault(r, []).append((start, e + len(tail), "PERSON", NAME_SCORE))
+    return spans
+
+
+def _numbers(counts: np.ndarray) -> np.ndarray:
+    """0 to n - 1 for each count n."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _by_parts(df: DataFrame, text: Column, names: DataFrame, out: str) -> DataFrame:
+    """The beginnings of names lie in the run's folder, in parts of bounded size ordered by level and hash; each task
+    reads one after the other for the rows it holds, so that neither texts nor spans move."""
+    spark = df.sparkSession
+    folder = run_folder(spark, "names")
+    schema = ", ".join(f"{f.name} {kind}" for f, kind in zip(_BEGUN, ("int", "long", "string", "string", "string", "boolean")))
+    names.select("head", "core", "tail").mapInArrow(_begun, schema).distinct().write.parquet(f"{folder}/begun")
+    listed = spark.read.schema(schema).parquet(f"{folder}/begun")
+    size = F.octet_length("text") + F.octet_length("head") + F.octet_length("tail")
+    count, held = listed.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    parts = max(1, -(-count // PART_NAMES), -(-held // PART_BYTES))
+    ordered = listed.repartitionByRange(parts, "level", "hash").sortWithinPartitions("level", "hash")
+    ordered.write.parquet(f"{folder}/parts")
     schema = T.StructType([*df.schema.fields, T.StructField(out, df.select(F.array().cast(SPANS)).schema[0].dataType)])
     kept = [f.name for f in df.schema.fields if f.name != out]
     schema = T.StructType([f for f in schema.fields if f.name != out] + [schema.fields[-1]])
 
-    def tries() -> Iterator[NameTrie]:
-        system, path = located(folder)
-        for part in range(parts):
-            name = f"{path}/part={part}"
-            if system.get_file_info(name).type == fs.FileType.Directory:
-                table = ds.dataset(name, filesystem=system, format="parquet").to_table(columns=["head", "core", "tail"])
-                yield NameTrie(zip(*(table[c].to_pylist() for c in ("head", "core", "tail"))))
+    def tables() -> Iterator[pa.Table]:
+        system, path = located(f"{folder}/parts")
+        files = system.get_file_info(fs.FileSelector(path))
+        for name in sorted(x.path for x in files if x.base_name.startswith("part-")):
+            table = pq.read_table(name, filesystem=system, schema=_BEGUN)
+            if table.num_rows:
+                yield table
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches):
-            texts = [[t or "" for t in batch.column(batch.num_columns - 1).to_pylist()] for batch in group]
-            runs = [[[m.span() for m in _RUNS.finditer(t)] for t in some] for some in texts]
-            found: list[list[list]] = [[[] for _ in some] for some in texts]
-            for trie in tries():
-                for some, bounds, spans in zip(texts, runs, found):
-                    for t, r, mine in zip(some, bounds, spans):
-                        mine.extend(trie.mentions(t, r))
-            for batch, spans in zip(group, found):
+            texts = [t or "" for batch in group for t in batch.column(batch.num_columns - 1).to_pylist()]
+            spans, at = _mentions(texts, tables()), 0
+            for batch in group:
                 arrays = [batch.column(i) for i in range(batch.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*arrays, span_lists(sorted(x) for x in spans)], names=[*kept, out])
+                found = span_lists(sorted(spans.get(r, ())) for r in range(at, at + batch.num_rows))
+                at += batch.num_rows
+                yield pa.RecordBatch.from_arrays([*arrays, found], names=[*kept, out])
 
     return df.select(*[F.col(f"`{c}`") for c in kept], F.make_valid_utf8(text).alias("__text")).mapInArrow(match, schema)
 
@@ -208,7 +285,7 @@ def name_spans(
         raise ValueError(f"{stats.names} names of {stats.size} bytes are too many to ship")
     if stats.fits if ship is None else ship:
         return _shipped(df, F.col(text), cleaned, stats, out)
-    return _by_parts(df, F.col(text), cleaned, stats, out)
+    return _by_parts(df, F.col(text), cleaned, out)
 
 
 def mask_names(
