@@ -97,6 +97,35 @@ def test_a_large_file_is_several_triggers(spark, tmp_path):
     assert tuple(got) == (300_001, 300_001, 0, 300_000)
 
 
+def test_lanes_share_an_index(spark, tmp_path):
+    """Several streams at once hold each chunk once, go on where they stopped, and are not mixed up."""
+    index, run = str(tmp_path / "index"), str(tmp_path / "run")
+    _write(tmp_path / "in" / "one", "".join(f"{i}\n" for i in range(25)))
+    assert bounded.index_lines(spark, str(tmp_path / "in"), index, every=4) == 7
+
+    def start():
+        def started(lines, lane, checkpoint):
+            def write(batch, number):
+                batch.coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "out" / f"lane={lane}" / f"batch={number}"))
+
+            return lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).start()
+
+        return [started(lines, i, checkpoint) for i, (lines, checkpoint) in enumerate(bounded.stream_lanes(spark, index, run, 3))]
+
+    queries = start()
+    assert len(queries) == 3 and all(q.isActive for q in queries)
+    bounded.finish(*queries)
+    _write(tmp_path / "in" / "two", "25\n26\n")
+    assert bounded.index_lines(spark, str(tmp_path / "in"), index, every=4) == 1
+    bounded.finish(*start())
+    rows = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(int(r["value"]) for r in rows.collect()) == list(range(27))
+    sizes = sorted((r["lane"], r["batch"], r["count"]) for r in rows.groupBy("lane", "batch").count().collect())
+    assert [n for *_, n in sizes] == [4, 4, 1, 2, 4, 4, 4, 4]
+    with pytest.raises(ValueError, match="lane 1 of 3"):
+        bounded._Reader({"index": index, "checkpoint": f"{run}/lane-1", "lane": "1", "lanes": "2"}).latestOffset()
+
+
 def _through(ends, parts):
     state = 0
     for part in parts:

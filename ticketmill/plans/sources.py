@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.detectors import Detector
 from ..functions.fields import EXPORT_COLUMNS, MISSING_MARKERS, TICKET_FIELDS
@@ -38,18 +39,19 @@ def _event_fields(lines: DataFrame) -> DataFrame:
 def bounded_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Events read from line files in triggers of CHUNK lines: a file is several triggers, none holds more."""
     run = run_folder(spark, "bounded")
-    bounded.index_lines(spark, _event_lines(spark, folder), f"{run}/index", CHUNK, "part-*")
-    lines = bounded.stream_bounded(spark, f"{run}/index", f"{run}/checkpoint")
-    query = (
-        _event_fields(lines)
-        .writeStream.foreachBatch(lambda batch, number: batch.write.mode("overwrite").parquet(f"{run}/out/batch={number}"))
-        .option("checkpointLocation", f"{run}/checkpoint")
-        .start()
-    )
-    bounded.finish(query)
+    chunks = bounded.index_lines(spark, _event_lines(spark, folder), f"{run}/index", CHUNK, "part-*")
+
+    def started(lines: DataFrame, lane: int, checkpoint: str) -> StreamingQuery:
+        def write(batch: DataFrame, number: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{run}/out/lane={lane}/batch={number}")
+
+        return _event_fields(lines).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).start()
+
+    lanes = bounded.stream_lanes(spark, f"{run}/index", f"{run}/checkpoint", chunks)
+    bounded.finish(*[started(lines, i, checkpoint) for i, (lines, checkpoint) in enumerate(lanes)])
     rows = spark.read.parquet(f"{run}/out")
-    sizes = rows.groupBy("batch").agg(F.count("*").alias("n"))
-    return rows.join(F.broadcast(sizes), "batch").select("event_id", "user_id", "event_type", (F.col("n") <= CHUNK).alias("within"))
+    sizes = rows.groupBy("lane", "batch").agg(F.count("*").alias("n"))
+    return rows.join(F.broadcast(sizes), ["lane", "batch"]).select("event_id", "user_id", "event_type", (F.col("n") <= CHUNK).alias("within"))
 
 
 _LATIN = "^[\\x00-\\x7F\\u00A0-\\u00FF]*$"

@@ -12,6 +12,10 @@ files that are not indexed yet. A file must not change once it is indexed.
 
 Defined cases: an empty file has no chunk; a last line without a line feed counts; empty
 lines are lines; ``\\r\\n`` ends a line like ``\\n``; bytes that are no UTF-8 stay as they are.
+
+A trigger costs its planning and commits, whatever it holds, and one chunk is one task.
+`stream_lanes` gives several streams over one index, each with every n-th chunk and a
+checkpoint of its own, so that as many triggers go on at once.
 """
 
 from __future__ import annotations
@@ -33,6 +37,8 @@ from .ranges import RANGE_BYTES, byte_ranges, lines_between, list_files, located
 # Fixed value: lines a chunk holds unless told otherwise.
 CHUNK_LINES = 130_000
 BATCH_BYTES = 4 << 20
+# Streams at once: each has a process on the driver that plans its triggers.
+MAX_LANES = 8
 
 
 def _ranges_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -124,12 +130,23 @@ class _Reader(DataSourceStreamReader):
     def __init__(self, options: dict[str, str]):
         self.index, self.checkpoint = options["index"], options.get("checkpoint")
         self.range_bytes = int(options.get("rangeBytes", RANGE_BYTES))
+        self.lane, self.lanes = int(options.get("lane", 0)), int(options.get("lanes", 1))
+        if not 0 <= self.lane < self.lanes:
+            raise ValueError(f"there is no lane {self.lane} of {self.lanes}")
         self.parts: list[str] = []  # read so far
         self.order: list[tuple[str, int, int]] = []  # chunks not yet planned, and those of the last trigger
         self.planned: dict | None = None
 
     def initialOffset(self) -> dict:
-        return {"index": self.index, "file": "", "byte": 0, "part": 0, "chunk": 0}
+        return self._offset("", 0, 0, 0)
+
+    def _offset(self, file: str, byte: int, part: int, chunk: int) -> dict:
+        lane = {"lane": self.lane, "lanes": self.lanes} if self.lanes > 1 else {}
+        return {"index": self.index, "file": file, "byte": byte, "part": part, "chunk": chunk, **lane}
+
+    def _own(self, chunk: int) -> int:
+        """The first chunk of this lane from ``chunk`` on."""
+        return chunk + (self.lane - chunk) % self.lanes
 
     def _resumed(self) -> dict:
         """The newest offset in the checkpoint's log, if this query has planned one."""
@@ -141,6 +158,8 @@ class _Reader(DataSourceStreamReader):
                     with system.open_input_stream(log.path) as lines:
                         for line in lines.read().decode().splitlines():
                             if line.startswith("{") and (offset := json.loads(line)).get("index") == self.index:
+                                if (was := (offset.get("lane", 0), offset.get("lanes", 1))) != (self.lane, self.lanes):
+                                    raise ValueError(f"the checkpoint is that of lane {was[0]} of {was[1]}")
                                 return offset
         return self.initialOffset()
 
@@ -160,21 +179,22 @@ class _Reader(DataSourceStreamReader):
     def latestOffset(self) -> dict:
         """One chunk further than the last, if there is one."""
         at = self.planned or self._resumed()
-        part, chunk = at["part"], at["chunk"]
+        part, chunk = at["part"], self._own(at["chunk"])
         while chunk >= len(self._part(part)):
             if part + 1 >= len(self.parts):
                 self.planned = at
                 return at
-            part, chunk = part + 1, 0
+            part, chunk = part + 1, self._own(0)
         file, _, end = self._part(part)[chunk]
-        self.planned = {"index": self.index, "file": file, "byte": end, "part": part, "chunk": chunk + 1}
+        self.planned = self._offset(file, end, part, chunk + 1)
         return self.planned
 
     def partitions(self, start: dict, end: dict) -> list[Chunk]:
         found = []
         for part in range(start["part"], end["part"] + 1):
             listed = self._part(part)
-            listed = listed[start["chunk"] if part == start["part"] else 0 : end["chunk"] if part == end["part"] else None]
+            begin_at = self._own(start["chunk"] if part == start["part"] else 0)
+            listed = listed[begin_at : end["chunk"] if part == end["part"] else None : self.lanes]
             for file, begin, stop in listed:
                 found += [Chunk(file, a, min(a + self.range_bytes, stop)) for a in range(begin, stop, self.range_bytes)]
         return found
@@ -201,7 +221,7 @@ def _batch(file: str, lines: list[bytes]) -> pa.RecordBatch:
 
 
 class BoundedLines(DataSource):
-    """Streaming lines (file, value) by an index of `index_lines`; options: index, checkpoint (that of the query)."""
+    """Streaming lines (file, value) by an index of `index_lines`; options: index, checkpoint (that of the query), lane and lanes."""
 
     @classmethod
     def name(cls) -> str:
@@ -221,9 +241,21 @@ def stream_bounded(spark: SparkSession, index: str, checkpoint: str, **options:
     return reader.load().withColumn("value", F.col("value").cast("string"))
 
 
-def finish(query: StreamingQuery) -> None:
+def stream_lanes(spark: SparkSession, index: str, checkpoint: str, chunks: int, **options: str) -> list[tuple[DataFrame, str]]:
+    """The indexed lines as streams (file, value), each with its own checkpoint below ``checkpoint``.
+
+    There are as many as cores, MAX_LANES and ``chunks`` allow. A run that goes on must ask for as many again.
+    """
+    lanes = max(1, min(spark.sparkContext.defaultParallelism, MAX_LANES, chunks))
+    places = [f"{checkpoint}/lane-{lane}" for lane in range(lanes)]
+    return [(stream_bounded(spark, index, p, lane=str(i), lanes=str(lanes), **options), p) for i, p in enumerate(places)]
+
+
+def finish(*queries: StreamingQuery) -> None:
     """Wait until everything indexed is processed, then stop."""
     try:
-        query.processAllAvailable()
+        for query in queries:
+            query.processAllAvailable()
     finally:
-        query.stop()
+        for query in queries:
+            query.stop()
