@@ -250,3 +250,23 @@ def test_discovery_does_not_move_contents(spark, tmp_path):
     assert sorted(tuple(r) for r in found.collect()) == [("a.py", "x = 1\n"), ("b.py", "")]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert all("content" not in line for line in plan.splitlines() if "Exchange" in line)
+
+
+def test_large_files_come_in_pieces(spark, tmp_path):
+    """Cut at characters wherever a piece ends, in bytes that are no UTF-8 too; no row holds much more than a piece."""
+    contents = {
+        "plain": "aé€😀\n".encode() * 7,
+        "empty": b"",
+        "short": "😀".encode(),
+        "broken": b"\x80\x80\x80\x80\x80\xe2\x82a\xf0\x9f\x98\xff\x80\xe2\x82",
+    }
+    for name, data in contents.items():
+        (tmp_path / f"{name}.py").write_bytes(data)
+    whole = {r["path"]: r["content"] for r in files.discover_files(spark, str(tmp_path)).collect()}
+    assert whole == {f"{n}.py": d.decode("utf-8", "replace") for n, d in contents.items()}
+    for piece in (1, 3, 5, 1000):
+        rows = files.discover_files(spark, str(tmp_path), piece=piece).orderBy("path", "begin").collect()
+        joined = {}
+        for r in rows:
+            joined[r["path"]] = joined.get(r["path"], "") + r["content"]
+        assert joined == whole and max(len(r["content"]) for r in rows) <= piece + 3

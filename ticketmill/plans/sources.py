@@ -22,6 +22,7 @@ from .tables import TICKETS_SQL, table
 
 CHUNK = 4_000  # lines of a trigger
 PACKED_BYTES = 1 << 16  # of an .xz block
+PIECE_BYTES = 4 << 20  # of a file in a row
 
 
 def _event_lines(spark: SparkSession, folder: str, name: str = "events") -> str:
@@ -109,7 +110,7 @@ def discovered_documents(spark: SparkSession, folder: str) -> DataFrame:
     run = run_folder(spark, "tree")
     docs = table(spark, folder, "documents").select("lang", F.translate(F.coalesce("text", F.lit("")), "\r\n", "  ").alias("value"))
     docs.filter("lang IS NOT NULL").write.partitionBy("lang").text(run)
-    found = files.discover_files(spark, run, "part-*.txt", ["lang=de"])
+    found = files.discover_files(spark, run, "part-*.txt", ["lang=de"], piece=PIECE_BYTES)
     lang = F.regexp_extract("path", "^lang=([^/]*)/", 1)
     sizes = F.regexp_count("content", F.lit("\n")).cast("long")
     return found.groupBy(lang.alias("lang")).agg(F.sum(sizes).alias("lines"), F.sum(F.char_length("content") - sizes).cast("long").alias("chars"))

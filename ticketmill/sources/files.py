@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from ..functions.fields import EXPORT_COLUMNS, MISSING_MARKERS, blank_to_null
 from ..functions.jsonl import json_verdict
 from . import encodings, xz
-from .ranges import list_files, located, named, spread_ranges
+from .ranges import byte_ranges, list_files, located, named, spread_ranges
 
 # Directories that never hold project sources.
 IGNORED_DIRECTORIES = (".venv", "venv", "__pycache__", ".git", "node_modules")
@@ -205,22 +205,50 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([text])], names=["file", "content"])
 
 
+def _border(source: pa.NativeFile, at: int) -> int:
+    """Where a character begins at or after a byte: past the at most three bytes that may go on with one before it."""
+    if at == 0:
+        return at
+    source.seek(at)
+    following = source.read(3)
+    return at + next((i for i, byte in enumerate(following) if byte & 0xC0 != 0x80), len(following))
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for name, begin, end in zip(*(c.to_pylist() for c in batch.columns)):
+            system, path = located(name)
+            with system.open_input_file(path) as source:
+                first, last = _border(source, begin), _border(source, end)
+                source.seek(first)
+                text = source.read(max(0, last - first)).decode("utf-8", "replace")
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([begin]), pa.array([text])], names=["file", "begin", "content"])
+
+
 def discover_files(
     spark: SparkSession,
     root: str,
     glob: str = "*.py",
     ignored: Iterable[str] = IGNORED_DIRECTORIES,
+    piece: int | None = None,
 ) -> DataFrame:
     """Whole files below ``root`` as ``(path, content)``, path relative to the root.
 
     The root may itself stand in an ignored folder: only those below it are passed over.
-    Names are dealt to the tasks, which read the files.
+    Names are dealt to the tasks, which read the files. A row holds a whole file; with
+    ``piece`` it holds about so many bytes, ``(path, begin, content)``, whose contents in
+    the order of ``begin`` are the file's: for files too large for a row. An empty file
+    is one empty piece.
     """
     files = list_files(spark, root, glob, ignored)
     prefix = len(_prefix(root))
-    dealt = spread_ranges(files.withColumn("begin", F.lit(0)).select("file", "begin")).select("file")
-    found = dealt.mapInArrow(_contents, "file string, content string")
-    return found.select(F.substring("file", prefix + 1, 1 << 30).alias("path"), "content")
+    below = F.substring("file", prefix + 1, 1 << 30).alias("path")
+    if piece is None:
+        dealt = spread_ranges(files.withColumn("begin", F.lit(0)).select("file", "begin")).select("file")
+        return dealt.mapInArrow(_contents, "file string, content string").select(below, "content")
+    empty = files.filter("size = 0").select("file", F.lit(0).cast("long").alias("begin"), F.lit(0).cast("long").alias("end"))
+    ranges = byte_ranges(files, piece).select("file", "begin", "end").unionByName(empty)
+    return spread_ranges(ranges).mapInArrow(_pieces, "file string, begin long, content string").select(below, "begin", "content")
 
 
 def file_encoding_report(spark: SparkSession, path: str) -> DataFrame:
