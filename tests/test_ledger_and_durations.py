@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ticketmill.functions.detectors import EMAIL, IP
 from ticketmill.operators import durations, ledger
+from ticketmill.plans import curation
 
 
 def _model(log, fail_on=None):
@@ -48,6 +49,22 @@ def test_a_killed_run_sends_no_answered_request_again(spark, tmp_path):
     assert _sent(log) == sorted([*(f"r{i}" for i in range(40)), "new"])
 
 
+def test_the_ledger_query_reads_its_tickets_once(spark, tmp_path):
+    """What the two runs and the result ask for is made by one pass of Python over the tickets."""
+    orders = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+    rows = [(i, i % 3, "F", 1.0, None, "5-LOW") for i in range(60)]
+    spark.createDataFrame(rows, orders).write.parquet(str(tmp_path / "orders.parquet"))
+    people = [(i, f"Customer#{i}", 1, 1.0, "MACHINERY") for i in range(3)]
+    spark.createDataFrame(people, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(
+        str(tmp_path / "customer.parquet")
+    )
+    out = curation.model_ledger(spark, str(tmp_path))
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r["ticket_id"]: r for r in out.collect()}
+    assert len(got) == 60 and {r["sent_again"] for r in got.values()} == {0}
+    assert all((r["response"] is None) == (i % 29 in (1, 2, 3, 4)) for i, r in got.items())
+
+
 def test_a_repeated_batch_is_read_not_sent(tmp_path):
     calls = []
 
